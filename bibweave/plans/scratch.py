@@ -38,10 +38,19 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
-def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Write ``df`` once to the shared folder and return a frame that reads it."""
+#: Rows of a small table that are worth a file of their own.
+ROWS_A_FILE = 100_000
+
+
+def materialize(df: DataFrame, name: str, compression: str = "snappy", rows: int | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and return a frame that reads it.
+
+    ``rows`` is a bound of its rows, if known: a small table is then written by as few tasks as it needs.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_A_FILE)))
     df.write.option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._bibweave_path = path
