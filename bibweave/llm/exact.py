@@ -2,7 +2,9 @@
 
 Texts with white space normalised are dealt into ranges by sampled splitters and sorted
 on disk if need be, so equal texts stand side by side; a window over (text, salt) compares each
-with its neighbour in full and keeps the smallest id of the run. Texts of which there are more than
+with its neighbour in full and keeps the smallest id of the run. Splitters are the first ``HEAD``
+characters and then a number of the digest, so the sample that the driver takes is short
+and texts that begin alike do not fall into one range. Texts of which there are more than
 1 / ``HOT_SHARE`` of all rows (so at most ``HOT_SHARE`` of them) get salts and so several runs
 in several ranges, which are merged by their digest.
 """
@@ -18,6 +20,8 @@ from bibweave.plans.scratch import materialize
 HOT_SHARE = 1000
 #: Rows of a hot text per salt, as a share of what makes it hot; least rows that make a text hot.
 LEAST_HOT = 200
+#: Characters of a text that splitters are made of.
+HEAD = 64
 
 
 def normalised(text) -> F.Column:
@@ -40,8 +44,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # at most hot_share rows, since each stands for more than 1 / hot_share of all
     hot = F.broadcast(counts.select("sha", F.ceil(F.col("n") / limit).cast("int").alias("salts")))
     salt = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int"), F.lit(0))
-    dealt = base.join(hot, "sha", "left").withColumn("salt", salt).repartitionByRange("norm", "salt")
-    run = Window.partitionBy("norm", "salt")
+    dealt = base.join(hot, "sha", "left").withColumn("salt", salt)
+    dealt = dealt.withColumns({"head": F.substring("norm", 1, HEAD), "tie": F.xxhash64("sha")}).repartitionByRange("head", "tie", "salt")
+    run = Window.partitionBy("head", "tie", "salt", "norm")
     sizes = run.orderBy(F.col("doc_id").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     runs = dealt.select(
         "doc_id", "sha", "salts", F.first("doc_id").over(sizes).alias("keep_id"), F.count("*").over(run.orderBy(F.lit(0)).rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("group_size")
