@@ -76,12 +76,16 @@ def flat_lines(fields="fields") -> Column:
     return F.flatten(F.transform(fields, of))
 
 
+def _any_line(lines: Column, pattern: str) -> Column:
+    return F.exists(lines, lambda x: x.rlike(pattern))
+
+
 def matches_lines(lines: Column, conditions: list[str]) -> Column:
     """Whether for each ``TAG=VALUE`` some line matches; both are patterns, case does not count, text after a second ``=`` is lost."""
     ok = F.lit(True)
     for c in conditions:
         tag, value = (c.split("=") + [""])[:2]
-        ok &= F.exists(lines, lambda x, p=f"(?i){tag}\t{value}": x.rlike(p))
+        ok &= _any_line(lines, f"(?i){tag}\t{value}")
     return ok
 
 
