@@ -114,10 +114,10 @@ def _(s):
     return records(s).select("id", last("008")["value"].alias("f008"), mc.subfield_of(last("260"), "b").alias("f260_b"), F.array_join(letters, "|").alias("f710"))
 
 
-@query("flt6_marc_grep", "SELECT p_partkey AS id, '260b' || chr(9) || p_type AS lines FROM part WHERE p_type ILIKE '%econ%' AND ('ocm' || p_size) LIKE '%1%'")
+@query("flt6_marc_grep", "SELECT p_partkey AS id, '260b' || chr(9) || p_type AS lines FROM part WHERE p_type ILIKE 'econ%' AND ('ocm' || p_size) LIKE 'ocm1%'")
 def _(s):
     lines = mc.flat_lines()
-    found = records(s).where(mc.matches_lines(lines, ["260b=econ", "035a=1"]))
+    found = records(s).where(mc.matches_lines(lines, ["260b=econ", "035a=ocm1"]))
     return found.select("id", F.array_join(mc.matching_lines(lines, ["260b=econ"]), "|").alias("lines"))
 
 
