@@ -188,8 +188,8 @@ def read_binary(spark: SparkSession, path: str, forgiving: bool = False, charset
             return {"infile": name, "leader": None, "fields": None, "corrupt": str(e)[:200]}
 
     if forgiving:
-        rows = spark.read.option("lineSep", "\x1d").option("encoding", "ISO-8859-1").text(path)
-        rows = rows.select(F.col("_metadata.file_path").alias("infile"), F.encode("value", "ISO-8859-1").alias("raw")).where("length(value) > 5")
+        rows = spark.read.option("lineSep", "\x1d").text(path)
+        rows = rows.select(F.col("_metadata.file_path").alias("infile"), F.col("value").cast("binary").alias("raw")).where("length(value) > 5")
         split = lambda name, raw: [one(name, bytes(raw).lstrip(b"\r\n") + RECORD_END)]
     else:
         rows = spark.read.format("binaryFile").load(path).select(F.col("path").alias("infile"), F.col("content").alias("raw"))
