@@ -131,6 +131,9 @@ NOTICES = (
     ("proprietary", r"all rights reserved", "reserved"),
     ("proprietary", r"(?:proprietary and confidential|confidential and proprietary)", "proprietary"),
     ("proprietary", r"unauthorized (?:copying|reproduction|use) .{0,60}?(?:is )?(?:strictly )?prohibited", "prohibited"),
+)
+#: The same for names of families without a version.
+FAMILIES = (
     ("gpl", r"gnu (?:gpl|general public license)", "gnu"),
     ("lgpl", r"(?:gnu )?(?:lgpl|lesser general public license)", "lgpl lesser"),
     ("agpl", r"(?:gnu )?(?:agpl|affero general public license)", "agpl affero"),
@@ -146,7 +149,7 @@ FORMS = (
     (r"(?:licensed|released|distributed|available|published|provided|offered) (?:to you )?under (?:the )?(?:terms (?:of|and conditions of) (?:the )?)?(?:gnu )?", 2, 0.9),
     (r"", 4, 0.7),
 )
-NOTICE_FORM, BASE_FORM = (3, 0.8), (5, 0.6)
+NOTICE_FORM, FAMILY_FORM, BASE_FORM = (3, 0.8), (5, 0.6), (6, 0.6)
 
 
 @dataclass(frozen=True)
@@ -168,6 +171,7 @@ def rules() -> tuple[Rule, ...]:
 
     made = [rule(label, form[1:], form[0] + name, words) for form in FORMS for label, name, words in LICENSES]
     made += [rule(label, NOTICE_FORM, text, words) for label, text, words in NOTICES]
+    made += [rule(label, FAMILY_FORM, text, words) for label, text, words in FAMILIES]
     made += [rule(label, BASE_FORM, phrase, phrase.split()[0], True) for phrase, label in BASE]
     return tuple(sorted(made, key=lambda r: r.priority))
 
