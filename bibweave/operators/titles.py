@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bibweave.plans.components import connected_components
@@ -28,21 +28,29 @@ def match_words(bags: DataFrame, more_than: int = 5, cutoff: float = 0.5) -> Dat
 
     Of an attribute's rows the greatest counts. A pair is compared if the lower id has all its
     words in common, or more than ``more_than`` are. With the weight sums A, B, O of both and of the overlap the score
-    is (3 O - A - B) / (|x| + |y| - |x & y|), so only shared words are joined.
+    is (3 O - A - B) / (|x| + |y| - |x & y|).
+
+    Above the cutoff c, O is more than (A + c |x|) / 2, so what precedes the first shared word in order of rarity weighs
+    less than (A - c |x|) / 2, and the same holds for y: only words within that bound are joined, and frequent words
+    make no pairs. Each pair found is then scored on all words.
     """
     weights = word_weights(bags)
     last = bags.groupBy("gd_id", "attr").agg(F.max_by("words", "str").alias("words"))
-    words = last.select("gd_id", F.explode("words").alias("word")).distinct().join(weights.select("word", "weight"), "word")
-    own = words.groupBy("gd_id").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
-    other = words.select(F.col("gd_id").alias("other_id"), "word")
-    shared = words.join(other, "word").where("gd_id < other_id").groupBy("gd_id", "other_id").agg(
-        F.count("*").alias("k"), F.sum("weight").alias("o"), F.array_sort(F.collect_list("word")).alias("overlap")
-    )
-    left = own.select("gd_id", F.col("n").alias("nx"), F.col("w").alias("wx"))
-    right = own.select(F.col("gd_id").alias("other_id"), F.col("n").alias("ny"), F.col("w").alias("wy"))
-    both = shared.join(left, "gd_id").where(f"k = nx or k > {int(more_than)}").join(right, "other_id")
-    score = (3 * F.col("o") - F.col("wx") - F.col("wy")) / (F.col("nx") + F.col("ny") - F.col("k"))
-    return both.where(score > cutoff).select(F.col("gd_id").alias("id"), "other_id", F.round(F.round(score, 9), 3).alias("score"), "overlap")
+    words = last.select("gd_id", F.explode("words").alias("word")).distinct().join(weights, "word")
+    each = Window.partitionBy("gd_id")
+    before = each.orderBy("freq", "word").rowsBetween(Window.unboundedPreceding, -1)
+    placed = words.select("gd_id", "word", F.coalesce(F.sum("weight").over(before), F.lit(0.0)).alias("ahead"), F.sum("weight").over(each).alias("w"), F.count("*").over(each).alias("n"))
+    # a hair more than the bound, for what sums lose to rounding
+    rare = placed.where(F.col("ahead") < (F.col("w") - max(cutoff, 0.0) * F.col("n")) / 2 + 1e-9).select("gd_id", "word")
+    pairs = rare.join(rare.withColumnRenamed("gd_id", "other_id"), "word").where("gd_id < other_id").select("gd_id", "other_id").distinct()
+    lists = words.groupBy("gd_id").agg(F.array_sort(F.collect_list(F.struct("word", "weight"))).alias("x"), F.sum("weight").alias("wx"))
+    other = lists.select(F.col("gd_id").alias("other_id"), F.transform("x", lambda s: s["word"]).alias("y"), F.col("wx").alias("wy"))
+    both = pairs.join(lists, "gd_id").join(other, "other_id").withColumn("both", F.filter("x", lambda s: F.array_contains("y", s["word"])))
+    k, nx, ny = F.size("both"), F.size("x"), F.size("y")
+    o = F.aggregate("both", F.lit(0.0), lambda acc, s: acc + s["weight"])
+    score = (3 * o - F.col("wx") - F.col("wy")) / (nx + ny - k)
+    found = both.where((k == nx) | (k > more_than)).select("gd_id", "other_id", score.alias("score"), F.transform("both", lambda s: s["word"]).alias("overlap"))
+    return found.where(F.col("score") > cutoff).select(F.col("gd_id").alias("id"), "other_id", F.round(F.round("score", 9), 3).alias("score"), "overlap")
 
 
 def band_clusters(pairs: DataFrame, high: float = 0.75) -> DataFrame:
