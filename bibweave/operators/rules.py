@@ -83,6 +83,5 @@ def best_f1(found: DataFrame, answers: DataFrame) -> DataFrame:
 
 def mean_f1(found: DataFrame, answers: DataFrame) -> DataFrame:
     """One row ``f1``: the sum over found sets divided by the number of answer sets."""
-    total = best_f1(found, answers).agg(F.sum("f1").alias("s"))
-    n = answers.agg(F.count_distinct("set_id").alias("n"))
-    return total.join(F.broadcast(n)).select(F.coalesce(F.try_divide("s", "n"), F.lit(0.0)).alias("f1"))
+    n = answers.agg(F.count_distinct("set_id")).scalar()
+    return best_f1(found, answers).agg(F.sum("f1").alias("s")).select(F.coalesce(F.try_divide(F.col("s"), n), F.lit(0.0)).alias("f1"))

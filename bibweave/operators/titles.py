@@ -19,8 +19,8 @@ def word_bags(attrs: DataFrame, stop_words: list[str] | None = None, kinds=("pub
 def word_weights(bags: DataFrame) -> DataFrame:
     """``word, freq, weight``: 1 - frequency over all frequencies, rounded to 3 places."""
     freq = bags.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("freq"))
-    total = F.broadcast(freq.agg(F.sum("freq").alias("total")))  # one row
-    return freq.join(total).select("word", "freq", (1 - F.round(F.col("freq") / F.col("total"), 3)).alias("weight"))
+    total = freq.agg(F.sum("freq")).scalar()
+    return freq.select("word", "freq", (1 - F.round(F.col("freq") / total, 3)).alias("weight"))
 
 
 def match_words(bags: DataFrame, more_than: int = 5, cutoff: float = 0.5) -> DataFrame:

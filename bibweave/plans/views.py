@@ -35,12 +35,12 @@ RECORDS = "SELECT o_orderkey AS gd_id, 'file-' || o_orderstatus AS file_path, o_
 ATTRS = f"""
 SELECT o_orderkey AS gd_id, 'oclc' AS attr, '035a' AS marc_field, CAST(o_custkey AS STRING) || '|' || {_PRIO} || '|' || o_orderstatus AS str FROM {{orders}}
 UNION ALL SELECT o_orderkey, 'sudoc', '086a', {_DAY} || '|' || {_PRIO} || '|' || o_orderstatus FROM {{orders}}
-UNION ALL SELECT o_orderkey, 'lccn', '010a', 'l' || CAST(o_custkey AS STRING) || '|' || {_DAY} FROM {{orders}} WHERE o_orderkey % 5 = 0
-UNION ALL SELECT o_orderkey, 'issn', '022a', CASE WHEN o_orderkey % 14 = 0 THEN '1' ELSE 'i' || CAST(o_orderkey AS STRING) END FROM {{orders}} WHERE o_orderkey % 7 = 0
+UNION ALL SELECT o_orderkey, 'lccn', '010a', 'l' || CAST(o_custkey AS STRING) || '|' || {_DAY} FROM {{orders}} WHERE o_orderpriority = '1-URGENT'
+UNION ALL SELECT o_orderkey, 'issn', '022a', CASE WHEN year(o_orderdate) = 1997 THEN '1' ELSE 'i' || CAST(o_orderkey AS STRING) END FROM {{orders}} WHERE o_orderstatus = 'P'
 UNION ALL SELECT o_orderkey, 'title', '245a', '  report   ' || CAST(year(o_orderdate) AS STRING) || ' ' || o_orderpriority || ' ' FROM {{orders}}
 UNION ALL SELECT o_orderkey, 'pubdate', '260c', CAST(year(o_orderdate) AS STRING) FROM {{orders}}
-UNION ALL SELECT o_orderkey, 'publisher', '260b', {pick(PUBLISHERS, "o_custkey")} FROM {{orders}} WHERE o_orderkey % 3 <> 0
-UNION ALL SELECT DISTINCT l_orderkey, 'enumc', '974z', 'v.' || CAST(l_linenumber AS STRING) FROM {{lineitem}} WHERE l_linenumber <= 2 AND l_orderkey % 4 <> 0
+UNION ALL SELECT o_orderkey, 'publisher', '260b', {pick(PUBLISHERS, "o_custkey")} FROM {{orders}} WHERE o_orderpriority <> '5-LOW'
+UNION ALL SELECT DISTINCT l_orderkey, 'enumc', '974z', 'v.' || CAST(l_linenumber AS STRING) FROM {{lineitem}} WHERE l_returnflag <> 'N'
 """
 
 #: Attribute rows with spaces folded, as they are indexed.
@@ -62,7 +62,7 @@ AGENCIES = f"""
 SELECT s_suppkey AS id, {pick(SUDOCS, "s_suppkey")} AS sudoc, {pick(PUBLISHERS, "s_suppkey * 7 + s_nationkey")} AS agency, {pick(PUBLISHERS, "s_suppkey + 3")} AS agency2 FROM {{supplier}}
 """
 
-VOLUMES = "SELECT DISTINCT l_partkey AS volume_id, l_suppkey AS oclc FROM {lineitem} WHERE l_orderkey % 10 = 0"
+VOLUMES = "SELECT DISTINCT l_partkey AS volume_id, l_suppkey AS oclc FROM {lineitem}"
 
 _NAMES = re.compile(r"\{(\w+)\}")
 

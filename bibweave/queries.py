@@ -322,17 +322,17 @@ def _(s):
 
 
 @query("joi4_token_self_join", """
-WITH t AS (SELECT DISTINCT p_partkey AS id, unnest(string_split(p_name, ' ') || [p_brand]) AS word FROM part WHERE p_partkey % 4 = 0)
+WITH t AS (SELECT DISTINCT p_partkey AS id, unnest(string_split(p_name, ' ') || [p_brand]) AS word FROM part)
 SELECT x.id, y.id AS other_id, count(*) AS shared FROM t x JOIN t y ON x.word = y.word AND x.id < y.id GROUP BY x.id, y.id HAVING count(*) > 2""")
 def _(s):
-    t = s.table("part").where("p_partkey % 4 = 0").select(F.col("p_partkey").alias("id"), F.explode(F.concat(F.split("p_name", " "), F.array("p_brand"))).alias("word")).distinct()
+    t = s.table("part").select(F.col("p_partkey").alias("id"), F.explode(F.concat(F.split("p_name", " "), F.array("p_brand"))).alias("word")).distinct()
     pairs = t.join(t.withColumnRenamed("id", "other_id"), "word").where("id < other_id")
     return pairs.groupBy("id", "other_id").agg(F.count("*").alias("shared")).where("shared > 2")
 
 
-@query("joi6_semi_imprints", "SELECT htid, imprint FROM d WHERE imprint IN (SELECT DISTINCT imprint FROM d WHERE gov_doc = '1' AND CAST(record_id AS INTEGER) < 3)", d=V.DUMP)
+@query("joi6_semi_imprints", "SELECT htid, imprint FROM d WHERE imprint IN (SELECT DISTINCT imprint FROM d WHERE gov_doc = '1')", d=V.DUMP)
 def _(s):
-    listed = s(V.DUMP).where("gov_doc = '1' and cast(record_id as int) < 3").select("imprint").distinct()
+    listed = s(V.DUMP).where("gov_doc = '1'").select("imprint").distinct()
     return s(V.DUMP).join(listed, "imprint", "left_semi").select("htid", "imprint")
 
 
@@ -356,9 +356,9 @@ def _(s):
     return ag.likely_documents(s(V.AGENCIES).select("id", F.array("agency2").alias("agency")), mapping).select("id", joined("stems").alias("stems"))
 
 
-@query("joi11_record_file_join", "SELECT r.gd_id, r.lineno, f.file_path FROM r, (SELECT DISTINCT file_path FROM r) f WHERE r.file_path = f.file_path AND r.lineno < 50", r=V.RECORDS)
+@query("joi11_record_file_join", "SELECT r.gd_id, r.lineno, f.file_path FROM r, (SELECT DISTINCT file_path FROM r) f WHERE r.file_path = f.file_path", r=V.RECORDS)
 def _(s):
-    return s.records.where("lineno < 50").join(s.records.select("file_path").distinct(), "file_path").select("gd_id", "lineno", "file_path")
+    return s.records.join(s.records.select("file_path").distinct(), "file_path").select("gd_id", "lineno", "file_path")
 
 
 
@@ -369,9 +369,9 @@ def _(s):
     return files.join(s.records, "file_path", "left").groupBy("file_path").agg(F.count("gd_id").alias("c"))
 
 
-@query("joi13_key_insert", "SELECT gd_id, 'sudoc' AS attr, '086a' AS marc_field, h.num AS str FROM r JOIN (SELECT 'rec' || CAST(c_custkey AS STRING) AS id, trim(' ' || c_mktsegment || ' ') AS num FROM customer WHERE c_custkey % 10 = 0) h ON h.id = r.record_id", r=V.RECORDS)
+@query("joi13_key_insert", "SELECT gd_id, 'sudoc' AS attr, '086a' AS marc_field, h.num AS str FROM r JOIN (SELECT 'rec' || CAST(c_custkey AS STRING) AS id, trim(' ' || c_mktsegment || ' ') AS num FROM customer WHERE c_acctbal < 0) h ON h.id = r.record_id", r=V.RECORDS)
 def _(s):
-    nums = s.table("customer").where("c_custkey % 10 = 0").select(F.concat(F.lit("rec"), F.col("c_custkey").cast("string")).alias("record_id"), F.trim(F.concat(F.lit(" "), "c_mktsegment", F.lit(" "))).alias("str"))
+    nums = s.table("customer").where("c_acctbal < 0").select(F.concat(F.lit("rec"), F.col("c_custkey").cast("string")).alias("record_id"), F.trim(F.concat(F.lit(" "), "c_mktsegment", F.lit(" "))).alias("str"))
     return s.records.join(nums, "record_id").select("gd_id", F.lit("sudoc").alias("attr"), F.lit("086a").alias("marc_field"), "str")
 
 
@@ -400,9 +400,9 @@ def _(s):
     return s.table("lineitem").select(F.col("l_orderkey").alias("gd_id")).distinct().orderBy("gd_id")
 
 
-@query("set1_all_attributes", "SELECT DISTINCT attr AS t, gd_id, str FROM a WHERE gd_id < 500", a=V.CLEAN)
+@query("set1_all_attributes", "SELECT DISTINCT attr AS t, gd_id, str FROM a", a=V.CLEAN)
 def _(s):
-    return s.attrs.where("gd_id < 500").select(F.col("attr").alias("t"), "gd_id", "str").distinct()
+    return s.attrs.select(F.col("attr").alias("t"), "gd_id", "str").distinct()
 
 
 @query("set2_used_strings", "SELECT str FROM a WHERE attr = 'oclc' UNION SELECT str FROM a WHERE attr = 'title' UNION SELECT str FROM a WHERE attr = 'enumc'", a=V.CLEAN)
@@ -503,9 +503,9 @@ def _(s):
     return n.agg(F.count_if(F.col("n") > 0).alias("has"), F.count_if(F.col("n") == 0).alias("none"), F.sum("n").alias("total"), F.round(F.sum("n") / F.count("*"), 6).alias("mean"))
 
 
-@query("agg11_inspect_solos", "SELECT str, string_agg(DISTINCT CAST(a.gd_id AS STRING), ',') AS ids0, count(DISTINCT a.gd_id) AS n FROM a WHERE attr = 'oclc' AND gd_id % 2 = 0 GROUP BY str HAVING count(DISTINCT a.gd_id) >= 2".replace("string_agg(DISTINCT CAST(a.gd_id AS STRING), ',') AS ids0, ", "array_to_string(list_sort(list_distinct(list(a.gd_id))), ',') AS ids, "), a=V.CLEAN)
+@query("agg11_inspect_solos", "SELECT str, string_agg(DISTINCT CAST(a.gd_id AS STRING), ',') AS ids0, count(DISTINCT a.gd_id) AS n FROM a WHERE attr = 'oclc' GROUP BY str HAVING count(DISTINCT a.gd_id) >= 2".replace("string_agg(DISTINCT CAST(a.gd_id AS STRING), ',') AS ids0, ", "array_to_string(list_sort(list_distinct(list(a.gd_id))), ',') AS ids, "), a=V.CLEAN)
 def _(s):
-    found = lk.inspect_solos(s.records.where("gd_id % 2 = 0"), s.attrs, "oclc", 2)
+    found = lk.inspect_solos(s.records, s.attrs, "oclc", 2)
     return found.select("str", joined("ids").alias("ids"), F.size("ids").cast("bigint").alias("n"))
 
 
@@ -592,9 +592,9 @@ def _checksum_sql(kinds) -> str:
     return f"SELECT md5(concat_ws(',', {body})) AS checksum, array_to_string(list_sort(list_distinct(list(gd_id))), ',') AS ids FROM (SELECT r.gd_id, {cols} FROM r {joins}) GROUP BY 1"
 
 
-@query("clu5_checksums_listed", _checksum_sql(cl.CHECKSUM).replace("FROM r LEFT", "FROM (SELECT * FROM r WHERE gd_id % 2 = 0) r LEFT"), a=V.CLEAN, r=V.RECORDS)
+@query("clu5_checksums_listed", _checksum_sql(cl.CHECKSUM).replace("FROM r LEFT", "FROM (SELECT * FROM r WHERE file_path <> 'file-P') r LEFT"), a=V.CLEAN, r=V.RECORDS)
 def _(s):
-    ids = s.records.where("gd_id % 2 = 0")
+    ids = s.records.where("file_path <> 'file-P'")
     return cl.checksum_groups(cl.checksums(s.attrs.join(ids.select("gd_id"), "gd_id", "left_semi"), ids)).select("checksum", joined("ids").alias("ids"))
 
 
@@ -623,7 +623,7 @@ def _(s):
     return cl.final_relations(lines).select("relation", "score", joined("ids").alias("ids"))
 
 
-_PAIRS = "SELECT DISTINCT l_partkey AS id, l_partkey + l_suppkey + 1 AS other_id, CAST(l_linenumber AS DOUBLE) / 7 - 0.2 AS score FROM {lineitem} WHERE l_quantity < 4"
+_PAIRS = "SELECT DISTINCT l_partkey AS id, l_partkey + l_suppkey + 1 AS other_id, CAST(l_linenumber AS DOUBLE) / 7 - 0.2 AS score FROM {lineitem}"
 
 
 def _band_sql(test: str) -> str:
@@ -721,7 +721,7 @@ def _(s):
     return ru.cascade_with_review(ru.candidate_pairs(_ruled(s))).select("id", "o_id", "verdict")
 
 
-_FOUND = "SELECT o_custkey AS set_id, o_orderkey AS member FROM {orders} WHERE o_custkey % 2 = 0"
+_FOUND = "SELECT o_custkey AS set_id, o_orderkey AS member FROM {orders}"
 _ANSWERS = "SELECT o_custkey * 10 + year(o_orderdate) % 2 AS set_id, o_orderkey AS member FROM {orders}"
 _F1 = "SELECT n.set_id, coalesce(max(2 * k / (na + n.nf)), 0) AS f1 FROM (SELECT set_id, count(*) AS nf FROM f GROUP BY 1) n LEFT JOIN (SELECT f.set_id, a.set_id AS answer, count(*) AS k FROM f JOIN a ON a.member = f.member GROUP BY 1, 2) s ON s.set_id = n.set_id LEFT JOIN (SELECT set_id, count(*) AS na FROM a GROUP BY 1) z ON z.set_id = s.answer GROUP BY n.set_id"
 
@@ -752,9 +752,9 @@ def _(s):
     return found.select("gd_id", F.array_join("title", "|").alias("title"), F.array_join("enumc", "|").alias("enumc"))
 
 
-@query("qry3_display", "SELECT r.gd_id, file_path, record_id, attr, marc_field, str FROM r JOIN a ON a.gd_id = r.gd_id WHERE r.lineno = 7", a=V.CLEAN, r=V.RECORDS)
+@query("qry3_display", "SELECT r.gd_id, file_path, record_id, attr, marc_field, str FROM r JOIN a ON a.gd_id = r.gd_id WHERE r.gd_id % 50 = 0", a=V.CLEAN, r=V.RECORDS)
 def _(s):
-    return lk.display_records(s.records.where("lineno = 7").select("gd_id"), s.records, s.attrs)
+    return lk.display_records(s.records.where("gd_id % 50 = 0").select("gd_id"), s.records, s.attrs)
 
 
 @query("qry4_strings_of_attribute", "SELECT DISTINCT str FROM a WHERE attr = 'publisher' ORDER BY str", a=V.CLEAN)
@@ -768,10 +768,10 @@ def _(s):
     return s.attrs.where("attr = 'lccn'").select("str").distinct().join(asked, "str", "left_semi")
 
 
-@query("dml1_insert_new", "SELECT min(doc_id) AS doc_id, hashsum FROM (SELECT doc_id, sha256(text) AS hashsum FROM documents) WHERE hashsum NOT IN (SELECT sha256(text) FROM documents WHERE doc_id % 10 = 0) GROUP BY hashsum")
+@query("dml1_insert_new", "SELECT min(doc_id) AS doc_id, hashsum FROM (SELECT doc_id, sha256(text) AS hashsum FROM documents) WHERE hashsum NOT IN (SELECT sha256(text) FROM documents WHERE lang = 'de') GROUP BY hashsum")
 def _(s):
-    d = s.table("documents").select("doc_id", F.sha2("text", 256).alias("hashsum"))
-    return ct.new_records(d, d.where("doc_id % 10 = 0"), ["doc_id"]).select("doc_id", "hashsum")
+    d = s.table("documents").select("doc_id", "lang", F.sha2("text", 256).alias("hashsum"))
+    return ct.new_records(d, d.where("lang = 'de'"), ["doc_id"]).select("doc_id", "hashsum")
 
 
 @query("dml2_last_row_wins", "SELECT l_orderkey, l_returnflag, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber DESC, l_partkey DESC) AS n FROM lineitem) WHERE n = 1")
@@ -787,9 +787,9 @@ def _(s):
     return ct.delete_file(records, s.attrs, gone)[1].groupBy("attr").agg(F.count("*").alias("n"))
 
 
-@query("dml5_rewrite_values", "SELECT DISTINCT gd_id, attr, CASE WHEN attr = 'title' AND gd_id % 2 = 0 THEN regexp_replace(str, '[0-9]+', '#', 'g') ELSE str END AS str FROM a", a=V.CLEAN)
+@query("dml5_rewrite_values", "SELECT DISTINCT gd_id, attr, CASE WHEN attr = 'title' AND marc_field = '245a' THEN regexp_replace(str, '[0-9]+', '#', 'g') ELSE str END AS str FROM a", a=V.CLEAN)
 def _(s):
-    return ct.rewrite_values(s.attrs, "title", "[0-9]+", "#", "gd_id % 2 = 0").select("gd_id", "attr", "str")
+    return ct.rewrite_values(s.attrs, "title", "[0-9]+", "#", "marc_field = '245a'").select("gd_id", "attr", "str")
 
 
 @query("dml6_file_ids", "SELECT file_path, row_number() OVER (ORDER BY file_path) AS file_id FROM (SELECT DISTINCT file_path FROM r)", r=V.RECORDS)
