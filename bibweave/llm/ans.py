@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bibweave.llm.textvec import map_batches
 from bibweave.llm.tokens import encoder
 from bibweave.plans.scratch import discard, materialize
 
@@ -218,15 +219,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     spark, width = docs.sparkSession, _width(tokenizer)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     base = base.withColumn("doc_id", F.coalesce("doc_id", F.raise_error(F.lit("a document without an id has no place in the order")).cast("long")))
-    held = materialize(base.mapInArrow(_tokens(tokenizer, end_id), "doc_id long, ids binary"), "ids", compression="zstd")
-    counted = held.select("ids").mapInArrow(_count(width), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    held = materialize(map_batches(base, _tokens(tokenizer, end_id), "doc_id long, ids binary"), "ids", compression="zstd")
+    counted = map_batches(held.select("ids"), _count(width), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["id"] for r in counted), default=0) + 1, dtype=np.int64)
     for r in counted:
         counts[r["id"]] = r["n"]
     raw = scaled_frequencies(counts).astype("<u4").tobytes()
     spark.createDataFrame([(SCALE, bytearray(raw))], "scale int, frequencies binary").coalesce(1).write.parquet(f"{path}/table")
     ranged = held.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids").withColumn("shard", F.spark_partition_id().cast("long"))
-    coded = ranged.mapInArrow(_blocks(raw, width, block_tokens), "shard long, block long, tokens long, payload binary")
+    coded = map_batches(ranged, _blocks(raw, width, block_tokens), "shard long, block long, tokens long, payload binary")
     coded.write.option("compression", "none").parquet(f"{path}/blocks")
     discard(held)
 
@@ -261,4 +262,4 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    return blocks.select("shard", "payload").mapInArrow(run, schema)
+    return map_batches(blocks.select("shard", "payload"), run, schema)

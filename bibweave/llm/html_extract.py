@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from bibweave.llm.html_blocks import NAMES, Block, blocks, features
 from bibweave.llm.html_pages import labelled_pages
+from bibweave.llm.textvec import map_batches
 
 #: Labelled pages used for training, gradient steps, their size and the weight of the penalty.
 PAGES, STEPS, RATE, PENALTY = 500, 90, 0.2, 0.002
@@ -148,4 +149,4 @@ def extract_text(pages: DataFrame, html_col: str = "html", field: Field | None =
             texts = [main_text(s.as_py() or "", field) for s in batch.column(len(rest))]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(rest))), pa.array(texts, pa.string())], names=[*rest, "text"])
 
-    return pages.select(*rest, F.col(html_col)).mapInArrow(run, (schema + ", " if schema else "") + "text string")
+    return map_batches(pages.select(*rest, F.col(html_col)), run, (schema + ", " if schema else "") + "text string")

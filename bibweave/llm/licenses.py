@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bibweave.llm.textvec import ALNUM, alnum_words, slices
+from bibweave.llm.textvec import ALNUM, alnum_words, map_batches, slices
 
 #: Label, words that name the license, and a word that each such name holds.
 LICENSES = (
@@ -262,4 +262,4 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     (0 without a match, else 1 - product of (1 - weight) over labels) and ``n_matches``.
     Null texts are empty. Repeated rows and null ids are scanned like others.
     """
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_scan, _SCHEMA)
+    return map_batches(docs.select(F.col(id_col).cast("long"), F.col(text_col)), _scan, _SCHEMA)

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bibweave.llm.textvec import map_batches
 from bibweave.llm.tokens import encoder
 
 WINDOW = 2048
@@ -108,7 +109,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
-    return base.mapInArrow(_pieces(tokenizer, end_id, size), schema)
+    return map_batches(base, _pieces(tokenizer, end_id, size), schema)
 
 
 def pack(cut: DataFrame, shards: int, size: int = WINDOW) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bibweave.llm.textvec import SPACE, slices, spaced_words
+from bibweave.llm.textvec import map_batches, slices, spaced_words
 from bibweave.plans.scratch import materialize
 
 FEATURES = (
@@ -168,7 +168,7 @@ def _sums(batches):
 def text_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and the feature vector ``x`` of every row; null texts are empty texts."""
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return base.mapInArrow(_features, "doc_id long, x array<double>")
+    return map_batches(base, _features, "doc_id long, x array<double>")
 
 
 def held_out(id_col) -> F.Column:
@@ -179,7 +179,7 @@ def held_out(id_col) -> F.Column:
 def train(vectors: DataFrame, labels: DataFrame, label_col: str = "quality") -> Model:
     """A model of all labelled rows that are not held out; labels other than 0 and 1 are ignored."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("long").alias("y")).where(F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
-    rows = vectors.join(known, "doc_id").select("x", "y").mapInArrow(_sums, "label long, at long, value double")
+    rows = map_batches(vectors.join(known, "doc_id").select("x", "y"), _sums, "label long, at long, value double")
     sums: dict[int, np.ndarray] = {}
     for r in rows.groupBy("label", "at").agg(F.sum("value").alias("value")).collect():
         sums.setdefault(r["label"], np.zeros(1 + len(FEATURES) + len(FEATURES) ** 2))[r["at"]] = r["value"]
@@ -202,4 +202,4 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """
     vectors = materialize(text_features(docs, id_col, text_col), "features")
     model = train(vectors, labels, label_col)
-    return vectors.mapInArrow(_scores(model), "doc_id long, score double")
+    return map_batches(vectors, _scores(model), "doc_id long, score double")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bibweave.llm.textvec import mix, slices, spaced_words
+from bibweave.llm.textvec import map_batches, mix, slices, spaced_words
 
 SENTENCES, WORDS, CUT = 3, 24, 15
 
@@ -86,13 +86,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     id and hold the same text, none is marked against the other.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
-    runs = base.mapInArrow(_runs(sentences, words), "h long, doc_id long, first int, size int")
+    runs = map_batches(base, _runs(sentences, words), "h long, doc_id long, first int, size int")
     place = F.struct("doc_id", "first")
     firsts = runs.groupBy("h").agg(F.min(place).alias("kept"), F.max(place).alias("most")).where("kept < most").select("h", "kept")
     others = runs.join(firsts, "h").where((F.col("doc_id") != F.col("kept.doc_id")) | (F.col("first") != F.col("kept.first")))
     # a text has at most one entry per sentence, so its list is bounded by its length
     spans = others.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("first", "size", F.col("kept.doc_id").alias("other")))).alias("spans"))
-    return spans.mapInArrow(_merge, "doc_id long, first_doc_id long, first_word long, n_words long")
+    return map_batches(spans, _merge, "doc_id long, first_doc_id long, first_word long, n_words long")
 
 
 def _merge(batches) -> Iterator[pa.RecordBatch]:
@@ -139,4 +139,4 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     cuts = repeated_passages(docs, id_col, text_col, **params).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("first_word", "n_words"))).alias("spans"))
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return base.join(cuts, "doc_id", "left").mapInArrow(_cut, "doc_id long, text string")
+    return map_batches(base.join(cuts, "doc_id", "left"), _cut, "doc_id long, text string")

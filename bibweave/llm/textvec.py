@@ -7,13 +7,18 @@ depend on the process, the batch or the position in the text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 2 << 20
+#: Rows of an Arrow batch; texts are long, so fewer than Spark's 10,000.
+BATCH_ROWS = 1000
 
 _U = np.uint64
 
@@ -70,6 +75,35 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         lo = hi
 
 
+def map_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` in batches of bounded rows, whose worker gives memory back when a task ends.
+
+    Workers live on from task to task, beside the executor's heap. The number of rows is a setting of the
+    session and is only lowered.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+
+    @wraps(run)
+    def bounded(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(bounded, schema)
+
+
+def give_back() -> None:
+    """Return freed memory of this process to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 class Words:
     """Words of the rows of a slice: byte bounds, row numbers and hashes."""
 
