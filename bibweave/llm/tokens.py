@@ -15,8 +15,8 @@ import pyarrow as pa
 
 from bibweave.llm.textvec import LOWER, SPACE, Words, slices
 
-#: Pieces a worker remembers before it starts anew, and slots of its table (48 MB).
-MEMORY, SLOTS = 3 << 19, 1 << 22
+#: Pieces a worker remembers before it starts anew, and slots of its table (24 MB).
+MEMORY, SLOTS = 1 << 20, 1 << 21
 
 _LETTER = np.array([65 <= i <= 90 or 97 <= i <= 122 for i in range(256)])
 _LATIN_TAIL = np.array([0x80 <= i <= 0xBF and i not in (0x97, 0xB7) for i in range(256)])
