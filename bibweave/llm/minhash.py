@@ -12,7 +12,8 @@ that no register hangs on a single frequent shingle. Texts of a length between g
 both, and any two texts that are similar enough share one layout.
 
 A bucket of N texts is not expanded into N * N pairs. Each text is compared with the one
-leader that it shares most buckets with, and the groups found are merged. Documents in buckets whose members still belong
+leader that it shares most buckets with, and the groups found are merged; then with the leaders of
+all its other buckets, unless they are in its group by then. Documents in buckets whose members (but the leader) still belong
 to different groups are then compared exactly: each is entered under the rarest of its
 shingles (as many as a partner must share one of), and pairs of different groups under
 one shingle are made only if its position leaves room for enough shared shingles. There
@@ -239,10 +240,10 @@ def near_duplicates(
 def _link(base: DataFrame, rest: DataFrame, words: int, threshold: float) -> DataFrame | None:
     """Components over confirmed links; ``rest``: members of shared bands with their first leader."""
     # each member first meets the leader that it shares most bands with
-    often = rest.groupBy("rep", "leader").agg(F.count("*").alias("c")).groupBy("rep").agg(F.max(F.struct("c", (-F.col("leader")).alias("m"))).alias("x"))
-    leader = -F.col("x.m")
-    pairs = often.select(F.least("rep", leader).alias("a"), F.greatest("rep", leader).alias("b"))
     bound = rest.count()
+    met = materialize(rest.groupBy("rep", "leader").agg(F.count("*").alias("c")), "met", rows=bound)
+    often = met.groupBy("rep").agg(F.max(F.struct("c", (-F.col("leader")).alias("m"))).alias("x")).select("rep", (-F.col("x.m")).alias("leader"))
+    pairs = often.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
     ids = rest.select(F.explode(F.array("rep", "leader")).alias("doc_id")).distinct()
     ids = materialize(ids, "candidates", rows=bound)
     sets = materialize(
@@ -258,7 +259,18 @@ def _link(base: DataFrame, rest: DataFrame, words: int, threshold: float) -> Dat
     def settled(links: DataFrame) -> DataFrame:
         return materialize(connected_components(links, "a", "b"), "labels", rows=bound)
 
+    def merged(labels: DataFrame, pairs: DataFrame) -> DataFrame:
+        fresh = materialize(confirmed(pairs), "links")
+        if fresh.isEmpty():
+            return labels
+        return settled(fresh.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+
     labels = settled(materialize(confirmed(pairs), "links"))
+    # then the leaders of its other bands, so that no band's leader is left uncompared
+    left = met.join(often, ["rep", "leader"], "left_anti").join(labels.select(F.col("node").alias("rep"), F.col("component").alias("x")), "rep", "left")
+    left = left.join(labels.select(F.col("node").alias("leader"), F.col("component").alias("y")), "leader", "left")
+    left = left.where(F.coalesce("x", "rep") != F.coalesce("y", "leader"))
+    labels = merged(labels, left.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")))
     percent = round(100 * threshold)
     placed = rest.select("key", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
@@ -284,9 +296,7 @@ def _link(base: DataFrame, rest: DataFrame, words: int, threshold: float) -> Dat
         fits = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("by")) * (100 + percent) >= percent * (F.col("n") + F.col("m"))
         pairs = now.join(lead, "key").where((F.col("component") != F.col("other")) & fits)
         pairs = pairs.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
-        fresh = materialize(confirmed(pairs), "links")
-        if not fresh.isEmpty():
-            labels = settled(fresh.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+        labels = merged(labels, pairs)
         used = lead.select("key", F.col("leader").alias("rep"))
         rest = now.join(used, ["key", "rep"], "left_anti").select("key", "rep", "n", "at")
         leaders = min(leaders * 8, 1000)

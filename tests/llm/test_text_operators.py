@@ -51,6 +51,19 @@ def test_near_duplicates_match_brute_force(spark):
         assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_near_duplicates_compare_every_leader(spark):
+    # L < A < M: M shares most bands with A, but is also near L, and A is not
+    texts = {}
+    for i in range(30):
+        m = [f"t{i}w{k}" for k in range(201)]
+        a = ["a" + w if k % 50 == 20 else w for k, w in enumerate(m)]
+        x = ["x" + w if k % 20 == 5 else w for k, w in enumerate(m)]
+        texts |= {3 * i: " ".join(x), 3 * i + 1: " ".join(a), 3 * i + 2: " ".join(m)}
+    want, _ = brute.near_duplicates(texts, 2)
+    assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(frame(spark, texts), words=2).collect()} == want
+    assert want[2] == want[1] == 0 and brute.near_duplicates({k: texts[k] for k in (0, 1)}, 2)[0][1] == 1
+
+
 def test_near_duplicates_odd_rows(spark):
     assert minhash.near_duplicates(frame(spark, {1: "a"}).where("false")).count() == 0
     rows = [(None, "a b c"), (4, "a b c"), (4, "a b c"), (9, "a b c"), (5, None), (6, "z " * 200_000)]
