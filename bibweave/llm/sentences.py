@@ -3,7 +3,11 @@
 A sentence ends at ``.``, ``!`` or ``?`` before white space, at a line break and, so that text
 without punctuation is covered too, after words picked by their hash (1 in 16). From
 every sentence the shortest run with at least ``sentences`` sentences and ``words`` words is hashed;
-equal passages give equal runs wherever they stand. Runs are joined over the whole
+equal passages give equal runs wherever they stand. A stretch of 2 * ``words`` + 2 words that
+holds no whole run (long sentences, lists, no punctuation) gives windows of ``words`` words
+instead: of every ``SPREAD`` neighbouring ones the one with the smallest hash. Whether it does
+is a matter of its own words alone, so of two equal such stretches, at any offset, the same run or
+window is hashed. Runs and windows are joined over the whole
 corpus; the first place of a run (smallest id, then position) stays and the sentences
 of every other place go.
 
@@ -22,8 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bibweave.llm.textvec import map_batches, mix, slices, spaced_words
+from bibweave.llm.textvec import runs as hashed_runs
 
 SENTENCES, WORDS, CUT = 3, 24, 15
+#: Windows of which one is hashed, in stretches without a run.
+SPREAD = 8
 
 _U = np.uint64
 _STOP = np.array([chr(i) in ".!?" for i in range(256)])
@@ -31,7 +38,7 @@ _CLOSE = np.array([chr(i) in "\"')]}" for i in range(256)])
 
 
 def sentence_runs(data: np.ndarray, offsets: np.ndarray, sentences: int = SENTENCES, words: int = WORDS) -> tuple[np.ndarray, ...]:
-    """(row, first word, words, hash) of every run of a slice; words count from 0 in their row."""
+    """(row, first word, words, hash) of every run and window of a slice; words count from 0 in their row."""
     w = spaced_words(data, offsets)
     n = len(w.start)
     if not n:
@@ -61,8 +68,35 @@ def sentence_runs(data: np.ndarray, offsets: np.ndarray, sentences: int = SENTEN
         out[live] = mix(out[live] ^ unit[i[live] + k])
         k += 1
         live = live[i[live] + k <= j[live]]
-    row = w.row[start[i]]
-    return row, start[i] - w.bounds[row], to[j] - start[i], out
+    first, size = start[i], to[j] - start[i]
+    alone = _windows(h, w.row, first, to[j], words)
+    if len(alone):
+        first = np.concatenate([first, alone])
+        size = np.concatenate([size, np.full(len(alone), words)])
+        out = np.concatenate([out, hashed_runs(h, words)[alone]])
+    row = w.row[first]
+    return row, first - w.bounds[row], size, out
+
+
+def _windows(h: np.ndarray, row: np.ndarray, first: np.ndarray, end: np.ndarray, words: int) -> np.ndarray:
+    """First words of the windows that are hashed where stretches hold no run; ``first, end``: the runs in order."""
+    span = 2 * words + 2
+    spread = min(SPREAD, span - words + 1)
+    at = np.arange(len(h) - span + 1)
+    if not len(at):
+        return at
+    # a run counts if the words before it and after it are in the stretch too, since they can tell where it begins and ends
+    ends = np.append(end, len(h) + span)[np.searchsorted(first, at + 1)]
+    bare = (row[at] == row[at + span - 1]) & (ends >= at + span)
+    total = np.concatenate([[0], np.cumsum(bare)])
+    # groups of windows that lie within such a stretch
+    q = np.arange(len(h) - words - spread + 2)
+    low = np.maximum(q - (span - words - spread + 1), 0)
+    q = q[total[np.minimum(q + 1, len(at))] > total[np.minimum(low, len(at))]]
+    if not len(q):
+        return q
+    groups = np.lib.stride_tricks.sliding_window_view(hashed_runs(h, words), spread)
+    return np.unique(q + groups[q].argmin(axis=1))
 
 
 def _runs(sentences: int, words: int):
@@ -90,7 +124,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     place = F.struct("doc_id", "first")
     firsts = runs.groupBy("h").agg(F.min(place).alias("kept"), F.max(place).alias("most")).where("kept < most").select("h", "kept")
     others = runs.join(firsts, "h").where((F.col("doc_id") != F.col("kept.doc_id")) | (F.col("first") != F.col("kept.first")))
-    # a text has at most one entry per sentence, so its list is bounded by its length
+    # a text has at most one entry per word, so its list is bounded by its length
     spans = others.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("first", "size", F.col("kept.doc_id").alias("other")))).alias("spans"))
     return map_batches(spans, _merge, "doc_id long, first_doc_id long, first_word long, n_words long")
 

@@ -197,6 +197,24 @@ def test_passages_match_brute_force(spark):
         assert left[i].split() == [w for k, w in enumerate(t.split()) if k not in want.get(i, ())]
 
 
+@pytest.mark.parametrize("stop", [0, 1, 25, 40])
+def test_no_passage_over_fifty_words_is_missed(spark, stop):
+    # without punctuation, with a stop per word (lists of one-word lines behave alike), and with long sentences
+    r = random.Random(stop)
+    text = lambda n: [f"q{r.randrange(50_000)}" + ("." if stop and r.randrange(stop) == 0 else "") for _ in range(n)]
+    texts, planted = {}, {}
+    for i in range(200):
+        passage, own = text(51), text(r.randrange(1, 60))
+        texts[2 * i] = " ".join(text(r.randrange(1, 40)) + passage + text(r.randrange(30)))
+        texts[2 * i + 1] = " ".join(own + passage + text(r.randrange(30)))
+        planted[2 * i + 1] = range(len(own), len(own) + 51)
+    covered = {}
+    for x in sentences.repeated_passages(frame(spark, texts)).collect():
+        covered.setdefault(x["doc_id"], set()).update(range(x["first_word"], x["first_word"] + x["n_words"]))
+    assert covered.keys() == planted.keys()
+    assert all(len(covered[i]) >= sentences.WORDS and covered[i] <= set(planted[i]) for i in planted)
+
+
 def test_passages_odd_rows(spark):
     rows = [(1, None), (2, ""), (None, "a. " * 60), (3, "a. " * 60)]
     df = crowded(spark, rows)
