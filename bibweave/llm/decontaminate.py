@@ -5,7 +5,8 @@ units after a number become typed placeholders, all else lower-cased words. Wind
 words are hashed; benchmark items give every window, documents every ``STRIDE``-th, so any shared stretch
 of WINDOW + STRIDE - 1 words is found. The matches of one alignment count if their slots are
 consistent: each value of the item stands for one value of the document and the other way
-round. Where they are not, windows with equal values count.
+round. Where they are not, windows with equal values count. Windows made mostly of placeholders
+are hashed on their actual words, so they match where those are equal.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from bibweave.llm.rows import without
 from bibweave.plans.scratch import materialize
 
 WINDOW, STRIDE = 8, 4
-#: Least words of a window that are no placeholders.
+#: Least words of a window that are no placeholders; windows with fewer match by their actual words.
 LITERAL = 4
 #: Benchmark windows that may be broadcast (some 100 bytes each); with more, Spark chooses the join.
 BROADCAST_WINDOWS = 1 << 20
@@ -54,15 +55,37 @@ def _arrays(df: DataFrame, text_col: str) -> DataFrame:
     return df.withColumns({"w": F.split("_s", " "), "t": F.split(template_of(F.col("_s")), " ")}).withColumn("n", size)
 
 
-def _windows(size: int, step: int) -> F.Column:
-    """(position, hash) of the windows of ``t`` at every ``step``-th position, and of the last ones."""
+def _plain(at, size) -> F.Column:
+    """How many words of a window are no placeholders."""
+    rest = F.slice("t", at + 1, size)
+    for mark in (_NAME, _NUMBER, _UNIT):
+        rest = F.array_remove(rest, mark)
+    return F.size(rest)
+
+
+def _need(size: int, literal: int) -> int:
+    return min(literal, (size + 1) // 2)
+
+
+def _hash(at, size: int, literal: int) -> F.Column:
+    """Hash of a window's template, or of its words (names without their mark) if too few are no placeholders."""
+    whole = F.translate(F.lower(F.array_join(F.slice("w", at + 1, F.lit(size)), " ")), _MARK, "")
+    return F.when(_plain(at, F.lit(size)) >= _need(size, literal), F.xxhash64(F.lit(size), F.slice("t", at + 1, F.lit(size)))).otherwise(F.xxhash64(F.lit(-size), whole))
+
+
+def _windows(size: int, step: int, literal: int) -> F.Column:
+    """(position, hash) of the windows at every ``step``-th position."""
     at = F.sequence(F.lit(0), F.col("n") - size, F.lit(step))
-    hashed = F.transform(at, lambda i: F.struct(i.alias("at"), F.xxhash64(F.lit(size), F.slice("t", i + 1, F.lit(size))).alias("h")))
+    hashed = F.transform(at, lambda i: F.struct(i.alias("at"), _hash(i, size, literal).alias("h")))
     return F.when(F.col("n") >= size, hashed).otherwise(F.array().cast("array<struct<at:int,h:bigint>>"))
 
 
-def _slots(at, size) -> F.Column:
-    """Values at the placeholders of a window, with their kind."""
+def _slots(at, size: int, literal: int) -> F.Column:
+    """Values at the placeholders of a window, with their kind; none if it is matched by its words."""
+    return F.when(_plain(at, F.lit(size)) >= _need(size, literal), _values(at, F.lit(size))).otherwise(F.array().cast("array<string>"))
+
+
+def _values(at, size) -> F.Column:
     pairs = F.arrays_zip(F.slice("t", at + 1, size).alias("k"), F.slice("w", at + 1, size).alias("v"))
     held = F.filter(pairs, lambda p: p["k"].isin(_NAME, _NUMBER, _UNIT))
     return F.transform(held, lambda p: F.concat(p["k"], F.lower(p["v"])))
@@ -81,8 +104,8 @@ def contaminated(
     """Pairs of documents and benchmark items that share consistent template windows.
 
     Returns ``doc_id, item_id, n_windows`` (consistent matches) and ``n_exact`` (those with
-    equal slot values). Items shorter than a window are matched as a whole (if half of their
-    words, and at least one, are no placeholders). Null and empty texts match nothing; rows with a null id take
+    equal slot values). Items shorter than a window are matched as a whole: by template if half of
+    their words, and at least one, are no placeholders, else by their actual words if one is no number or unit. Null and empty texts match nothing; rows with a null id take
     no part. Repeated rows add to the windows of their id; repeated items count once per item id.
     """
     items = _arrays(benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("_x")).where("item_id is not null"), "_x")
@@ -91,16 +114,19 @@ def contaminated(
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_x")).where("doc_id is not null and _x is not null")
     rows, asked = _arrays(base, "_x").select("doc_id", "w", "t", "n"), []
     for size in sorted({s for s, _ in sizes}):
-        found = items.select("item_id", "w", "t", "n", F.explode(_windows(size, 1)).alias("x")).select("item_id", "w", "t", F.col("x.at").alias("at"), F.col("x.h").alias("h"))
-        found = found.withColumn("size", F.lit(size)).withColumn("slots", _slots(F.col("at"), F.lit(size)))
-        asked.append(found.where(F.lit(size) - F.size("slots") >= min(literal, (size + 1) // 2)).select("h", "size", "item_id", F.col("at").alias("item_at"), "slots").distinct())
+        found = items.select("item_id", "w", "t", "n", F.explode(_windows(size, 1, literal)).alias("x")).select("item_id", "w", "t", F.col("x.at").alias("at"), F.col("x.h").alias("h"))
+        found = found.withColumn("size", F.lit(size)).withColumn("slots", _slots(F.col("at"), size, literal))
+        if size < window:
+            named = F.array_contains(F.slice("t", F.col("at") + 1, F.lit(size)), _NAME)
+            found = found.where((_plain(F.col("at"), F.lit(size)) >= F.lit(_need(size, literal))) | named)
+        asked.append(found.select("h", "size", "item_id", F.col("at").alias("item_at"), "slots").distinct())
     wanted = asked[0]
     for more in asked[1:]:
         wanted = wanted.unionByName(more)
     wanted = materialize(wanted, "windows")
     keys = wanted.select("h").distinct()
     small = wanted.count() <= BROADCAST_WINDOWS
-    held = F.concat(*(_windows(s, k) for s, k in sizes)) if len(sizes) > 1 else _windows(*sizes[0])
+    held = F.concat(*(_windows(s, k, literal) for s, k in sizes)) if len(sizes) > 1 else _windows(*sizes[0], literal)
     # first only hashes and ids meet the benchmark, so no text is copied per window
     hits = rows.select("doc_id", F.explode(F.array_distinct(F.transform(held, lambda x: x["h"]))).alias("h"))
     hits = materialize(hits.join(F.broadcast(keys) if small else keys, "h", "left_semi").select("doc_id").distinct(), "hits")
@@ -108,8 +134,8 @@ def contaminated(
     parts = []
     for size, step in sizes:
         at = F.col("x.at")
-        part = some.select("doc_id", "w", "t", F.explode(_windows(size, step)).alias("x"))
-        parts.append(part.select("doc_id", F.col("x.h").alias("h"), at.alias("at"), F.lit(size).alias("size"), _slots(at, F.lit(size)).alias("own")))
+        part = some.select("doc_id", "w", "t", F.explode(_windows(size, step, literal)).alias("x"))
+        parts.append(part.select("doc_id", F.col("x.h").alias("h"), at.alias("at"), F.lit(size).alias("size"), _slots(at, size, literal).alias("own")))
     found = parts[0]
     for more in parts[1:]:
         found = found.unionByName(more)

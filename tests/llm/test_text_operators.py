@@ -165,6 +165,17 @@ def test_contamination_of_the_whole_small_tables(spark):
     assert {(d, i) for d, t in texts.items() for i, a in asked.items() if a in t} <= got
 
 
+def test_contamination_of_items_of_placeholders(spark):
+    items = {
+        1: "Who Was The First President Of The United States After The Civil War In 1789?", 2: "Compute 12 + 7 * 30 - 45 + 8 * 91 - 33 + 64 / 2 = 19",
+        3: "The sum 12 34 56 78 91 23 45 67 is divided by 4", 4: "from Rome, Paris, Oslo",
+    }
+    docs = {i: f"some words come {'first ' * i} and then: {t} and more words follow here" for i, t in items.items()}
+    docs |= {10 + i: t.translate(str.maketrans("123456789", "987654321")).replace("President", "Senator").replace("Civil", "Cold").replace("Oslo", "Bonn").replace("States", "Towns") for i, t in docs.items()}
+    got = dc.contaminated(frame(spark, docs), frame(spark, items, "item_id long, text string")).collect()
+    assert {(x["doc_id"], x["item_id"]) for x in got} == {(i, i) for i in items}
+
+
 def test_short_items_and_odd_rows(spark):
     items = frame(spark, {1: "short item of five words", 2: None, 3: "", 4: "12 13"}, "item_id long, text string")
     docs = spark.createDataFrame([(1, "say short item of five words now", "w", 3), (None, "short item of five words", "t", 4), (2, "12 13", "w", 5), (1, None, "w", 6)], "doc_id long, text string, w string, t int")
