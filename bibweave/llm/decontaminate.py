@@ -67,16 +67,16 @@ def _need(size: int, literal: int) -> int:
     return min(literal, (size + 1) // 2)
 
 
-def _hash(at, size: int, literal: int) -> F.Column:
+def _hash(at, size: int, step: int, literal: int) -> F.Column:
     """Hash of a window's template, or of its words (names without their mark) if too few are no placeholders."""
     whole = F.translate(F.lower(F.array_join(F.slice("w", at + 1, F.lit(size)), " ")), _MARK, "")
-    return F.when(_plain(at, F.lit(size)) >= _need(size, literal), F.xxhash64(F.lit(size), F.slice("t", at + 1, F.lit(size)))).otherwise(F.xxhash64(F.lit(-size), whole))
+    return F.when(_plain(at, F.lit(size)) >= _need(size, literal), F.xxhash64(F.lit(size), F.lit(step), F.slice("t", at + 1, F.lit(size)))).otherwise(F.xxhash64(F.lit(-size), F.lit(step), whole))
 
 
-def _windows(size: int, step: int, literal: int) -> F.Column:
-    """(position, hash) of the windows at every ``step``-th position."""
-    at = F.sequence(F.lit(0), F.col("n") - size, F.lit(step))
-    hashed = F.transform(at, lambda i: F.struct(i.alias("at"), _hash(i, size, literal).alias("h")))
+def _windows(size: int, step: int, literal: int, every: int | None = None) -> F.Column:
+    """(position, hash) of the windows at every ``step``-th position (or ``every``-th, to meet windows of that step)."""
+    at = F.sequence(F.lit(0), F.col("n") - size, F.lit(every or step))
+    hashed = F.transform(at, lambda i: F.struct(i.alias("at"), _hash(i, size, step, literal).alias("h")))
     return F.when(F.col("n") >= size, hashed).otherwise(F.array().cast("array<struct<at:int,h:bigint>>"))
 
 
@@ -113,8 +113,10 @@ def contaminated(
     sizes = _sizes(items, window, stride)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_x")).where("doc_id is not null and _x is not null")
     rows, asked = _arrays(base, "_x").select("doc_id", "w", "t", "n"), []
-    for size in sorted({s for s, _ in sizes}):
-        found = items.select("item_id", "w", "t", "n", F.explode(_windows(size, 1, literal)).alias("x")).select("item_id", "w", "t", F.col("x.at").alias("at"), F.col("x.h").alias("h"))
+    for size, step in sizes:
+        # every item asks windows of one size, met at one step
+        mine = F.col("n") == size if size < window else F.col("n") >= window + stride - 1 if step == stride else F.col("n").between(window, window + stride - 2)
+        found = items.where(mine).select("item_id", "w", "t", "n", F.explode(_windows(size, step, literal, every=1)).alias("x")).select("item_id", "w", "t", F.col("x.at").alias("at"), F.col("x.h").alias("h"))
         found = found.withColumn("size", F.lit(size)).withColumn("slots", _slots(F.col("at"), size, literal))
         if size < window:
             named = F.array_contains(F.slice("t", F.col("at") + 1, F.lit(size)), _NAME)

@@ -176,6 +176,16 @@ def test_contamination_of_items_of_placeholders(spark):
     assert {(x["doc_id"], x["item_id"]) for x in got} == {(i, i) for i in items}
 
 
+def test_a_short_item_does_not_loosen_the_others(spark):
+    words = lambda c, n: " ".join(f"{c}{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(n))
+    long, nine = words("q", 30), words("r", 9)
+    items = {1: long, 2: "yes", 3: "one two three", 4: nine}
+    clean = {10: "we say " + " ".join(long.split()[4:7]) + " here", 11: "one two of " + " ".join(long.split()[:2]), 12: "a b c " + " ".join(long.split()[:8])}
+    docs = clean | {20: long, 21: "x " + nine, 22: "oh yes", 23: "say one two three now"}
+    got = {(x["doc_id"], x["item_id"]): x["n_windows"] for x in dc.contaminated(frame(spark, docs), frame(spark, items, "item_id long, text string")).collect()}
+    assert got == {(20, 1): 6, (21, 4): 2, (22, 2): 1, (23, 3): 1}
+
+
 def test_short_items_and_odd_rows(spark):
     items = frame(spark, {1: "short item of five words", 2: None, 3: "", 4: "12 13"}, "item_id long, text string")
     docs = spark.createDataFrame([(1, "say short item of five words now", "w", 3), (None, "short item of five words", "t", 4), (2, "12 13", "w", 5), (1, None, "w", 6)], "doc_id long, text string, w string, t int")
