@@ -27,7 +27,7 @@ LICENSES = (
     ("aal", r"attribution assurance license", "attribution"),
     ("afl", r"academic free license(?: (?:version |v)?[123](?: \d)?)?", "academic"),
     ("agpl-3.0", r"(?:gnu )?affero general public license(?: (?:version |v)?3(?: 0)?)?", "affero"),
-    ("agpl-3.0", r"agpl ?v?3(?: 0)?", "agpl agplv3 agpl3"),
+    ("agpl-3.0", r"agpl(?: version)? ?v?3(?: 0)?", "agpl agplv3 agpl3"),
     ("apache-1.1", r"apache (?:software )?licen[sc]e(?: version| v)? ?1 1", "apache"),
     ("apache-2.0", r"apache (?:software )?licen[sc]e(?: version| v)? ?2(?: 0)?", "apache"),
     ("apsl-2.0", r"apple public source license(?: (?:version |v)?2(?: 0)?)?", "apple"),
@@ -61,20 +61,20 @@ LICENSES = (
     ("gpl-1.0", r"(?:gnu )?general public license(?: version| v)? ?1(?: 0)?", "general"),
     ("gpl-2.0", r"(?:gnu )?general public license(?: version| v)? ?2(?: 0)?", "general"),
     ("gpl-3.0", r"(?:gnu )?general public license(?: version| v)? ?3(?: 0)?", "general"),
-    ("gpl-2.0", r"(?:gnu )?gpl ?v?2(?: 0)?(?: only| or later)?", "gpl gplv2 gpl2"),
-    ("gpl-3.0", r"(?:gnu )?gpl ?v?3(?: 0)?(?: only| or later)?", "gpl gplv3 gpl3"),
+    ("gpl-2.0", r"(?:gnu )?gpl(?: version)? ?v?2(?: 0)?(?: only| or later)?", "gpl gplv2 gpl2"),
+    ("gpl-3.0", r"(?:gnu )?gpl(?: version)? ?v?3(?: 0)?(?: only| or later)?", "gpl gplv3 gpl3"),
     ("hpnd", r"historical permission notice and disclaimer", "historical"),
     ("ijg", r"independent jpeg group(?: s)? licen[sc]e", "jpeg"),
     ("ipl-1.0", r"ibm public license(?: (?:version )?1 0)?", "ibm"),
     ("isc", r"(?:isc|internet systems consortium) licen[sc]e", "isc consortium"),
-    ("lgpl-2.0", r"(?:gnu )?library general public license(?: (?:version |v)?2(?: 0)?)?", "library"),
-    ("lgpl-2.1", r"(?:(?:gnu )?lesser general public license(?: version| v)? ?2(?: 1)?|lgpl ?v?2(?: 1)?)", "lesser lgpl lgplv2"),
-    ("lgpl-3.0", r"(?:(?:gnu )?lesser general public license(?: version| v)? ?3(?: 0)?|lgpl ?v?3(?: 0)?)", "lesser lgpl lgplv3"),
+    ("lgpl-2.0", r"(?:(?:gnu )?library general public license(?: (?:version |v)?2(?: 0)?)?|lgpl(?: version)? ?v?2 0)", "library lgpl lgplv2 lgpl2"),
+    ("lgpl-2.1", r"(?:(?:gnu )?lesser general public license(?: version| v)? ?2(?: 1)?|lgpl(?: version)? ?v?2(?! 0)(?: 1)?)", "lesser lgpl lgplv2 lgpl2"),
+    ("lgpl-3.0", r"(?:(?:gnu )?lesser general public license(?: version| v)? ?3(?: 0)?|lgpl(?: version)? ?v?3(?: 0)?)", "lesser lgpl lgplv3 lgpl3"),
     ("lppl-1.3c", r"latex project public license(?: (?:version )?1 3c?)?", "latex"),
     ("mit", r"(?:mit|expat)(?: x11)? licen[sc]e", "mit expat"),
     ("mit-0", r"mit no attribution(?: license)?", "mit"),
     ("mpl-1.1", r"mozilla public license(?: version| v)? ?1 [01]", "mozilla"),
-    ("mpl-2.0", r"(?:mozilla public license(?: version| v)? ?2(?: 0)?|mpl ?v?2(?: 0)?)", "mozilla mpl mplv2"),
+    ("mpl-2.0", r"(?:mozilla public license(?: version| v)? ?2(?: 0)?|mpl(?: version)? ?v?2(?: 0)?)", "mozilla mpl mplv2 mpl2"),
     ("ms-pl", r"microsoft public license", "microsoft"),
     ("ms-rl", r"microsoft reciprocal license", "microsoft"),
     ("mulanpsl-2.0", r"mulan (?:permissive software license|psl)(?: v?2)?", "mulan"),
@@ -141,6 +141,24 @@ FAMILIES = (
     ("cc", r"creative commons(?: public)? licen[sc]e", "creative"),
     ("apache", r"apache software foundation", "apache"),
 )
+#: Label and SPDX identifier, as words.
+IDENTIFIERS = (
+    ("0bsd", "0bsd"), ("aal", "aal"), ("afl", r"afl [123] \d"), ("agpl-3.0", "agpl 3 0"), ("apache-1.1", "apache 1 1"), ("apache-2.0", "apache 2 0"), ("apsl-2.0", "apsl 2 0"),
+    ("artistic-1.0", "artistic 1 0(?: perl| cl8)?"), ("artistic-2.0", "artistic 2 0"), ("beerware", "beerware"), ("blueoak-1.0.0", "blueoak 1 0 0"),
+    ("bsd-2-clause", "bsd 2 clause(?: patent| views)?"), ("bsd-3-clause", "bsd 3 clause(?: clear)?"), ("bsd-4-clause", "bsd 4 clause(?: uc)?"), ("bsl-1.0", "bsl 1 0"), ("busl-1.1", "busl 1 1"),
+    ("cc-by", "cc by [1234] [05]"), ("cc-by-nc", "cc by nc [1234] [05]"), ("cc-by-nc-nd", "cc by nc nd [1234] [05]"), ("cc-by-nc-sa", "cc by nc sa [1234] [05]"), ("cc-by-nd", "cc by nd [1234] [05]"),
+    ("cc-by-sa", "cc by sa [1234] [05]"), ("cc-pdm", "cc pdm 1 0"), ("cc0-1.0", "cc0 1 0"), ("cddl-1.0", "cddl 1 [01]"), ("cecill-2.1", "cecill 2 [01]"), ("cpal-1.0", "cpal 1 0"), ("cpl-1.0", "cpl 1 0"),
+    ("ecl-2.0", "ecl 2 0"), ("elastic-2.0", "elastic 2 0"), ("epl-1.0", "epl 1 0"), ("epl-2.0", "epl 2 0"), ("eupl-1.2", "eupl 1 [12]"), ("gfdl", "gfdl 1 [123]"),
+    ("gpl-1.0", "gpl 1 0"), ("gpl-2.0", "gpl 2 0"), ("gpl-3.0", "gpl 3 0"), ("hpnd", "hpnd"), ("ijg", "ijg"), ("ipl-1.0", "ipl 1 0"), ("isc", "isc"),
+    ("lgpl-2.0", "lgpl 2 0"), ("lgpl-2.1", "lgpl 2 1"), ("lgpl-3.0", "lgpl 3 0"), ("lppl-1.3c", "lppl 1 3[ac]"), ("mit", "mit"), ("mit-0", "mit 0"), ("mpl-1.1", "mpl 1 [01]"), ("mpl-2.0", "mpl 2 0"),
+    ("ms-pl", "ms pl"), ("ms-rl", "ms rl"), ("mulanpsl-2.0", "mulanpsl 2 0"), ("ncsa", "ncsa"), ("nposl-3.0", "nposl 3 0"), ("odbl-1.0", "odbl 1 0"), ("odc-by-1.0", "odc by 1 0"),
+    ("ofl-1.1", "ofl 1 [01](?: no rfn| rfn)?"), ("ogl-3.0", "ogl uk 3 0"), ("openssl", "openssl"), ("osl-3.0", r"osl [123] \d"), ("pddl-1.0", "pddl 1 0"), ("php-3.01", "php 3 01?"), ("postgresql", "postgresql"),
+    ("psf-2.0", r"(?:psf 2 0|python 2 0(?: \d)?)"), ("qpl-1.0", "qpl 1 0"), ("rpl-1.5", "rpl 1 [15]"), ("ruby", "ruby"), ("sleepycat", "sleepycat"), ("sspl-1.0", "sspl 1 0"), ("unicode", r"unicode (?:3 0|tou|dfs \d+)"),
+    ("unlicense", "unlicense"), ("upl-1.0", "upl 1 0"), ("vim", "vim"), ("w3c", r"w3c(?: \d+)?"), ("wtfpl", "wtfpl"), ("x11", "x11"), ("zlib", "zlib"), ("zpl-2.1", "zpl 2 [01]"),
+)
+#: What may follow an identifier, and the tag with the identifiers that an expression lists before one.
+_LATER = r"(?: only| or later)?(?: with (?:[^ ]+ ){1,4}?exception(?: \d)*)?"
+_TAG = rf"spdx licen[sc]e identifier (?:(?:{'|'.join(x for _, x in IDENTIFIERS)}){_LATER} (?:or|and) ){{0,9}}"
 #: The places every scan counts: phrase and label.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 #: Text before a name, its priority (1 is best) and its weight in the score.
@@ -170,6 +188,7 @@ def rules() -> tuple[Rule, ...]:
         return Rule(label, *form, re.compile(rf"(?<![^ ])(?:{pattern})(?![^ ])"), frozenset(words.split()), base)
 
     made = [rule(label, form[1:], form[0] + name, words) for form in FORMS for label, name, words in LICENSES]
+    made += [rule(label, FORMS[0][1:], f"{_TAG}(?P<own>{name}{_LATER})", "spdx") for label, name in IDENTIFIERS]
     made += [rule(label, NOTICE_FORM, text, words) for label, text, words in NOTICES]
     made += [rule(label, FAMILY_FORM, text, words) for label, text, words in FAMILIES]
     made += [rule(label, BASE_FORM, phrase, phrase.split()[0], True) for phrase, label in BASE]
@@ -192,7 +211,8 @@ def _gate() -> tuple[np.ndarray, list[frozenset]]:
 
 def matches(text: str, numbers: list[int]) -> list[tuple[int, int, Rule]]:
     """All matches (start, end, rule) of some rules in normalised text."""
-    return [(m.start(), m.end(), rules()[i]) for i in numbers for m in rules()[i].pattern.finditer(text)]
+    own = [(rules()[i], "own" if "own" in rules()[i].pattern.groupindex else 0) for i in numbers]
+    return [(*m.span(part), rule) for rule, part in own for m in rule.pattern.finditer(text)]
 
 
 def resolve(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:

@@ -261,6 +261,25 @@ def test_licenses(spark):
     assert all(0 <= r["score"] <= 1 for r in got.values()) and got[2]["score"] == 0 < got[7]["score"]
 
 
+def test_license_tags():
+    def labels(text):
+        words = "".join(c if c.isalnum() else " " for c in text.lower()).split()
+        some = [i for i, rule in enumerate(licenses.rules()) if rule.words & set(words)]
+        return licenses._judge(" ".join(words), some)[4]
+
+    tags = "0BSD AAL Apache-1.1 Apache-2.0 APSL-2.0 Artistic-1.0 Artistic-2.0 Beerware BlueOak-1.0.0 BSD-2-Clause BSD-3-Clause BSD-4-Clause BSL-1.0 BUSL-1.1 CC0-1.0 CDDL-1.0 CECILL-2.1 CPAL-1.0 CPL-1.0"
+    tags += " ECL-2.0 Elastic-2.0 EPL-1.0 EPL-2.0 EUPL-1.2 GPL-1.0 GPL-2.0 GPL-3.0 AGPL-3.0 HPND IJG IPL-1.0 ISC LGPL-2.0 LGPL-2.1 LGPL-3.0 LPPL-1.3c MIT MIT-0 MPL-1.1 MPL-2.0 MS-PL MS-RL MulanPSL-2.0 NCSA NPOSL-3.0"
+    tags += " ODbL-1.0 ODC-By-1.0 OFL-1.1 OpenSSL OSL-3.0 PDDL-1.0 PHP-3.01 PostgreSQL PSF-2.0 QPL-1.0 RPL-1.5 Ruby Sleepycat SSPL-1.0 Unlicense UPL-1.0 Vim W3C WTFPL X11 Zlib ZPL-2.1"
+    real = {t: t.lower() for t in tags.split()} | {f"CC-{x.upper()}-4.0": f"cc-{x}" for x in "by by-nc by-nc-nd by-nc-sa by-nd by-sa".split()}
+    real |= {"CC-PDM-1.0": "cc-pdm", "AFL-3.0": "afl", "GFDL-1.3-or-later": "gfdl", "OGL-UK-3.0": "ogl-3.0", "Unicode-DFS-2016": "unicode", "GPL-2.0-only": "gpl-2.0", "GPL-3.0-or-later": "gpl-3.0"}
+    assert set(real.values()) >= {label for label, *_ in licenses.LICENSES}
+    assert {t: labels(f"x SPDX-License-Identifier: {t} y") for t in real} == real
+    assert labels("SPDX-License-Identifier: (MIT OR Apache-2.0) AND ISC") == "apache-2.0,isc,mit"
+    assert labels("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 OR MIT") == "gpl-2.0,mit"
+    assert labels("GPL version 2") == "gpl-2.0" and labels("the GPL version 3 or later") == "gpl-3.0"
+    assert labels("the isc and zlib of mit") == ""
+
+
 def test_license_gate_loses_nothing():
     r = random.Random(2)
     vocabulary = "mit license gnu general public apache version 2 0 3 bsd the under licensed cc by nc sa all rights reserved free".split()
