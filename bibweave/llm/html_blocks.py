@@ -11,15 +11,22 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTR = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_PAIR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_MAY_HIDE = re.compile(r"hidden|display", re.I)
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 #: Elements whose text is never content; raw ones end only at their own end tag.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-SKIPPED = frozenset("head noscript template svg math object select button option canvas audio video map".split())
+SKIPPED = frozenset("head noscript template svg select button option canvas audio video map".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
+    "math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mpadded mphantom menclose mspace mtable mtr mtd merror semantics "
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
+#: Source of a formula, beside what is shown of it.
+ANNOTATION = frozenset(("annotation", "annotation-xml"))
+#: Tags that an open head can hold; any other one, or text, ends it.
+IN_HEAD = frozenset("html head title base link meta script style noscript template".split())
 #: Tags that end an open one of the same kind (or group) in the same container.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CONTAINERS = frozenset("ul ol dl table tbody thead tfoot article section nav aside main header footer body div form".split())
@@ -62,6 +69,17 @@ def _hints(attrs: str) -> tuple:
     return tuple(found)
 
 
+def _hidden(attrs: str) -> bool:
+    """Whether an element has the attribute ``hidden``, is hidden by its style or is marked so for readers."""
+    if not _MAY_HIDE.search(attrs):
+        return False
+    for m in _PAIR.finditer(attrs):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true") or (name == "style" and _NO_DISPLAY.search(value)):
+            return True
+    return False
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order: runs of text that no block-level tag interrupts.
 
@@ -93,6 +111,8 @@ def blocks(page: str) -> list[Block]:
         name = m["name"]
         if name is None:
             s = m[0]
+            if stack and stack[-1][0] == "head" and s.strip() and not (s[0] == "<" and len(s) > 1):
+                pop()
             if not state[2] and not (s[0] == "<" and len(s) > 1):
                 parts.append(s)
                 if state[0]:
@@ -100,6 +120,12 @@ def blocks(page: str) -> list[Block]:
             continue
         name = name.lower()
         closing = m["end"] == "/"
+        if not closing and stack and stack[-1][0] == "head" and name not in IN_HEAD:
+            pop()
+        if name in ANNOTATION:
+            close = None if closing else re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+            at = close.end() if close else at
+            continue
         if name in INLINE:
             if name == "a":
                 state[0] = 0 if closing else 1
@@ -136,7 +162,7 @@ def blocks(page: str) -> list[Block]:
                 if stack[i][0] in CONTAINERS:
                     break
         attrs = m["attrs"] or ""
-        skip = name in SKIPPED or bool(attrs and _HIDDEN.search(attrs))
+        skip = name in SKIPPED or bool(attrs and _hidden(attrs))
         if skip:
             state[2] += 1
         stack.append((name, _hints(attrs) if attrs else (), skip))

@@ -179,3 +179,20 @@ def test_pages_odd_rows(spark, field):
     got = html_extract.extract_text(df, field=field)
     assert got.columns == ["page_id", "label", "text"] and sorted(len(r["text"]) for r in got.collect())[:2] == [0, 0]
     assert html_extract.extract_text(df.where("false"), field=field).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<div class="overflow-hidden"><p class="body-hidden-sm">a b</p><p aria-hidden="false">c</p></div>', ["a b", "c"]),
+        ('<p hidden>a</p><p HIDDEN="">b</p><p aria-hidden=true>c</p><p style="x:y; display : none">d</p><p data-x="display:none">e</p>', ["e"]),
+        ("<html><head><title>T</title><p>text", ["text"]),
+        ("<head><meta charset=x><noscript><img></noscript><b>bold</b> text", ["bold text"]),
+        ("<head><title>T</title>\n bare", ["bare"]),
+        ("<head><script>x</script><style>y</style></head><body>z", ["z"]),
+        ("<p>where <math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></semantics></math> holds</p>", ["where x=2 holds"]),
+        ("<article><p>a</p><object data=x><p>b</p></object></article>", ["a", "b"]),
+    ],
+)
+def test_blocks_lose_no_article_text(page, want):
+    assert [b.text for b in blocks(page)] == want
