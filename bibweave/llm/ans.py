@@ -3,13 +3,13 @@
 One frequency table is shared by all blocks of a file set. A block holds whole documents
 and is coded alone. Within it, token i belongs to lane i mod ``LANES``; lanes have a state
 each and share one stream of 32-bit words. Every ``SEGMENT`` tokens a checkpoint
-stores all states and the place in the stream, so segments can be decoded in
-parallel, each under its own checksum.
+stores all states and the place in the stream, so any segment can be decoded alone
+(:class:`Block`, :func:`read_span`), each under its own checksum.
 
 Block, little-endian:
     magic "RANS" | version u32 | table crc32 u32 | documents u32 | tokens u64 | first token in its shard u64 |
     lanes u32 | segment tokens u32 | header crc32 u32 (of all before it) |
-    doc ids i64[documents] | document tokens u32[documents] |
+    doc ids i64[documents] | document tokens u32[documents] | u8[documents], 1 where the id is null |
     per segment: words u32, crc32 of its token ids u32 | per segment: states u64[lanes] | words u32[...]
 Blocks are rows of Parquet files (``shard, block, tokens, payload``), which any Hadoop store can
 hold and split; the table is a Parquet file beside them. Shards follow each other in the
@@ -112,7 +112,7 @@ def decode_segment(state: np.ndarray, words: np.ndarray, count: int, table: Tabl
 
 def encode_block(docs: list, sizes: list[int], ids: np.ndarray, start: int, table: Table, lanes: int = LANES, segment: int = SEGMENT) -> bytes:
     """A block of whole documents; ``start`` is the number of tokens before it."""
-    head = _HEAD.pack(b"RANS", 1, table.crc, len(docs), len(ids), start, lanes, segment)
+    head = _HEAD.pack(b"RANS", 2, table.crc, len(docs), len(ids), start, lanes, segment)
     marks, states, words = [], [], []
     for lo in range(0, len(ids), segment):
         part = ids[lo : lo + segment]
@@ -120,35 +120,57 @@ def encode_block(docs: list, sizes: list[int], ids: np.ndarray, start: int, tabl
         marks += [len(stream), zlib.crc32(part.astype("<u4").tobytes())]
         states.append(state.astype("<u8").tobytes())
         words.append(stream.tobytes())
-    fields = [head, struct.pack("<I", zlib.crc32(head)), np.array(docs, "<i8").tobytes(), np.array(sizes, "<u4").tobytes(), np.array(marks, "<u4").tobytes()]
+    ids_of = np.array([d or 0 for d in docs], "<i8"), np.array(sizes, "<u4"), np.array([d is None for d in docs], "u1")
+    fields = [head, struct.pack("<I", zlib.crc32(head)), *(a.tobytes() for a in ids_of), np.array(marks, "<u4").tobytes()]
     return b"".join(fields + states + words)
 
 
+class Block:
+    """A block's documents, and its tokens from any checkpoint on."""
+
+    def __init__(self, raw: bytes, table: Table):
+        size = _HEAD.size
+        magic, version, crc, n_docs, self.count, self.start, lanes, self.size = _HEAD.unpack_from(raw)
+        if magic != b"RANS" or version != 2 or struct.unpack_from("<I", raw, size)[0] != zlib.crc32(raw[:size]):
+            raise ValueError("not a block, or its header is damaged")
+        if crc != table.crc:
+            raise ValueError("the block was coded with another table")
+        self.raw, self.table = raw, table
+        at = size + 4
+        self.docs = np.frombuffer(raw, "<i8", n_docs, at)
+        self.sizes = np.frombuffer(raw, "<u4", n_docs, at + 8 * n_docs)
+        self.null = np.frombuffer(raw, "u1", n_docs, at + 12 * n_docs).astype(bool)
+        at += 13 * n_docs
+        self.segments = -(-self.count // self.size)
+        marks = np.frombuffer(raw, "<u4", 2 * self.segments, at).reshape(self.segments, 2)
+        self.words, self.crcs = marks[:, 0].astype(np.int64), marks[:, 1]
+        at += 8 * self.segments
+        self.states = np.frombuffer(raw, "<u8", self.segments * lanes, at).reshape(self.segments, lanes)
+        #: where the words of each segment begin
+        self.at = at + 8 * self.segments * lanes + 4 * (np.cumsum(self.words) - self.words)
+
+    def segment(self, i: int) -> np.ndarray:
+        """Token ids from checkpoint ``i`` to the next one, under their checksum."""
+        words = np.frombuffer(self.raw, "<u4", int(self.words[i]), int(self.at[i]))
+        ids = decode_segment(self.states[i], words, min(self.size, self.count - i * self.size), self.table)
+        if zlib.crc32(ids.astype("<u4").tobytes()) != self.crcs[i]:
+            raise ValueError("a segment does not match its checksum")
+        return ids
+
+    def tokens(self, lo: int = 0, hi: int | None = None) -> np.ndarray:
+        """Token ids ``lo`` to ``hi`` of the block; only segments that hold some of them are decoded."""
+        hi = self.count if hi is None else min(hi, self.count)
+        if hi <= lo:
+            return np.zeros(0, np.uint32)
+        first = lo // self.size
+        parts = [self.segment(i) for i in range(first, -(-hi // self.size))]
+        return np.concatenate(parts)[lo - first * self.size : hi - first * self.size]
+
+
 def decode_block(raw: bytes, table: Table) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
     """(document ids, document tokens, first token, token ids); checks every checksum."""
-    size = _HEAD.size
-    magic, version, crc, n_docs, count, start, lanes, segment = _HEAD.unpack_from(raw)
-    if magic != b"RANS" or version != 1 or struct.unpack_from("<I", raw, size)[0] != zlib.crc32(raw[:size]):
-        raise ValueError("not a block, or its header is damaged")
-    if crc != table.crc:
-        raise ValueError("the block was coded with another table")
-    at = size + 4
-    docs = np.frombuffer(raw, "<i8", n_docs, at)
-    sizes = np.frombuffer(raw, "<u4", n_docs, at + 8 * n_docs)
-    at += 12 * n_docs
-    k = -(-count // segment)
-    marks = np.frombuffer(raw, "<u4", 2 * k, at).reshape(k, 2)
-    states = np.frombuffer(raw, "<u8", k * lanes, at + 8 * k).reshape(k, lanes)
-    at += 8 * k + 8 * k * lanes
-    parts = []
-    for i in range(k):
-        words = np.frombuffer(raw, "<u4", int(marks[i, 0]), at)
-        at += 4 * len(words)
-        ids = decode_segment(states[i], words, min(segment, count - i * segment), table)
-        if zlib.crc32(ids.astype("<u4").tobytes()) != marks[i, 1]:
-            raise ValueError("a segment does not match its checksum")
-        parts.append(ids)
-    return docs, sizes, start, np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+    block = Block(raw, table)
+    return block.docs, block.sizes, block.start, block.tokens()
 
 
 def _width(path: str) -> str:
@@ -212,13 +234,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
 
     Texts are tokenised once and counted; then ids are dealt into ranges by sampled
     splitters and sorted within them, and each range becomes a shard of blocks. Null texts are
-    the end id alone. A row with a null id has no place in the order and raises an
-    error. Rows that share an id stand side by side. To the driver go the counts of the
-    vocabulary only.
+    the end id alone. Rows with a null id stand before all others, rows that share an id (or
+    have none) side by side in the order of their ids' bytes. Other columns are ignored and an empty
+    table gives files without documents. To the driver go the counts of the vocabulary only.
     """
     spark, width = docs.sparkSession, _width(tokenizer)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    base = base.withColumn("doc_id", F.coalesce("doc_id", F.raise_error(F.lit("a document without an id has no place in the order")).cast("long")))
     held = materialize(map_batches(base, _tokens(tokenizer, end_id), "doc_id long, ids binary"), "ids", compression="zstd")
     counted = map_batches(held.select("ids"), _count(width), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["id"] for r in counted), default=0) + 1, dtype=np.int64)
@@ -232,28 +253,58 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     discard(held)
 
 
-def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
-    """Documents of written blocks: ``doc_id, start, n_tokens, ids_crc32`` and, if asked for, ``ids``.
-
-    One total per shard goes to the driver.
-    """
+def _written(spark: SparkSession, path: str) -> tuple[bytes, DataFrame, dict[int, int]]:
+    """The table, the blocks and the number of tokens before each shard."""
     raw = bytes(spark.read.parquet(f"{path}/table").first()["frequencies"])
     blocks = spark.read.parquet(f"{path}/blocks")
     places, at = {}, 0
     for shard, n in sorted(blocks.groupBy("shard").agg(F.sum("tokens")).collect()):
         places[shard] = at
         at += n
+    return raw, blocks, places
+
+
+def read_span(spark: SparkSession, path: str, start: int, count: int) -> DataFrame:
+    """``start, ids``: the tokens from ``start`` on, ``count`` at most, as a row per block that holds some.
+
+    Blocks are picked by their headers and decoded from the checkpoints around the span only.
+    """
+    raw, blocks, places = _written(spark, path)
+
+    def run(batches):
+        table = _table(raw)
+        for batch in batches:
+            for shard, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
+                block = Block(payload.as_py(), table)
+                at = places[shard] + block.start
+                lo, hi = max(start, at), min(start + count, at + block.count)
+                if lo < hi:
+                    ids = block.tokens(lo - at, hi - at).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([ids], pa.list_(pa.int32()))], names=["start", "ids"])
+
+    ends = sorted([*places.values(), 1 << 62])
+    some = [k for k, at in places.items() if at < start + count and ends[ends.index(at) + 1] > start]
+    return map_batches(blocks.where(F.col("shard").isin(some)).select("shard", "payload"), run, "start long, ids array<int>")
+
+
+def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """Documents of written blocks: ``doc_id, start, n_tokens, ids_crc32`` and, if asked for, ``ids``.
+
+    One total per shard goes to the driver.
+    """
+    raw, blocks, places = _written(spark, path)
 
     def run(batches):
         table = _table(raw)
         for batch in batches:
             for shard, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
-                docs, sizes, start, ids = decode_block(payload.as_py(), table)
+                block = Block(payload.as_py(), table)
+                sizes, start, ids = block.sizes, block.start, block.tokens()
                 ends = np.cumsum(sizes.astype(np.int64))
                 starts = ends - sizes
                 data = ids.astype("<u4").tobytes()
                 crc = [zlib.crc32(data[4 * lo : 4 * hi]) for lo, hi in zip(starts.tolist(), ends.tolist())]
-                cols = [pa.array(docs), pa.array(starts + start + places[shard]), pa.array(sizes.astype(np.int64)), pa.array(crc, pa.int64())]
+                cols = [pa.array(block.docs, mask=block.null), pa.array(starts + start + places[shard]), pa.array(sizes.astype(np.int64)), pa.array(crc, pa.int64())]
                 names = ["doc_id", "start", "n_tokens", "ids_crc32"]
                 if with_ids:
                     offsets = np.concatenate([[0], ends]).astype(np.int32)

@@ -116,9 +116,9 @@ def pack(cut: DataFrame, shards: int, size: int = WINDOW) -> DataFrame:
     """Place pieces (``doc_id, start, length`` and others but ``ids``) in windows.
 
     Adds ``sequence_id`` (unique; shard in the high bits) and ``offset``. Every piece is placed once and
-    windows have no gaps before their last piece. Full pieces take a window each. The
-    order of rows within a shard is fixed by doc_id and start, so the result does not
-    depend on partitioning.
+    windows have no gaps before their last piece. Full pieces take a window each. Pieces are dealt by
+    their values and their place in the table, so repeated rows and rows without an id spread over all
+    shards; a task that runs again deals them alike. Within a shard they are ordered by doc_id and start.
     """
     cols = [c for c in cut.columns if c != "ids"]
     schema = cut.select(*cols).schema
@@ -131,11 +131,15 @@ def pack(cut: DataFrame, shards: int, size: int = WINDOW) -> DataFrame:
         return table.append_column("sequence_id", pa.array(window + (shard << 32))).append_column("offset", pa.array(offset))
 
     full = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    dealt = cut.select(*cols, F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(shards)).cast("long").alias("shard"))
+    dealt = cut.select(*cols, F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id()), F.lit(shards)).cast("long").alias("shard"))
     return dealt.groupBy("shard").applyInArrow(place, f"{full}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, shard_docs: int = SHARD_DOCS, size: int = WINDOW, **columns) -> DataFrame:
-    """Pieces of ``docs`` with their windows; shards are as many as ``shard_docs`` documents each call for."""
+    """Pieces of ``docs`` with their windows; shards are as many as ``shard_docs`` documents each call for.
+
+    Null and empty texts are packed as their end id alone, null ids are kept as null, rows that share an id
+    are documents of their own, an empty table gives no pieces; other columns are ignored.
+    """
     shards = max(1, -(-docs.count() // shard_docs))
     return pack(pieces(docs, tokenizer, size=size, **columns).drop("ids"), shards, size)

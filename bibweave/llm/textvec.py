@@ -17,8 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 SLICE_BYTES = 2 << 20
-#: Rows of an Arrow batch; texts are long, so fewer than Spark's 10,000.
-BATCH_ROWS = 1000
+#: Rows and bytes of an Arrow batch; texts are long, so fewer rows than Spark's 10,000. A longer text is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 _U = np.uint64
 
@@ -76,14 +76,15 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
 
 
 def map_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow`` in batches of bounded rows, whose worker gives memory back when a task ends.
+    """``df.mapInArrow`` in batches of bounded rows and bytes, whose worker gives memory back when a task ends.
 
-    Workers live on from task to task, beside the executor's heap. The number of rows is a setting of the
-    session and is only lowered.
+    Workers live on from task to task, beside the executor's heap. Both bounds are settings of the
+    session, read when the frame runs, and are only lowered.
     """
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
-        conf.set(key, str(BATCH_ROWS))
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        if not 0 < _size(conf.get(key)) <= most:
+            conf.set(key, str(most))
 
     @wraps(run)
     def bounded(batches):
@@ -95,6 +96,12 @@ def map_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(bounded, schema)
 
 
+def _size(value: str) -> int:
+    """A setting as a number; one that is not written in digits alone counts as none."""
+    digits = value.lower().removesuffix("b")
+    return int(digits) if digits.isdigit() else 0
+
+
 def give_back() -> None:
     """Return freed memory of this process to the system."""
     pa.default_memory_pool().release_unused()

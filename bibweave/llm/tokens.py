@@ -1,14 +1,16 @@
 """Token ids of whole texts by a public tokenizer, with a per-worker memory of words.
 
-The tokenizer's own splitting never joins characters across ASCII white space, nor a
+A tokenizer whose rules are those of ``_RULES`` never joins characters across ASCII white space, nor a
 letter with a following punctuation mark of ``_CUT``. So a text's ids are those of its
 pieces, and each distinct piece is given to the library once per worker. Texts that hold
-the start of a special token are given to the library whole.
+the start of a special token are given to the library whole, and so are all texts of a
+tokenizer with other rules.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,25 @@ _LATIN_TAIL = np.array([0x80 <= i <= 0xBF and i not in (0x97, 0xB7) for i in ran
 _CUT = np.array([chr(i) in ".,;:!?*#$%&" for i in range(256)])
 
 
+# The normaliser and the splitting for which pieces can be encoded one by one, as the library states them.
+_RULES = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+)
+
+
+def _by_pieces(library) -> bool:
+    """Whether a tokenizer has the rules under which pieces can be encoded one by one."""
+    parts = library.normalizer, library.pre_tokenizer
+    return all(p is not None and json.loads(p.__getstate__()) == rule for p, rule in zip(parts, _RULES))
+
+
 def _byte_letters() -> dict[int, str]:
     """The printable stand-in of each byte in byte-level vocabularies: itself, or the next free code from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -47,6 +68,7 @@ class Encoder:
     def __init__(self, path: str):
         self.library = _library(path)
         self.model = self.library.model
+        self.by_pieces = _by_pieces(self.library)
         self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self._forget()
 
@@ -63,7 +85,7 @@ class Encoder:
         text = piece.decode()
         if text.isascii():
             if text.isalpha():
-                return [t.id for t in self.model.tokenize(text)]
+                return [t.id for t in self.model.tokenize(text.lower())]
         elif text.isalpha() and max(text) <= "\u024f" and "\u0130" not in text:
             return [t.id for t in self.model.tokenize(text.lower().translate(_LATIN))]
         return self.library.encode(text, add_special_tokens=False).ids
@@ -121,6 +143,7 @@ class Encoder:
         cut[1:] = _CUT[low[1:]] & _LETTER[low[:-1]]
         # letters of the second Latin block: C3 80 to C3 BF but for the signs at 97 and B7
         cut[2:] |= _CUT[low[2:]] & _LATIN_TAIL[low[1:-1]] & (low[:-2] == 0xC3)
+        cut[words.start] = False  # a row may begin with a mark, after the letter that ends the one before
         start, end = cut.copy(), cut
         start[words.start] = True
         words.start = np.flatnonzero(start)
@@ -147,6 +170,10 @@ class Encoder:
 
     def rows(self, column: pa.Array):
         """Ids of each row of a string column; nulls are empty."""
+        if not self.by_pieces:
+            for text in column:
+                yield np.array(self.library.encode(text.as_py() or "", add_special_tokens=False).ids, dtype=np.uint32)
+            return
         for _, _, data, offsets in slices(column):
             ids, bounds = self.encode(data, offsets)
             special = None

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from bibweave.llm import ans, html_extract, packing
+from bibweave.llm import ans, html_extract, packing, textvec
 from bibweave.llm.html_blocks import blocks, features
 from bibweave.llm.html_pages import labelled_pages
 from bibweave.llm.queries import tokenizer_path
@@ -39,6 +39,26 @@ def test_encoder_that_forgets(monkeypatch):
     assert [list(x) for t in texts for x in encoder.rows(pa.array([t]))] == want
 
 
+def test_random_rows_equal_the_library():
+    # letters of many scripts, marks that cut words, white space and contractions, with many rows to a slice
+    r = random.Random(11)
+    bits = [*"aBzQßéÉüÜñİıŉǅªºµÀÿʼΣςжЖ日本हि가ᄀ\u0301\u030c\u200d\u0085\x1c\x00123٣½“”–…🙂𝐀ﬁÅΩ", *".,;:!?*#$%&()[]<>@/|-_=+~'\"^", *"  \n\t  ", "the", "Dr", "U.S", "'s", "'LL", "'t"]
+    rows = ["".join(r.choice(bits) for _ in range(r.choice([0, 1, 2, 4, 8, 14]))) for _ in range(20_000)]
+    rows += [x for m in ".,;:!?*#$%&" for e in ("hello", "É", "Paris", "1", "") for x in (e, m + " Heading", e + m + "“x”", m)]
+    rows += ["Dr.Müller", "Paris,“quoted”", "U.S.–China", "Read:https://é.org"]
+    want = [e.ids for e in Tokenizer.from_file(tokenizer_path()).encode_batch(rows, add_special_tokens=False)]
+    assert [list(x) for x in Encoder(tokenizer_path()).rows(pa.array(rows))] == want
+
+
+def test_other_tokenizers_are_used_whole():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = ["Hello  World. It's", None, "", "a\n\nb Müller"]
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch([x or "" for x in rows], add_special_tokens=False)]
+    assert [list(x) for x in Encoder(path).rows(pa.array(rows))] == want
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 1024, 1025, 70_000])
 def test_block_round_trip(n):
     ids = (np.random.default_rng(n).zipf(1.4, n) % 5000).astype(np.uint32)
@@ -76,8 +96,34 @@ def test_token_files_round_trip(spark, tmp_path):
         at += r["n_tokens"]
     ans.write_tokens(docs.where("false"), str(tmp_path / "e"), tokenizer_path())
     assert ans.read_tokens(spark, str(tmp_path / "e")).count() == 0
-    with pytest.raises(Exception, match="without an id"):
-        ans.write_tokens(spark.createDataFrame([(None, "x")], "doc_id long, text string"), str(tmp_path / "n"), tokenizer_path())
+    ans.write_tokens(spark.createDataFrame([(3, "c"), (None, "x"), (-5, "a"), (None, "y z"), (3, "c")], "doc_id long, text string"), str(tmp_path / "n"), tokenizer_path())
+    got = ans.read_tokens(spark, str(tmp_path / "n")).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == [None, None, -5, 3, 3] and [r["start"] for r in got] == [0, 2, 5, 7, 9]
+
+
+def test_spans_are_read_from_checkpoints(spark, tmp_path, monkeypatch):
+    ids = (np.random.default_rng(1).zipf(1.5, 9_000) % 300).astype(np.uint32)
+    table = ans.Table(ans.scaled_frequencies(np.bincount(ids, minlength=300)))
+    block = ans.Block(ans.encode_block([1], [len(ids)], ids, 0, table, lanes=16, segment=1000), table)
+    seen = []
+    monkeypatch.setattr(block, "segment", lambda i, decode=block.segment: (seen.append(i), decode(i))[1])
+    for lo, hi in ((0, 9000), (2500, 2600), (999, 1001), (8999, 20_000), (5, 5)):
+        seen.clear()
+        assert (block.tokens(lo, hi) == ids[lo:hi]).all() and seen == list(range(lo // 1000, -(-min(hi, 9000) // 1000))) * (hi > lo)
+    docs = spark.createDataFrame([(i, f"word{i} " * 50) for i in range(200)], "doc_id long, text string")
+    ans.write_tokens(docs, str(tmp_path / "t"), tokenizer_path(), block_tokens=3000)
+    flat = [i for r in ans.read_tokens(spark, str(tmp_path / "t")).orderBy("start").collect() for i in r["ids"]]
+    for lo, n in ((0, 10), (2990, 5000), (len(flat) - 3, 100), (len(flat), 5)):
+        assert [i for r in ans.read_span(spark, str(tmp_path / "t"), lo, n).orderBy("start").collect() for i in r["ids"]] == flat[lo : lo + n]
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+
+    found = textvec.map_batches(spark.range(0, 60, 1, 1).selectExpr("repeat('x', 4000000) as t"), sizes, "n long").collect()
+    assert sum(r["n"] for r in found) == 60 and max(r["n"] for r in found) <= 5
 
 
 @pytest.mark.parametrize("n", [0, 1, 7, 400])
@@ -99,7 +145,7 @@ def test_best_fit_matches_brute_force(n):
 
 
 def test_packed_documents(spark):
-    rows = [(1, None), (2, ""), (2, "a b"), (None, "a b c"), (3, "word " * 5000), (4, "x y z")]
+    rows = [(1, None), (2, ""), (2, "a b"), (None, "a b c"), (3, "word " * 5000), (4, "x y z"), (5, "hello"), (6, "# Heading"), (7, "Dr.Müller"), (8, ".")]
     docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
     docs = docs.withColumn("start", F.lit("clash")).withColumn("length", F.lit(0))
     got = packing.pack_documents(docs, tokenizer_path(), shard_docs=60).collect()
@@ -121,6 +167,13 @@ def test_packed_documents(spark):
     assert packing.pack_documents(docs.where("false"), tokenizer_path()).count() == 0
 
 
+def test_repeated_rows_spread_over_shards(spark):
+    docs = spark.createDataFrame([(None, "x")] * 400, "doc_id long, text string")
+    got = packing.pack_documents(docs, tokenizer_path(), shard_docs=50).collect()
+    assert len(got) == 400 and len({r["sequence_id"] >> 32 for r in got}) == 8
+    assert packing.pack_documents(docs.where("false"), tokenizer_path()).count() == 0
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; U</title><style>p{}</style><script>var a="</p>";</script></head><body>
 <nav><ul><li><a href="/a">Home</a></li><li><a href="/b">Shop</a></li></ul></nav><div class="cookie-notice">We use cookies here, please agree.</div>
 <article><h1>Big&nbsp;title</h1><p><b>First &lt;part&gt; of the story,
