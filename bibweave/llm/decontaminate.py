@@ -1,12 +1,15 @@
 """Benchmark decontamination by template windows, with DataFrame operations only.
 
-Texts are brought to templates: numbers, names (capitalised words within a sentence) and
-units after a number become typed placeholders, all else lower-cased words. Windows of ``WINDOW`` template
-words are hashed; benchmark items give every window, documents every ``STRIDE``-th, so any shared stretch
-of WINDOW + STRIDE - 1 words is found. The matches of one alignment count if their slots are
-consistent: each value of the item stands for one value of the document and the other way
-round. Where they are not, windows with equal values count. Windows made mostly of placeholders
-are hashed on their actual words, so they match where those are equal.
+Texts are brought to templates: numbers, names (capitalised words) and units after a number become
+typed placeholders, all else lower-cased words. Every window of ``WINDOW`` template words of an item meets
+every such window of a document by its hash; an item shorter than a window is one window of its own
+length. The matches of one alignment count if their slots are consistent: each value of the item stands for
+one value of the document and the other way round. Where they are not, windows with equal values
+count. Windows made mostly of placeholders are hashed on their actual words, so they match where those are equal.
+
+Most documents match nothing, and a cheaper test finds them: a window of n words holds, wherever it stands,
+one run of n - step + 1 words that begins at a multiple of ``step``. Documents give only those runs, and the ones
+that share none with an item's runs are left out before any window is made. The test loses no match.
 """
 
 from __future__ import annotations
@@ -17,127 +20,121 @@ from pyspark.sql import functions as F
 from bibweave.llm.rows import without
 from bibweave.plans.scratch import materialize
 
-WINDOW, STRIDE = 8, 4
+WINDOW = 8
 #: Least words of a window that are no placeholders; windows with fewer match by their actual words.
 LITERAL = 4
-#: Benchmark windows that may be broadcast (some 100 bytes each); with more, Spark chooses the join.
-BROADCAST_WINDOWS = 1 << 20
+#: Windows of the benchmark (some 100 bytes each) and hashes of its runs (8 bytes) that may be broadcast; with more, Spark chooses the join.
+BROADCAST_WINDOWS, BROADCAST_RUNS = 1 << 20, 1 << 22
 #: Units that are replaced after a number.
 UNITS = (
     "mm cm m km inch inches ft feet yard yards mile miles mg g kg lb lbs oz ton tons ml l liter liters litre litres gallon gallons "
     "s sec second seconds min minute minutes h hour hours day days week weeks month months year years "
     "percent dollar dollars euro euros cent cents pound pounds degree degrees c f k mph kmh w kw v hz j n pa mb gb tb"
 )
-#: Stand-ins from the private use area, and the mark before a name; a text's own such characters are dropped.
-_NAME, _NUMBER, _UNIT, _MARK = "\ue000", "\ue001", "\ue002", "\ue003"
+#: Stand-ins from the private use area, which the words of a text cannot hold.
+_NAME, _NUMBER, _UNIT = "\ue000", "\ue001", "\ue002"
 
 
 def words_of(text) -> F.Column:
-    """Words in order, one string with single spaces; a name is marked, a number is one word."""
-    s = F.coalesce(text, F.lit(""))
-    s = F.regexp_replace(s, f"[{_NAME}-{_MARK}]", " ")
-    s = F.regexp_replace(s, r"(?<=\d)[.,](?=\d)", "_")
-    s = F.regexp_replace(s, r"(?<=[\p{Ll}\d,;:] )(?=\p{Lu}\p{Ll})", _MARK)
-    return F.trim(F.regexp_replace(s, r"[^\p{L}\p{N}_]+", " "))
+    """Words of letters, digits and underscores in order, one string with single spaces; a number is one word."""
+    s = F.regexp_replace(F.coalesce(text, F.lit("")), r"[.,](?<=[0-9][.,])(?=[0-9])", "_")
+    return F.trim(F.regexp_replace(s, r"[^\p{L}\p{N}_]+", " "))
 
 
 def template_of(words) -> F.Column:
-    """Placeholders in place of marked names, numbers and units; word by word as many as there are."""
-    s = F.regexp_replace(F.lower(words), _MARK + r"[^ ]+", _NAME)
-    s = F.regexp_replace(s, r"(?<![^ ])[0-9][0-9_]*(?![^ ])", _NUMBER)
-    return F.regexp_replace(s, f"(?<={_NUMBER} )(?:{'|'.join(UNITS.split())})(?![^ ])", _UNIT)
+    """Placeholders in place of capitalised words, numbers and units after one; word by word as many as there are.
 
+    The patterns begin with a character, and look behind it for the word's start, since that fails fastest.
+    """
+    s = F.lower(F.regexp_replace(words, r"\p{Lu}(?<![^ ].)\p{Ll}[^ ]*", _NAME))
+    s = F.regexp_replace(s, r"[0-9](?<![^ ].)[0-9_]*(?= |$)", _NUMBER)
+    return F.regexp_replace(s, f"{_NUMBER} (?:{'|'.join(UNITS.split())})(?= |$)", f"{_NUMBER} {_UNIT}")
 
-def _arrays(df: DataFrame, text_col: str) -> DataFrame:
-    """Adds ``w`` (words) and ``t`` (their templates) and their number ``n``."""
-    df = df.withColumn("_s", words_of(F.col(text_col)))
-    size = F.when(F.col("_s") == "", 0).otherwise(F.size("t"))
-    return df.withColumns({"w": F.split("_s", " "), "t": F.split(template_of(F.col("_s")), " ")}).withColumn("n", size)
 
+def _templates(df: DataFrame, text_col: str) -> DataFrame:
+    """Adds ``t`` (the templates of the words), their number ``n`` and ``s`` (the words, spaced)."""
+    df = df.withColumn("s", words_of(F.col(text_col)))
+    df = df.withColumn("t", F.split(template_of(F.col("s")), " "))
+    return df.withColumn("n", F.when(F.col("s") == "", 0).otherwise(F.size("t")))
 
-def _plain(at, size) -> F.Column:
-    """How many words of a window are no placeholders."""
-    rest = F.slice("t", at + 1, size)
-    for mark in (_NAME, _NUMBER, _UNIT):
-        rest = F.array_remove(rest, mark)
-    return F.size(rest)
 
+def _is_slot(x) -> F.Column:
+    return x.isin(_NAME, _NUMBER, _UNIT)
 
-def _need(size: int, literal: int) -> int:
-    return min(literal, (size + 1) // 2)
 
+def _need(size: int) -> int:
+    """Words of a window that must be no placeholders for it to match by its template."""
+    return min(LITERAL, (size + 1) // 2)
 
-def _hash(at, size: int, step: int, literal: int) -> F.Column:
-    """Hash of a window's template, or of its words (names without their mark) if too few are no placeholders."""
-    whole = F.translate(F.lower(F.array_join(F.slice("w", at + 1, F.lit(size)), " ")), _MARK, "")
-    return F.when(_plain(at, F.lit(size)) >= _need(size, literal), F.xxhash64(F.lit(size), F.lit(step), F.slice("t", at + 1, F.lit(size)))).otherwise(F.xxhash64(F.lit(-size), F.lit(step), whole))
 
+def _step(size: int) -> int:
+    return max(1, size // 2)
 
-def _windows(size: int, step: int, literal: int, every: int | None = None) -> F.Column:
-    """(position, hash) of the windows at every ``step``-th position (or ``every``-th, to meet windows of that step)."""
-    at = F.sequence(F.lit(0), F.col("n") - size, F.lit(every or step))
-    hashed = F.transform(at, lambda i: F.struct(i.alias("at"), _hash(i, size, step, literal).alias("h")))
-    return F.when(F.col("n") >= size, hashed).otherwise(F.array().cast("array<struct<at:int,h:bigint>>"))
 
+def _runs(size: int, step: int) -> F.Column:
+    """Hashes of the runs that every window of ``size`` words holds one of, from every ``step``-th word on."""
+    run = size - _step(size) + 1
+    at = F.sequence(F.lit(1), F.col("n") - run + 1, F.lit(step))
+    return F.when(F.col("n") >= run, F.transform(at, lambda i: F.xxhash64(F.lit(size), F.slice("t", i, F.lit(run))))).otherwise(F.array().cast("array<bigint>"))
 
-def _slots(at, size: int, literal: int) -> F.Column:
-    """Values at the placeholders of a window, with their kind; none if it is matched by its words."""
-    return F.when(_plain(at, F.lit(size)) >= _need(size, literal), _values(at, F.lit(size))).otherwise(F.array().cast("array<string>"))
 
+def _windows(size: int) -> F.Column:
+    """``at, h, slots, literal`` of every window: the hash of its template, or of its words where ``literal`` is too small.
 
-def _values(at, size) -> F.Column:
-    pairs = F.arrays_zip(F.slice("t", at + 1, size).alias("k"), F.slice("w", at + 1, size).alias("v"))
-    held = F.filter(pairs, lambda p: p["k"].isin(_NAME, _NUMBER, _UNIT))
-    return F.transform(held, lambda p: F.concat(p["k"], F.lower(p["v"])))
+    ``slots`` are the values at its placeholders with their kind, and none if it is matched by its words.
+    """
 
+    def window(i):
+        t, w = F.slice("t", i + 1, F.lit(size)), F.slice("w", i + 1, F.lit(size))
+        literal = F.size(F.filter(t, lambda x: ~_is_slot(x)))
+        held = F.filter(F.arrays_zip(t.alias("k"), w.alias("v")), lambda p: _is_slot(p["k"]))
+        slots = F.transform(held, lambda p: F.concat(p["k"], p["v"]))
+        by_template = literal >= _need(size)
+        h = F.when(by_template, F.xxhash64(F.lit(size), t)).otherwise(F.xxhash64(F.lit(-size), t, w))
+        slots = F.when(by_template, slots).otherwise(F.array().cast("array<string>"))
+        return F.struct(i.alias("at"), h.alias("h"), slots.alias("slots"), literal.alias("literal"))
 
-def _sizes(items: DataFrame, window: int, stride: int) -> list[tuple[int, int]]:
-    """(words, stride) of the windows: the common one, and the whole length of items too short for it."""
-    short = items.where(F.col("n").between(1, window + stride - 2)).select(F.least("n", F.lit(window)).alias("n")).distinct().collect()
-    return sorted({(window, stride)} | {(r["n"], 1) for r in short if r["n"] < window} | ({(window, 1)} if any(r["n"] == window for r in short) else set()))
+    made = F.transform(F.sequence(F.lit(0), F.col("n") - size), window)
+    return F.when(F.col("n") >= size, made).otherwise(F.array().cast("array<struct<at:int,h:bigint,slots:array<string>,literal:int>>"))
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-    window: int = WINDOW, stride: int = STRIDE, literal: int = LITERAL,
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW,
 ) -> DataFrame:
     """Pairs of documents and benchmark items that share consistent template windows.
 
-    Returns ``doc_id, item_id, n_windows`` (consistent matches) and ``n_exact`` (those with
+    Returns ``doc_id, item_id, n_windows`` (pairs of equal windows that count) and ``n_exact`` (those with
     equal slot values). Items shorter than a window are matched as a whole: by template if half of
-    their words, and at least one, are no placeholders, else by their actual words if one is no number or unit. Null and empty texts match nothing; rows with a null id take
-    no part. Repeated rows add to the windows of their id; repeated items count once per item id.
+    their words are no placeholders, else by their actual words, if one is no number or unit. What an item
+    matches does not depend on the other items. Null and empty texts match nothing; rows with a null id take
+    no part. Repeated rows add to the windows of their id; repeated items count once per item id. Other columns are ignored.
     """
-    items = _arrays(benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("_x")).where("item_id is not null"), "_x")
-    items = materialize(items.select("item_id", "w", "t", "n"), "items")
-    sizes = _sizes(items, window, stride)
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_x")).where("doc_id is not null and _x is not null")
-    rows, asked = _arrays(base, "_x").select("doc_id", "w", "t", "n"), []
-    for size, step in sizes:
-        # every item asks windows of one size, met at one step
-        mine = F.col("n") == size if size < window else F.col("n") >= window + stride - 1 if step == stride else F.col("n").between(window, window + stride - 2)
-        found = items.where(mine).select("item_id", "w", "t", "n", F.explode(_windows(size, step, literal, every=1)).alias("x")).select("item_id", "w", "t", F.col("x.at").alias("at"), F.col("x.h").alias("h"))
-        found = found.withColumn("size", F.lit(size)).withColumn("slots", _slots(F.col("at"), size, literal))
+    items = _templates(benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("x")).where("item_id is not null"), "x")
+    items = materialize(items.select("item_id", "t", "n", F.split(F.lower("s"), " ").alias("w")).where("n > 0").withColumn("size", F.least("n", F.lit(window))), "items")
+    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("x")).where("doc_id is not null and x is not null")
+    if not sizes:
+        return base.where("false").selectExpr("doc_id", "cast(null as bigint) as item_id", "0l as n_windows", "0l as n_exact")
+    asked, runs = [], []
+    for size in sizes:
+        own = items.where(F.col("size") == size)
+        made = own.select("item_id", "size", "t", F.explode(_windows(size)).alias("x")).select("item_id", "size", "t", "x.*")
         if size < window:
-            named = F.array_contains(F.slice("t", F.col("at") + 1, F.lit(size)), _NAME)
-            found = found.where((_plain(F.col("at"), F.lit(size)) >= F.lit(_need(size, literal))) | named)
-        asked.append(found.select("h", "size", "item_id", F.col("at").alias("item_at"), "slots").distinct())
-    wanted = asked[0]
-    for more in asked[1:]:
-        wanted = wanted.unionByName(more)
-    wanted = materialize(wanted, "windows")
-    keys = wanted.select("h").distinct()
-    small = wanted.count() <= BROADCAST_WINDOWS
-    held = F.concat(*(_windows(s, k, literal) for s, k in sizes)) if len(sizes) > 1 else _windows(*sizes[0], literal)
-    # first only hashes and ids meet the benchmark, so no text is copied per window
-    hits = rows.select("doc_id", F.explode(F.array_distinct(F.transform(held, lambda x: x["h"]))).alias("h"))
-    hits = materialize(hits.join(F.broadcast(keys) if small else keys, "h", "left_semi").select("doc_id").distinct(), "hits")
-    some = rows.join(F.broadcast(hits) if hits.count() <= BROADCAST_WINDOWS else hits, "doc_id", "left_semi")
-    parts = []
-    for size, step in sizes:
-        at = F.col("x.at")
-        part = some.select("doc_id", "w", "t", F.explode(_windows(size, step, literal)).alias("x"))
-        parts.append(part.select("doc_id", F.col("x.h").alias("h"), at.alias("at"), F.lit(size).alias("size"), _slots(at, size, literal).alias("own")))
+            made = made.where((F.col("literal") >= _need(size)) | F.array_contains("t", _NAME))
+        asked.append(made.select("h", "size", "item_id", F.col("at").alias("item_at"), "slots").distinct())
+        runs.append(own.select(F.explode(_runs(size, 1)).alias("h")))
+    wanted, keys = asked[0], runs[0]
+    for more, other in zip(asked[1:], runs[1:]):
+        wanted, keys = wanted.unionByName(more), keys.unionByName(other)
+    wanted, keys = materialize(wanted, "windows"), materialize(keys.distinct(), "runs")
+    small, few = wanted.count() <= BROADCAST_WINDOWS, keys.count() <= BROADCAST_RUNS
+    # only hashes and ids of the documents' runs meet the benchmark's
+    held = [_runs(size, _step(size)) for size in sizes]
+    given = _templates(base, "x").select("doc_id", F.explode(F.concat(*held) if len(held) > 1 else held[0]).alias("h"))
+    hits = materialize(given.join(F.broadcast(keys) if few else keys, "h", "left_semi").select("doc_id").distinct(), "hits")
+    some = _templates(base.join(F.broadcast(hits) if hits.count() <= BROADCAST_WINDOWS else hits, "doc_id", "left_semi"), "x")
+    some = some.select("doc_id", "t", "n", F.split(F.lower("s"), " ").alias("w"))
+    parts = [some.select("doc_id", F.explode(_windows(size)).alias("x")).select("doc_id", F.lit(size).alias("size"), "x.at", "x.h", F.col("x.slots").alias("own")) for size in sizes]
     found = parts[0]
     for more in parts[1:]:
         found = found.unionByName(more)
@@ -155,5 +152,8 @@ def contaminated(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **params) -> DataFrame:
-    """``docs`` without the documents that :func:`contaminated` pairs with an item; columns stay as they are."""
+    """``docs`` without the documents that :func:`contaminated` pairs with an item.
+
+    Columns stay as they are, and so do rows with a null id or a null or empty text; all rows of an id go together.
+    """
     return without(docs, contaminated(docs, benchmark, id_col, **params).select("doc_id"), id_col)

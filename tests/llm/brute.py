@@ -50,14 +50,11 @@ def boilerplate(rows, ratio, least):
 
 def template(text, units):
     """(template, word) of every word, as the canonical form defines them."""
-    s = re.sub(r"(?<=\d)[.,](?=\d)", "_", text or "")
-    out, at = [], 0
-    for m in re.finditer(r"[^\W_]+(?:_+[^\W_]*)*|_+[^\W_]*", s):
-        word = m[0]
-        before = s[at : m.start()]
-        name = word[0].isupper() and len(word) > 1 and word[1].islower() and m.start() > 1 and s[m.start() - 1] == " " and (s[m.start() - 2].islower() or s[m.start() - 2] in ",;:" or s[m.start() - 2].isdigit())
+    s = re.sub(r"(?<=[0-9])[.,](?=[0-9])", "_", text or "")
+    out = []
+    for word in re.findall(r"\w+", s):
         low = word.lower()
-        if name:
+        if len(word) > 1 and word[0].isupper() and word[1].islower():
             out.append(("<name>", low))
         elif re.fullmatch(r"[0-9][0-9_]*", low):
             out.append(("<number>", low))
@@ -65,28 +62,42 @@ def template(text, units):
             out.append(("<unit>", low))
         else:
             out.append((low, low))
-        at = m.end()
-        del before
     return out
 
 
-def contaminated(docs, items, units, window=8, stride=4, literal=4):
-    """Pairs (document, item) with consistent windows, for items long enough for a window and its stride."""
-    found = set()
+def contaminated(docs, items, units, window=8, least=4):
+    """(document, item) -> (windows that count, those with equal values), by comparing all windows of both."""
+    found = {}
     marks = {"<name>", "<number>", "<unit>"}
+    asked = {}
+    for i, item in items.items():
+        u = template(item, units)
+        size = min(window, len(u))
+        plain = sum(x[0] not in marks for x in u)
+        if size and (size == window or plain >= min(least, (size + 1) // 2) or any(x[0] == "<name>" for x in u)):
+            asked[i] = size, [(b, u[b : b + size]) for b in range(len(u) - size + 1)]
+    at = {}
+    for i, (size, wins) in asked.items():
+        for b, win in wins:
+            at.setdefault((size, tuple(x[0] for x in win)), []).append((i, b, win))
     for d, text in docs.items():
         t = template(text, units)
-        for i, item in items.items():
-            u = template(item, units)
-            shifts = defaultdict(list)
-            for a in range(0, len(t) - window + 1, stride):
-                for b in range(len(u) - window + 1):
-                    if all(t[a + k][0] == u[b + k][0] for k in range(window)) and sum(x[0] not in marks for x in u[b : b + window]) >= literal:
-                        shifts[a - b].append([(u[b + k][1], t[a + k][1]) for k in range(window) if u[b + k][0] in marks])
-            for wins in shifts.values():
-                pairs = {p for w in wins for p in w}
-                if len(pairs) == len({p[0] for p in pairs}) == len({p[1] for p in pairs}) or any(all(x == y for x, y in w) for w in wins):
-                    found.add((d, i))
+        shifts = defaultdict(list)
+        for size in {s for s, _ in asked.values()}:
+            for a in range(len(t) - size + 1):
+                own = t[a : a + size]
+                for i, b, win in at.get((size, tuple(x[0] for x in own)), ()):
+                    by_words = sum(x[0] not in marks for x in win) < min(least, (size + 1) // 2)
+                    same = own == win
+                    if same or not by_words:
+                        shifts[i, a - b].append((same, set() if by_words else {(x[0], x[1], y[1]) for x, y in zip(win, own) if x[0] in marks}))
+        for (i, _), wins in shifts.items():
+            pairs = {p for _, w in wins for p in w}
+            consistent = len(pairs) == len({p[:2] for p in pairs}) == len({(p[0], p[2]) for p in pairs})
+            exact = sum(same for same, _ in wins)
+            if consistent or exact:
+                n, e = found.get((d, i), (0, 0))
+                found[d, i] = n + (len(wins) if consistent else exact), e + exact
     return found
 
 
