@@ -15,12 +15,15 @@ _PAIR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)
 _MAY_HIDE = re.compile(r"hidden|display", re.I)
 _NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-#: Elements whose text is never content; raw ones end only at their own end tag.
+#: Elements whose text is never shown, or belongs to a form; raw ones end only at their own end tag.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-SKIPPED = frozenset("head noscript template svg select button option canvas audio video map".split())
+SKIPPED = frozenset("head noscript template select button option canvas audio video desc metadata defs symbol".split())
+#: Parts of a drawing that are not drawn; they may be closed by a slash, and end with the drawing.
+UNDRAWN = frozenset("desc metadata defs symbol".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mpadded mphantom menclose mspace mtable mtr mtd merror semantics "
+    "svg g path rect circle ellipse line polyline polygon use tspan textpath image map "
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 #: Source of a formula, beside what is shown of it.
@@ -126,7 +129,11 @@ def blocks(page: str) -> list[Block]:
             close = None if closing else re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = close.end() if close else at
             continue
+        if name in UNDRAWN and not closing and (m["attrs"] or "").rstrip().endswith("/"):
+            continue
         if name in INLINE:
+            while closing and name == "svg" and stack and stack[-1][0] in UNDRAWN:
+                pop()
             if name == "a":
                 state[0] = 0 if closing else 1
             continue
@@ -213,13 +220,13 @@ def features(found: list[Block]) -> list[list[int]]:
             f.append(_AT["stop_end"])
         if "," in text:
             f.append(_AT["has_comma"])
-        low = text[:400].lower()
+        low = text.lower()
         if "©" in text or "copyright" in low or "all rights reserved" in low:
             f.append(_AT["rights"])
         link = b.linked / len(text)
         if link > 0.1:
             f.append(_AT["all_link" if link > 0.8 else "half_link" if link > 0.4 else "some_link"])
-        if not any(c.isalpha() for c in text[:200]):
+        if not any(c.isalpha() for c in text):
             f.append(_AT["letterless"])
         if sizes[k] < 6 and text.isupper():
             f.append(_AT["lone_upper"])

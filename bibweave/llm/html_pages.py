@@ -116,7 +116,7 @@ class _Maker:
                 getattr(self, kind)()
 
     # the article
-    def article(self) -> None:
+    def article(self, most: int = 12) -> None:
         style = self.r.randint(0, 5)
         outer = []
         if style == 0:
@@ -128,7 +128,7 @@ class _Maker:
             h = self.r.choice(["h1", "h1", "h2"])
             wrap = self.r.random() < 0.25
             self.add("<header>" * wrap, f"<{h}>{self.text(self.sentence() if self.r.random() < 0.5 else self.words(1, 9), 1)}</{h}>", "</header>" * wrap)
-        for _ in range(self.r.randint(1, 12)):
+        for _ in range(self.r.randint(1, most)):
             x = self.r.random()
             if x < 0.66:
                 self.add(self.r.choice(["<p>", "<p>", "<p><b>"]), self.paragraph(1, 7), self.r.choice(["</p>", "</p>", "</p>", "", "<br>"]))
@@ -153,13 +153,16 @@ class _Maker:
 
     def page(self) -> tuple[str, list[tuple[str, int]]]:
         self.add(f"<!DOCTYPE html><html><head><title>{self.words(1, 6)}</title></head><body>")
+        bare = self.r.random() < 0.12  # an article and nothing else
         wrap = self.r.random() < 0.3
         self.add('<div class="wrapper">' * wrap)
-        self.around("header nav notice ad form sidebar")
-        self.article()
-        self.around("ad sidebar comments form notice nav")
-        if self.r.random() < 0.85:
-            self.footer()
+        if not bare:
+            self.around("header nav notice ad form sidebar")
+        self.article(self.r.choice([1, 2, 12]) if bare else 12)
+        if not bare:
+            self.around("ad sidebar comments form notice nav")
+            if self.r.random() < 0.85:
+                self.footer()
         self.add("</div>" * wrap, "</body></html>")
         return "".join(self.html), self.labels
 

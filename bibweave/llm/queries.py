@@ -124,7 +124,7 @@ WITH p AS (
   FROM (SELECT r, source, ls, unnest(range(1, len(ls) + 1)) AS i FROM p)
 ), c AS (
   SELECT l.source, bare FROM l JOIN (SELECT source, count(*) AS n FROM p GROUP BY source) t ON t.source IS NOT DISTINCT FROM l.source
-  WHERE bare <> '' GROUP BY l.source, bare, t.n HAVING count(DISTINCT r) >= 5 AND count(DISTINCT r) > 0.05 * t.n
+  WHERE bare <> '' GROUP BY l.source, bare, t.n HAVING count(DISTINCT r) >= 2 AND count(DISTINCT r) > 0.05 * t.n
 ), k AS (
   SELECT l.r, l.i, l.line, c.bare IS NOT NULL AS dull FROM l LEFT JOIN c ON c.source IS NOT DISTINCT FROM l.source AND c.bare = l.bare
 ), g AS (

@@ -18,5 +18,8 @@ def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the rows whose id is in the one column of ``ids``; rows with a null id stay."""
-    bad = materialize(ids.toDF("_bad").distinct(), "rejected")
-    return docs.join(bounded_broadcast(bad), docs[id_col] == F.col("_bad"), "left_anti")
+    name = "bad"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    bad = materialize(ids.toDF(name).distinct(), "rejected")
+    return docs.join(bounded_broadcast(bad), F.col(id_col) == F.col(name), "left_anti")

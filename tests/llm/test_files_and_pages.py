@@ -194,6 +194,33 @@ def test_main_text(field):
         assert isinstance(html_extract.main_text(odd, field), str)
 
 
+LONG = "The story goes on with many words, and with commas, so that it reads like one. " * 8
+
+
+@pytest.mark.parametrize("attrs", ['class="overflow-hidden"', 'aria-hidden="false"', 'class="post hidden-sm"', 'title="the hidden river"', 'data-hidden="no"', 'style="overflow:hidden"', "class=hidden-body"])
+def test_attributes_that_hide_nothing(field, attrs):
+    page = f"<html><body><nav><a href=/>Home</a></nav><article {attrs}><h1>Title of it</h1><p>{LONG}</p></article></body></html>"
+    assert LONG.strip() in html_extract.main_text(page, field)
+
+
+@pytest.mark.parametrize("attrs", ["hidden", 'aria-hidden="true"', 'style="color:red; display : none"', "HIDDEN=''"])
+def test_attributes_that_hide(field, attrs):
+    page = f"<html><body><article><p>{LONG}</p><div {attrs}>Secret words, not to be seen by anyone at all.</div></article></body></html>"
+    assert html_extract.main_text(page, field) == LONG.strip()
+
+
+def test_content_of_an_article_stays(field):
+    # formulas, drawings, maps and objects are content; what is not drawn is not
+    inner = f"<p>{LONG}Formula <math><mi>x</mi> = <mi>y</mi> + 1</math> holds <svg><defs/><desc>no</desc><g><path d=''/></g></svg>here. <map name=m>Within a map.</map> <svg><defs><symbol>no</svg>End.</p>"
+    got = html_extract.main_text(f"<body><article>{inner}</article></body>", field)
+    assert got == LONG + "Formula x = y + 1 holds here. Within a map. End."
+    long = "word " * 400
+    assert blocks(f"<p>{long}© all rights reserved</p>")[0].text.endswith("reserved")
+    names = html_extract.NAMES
+    assert names.index("rights") in features(blocks(f"<p>{long}, Copyright of us</p>"))[0]
+    assert names.index("letterless") not in features(blocks(f"<p>{'1 ' * 300}letters</p>"))[0]
+
+
 def test_field_on_unseen_pages(field):
     wrong = total = 0
     for page, truth in labelled_pages(80, seed=31):

@@ -32,7 +32,7 @@ def test_stages(spark):
     good, lined, unique, clean, packed = kept
     low = {r["doc_id"] for r in score_quality(raw, spark.read.parquet(f"{DATA}/labels.parquet")).where("score < 0.3").collect()}
     assert set(texts(good)) == set(texts(raw)) - low and low
-    dull = brute.boilerplate([(r["source"], r["text"]) for r in good.collect()], 0.05, 5)
+    dull = brute.boilerplate([(r["source"], r["text"]) for r in good.collect()], 0.05, 2)
     for r in good.collect():
         want = "\n".join(x for x in r["text"].split("\n") if x.strip(" \t\n\x0b\x0c\r") not in dull.get(r["source"], ()))
         assert texts(lined)[r["doc_id"]] == want

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -12,6 +13,7 @@ from bibweave.llm import decontaminate as dc
 from bibweave.llm import licenses, minhash, quality, sentences, textvec
 from bibweave.llm.exact import exact_duplicates
 from bibweave.llm.lines import drop_boilerplate
+from bibweave.llm.rows import without
 from tests.conftest import DATA
 from tests.llm import brute
 
@@ -108,6 +110,19 @@ def test_exact_duplicates(spark):
     assert exact_duplicates(frame(spark, {1: "a"}).where("false")).count() == 0
 
 
+def test_exact_duplicates_with_hot_texts_and_beginnings(spark):
+    r = random.Random(5)
+    same = "A beginning that very many texts share, "
+    rows = [(i, r.choice(["hot text", "hot  text", same + "hot", same + str(r.randrange(40)), "own " + str(r.randrange(300)), "", None])) for i in range(900)]
+    rows += [(None, "hot text")] * 30 + [(5, "hot text")] * 30 + [(901, same + "x " * 30_000), (902, same + "x  " * 30_000)]
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(re.sub(" +", " ", t or ""), []).append(i)
+    want = sorted(((-1 if i is None else i), min(x for x in g if x is not None), len(g)) for g in groups.values() for i in g)
+    got = exact_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), least_hot=5, hot_share=50).collect()
+    assert sorted(((-1 if r["doc_id"] is None else r["doc_id"]), r["keep_id"], r["group_size"]) for r in got) == want
+
+
 def test_lines_match_brute_force(spark):
     r = random.Random(4)
     rows = []
@@ -116,7 +131,7 @@ def test_lines_match_brute_force(spark):
         lines = [f"line {r.randrange(2000)}" for _ in range(r.randrange(6))] + ["  Home | About "] * (r.random() < 0.3) + [""] * r.randrange(2) + ["rare"] * (i % 90 == 0)
         rows.append((i, "\n".join(lines) if i % 40 else None, host))
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_lines", F.lit("clash"))
-    dull = brute.boilerplate([(h, t) for _, t, h in rows], 0.05, 5)
+    dull = brute.boilerplate([(h, t) for _, t, h in rows], 0.05, 2)
     got = {r["doc_id"]: r for r in drop_boilerplate(df).collect()}
     assert any(dull.values()) and len(got) == 300
     for i, text, host in rows:
@@ -126,6 +141,26 @@ def test_lines_match_brute_force(spark):
         assert (got[i]["n_lines"], got[i]["n_dropped"]) == (len(lines), len(lines) - len(kept))
 
 
+def test_lines_of_small_hosts_and_odd_columns(spark, monkeypatch):
+    texts = [(1, "footer\none", "a"), (2, "footer\ntwo", "a"), (3, "footer", "a"), (4, "three\n\nfooter ", "a"), (5, "alone", "b"), (6, None, "c"), (7, "", None), (7, "", None)]
+    rows = [(i, t, h, "1", "2", "3", "4", "5") for i, t, h in texts]
+    names = ["_at", "_rest", "row", "host", "salt"]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names)).withColumn("a.b", F.lit("6"))
+    want = {1: "one", 2: "two", 3: "", 4: "three\n", 5: "alone", 6: None, 7: ""}
+    for most in (1 << 20, 0):  # by broadcast, and by salted hosts
+        monkeypatch.setattr("bibweave.llm.lines.BROADCAST_LINES", most)
+        got = drop_boilerplate(df, hot_share=4).collect()
+        assert len(got) == 8 and {r["doc_id"]: r["text"] for r in got} == want
+        assert all([r[n] for n in [*names, "a.b"]] == list("123456") for r in got)
+    assert drop_boilerplate(df.where("false")).count() == 0
+
+
+def test_removal_by_id_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "x", 2), (2, "y", 1), (None, "z", 1)], "doc_id long, bad string, _bad long")
+    left = without(df, spark.createDataFrame([(1,), (None,)], "i long"))
+    assert left.columns == df.columns and sorted(r["bad"] for r in left.collect()) == ["y", "z"]
+
+
 def test_lines_by_url(spark):
     rows = [(i, "menu\nown " + str(i), f"https://user@Example.org:80/{i}") for i in range(8)] + [(9, "menu", "http://other.org/")]
     got = drop_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, url string"), "url", url=True)
