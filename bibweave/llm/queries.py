@@ -17,7 +17,7 @@ from bibweave.llm.lines import drop_boilerplate
 from bibweave.llm.minhash import near_duplicates
 from bibweave.llm.packing import pack_documents
 from bibweave.llm.quality import held_out, score_quality
-from bibweave.llm.sentences import repeated_passages
+from bibweave.llm.sentences import remove_passages
 from bibweave.plans.scratch import shared_dir
 
 #: Share of a score from which a document is predicted to be of quality.
@@ -48,7 +48,7 @@ def op3_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_passages(_table(spark, sf_dir, "documents"))
+    return remove_passages(_table(spark, sf_dir, "documents"), only_changed=True)
 
 
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,9 +11,9 @@ window is hashed. Runs and windows are joined over the whole
 corpus; the first place of a run (smallest id, then position) stays and the sentences
 of every other place go.
 
-The shuffles carry a hash, an id and a position per sentence, never text. A run that a third
-of all texts share is one row per task after partial aggregation, and the join that
-marks its places is one that adaptive execution can split.
+The shuffles carry a hash, an id and a position per sentence, never text. Runs are made once and
+written. A run that a third of all texts share is one row per task after partial aggregation; runs with over
+1 / ``HOT_SHARE`` of all places are joined by broadcast, so their places stay where they are.
 """
 
 from __future__ import annotations
@@ -25,12 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bibweave.llm.rows import bounded_broadcast
 from bibweave.llm.textvec import map_batches, mix, slices, spaced_words
 from bibweave.llm.textvec import runs as hashed_runs
+from bibweave.plans.scratch import materialize
 
 SENTENCES, WORDS, CUT = 3, 24, 15
 #: Windows of which one is hashed, in stretches without a run.
 SPREAD = 8
+#: A run with over 1 / HOT_SHARE of all places is hot, so at most HOT_SHARE of them are.
+HOT_SHARE = 1000
 
 _U = np.uint64
 _STOP = np.array([chr(i) in ".!?" for i in range(256)])
@@ -102,48 +106,53 @@ def _windows(h: np.ndarray, row: np.ndarray, first: np.ndarray, end: np.ndarray,
 def _runs(sentences: int, words: int):
     def run(batches):
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, versions = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
             for lo, _, data, offsets in slices(batch.column(1)):
                 row, first, size, h = sentence_runs(data, offsets, sentences, words)
-                cols = [h.view(np.int64), ids[lo + row], first.astype(np.int32), size.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["h", "doc_id", "first", "size"])
+                cols = [h.view(np.int64), ids[lo + row], versions[lo + row], first.astype(np.int32), size.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["h", "doc_id", "version", "first", "size"])
 
     return run
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: int = SENTENCES, words: int = WORDS) -> DataFrame:
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: int = SENTENCES, words: int = WORDS, hot_share: int = HOT_SHARE) -> DataFrame:
     """Maximal stretches of words covered by non-first places of repeated runs.
 
-    Returns ``doc_id, first_doc_id`` (the text that keeps the stretch's first run),
-    ``first_word`` (from 0) and ``n_words``. Repeats within a text count too. Null and short
+    Returns ``doc_id, version`` (a hash of the text, for rows that share an id), ``first_doc_id`` (the
+    text that keeps the stretch's first run), ``first_word`` (from 0) and ``n_words``. Repeats within a text count too. Null and short
     texts have no runs. Rows with a null id take no part. Of rows that share an
-    id and hold the same text, none is marked against the other.
+    id and hold the same text, none is marked against the other. Other columns are ignored, an empty table gives no rows.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
-    runs = map_batches(base, _runs(sentences, words), "h long, doc_id long, first int, size int")
-    place = F.struct("doc_id", "first")
-    firsts = runs.groupBy("h").agg(F.min(place).alias("kept"), F.max(place).alias("most")).where("kept < most").select("h", "kept")
-    others = runs.join(firsts, "h").where((F.col("doc_id") != F.col("kept.doc_id")) | (F.col("first") != F.col("kept.first")))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.hash(F.col(text_col)).alias("version")).where("doc_id is not null")
+    runs = materialize(map_batches(base, _runs(sentences, words), "h long, doc_id long, version int, first int, size int"), "runs", compression="zstd")
+    places = runs.groupBy("h").agg(F.min(F.struct("doc_id", "first", "version")).alias("kept"), F.count("*").alias("n")).where("n > 1")
+    places = materialize(places.select("h", "n", "kept"), "places", compression="zstd")
+    limit = runs.count() // hot_share
+    hot = F.broadcast(places.where(F.col("n") > limit))
+    near = runs.join(hot, "h")
+    far = runs.join(hot.select("h"), "h", "left_anti").join(places.where(F.col("n") <= limit), "h")
+    others = near.unionByName(far).where(F.struct("doc_id", "first", "version") != F.col("kept"))
     # a text has at most one entry per word, so its list is bounded by its length
-    spans = others.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("first", "size", F.col("kept.doc_id").alias("other")))).alias("spans"))
-    return map_batches(spans, _merge, "doc_id long, first_doc_id long, first_word long, n_words long")
+    spans = others.groupBy("doc_id", "version").agg(F.sort_array(F.collect_set(F.struct("first", "size", F.col("kept.doc_id").alias("other")))).alias("spans"))
+    return map_batches(spans, _merge, "doc_id long, version int, first_doc_id long, first_word long, n_words long")
 
 
 def _merge(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out: list[list[int]] = [[], [], [], []]
-        for doc, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        out: list[list[int]] = [[], [], [], [], []]
+        for doc, version, spans in zip(*(batch.column(k).to_pylist() for k in range(3))):
             lo = hi = other = None
             for s in [*spans, None]:
                 if s is None or hi is None or s["first"] > hi:
                     if hi is not None:
-                        for col, x in zip(out, (doc, other, lo, hi - lo)):
+                        for col, x in zip(out, (doc, version, other, lo, hi - lo)):
                             col.append(x)
                     if s is None:
                         break
                     lo, hi, other = s["first"], s["first"] + s["size"], s["other"]
                 hi = max(hi, s["first"] + s["size"])
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["doc_id", "first_doc_id", "first_word", "n_words"])
+        kinds = [pa.int64(), pa.int32()] + [pa.int64()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["doc_id", "version", "first_doc_id", "first_word", "n_words"])
 
 
 def _cut(batches):
@@ -156,21 +165,31 @@ def _cut(batches):
                 if not batch.column("text")[lo + row].is_valid:
                     texts.append(None)
                     continue
-                at, parts, base = int(offsets[row]), [], w.bounds[row]
+                at, parts, base, stop = int(offsets[row]), [], w.bounds[row], w.bounds[row + 1]
                 for s in batch.column("spans")[lo + row].as_py() or []:
                     first, end = base + s["first_word"], base + s["first_word"] + s["n_words"]
                     parts.append(raw[at : w.start[first]])
-                    at = int(w.start[end]) if end < w.bounds[row + 1] else int(offsets[row + 1])
+                    at = int(w.start[end]) if end < stop else int(offsets[row + 1])
                 texts.append(b"".join([*parts, raw[at : offsets[row + 1]]]).decode())
         keep = [n for n in batch.schema.names if n not in ("text", "spans")]
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(texts, pa.string())], names=[*keep, "text"])
 
 
-def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
-    """``docs`` with repeated passages cut from their texts: the id and the text, one row per row.
+def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", only_changed: bool = False, **params) -> DataFrame:
+    """``docs`` with repeated passages cut from their texts, one row per row (or per changed row).
 
-    The white space after a cut passage goes with it. Null texts stay null.
+    Returns ``doc_id, first_doc_id`` (the text that keeps the first cut passage), ``n_passages`` and ``n_words`` (cut;
+    0 and null for unchanged rows) and ``text`` (what is left). The white space after a cut passage goes with it. Null
+    texts stay null, rows with a null id stay as they are, rows that share an id are told apart by their texts.
     """
-    cuts = repeated_passages(docs, id_col, text_col, **params).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("first_word", "n_words"))).alias("spans"))
+    found = repeated_passages(docs, id_col, text_col, **params)
+    place = F.struct("first_word", "n_words", "first_doc_id")
+    cuts = found.groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(place)).alias("spans"))
+    cuts = materialize(cuts.select(F.col("doc_id").alias("of"), "version", "spans"), "cuts")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_batches(base.join(cuts, "doc_id", "left"), _cut, "doc_id long, text string")
+    both = base.join(bounded_broadcast(cuts), (F.col("doc_id") == F.col("of")) & (F.hash("text") == F.col("version")), "inner" if only_changed else "left")
+    counted = both.select(
+        "doc_id", F.get("spans", F.lit(0))["first_doc_id"].alias("first_doc_id"), F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_passages"),
+        F.aggregate(F.coalesce("spans.n_words", F.array().cast("array<bigint>")), F.lit(0).cast("long"), lambda a, x: a + x).alias("n_words"), "text", "spans",
+    )
+    return map_batches(counted, _cut, "doc_id long, first_doc_id long, n_passages long, n_words long, text string")

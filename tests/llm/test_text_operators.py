@@ -310,6 +310,24 @@ def test_passages_odd_rows(spark):
     assert sentences.repeated_passages(df.where("false")).count() == 0
 
 
+def test_passages_that_many_texts_share(spark):
+    # hot runs go another way than the others, to the same result; what is left is the texts without them
+    r = random.Random(3)
+    text = lambda n: " ".join(f"q{r.randrange(50_000)}" + "." * (k % 7 == 6) for k in range(n))
+    often, seldom = text(70) + ".", text(70) + "."
+    texts = {i: text(20) + ". " + (often if i % 3 else seldom if i % 30 == 0 else "") + " " + text(10) for i in range(200)}
+    got = [sorted(map(tuple, sentences.repeated_passages(frame(spark, texts), hot_share=n).collect())) for n in (1, 1000, 10**6)]
+    assert got[0] == got[1] == got[2] and len({x[0] for x in got[0]}) == 132 + 6
+    changed = sentences.remove_passages(crowded(spark, texts.items()), only_changed=True).collect()
+    assert {x["doc_id"] for x in changed} == {x[0] for x in got[0]}
+    for x in changed:
+        mine = [y for y in got[0] if y[0] == x["doc_id"]]
+        assert (x["n_passages"], x["n_words"], x["first_doc_id"]) == (len(mine), sum(y[4] for y in mine), mine[0][2])
+        assert len(x["text"].split()) == len(texts[x["doc_id"]].split()) - x["n_words"]
+    again = sentences.remove_passages(spark.createDataFrame([(1, often), (2, often), (2, "short"), (2, None)], "doc_id long, text string")).collect()
+    assert sorted((x["doc_id"], x["text"]) for x in again if x["text"] is not None) == [(1, often), (2, ""), (2, "short")]
+
+
 def test_licenses(spark):
     texts = {
         1: "Released under the MIT License. And mit-license", 2: None, 3: "", 4: "licensed under the GNU General Public License, version 3.",
