@@ -31,8 +31,9 @@ _ONCE = (
 )
 #: The rewrite that agency names are spared.
 _NOT_AGENCY = r"US.*GO.+P.*O"
-# Dates in imprints, and what is cut from an imprint.
-IMPRINT_DATE = r"c?-?[0-9u]{4}\??(\s*(-|i.\s*e.|or)?\s*c?[0-9u]{0,4})\??"
+# Dates in imprints, dates with unknown digits, and what else is cut from an imprint.
+IMPRINT_DATE = r"c?-?\d{4}\??(\s*(-|i.\s*e.|or)?\s*c?\d{0,4})\??"
+OPEN_DATE = r"c?-?[0-9u]{4}\??(\s*(-|i.\s*e.|or)?\s*c?[0-9u]{0,4})\??"
 IMPRINT_JUNK = r"""[,:;\.\-\(\)\[\]\{\}<>\|\$!"'#\*\+/\\]"""
 
 
@@ -112,7 +113,7 @@ def imprint_publishers(s) -> Column:
 
 def canonical_imprint(s) -> Column:
     """Imprint in lower case without dates, marks and sellers; null if no letter is left."""
-    s = F.regexp_replace(F.lower(_col(s)), IMPRINT_DATE, "")
+    s = F.regexp_replace(F.lower(_col(s)), OPEN_DATE, "")
     s = F.regexp_replace(s, IMPRINT_JUNK, " ")
     s = F.regexp_replace(s, "for sale by.+", "")
     s = F.trim(F.regexp_replace(s, " +", " "))

@@ -21,10 +21,10 @@ STOP_WORDS = tuple(
     "DIVISION FOUNDATION GROUP INSTITUTE LABORATORY LIBRARY OFFICE PROGRAM REGION SCHOOL SECTION SERVICE SERVICES SN STAFF STATION SURVEY TEAM US".split()
 )
 KEEP_WORDS = tuple(
-    "ADMIN ADVISORY AGENCY AID AIR ARMED ARMY ATTORNEY BOARD BUREAU CENSUS CENTER CHIEF COMMAND COMMISSION COMMITTEE COMPTROLLER CONGRESS CORPS COUNCIL "
-    "COUNSEL COURT DEFENSE DELEGATION DEPT DIRECTORATE DIVISION EEUU ENDOWMENT ESTADOS UNIDOS FEDERAL FORCE GEOLOGICAL SURVEY GOVT GROUP HEARING INSTITUTE JOINT "
-    "VENTURE LEGISL MANAGEMENT MARINE MARITIME MISSION NATIONAL NAVAL NAVY OFFICE PANEL PEACE POLICY PRESIDENT PROGRAM PROJECT RESERVE RURAL SCIENCE CENTER "
-    "SECRETARY SENATE SERVICE SUPERINTENDENT TASK FORCE TEAM TRADE US VETERAN WAR WHITE HOUSE".split()
+    "ADMIN|ADVISORY|AGENCY|AID|AIR|ARMED|ARMY|ATTORNEY|BOARD|BUREAU|CENSUS|CENTER|CHIEF|COMMAND|COMMISSION|COMMITTEE|COMPTROLLER|CONGRESS|CORPS|COUNCIL|"
+    "COUNSEL|COURT|DEFENSE|DELEGATION|DEPT|DIRECTORATE|DIVISION|EEUU|ENDOWMENT|ESTADOS UNIDOS|FEDERAL|FORCE|GEOLOGICAL SURVEY|GOVT|GROUP|HEARING|INSTITUTE|"
+    "JOINT VENTURE|LEGISL|MANAGEMENT|MARINE|MARITIME|MISSION|NATIONAL|NAVAL|NAVY|OFFICE|PANEL|PEACE|POLICY|PRESIDENT|PROGRAM|PROJECT|RESERVE|RURAL|"
+    "SCIENCE CENTER|SECRETARY|SENATE|SERVICE|SUPERINTENDENT|TASK FORCE|TEAM|TRADE|US|VETERAN|WAR|WHITE HOUSE".split("|")
 )
 # What an agency name must not match, and what excuses it.
 EXCLUDED = (
@@ -95,6 +95,12 @@ def normalized_counts(counts: DataFrame) -> DataFrame:
     return counts.select(normalize_agency("agency").alias("agency"), "c").where("agency <> ''").groupBy("agency").agg(F.sum("c").alias("c"))
 
 
+def candidate_lines(records: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``line``: the id and the stems, tab-separated, of records (``id``, array ``agency``) with an agency in a written map."""
+    found = likely_documents(records, read_agency_map(blocks))
+    return found.select(F.concat_ws("\t", F.col("id").cast("string"), F.array_join("stems", "\t")).alias("line"))
+
+
 def likely_documents(records: DataFrame, mapping: DataFrame) -> DataFrame:
     """``id, stems`` of records (``id``, array ``agency``) whose agencies are in the map; stems spaced, distinct and sorted."""
     asked = records.select("id", F.explode("agency").alias("a")).select("id", normalize_agency("a").alias("agency")).distinct()

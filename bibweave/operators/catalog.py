@@ -72,12 +72,21 @@ def rewrite_values(attrs: DataFrame, attr: str, pattern: str, to: str, where: st
     return changed.groupBy("gd_id", "attr", "str").agg(F.max("marc_field").alias("marc_field"))
 
 
-def delete_file(records: DataFrame, attrs: DataFrame, file_id: int) -> tuple[DataFrame, DataFrame]:
-    """Both tables without the records of one input file."""
-    gone = records.where(F.col("file_id") == file_id).select("gd_id")
+def delete_file(records: DataFrame, attrs: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both tables without the records of some input files (``file_id``)."""
+    gone = records.join(files.select("file_id").distinct(), "file_id", "left_semi").select("gd_id")
     return records.join(gone, "gd_id", "left_anti"), attrs.join(gone, "gd_id", "left_anti")
 
 
+#: Tables that a wipe leaves as they are.
+LASTING = ("strings", "input_files")
+
+
+def wipe(tables: dict[str, DataFrame], lasting=LASTING) -> dict[str, DataFrame]:
+    """The tables of a catalog with all rows taken out, but for the lasting ones; write them over the old ones."""
+    return {name: df if name in lasting else df.where("false") for name, df in tables.items()}
+
+
 def unused_strings(strings: DataFrame, attrs: DataFrame) -> DataFrame:
     """Dictionary entries that no attribute row holds."""
     return strings.join(attrs.select("str").distinct(), "str", "left_anti")

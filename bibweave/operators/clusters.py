@@ -36,6 +36,18 @@ def identifier_clusters(attrs: DataFrame, skip: int = 10, kinds=IDENTIFIERS) ->
     return connected_components(edges, "gd_id", "centre").select(F.col("node").alias("gd_id"), F.col("component").alias("cluster_id"))
 
 
+def traverse(keys: DataFrame) -> DataFrame:
+    """``cluster_id, records, values``: the parts of the graph of records and the values (``attr, str``) that they hold.
+
+    Every value is tied to its smallest record, so a path from record to value to record is one edge.
+    """
+    centre = keys.groupBy("attr", "str").agg(F.min("gd_id").alias("centre"))
+    labels = connected_components(keys.join(centre, ["attr", "str"]), "gd_id", "centre")
+    records = labels.groupBy(F.col("component").alias("cluster_id")).agg(F.count("*").alias("records"))
+    values = centre.join(labels, F.col("centre") == F.col("node")).groupBy(F.col("component").alias("cluster_id")).agg(F.count("*").alias("values"))
+    return records.join(values, "cluster_id")
+
+
 def cluster_relations(records: DataFrame, clusters: DataFrame, gate: int = 25_000) -> DataFrame:
     """Every record's ``relation``: solo, cluster, huge (more than ``gate`` members) or unkeyed."""
     sizes = clusters.groupBy("cluster_id").agg(F.count("*").alias("n"))

@@ -34,9 +34,24 @@ class DrillDown:
 
     def run(self, ids: list[int], tried: list[str] | None = None) -> bool:
         """Whether the last step settled something, which decides if the caller takes ``ids`` whole."""
-        if len(ids) < 2:
-            return False
         tried = [] if tried is None else tried
+        rests: list[list[int]] = []
+        while True:
+            settled, rest = self._split(ids, tried)
+            if len(rest) < 2:
+                break
+            rests.append(rest)
+            ids, tried = rest, []
+        for rest in reversed(rests):
+            if not settled:
+                self.sets.append(tuple(rest))
+            settled = not settled
+        return settled
+
+    def _split(self, ids: list[int], tried: list[str]) -> tuple[bool, list[int]]:
+        """One step: whether all of ``ids`` were settled, and what is left for the next."""
+        if len(ids) < 2:
+            return False, []
         best: list[int] = []
         best_attr = ""
         for attr in [a for a in ORDER if a not in tried]:
@@ -44,20 +59,16 @@ class DrillDown:
                 if len(held) == len(ids):
                     tried.append(attr)
                     self.sets.append(tuple(ids))
-                    return True
+                    return True, []
                 if len(held) > len(best):
                     best, best_attr = held, attr
         if not best:
-            return False
+            return False, []
         tried.append(best_attr)
         if not self.run(best, tried):
             self.sets.append(tuple(best))
         inside = set(best)
-        rest = [i for i in ids if i not in inside]
-        if len(rest) > 1 and not self.run(rest):
-            self.sets.append(tuple(rest))
-            return True
-        return False
+        return False, [i for i in ids if i not in inside]
 
     def shares(self, ids: tuple[int, ...]) -> bool:
         """Whether one value is held by all of ``ids``."""
@@ -77,14 +88,25 @@ def drill_down(values: dict[int, dict[str, list[str]]], prune: bool = True, witn
     if witness:
         sets = [s for s in sets if walk.shares(s)]
     if prune:
-        kept: list[tuple[int, ...]] = []
-        for s in sorted(dict.fromkeys(sets), key=len, reverse=True):
-            if not any(set(s) <= set(k) for k in kept):
-                kept.append(s)
-        sets = sorted(kept)
+        sets = sorted(_outermost(sets))
     return sets
 
 
+def _outermost(sets: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
+    """Distinct sets that lie within no other; a set is only held against those that hold its rarest member."""
+    kept: list[set[int]] = []
+    of: dict[int, list[int]] = {}
+    out = []
+    for s in sorted(dict.fromkeys(sets), key=len, reverse=True):
+        rarest = min(s, key=lambda i: len(of.get(i, ())))
+        if not any(kept[k].issuperset(s) for k in of.get(rarest, ())):
+            for i in s:
+                of.setdefault(i, []).append(len(kept))
+            kept.append(set(s))
+            out.append(s)
+    return out
+
+
 def related_sets(clusters: DataFrame, attrs: DataFrame, gate: int = 25_000, prune: bool = True, witness: bool = True) -> DataFrame:
     """``cluster_id, ids`` of the related sets of clusters with 2 to ``gate`` records.
 

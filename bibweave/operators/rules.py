@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bibweave.plans.components import connected_components
+
 FIELDS = ("oclc", "lccn", "issn", "sudoc", "title", "agency", "publisher", "pub_date", "enum_chron")
 
 
@@ -32,6 +34,38 @@ def candidate_pairs(records: DataFrame, fields=("oclc", "lccn", "issn", "sudoc",
             keys = part if keys is None else keys.unionByName(part)
     keys = keys.distinct()
     pairs = keys.join(keys.withColumnRenamed("id", "o_id"), ["f", "v"]).where("id < o_id").select("id", "o_id").distinct()
+    return with_both(pairs, records)
+
+
+#: Fields that must all agree for a verdict other than unr, one line of each rule a group.
+DECIDING = (("oclc",), ("lccn", "enum_chron"), ("issn",), ("sudoc", "title", "enum_chron"), ("title", "agency", "pub_date", "enum_chron"))
+DECIDING_WITH_REVIEW = (("lccn", "title"), ("oclc", "title"), ("title", "publisher"))
+
+
+def decided_pairs(records: DataFrame, groups=DECIDING) -> DataFrame:
+    """Pairs of records that agree on all fields of a group, every pair once; all other pairs are unrelated.
+
+    Like :func:`candidate_pairs`, but a frequent title or number alone makes no pair where the rule asks for more.
+    Records without an enumeration agree on it.
+    """
+    keys = None
+    for group in groups:
+        if set(group) <= set(records.columns):
+            part = records.select("id", *group)
+            for f in group:
+                values = F.coalesce(f, F.array().cast("array<string>"))
+                if f == "enum_chron":
+                    values = F.when(F.size(values) == 0, F.array(F.lit(None).cast("string"))).otherwise(values)
+                part = part.withColumn(f, F.explode(values))
+            part = part.select("id", F.lit(",".join(group)).alias("f"), F.to_json(F.array(*group), {"ignoreNullFields": "false"}).alias("v"))
+            keys = part if keys is None else keys.unionByName(part)
+    keys = keys.distinct()
+    pairs = keys.join(keys.withColumnRenamed("id", "o_id"), ["f", "v"]).where("id < o_id").select("id", "o_id").distinct()
+    return with_both(pairs, records)
+
+
+def with_both(pairs: DataFrame, records: DataFrame) -> DataFrame:
+    """Pairs ``id, o_id`` with the columns of both records; those of the second begin with ``o_``."""
     other = records.select(*(F.col(c).alias(f"o_{c}") for c in records.columns))
     return pairs.join(records, "id").join(other, "o_id")
 
@@ -85,3 +119,25 @@ def mean_f1(found: DataFrame, answers: DataFrame) -> DataFrame:
     """One row ``f1``: the sum over found sets divided by the number of answer sets."""
     n = answers.agg(F.count_distinct("set_id")).scalar()
     return best_f1(found, answers).agg(F.sum("f1").alias("s")).select(F.coalesce(F.try_divide(F.col("s"), n), F.lit(0.0)).alias("f1"))
+
+
+def evaluate(verdicts: DataFrame, answers: DataFrame) -> DataFrame:
+    """``relation, found, sought, f1`` of verdicts (``id, o_id, verdict``) against answer sets (``relation, set_id, member``).
+
+    The pairs of a verdict are merged into sets. ``f1`` is the sum of the best F1 of each over the number of
+    answers. Relations without answers are left out, those without sets have 0.
+    """
+    parts = []
+    for relation in ("unr", "rel", "dup"):
+        sets = connected_components(verdicts.where(F.col("verdict") == relation), "id", "o_id")
+        found = sets.select(F.col("component").alias("set_id"), F.col("node").alias("member"))
+        mine = answers.where(F.col("relation") == relation).select("set_id", "member")
+        best = best_f1(found, mine).agg(F.count("*").alias("found"), F.coalesce(F.sum("f1"), F.lit(0.0)).alias("s"))
+        sought = mine.agg(F.count_distinct("set_id").alias("sought")).where("sought > 0")
+        parts.append(best.join(sought).select(F.lit(relation).alias("relation"), "found", "sought", (F.col("s") / F.col("sought")).alias("f1")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def review_list(verdicts: DataFrame) -> DataFrame:
+    """``line``: the pairs that need a person's judgement."""
+    return verdicts.where("verdict = 'rev'").select(F.concat_ws(" <?> ", F.col("id").cast("string"), F.col("o_id").cast("string")).alias("line"))

@@ -23,6 +23,31 @@ def word_weights(bags: DataFrame) -> DataFrame:
     return freq.select("word", "freq", (1 - F.round(F.col("freq") / total, 3)).alias("weight"))
 
 
+def by_rarity(bags: DataFrame) -> DataFrame:
+    """``gd_id, attr, str, words`` with the words from the rarest to the most frequent, equal ones in order."""
+    freq = word_weights(bags).select("word", "freq")
+    rows = bags.select("gd_id", "attr", "str", F.explode("words").alias("word")).join(freq, "word")
+    each = rows.groupBy("gd_id", "attr", "str").agg(F.array_sort(F.collect_list(F.struct("freq", "word"))).alias("w"))
+    return each.select("gd_id", "attr", "str", F.transform("w", lambda x: x["word"]).alias("words"))
+
+
+def shared_words(rows: DataFrame, least: int = 3) -> DataFrame:
+    """``id, other_id, shared`` of pairs ``id < other_id`` with ``least`` words in common or more; ``rows`` are ``id, word``.
+
+    Two records that share k words share one of the first n - k + 1 of each in order of rarity, so only those
+    are joined, and the pairs found are counted on all words.
+    """
+    rows = rows.distinct()
+    often = rows.groupBy("word").agg(F.count("*").alias("freq"))
+    each = Window.partitionBy("id")
+    placed = rows.join(often, "word").select("id", "word", F.row_number().over(each.orderBy("freq", "word")).alias("at"), F.count("*").over(each).alias("n"))
+    rare = placed.where(F.col("at") <= F.col("n") - least + 1).select("id", "word")
+    pairs = rare.join(rare.withColumnRenamed("id", "other_id"), "word").where("id < other_id").select("id", "other_id").distinct()
+    lists = rows.groupBy("id").agg(F.collect_list("word").alias("x"))
+    both = pairs.join(lists, "id").join(lists.select(F.col("id").alias("other_id"), F.col("x").alias("y")), "other_id")
+    return both.select("id", "other_id", F.size(F.array_intersect("x", "y")).cast("bigint").alias("shared")).where(F.col("shared") >= least)
+
+
 def match_words(bags: DataFrame, more_than: int = 5, cutoff: float = 0.5) -> DataFrame:
     """Pairs ``id < other_id`` whose words weigh more in common than apart: ``score`` (3 places) and ``overlap``.
 

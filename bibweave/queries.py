@@ -106,12 +106,35 @@ def _(s):
     return ct.clean_attributes(s.raw).groupBy("attr").agg(F.count("*").alias("n"), F.count_distinct("str").alias("d"))
 
 
+# The rules as they are stated, for SQL only; the operators have tables of their own, so neither vouches for itself.
+_REWRITES = (
+    (r"[,\.:;]|'S?", "", "g"), (r"[\(\)\{\}\[\]]", "", "g"), ("FOR SALE BY.*", "", "g"), (r"\b(THE) ", "", "g"), ("DEPARTMENT", "DEPT", "g"), ("DEPTOF", "DEPT OF", "g"),
+    ("UNITED STATES( OF AMERICA)?", "US", "g"), (r"U\sS\s|U S$", "US ", "g"), ("GOVERNMENT", "GOVT", "g"), (" SPN$", "", "g"),
+    (r"(US\s?)?GOVT\s?PRINT(ING)?\s?OFF(ICE)?", "USGPO", ""), (r"U\s?S\s?G\s?P\s?O", "USGPO", ""), ("US.*GO.+P.*O", "USGPO", "publisher"), ("^GPO$", "USGPO", ""),
+)
+_DATE_SQL = r"c?-?\d{4}\??(\s*(-|i.\s*e.|or)?\s*c?\d{0,4})\??"
+_OPEN_DATE_SQL = r"c?-?[0-9u]{4}\??(\s*(-|i.\s*e.|or)?\s*c?[0-9u]{0,4})\??"
+_JUNK_SQL = r"""[,:;\.\-\(\)\[\]\{\}<>\|\$!"'#\*\+\/\\]"""
+_STATES_SQL = (
+    "ALABAMA|ALASKA|ARIZONA|ARKANSAS|CALIFORNIA|COLORADO|CONNECTICUT|DELAWARE|DISTRICT OF COLUMBIA|FLORIDA|GEORGIA|HAWAII|IDAHO|ILLINOIS|INDIANA|IOWA|KANSAS|KENTUCKY|LOUISIANA|MAINE|"
+    "MARYLAND|MASSACHUSETTS|MICHIGAN|MINNESOTA|MISSISSIPPI|MISSOURI|MONTANA|NEBRASKA|NEVADA|NEW HAMPSHIRE|NEW JERSEY|NEW MEXICO|NEW YORK|NORTH CAROLINA|NORTH DAKOTA|OHIO|OKLAHOMA|OREGON|"
+    "PENNSYLVANIA|RHODE ISLAND|SOUTH CAROLINA|SOUTH DAKOTA|TENNESSEE|TEXAS|UTAH|VERMONT|VIRGINIA|WASHINGTON|WEST VIRGINIA|WISCONSIN|WYOMING"
+)
+_STOP_SQL = (
+    "ACADEMY|ADMINISTRATION|AGENCY|ASSOCIATION|BOARD|BRANCH|BUREAU|CENTER|COMMAND|COMMISSION|COMMITTEE|CORPS|COUNCIL|COURT|DEPT|DIRECTORATE|DISTRICT|DIVISION|FOUNDATION|GROUP|INSTITUTE|"
+    "LABORATORY|LIBRARY|OFFICE|PROGRAM|REGION|SCHOOL|SECTION|SERVICE|SERVICES|SN|STAFF|STATION|SURVEY|TEAM|US"
+)
+_KEEP_SQL = (
+    "ADMIN|ADVISORY|AGENCY|AID|AIR|ARMED|ARMY|ATTORNEY|BOARD|BUREAU|CENSUS|CENTER|CHIEF|COMMAND|COMMISSION|COMMITTEE|COMPTROLLER|CONGRESS|CORPS|COUNCIL|COUNSEL|COURT|DEFENSE|DELEGATION|DEPT|"
+    "DIRECTORATE|DIVISION|EEUU|ENDOWMENT|ESTADOS UNIDOS|FEDERAL|FORCE|GEOLOGICAL SURVEY|GOVT|GROUP|HEARING|INSTITUTE|JOINT VENTURE|LEGISL|MANAGEMENT|MARINE|MARITIME|MISSION|NATIONAL|NAVAL|"
+    "NAVY|OFFICE|PANEL|PEACE|POLICY|PRESIDENT|PROGRAM|PROJECT|RESERVE|RURAL|SCIENCE CENTER|SECRETARY|SENATE|SERVICE|SUPERINTENDENT|TASK FORCE|TEAM|TRADE|US|VETERAN|WAR|WHITE HOUSE"
+)
+
+
 def _fold_sql(x: str, agency: bool) -> str:
-    for p, to in tx._EVERYWHERE:
-        x = f"regexp_replace({x}, '{p.replace(chr(39), chr(39) * 2)}', '{to}', 'g')"
-    for p, to in tx._ONCE:
-        if not (agency and p == tx._NOT_AGENCY):
-            x = f"regexp_replace({x}, '{p}', '{to}')"
+    for p, to, kind in _REWRITES:
+        if not (agency and kind == "publisher"):
+            x = f"regexp_replace({x}, '{p.replace(chr(39), chr(39) * 2)}', '{to}'{', ' + chr(39) + 'g' + chr(39) if kind == 'g' else ''})"
     return f"regexp_replace(regexp_replace({x}, ' +', ' ', 'g'), '^ | $', '', 'g')"
 
 
@@ -148,7 +171,7 @@ _PIECES = r"list_transform(string_split_regex(imprint, '[,:;]'), lambda x: regex
 
 
 @query("prj13_imprint_parse", rf"""
-WITH u AS (SELECT htid, {_PIECES} AS a FROM d), v AS (SELECT htid, a[len(a)] AS z FROM u), w AS (SELECT htid, nullif(regexp_extract(z, '{tx.IMPRINT_DATE}', 0), '') AS pub_date FROM v),
+WITH u AS (SELECT htid, {_PIECES} AS a FROM d), v AS (SELECT htid, a[len(a)] AS z FROM u), w AS (SELECT htid, nullif(regexp_extract(z, '{_DATE_SQL}', 0), '') AS pub_date FROM v),
 n AS (SELECT u.htid, i, CASE WHEN i = len(a) AND pub_date IS NOT NULL THEN replace(a[i], pub_date, '') ELSE a[i] END AS x FROM (SELECT htid, a, unnest(range(1, len(a) + 1)) AS i FROM u) u JOIN w ON w.htid = u.htid),
 m AS (SELECT htid, {_fold_sql('x', False)} AS p FROM n)
 SELECT w.htid, w.pub_date, coalesce((SELECT string_agg(DISTINCT p, '|' ORDER BY p) FROM m WHERE m.htid = w.htid AND p <> ''), '') AS publishers FROM w""", d=V.DUMP)
@@ -161,8 +184,8 @@ def _(s):
     return s.table("part").select("p_partkey", tx.fold_title(F.concat("p_name", F.lit(" #"), "p_brand")).alias("title"))
 
 
-_JUNK = tx.IMPRINT_JUNK.replace("'", "''")
-_CANON = f"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(imprint), '{tx.IMPRINT_DATE}', '', 'g'), '{_JUNK}', ' ', 'g'), 'for sale by.+', '', 'g'), ' +', ' ', 'g'))"
+_JUNK = _JUNK_SQL.replace("'", "''")
+_CANON = f"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(imprint), '{_OPEN_DATE_SQL}', '', 'g'), '{_JUNK}', ' ', 'g'), 'for sale by.+', '', 'g'), ' +', ' ', 'g'))"
 
 
 @query("prj15_imprint_canonical", f"SELECT htid, CASE WHEN regexp_matches({_CANON}, '[a-z]') THEN {_CANON} END AS name FROM d", d=V.DUMP)
@@ -257,11 +280,21 @@ def _(s):
 
 
 def _agency_sql(name: str, stem: str) -> str:
-    q = lambda p: p.replace("'", "''")
-    m = lambda p: f"regexp_matches({name}, '{q(p)}')"
-    parts = [f"{name} <> ''", f"NOT {m(tx.one_of(ag.STOP_WORDS, True))}", f"({m(chr(92) + 's')} OR {m(tx.one_of(ACRONYMS, True))})", f"(regexp_matches({stem}, 'GP|PR') OR NOT {m('GPO')})"]
-    parts += [f"NOT ({m(p)}" + (f" AND NOT {m(x)})" if x else ")") for p, x in ag.EXCLUDED]
-    return " AND ".join(parts + [f"NOT {m(p)}" for p in ag.state_patterns()])
+    """The conditions in the order in which they are stated."""
+    def m(p: str) -> str:
+        return f"regexp_matches({name}, '{p}')"
+
+    acronyms = "|".join(ACRONYMS)
+    return " AND ".join([
+        f"{name} <> ''", f"NOT {m(f'^({_STOP_SQL})$')}", f"NOT (NOT contains({name}, ' ') AND NOT {m(f'^({acronyms})$')})", f"NOT {m('UNIVERSITY OF')}",
+        f"NOT (NOT regexp_matches({stem}, 'GP|PR') AND contains({name}, 'GPO'))", f"NOT ({m('UNIVERSITY')} AND NOT {m('OFFICE|US DEPT|ADMINISTRATION')})",
+        f"NOT ({m('COLLEGE|SCHOOL')} AND NOT {m('DEFENSE|NAVAL|ARMED FORCES|USAF|INFANTRY|COMMITTEE|COMMISSION|OFFICE')})",
+        f"NOT ({m('CORPORATION')} AND NOT {m('^US.+(AGENCY|COMMITTEE|CONGRESS|DEPT|SENATE)')})",
+        "NOT " + m(r"\b((AND)? CO(MPANY)?|INC(ORPORATED)?|L(IMI)?TE?D|ASSOCIATES|FIRM|LLC)\b"),
+        f"NOT ({m('FOUNDATION')} AND NOT {m('(AFRICAN DEVELOPMENT|INTER-AMERICAN|NATIONAL SCIENCE)')})",
+        "NOT " + m(rf"({_STATES_SQL})\s*(STATE)?\s*DEPT OF"), f"NOT {m(f'^((NORTH|EAST|SOUTH|WEST)(ERN)?|CENTRAL| )*({_STATES_SQL})')}", f"NOT {m(f'^[^ ]+ ({_STATES_SQL})')}",
+        f"NOT {m('^[^ ]+ AND [^ ]+$')}", f"NOT {m('(SOCIETY (OF|FOR)|SOCIETY( US)?$)')}", "NOT (" + m(r"\bCOUNTY\b") + " AND NOT " + m(r"\bUS\b") + ")",
+    ])
 
 
 _AGROWS = f"SELECT stem AS sudoc_stem, {_fold_sql('upper(agency)', True)} AS agency FROM (SELECT {_STEM} AS stem, unnest([agency, agency2]) AS agency FROM g) WHERE stem IS NOT NULL"
@@ -298,12 +331,16 @@ def _(s):
     return coded.join(ct.dictionary(s.attrs), "str_id").select("gd_id", "attr", "str")
 
 
-_FAN = "SELECT r.gd_id, o.str AS oclc, t.str AS title, e.str AS enumc, p.str AS publisher, l.str AS lccn FROM r " + " ".join(f"LEFT JOIN (SELECT gd_id, str FROM a WHERE attr = '{k}') {x} ON {x}.gd_id = r.gd_id" for k, x in (("oclc", "o"), ("title", "t"), ("enumc", "e"), ("publisher", "p"), ("lccn", "l")))
+_KINDS = ("oclc", "title", "enumc", "publisher", "lccn")
+_FAN = "w AS (SELECT gd_id, " + ", ".join(f"list(str) FILTER (WHERE attr = '{k}') AS {k}" for k in _KINDS) + " FROM a GROUP BY gd_id), f0 AS (SELECT r.gd_id, " + ", ".join(f"coalesce(w.{k}, [NULL]) AS {k}" for k in _KINDS) + " FROM r LEFT JOIN w ON w.gd_id = r.gd_id)"
+for _i, _k in enumerate(_KINDS):
+    _FAN += f", f{_i + 1} AS (SELECT gd_id, " + ", ".join(f"unnest({k}) AS {k}" if k == _k else k for k in _KINDS) + f" FROM f{_i})"
+_FAN = f"WITH {_FAN} SELECT * FROM f{len(_KINDS)}"
 
 
 @query("joi2_left_fan_out", _FAN, a=V.CLEAN, r=V.RECORDS)
 def _(s):
-    kinds = ("oclc", "title", "enumc", "publisher", "lccn")
+    kinds = _KINDS
     wide = s.attrs.where(F.col("attr").isin(*kinds)).groupBy("gd_id").agg(*(F.collect_list(F.when(F.col("attr") == k, F.col("str"))).alias(k) for k in kinds))
     out = s.records.select("gd_id").join(wide, "gd_id", "left")
     for k in kinds:
@@ -325,9 +362,7 @@ def _(s):
 WITH t AS (SELECT DISTINCT p_partkey AS id, unnest(string_split(p_name, ' ') || [p_brand]) AS word FROM part)
 SELECT x.id, y.id AS other_id, count(*) AS shared FROM t x JOIN t y ON x.word = y.word AND x.id < y.id GROUP BY x.id, y.id HAVING count(*) > 2""")
 def _(s):
-    t = s.table("part").select(F.col("p_partkey").alias("id"), F.explode(F.concat(F.split("p_name", " "), F.array("p_brand"))).alias("word")).distinct()
-    pairs = t.join(t.withColumnRenamed("id", "other_id"), "word").where("id < other_id")
-    return pairs.groupBy("id", "other_id").agg(F.count("*").alias("shared")).where("shared > 2")
+    return tt.shared_words(s.table("part").select(F.col("p_partkey").alias("id"), F.explode(F.concat(F.split("p_name", " "), F.array("p_brand"))).alias("word")))
 
 
 @query("joi6_semi_imprints", "SELECT htid, imprint FROM d WHERE imprint IN (SELECT DISTINCT imprint FROM d WHERE gov_doc = '1')", d=V.DUMP)
@@ -524,7 +559,7 @@ def _(s):
     return s.attrs.groupBy("gd_id").agg(F.md5(F.array_join(F.array_sort(F.collect_set("str")), ",")).alias("identity"))
 
 
-_KEEP = f"({'|'.join(ag.KEEP_WORDS)}|\\b(?:{'|'.join(ACRONYMS)})\\b)"
+_KEEP = f"({_KEEP_SQL}|\\b(?:{'|'.join(ACRONYMS)})\\b)"
 
 
 @query("agg15_agency_map", f"""
@@ -696,29 +731,37 @@ _EQ = {c: f"(x.{c} IS NOT NULL AND x.{c} = y.{c})" for c in ("oclc", "lccn", "is
 _ANY = " OR ".join(_EQ[c] for c in ("oclc", "lccn", "issn", "sudoc", "title"))
 
 
-@query("rul1_equal_lists", "SELECT x.id, y.id AS o_id, (x.oclc IS NOT DISTINCT FROM y.oclc) AS same FROM s x JOIN s y ON x.id < y.id AND x.title = y.title", s=_RULED)
+# the pairs to compare are given: suppliers of one part
+_GIVEN = "SELECT DISTINCT x.l_suppkey AS id, y.l_suppkey AS o_id FROM {lineitem} x JOIN {lineitem} y ON x.l_orderkey = y.l_orderkey AND x.l_suppkey < y.l_suppkey"
+
+
+@query("rul1_equal_lists", "SELECT p.id, p.o_id, coalesce(x.oclc = y.oclc, false) OR (x.oclc IS NULL AND y.oclc IS NULL) AS same FROM p JOIN s x ON x.id = p.id JOIN s y ON y.id = p.o_id", s=_RULED, p=_GIVEN)
 def _(s):
-    p = ru.candidate_pairs(_ruled(s), ("title",))
+    p = ru.with_both(s(_GIVEN), _ruled(s))
     return p.select("id", "o_id", ru.same_values(F.col("oclc"), F.col("o_oclc")).alias("same"))
 
 
-@query("rul2_overlapping_lists", f"SELECT x.id, y.id AS o_id, coalesce({_EQ['oclc']}, false) AS oclc, {_EQ['enum']} AS enum FROM s x JOIN s y ON x.id < y.id AND x.title = y.title", s=_RULED)
+@query("rul2_overlapping_lists", f"SELECT p.id, p.o_id, coalesce({_EQ['oclc']}, false) AS oclc, {_EQ['enum']} AS enum FROM p JOIN s x ON x.id = p.id JOIN s y ON y.id = p.o_id", s=_RULED, p=_GIVEN)
 def _(s):
-    p = ru.candidate_pairs(_ruled(s), ("title",))
+    p = ru.with_both(s(_GIVEN), _ruled(s))
     return p.select("id", "o_id", ru.shared_value(F.col("oclc"), F.col("o_oclc")).alias("oclc"), ru.shared_value(F.col("enum_chron"), F.col("o_enum_chron"), True).alias("enum"))
 
 
-@query("rul3_cascade", f"""SELECT x.id, y.id AS o_id, CASE WHEN {_EQ['oclc']} THEN CASE WHEN {_EQ['enum']} THEN 'dup' ELSE 'rel' END WHEN {_EQ['lccn']} THEN CASE WHEN {_EQ['enum']} THEN 'dup' ELSE 'unr' END
- WHEN {_EQ['issn']} THEN CASE WHEN {_EQ['enum']} THEN 'dup' ELSE 'rel' END WHEN {_EQ['sudoc']} AND {_EQ['title']} AND {_EQ['enum']} THEN 'dup' ELSE 'unr' END AS verdict FROM s x JOIN s y ON x.id < y.id AND ({_ANY})""", s=_RULED)
+_CASCADE = f"""SELECT x.id, y.id AS o_id, CASE WHEN {_EQ['oclc']} THEN CASE WHEN {_EQ['enum']} THEN 'dup' ELSE 'rel' END WHEN {_EQ['lccn']} THEN CASE WHEN {_EQ['enum']} THEN 'dup' ELSE 'unr' END
+ WHEN {_EQ['issn']} THEN CASE WHEN {_EQ['enum']} THEN 'dup' ELSE 'rel' END WHEN {_EQ['sudoc']} THEN CASE WHEN {_EQ['title']} AND {_EQ['enum']} THEN 'dup' ELSE 'unr' END ELSE 'unr' END AS verdict FROM s x JOIN s y ON x.id < y.id"""
+_REVIEWED = f"""SELECT x.id, y.id AS o_id, CASE WHEN {_EQ['lccn']} THEN CASE WHEN {_EQ['title']} THEN CASE WHEN {_EQ['enum']} THEN 'dup' ELSE 'rev' END ELSE 'unr' END
+ WHEN {_EQ['oclc']} THEN CASE WHEN {_EQ['title']} THEN CASE WHEN {_EQ['enum']} THEN 'dup' ELSE 'rel' END ELSE 'unr' END WHEN {_EQ['title']} AND {_EQ['publisher']} THEN CASE WHEN {_EQ['sudoc']} AND {_EQ['enum']} THEN 'dup' ELSE 'rev' END ELSE 'unr' END AS verdict
+ FROM s x JOIN s y ON x.id < y.id"""
+
+
+@query("rul3_cascade", f"SELECT * FROM ({_CASCADE}) WHERE verdict <> 'unr'", s=_RULED)
 def _(s):
-    return ru.cascade(ru.candidate_pairs(_ruled(s))).select("id", "o_id", "verdict")
+    return ru.cascade(ru.decided_pairs(_ruled(s))).select("id", "o_id", "verdict").where("verdict <> 'unr'")
 
 
-@query("rul4_cascade_with_review", f"""SELECT x.id, y.id AS o_id, CASE WHEN {_EQ['lccn']} THEN CASE WHEN {_EQ['title']} THEN CASE WHEN {_EQ['enum']} THEN 'dup' ELSE 'rev' END ELSE 'unr' END
- WHEN {_EQ['oclc']} THEN CASE WHEN {_EQ['title']} THEN CASE WHEN {_EQ['enum']} THEN 'dup' ELSE 'rel' END ELSE 'unr' END WHEN {_EQ['title']} AND {_EQ['publisher']} THEN CASE WHEN {_EQ['sudoc']} AND {_EQ['enum']} THEN 'dup' ELSE 'rev' END ELSE 'unr' END AS verdict
- FROM s x JOIN s y ON x.id < y.id AND ({_ANY})""", s=_RULED)
+@query("rul4_cascade_with_review", f"SELECT * FROM ({_REVIEWED}) WHERE verdict <> 'unr'", s=_RULED)
 def _(s):
-    return ru.cascade_with_review(ru.candidate_pairs(_ruled(s))).select("id", "o_id", "verdict")
+    return ru.cascade_with_review(ru.decided_pairs(_ruled(s), ru.DECIDING_WITH_REVIEW)).select("id", "o_id", "verdict").where("verdict <> 'unr'")
 
 
 _FOUND = "SELECT o_custkey AS set_id, o_orderkey AS member FROM {orders}"
@@ -782,9 +825,7 @@ def _(s):
 @query("dml4_delete_file", "SELECT a.attr, count(*) AS n FROM a JOIN r ON r.gd_id = a.gd_id WHERE r.file_path <> 'file-P' GROUP BY a.attr", a=V.CLEAN, r=V.RECORDS)
 def _(s):
     files = ct.file_ids(s.records)
-    records = s.records.join(F.broadcast(files), "file_path")
-    gone = files.where("file_path = 'file-P'").first()["file_id"]
-    return ct.delete_file(records, s.attrs, gone)[1].groupBy("attr").agg(F.count("*").alias("n"))
+    return ct.delete_file(s.records.join(files, "file_path"), s.attrs, files.where("file_path = 'file-P'"))[1].groupBy("attr").agg(F.count("*").alias("n"))
 
 
 @query("dml5_rewrite_values", "SELECT DISTINCT gd_id, attr, CASE WHEN attr = 'title' AND marc_field = '245a' THEN regexp_replace(str, '[0-9]+', '#', 'g') ELSE str END AS str FROM a", a=V.CLEAN)

@@ -138,21 +138,16 @@ def _(s):
     return records(s).select("id", mc.field_text(mc.first_field("035")).alias("line"), mc.field_value(mc.first_field("245")).alias("value"), F.array_join(mc.codes_of(mc.first_field("260")), ",").alias("codes"))
 
 
-@query("mrc13_dublin_core", "SELECT p_partkey AS id, '  The  ' || p_name || ':' AS title, p_type AS publisher, 'c' || CAST(1900 + p_partkey % 100 AS VARCHAR) AS date, 'Note.' AS description FROM part")
-def _(s):
-    dc = records(s).select("id", mc.dublin_core().alias("d"))
-    return dc.select("id", *(F.array_join(F.col(f"d.{k}"), "|").alias(k) for k in ("title", "publisher", "date", "description")))
+_ELEMENTS = ("title", "creator", "subject", "publisher", "date", "type", "format", "identifier", "source", "language", "coverage", "rights", "description", "relation")
+_MORE = (
+    ("100", "a", "p_brand"), ("650", "a", "p_type"), ("655", "a", "p_brand"), ("856", "q", "p_type"), ("856", "u", "p_name"), ("786", "t", "p_brand"), ("546", "a", "p_type"), ("651", "a", "p_name"), ("540", "a", "p_brand"), ("530", "a", "p_type"), ("773", "t", "p_name"),
+)
 
 
-@query("mrc8_binary_round_trip")
+@query("mrc13_dublin_core", "SELECT p_partkey AS id, '  The  ' || p_name || ':' AS title, p_brand AS creator, p_type AS subject, p_type AS publisher, 'c' || CAST(1900 + p_partkey % 100 AS VARCHAR) AS date, p_brand AS type, p_type AS format, p_name AS identifier, p_brand AS source, p_type AS language, p_name AS coverage, p_brand AS rights, 'Note.' AS description, p_type || '|' || p_brand || '|' || p_name AS relation FROM part")
 def _(s):
-    """Records written as ISO 2709 and read again: the length and the title of each."""
-    import pandas as pd
-
-    def again(frames):
-        for pdf in frames:
-            rows = [ms.decode_record(ms.encode_record(a, b)) for a, b in zip(pdf["leader"], pdf["fields"])]
-            titles = [next(x["value"] for f in r["fields"] if f["tag"] == "245" for x in f["subfields"]) for r in rows]
-            yield pd.DataFrame({"id": pdf["id"], "length": [int(r["leader"][:5]) for r in rows], "title": titles})
-
-    return records(s).mapInPandas(again, "id long, length long, title string")
+    p = s.table("part").select(F.col("p_partkey").alias("id"), "p_name", "p_brand", "p_type")
+    sub = lambda code, c: F.array(F.struct(F.lit(code).alias("code"), F.col(c).alias("value")))
+    more = F.array(*(F.struct(F.lit(tag).alias("tag"), F.lit(" ").alias("ind1"), F.lit(" ").alias("ind2"), F.lit(None).cast("string").alias("value"), sub(code, c).alias("subfields")) for tag, code, c in _MORE))
+    dc = records(s).join(p, "id").withColumn("fields", F.concat("fields", more)).select("id", mc.dublin_core().alias("d"))
+    return dc.select("id", *(F.array_join(F.col(f"d.{k}"), "|").alias(k) for k in _ELEMENTS))

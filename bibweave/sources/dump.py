@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import gzip
+import shutil
+import urllib.request
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +34,31 @@ def newest(paths: DataFrame, column: str = "path", pattern: str = r"full_\d+\.tx
     return paths.where(F.col(column).rlike(pattern)).agg(F.max(column).alias(column))
 
 
+def listed_files(pages: DataFrame, pattern: str = r"full_\d+\.txt\.gz", column: str = "body") -> DataFrame:
+    """``path``: the quoted links of listing pages that end in a file of a pattern."""
+    found = F.regexp_extract_all(F.col(column), F.lit(rf'"([^"\s]*{pattern})"'), F.lit(1))
+    return pages.select(F.explode(found).alias("path")).distinct()
+
+
+def fetch_newest(pages: DataFrame, folder: str, name: str = "", pattern: str = r"full_\d+\.txt\.gz") -> str:
+    """Download the newest listed file (of those whose link holds ``name``), inflate it and return its path.
+
+    Any URL that Python opens will do. A file that is there already is not fetched again; none listed raises.
+    """
+    path = newest(listed_files(pages, pattern).where(F.col("path").contains(name)), pattern=pattern + "$").first()["path"]
+    if path is None:
+        raise FileNotFoundError(f"no listed file matches {name or pattern}")
+    target = Path(folder) / path.rsplit("/", 1)[-1]
+    if not target.exists():
+        with urllib.request.urlopen(path) as response, open(target, "wb") as out:
+            shutil.copyfileobj(response, out)
+    if target.suffix != ".gz":
+        return str(target)
+    with gzip.open(target) as packed, open(target.with_suffix(""), "wb") as out:
+        shutil.copyfileobj(packed, out)
+    return str(target.with_suffix(""))
+
+
 def read_words(spark: SparkSession, path: str) -> list[str]:
     """A short list of one word or phrase a line, for patterns."""
     return [r["value"].strip() for r in spark.read.text(path).collect() if r["value"].strip()]

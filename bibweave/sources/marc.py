@@ -51,6 +51,14 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
     return lines.where("r is not null").select("infile", "r.*")
 
 
+def read_collection(spark: SparkSession, path: str, file_path: str | None = None) -> DataFrame:
+    """Records of an exported collection: JSON lines with ``file_path`` and ``source`` (a record), of one file if it is named."""
+    lines = spark.read.text(path).select(F.get_json_object("value", "$.file_path").alias("file_path"), parse_json(F.get_json_object("value", "$.source")).alias("r"))
+    if file_path is not None:
+        lines = lines.where(F.col("file_path") == file_path)
+    return lines.where("r is not null").select("file_path", "r.*")
+
+
 def to_json(leader="leader", fields="fields") -> Column:
     """A record as a line of MARC in JSON."""
 
@@ -237,6 +245,33 @@ def to_binary(records: DataFrame, allow_oversized: bool = False) -> DataFrame:
     return records.select("leader", "fields").mapInPandas(run, "record binary")
 
 
+def write_binary(records: DataFrame, path: str, allow_oversized: bool = False) -> None:
+    """ISO 2709 files in UTF-8, which either reader takes."""
+    lines = to_binary(records, allow_oversized).select(F.decode("record", "UTF-8").alias("value"))
+    lines.select(F.expr("substring(value, 1, length(value) - 1)").alias("value")).write.option("lineSep", "\x1d").text(path)
+
+
+def write_sequential(records: DataFrame, path: str, number: str = "number") -> None:
+    """Sequential text: the leader and every field on a line of their own; ``number`` is padded to nine digits."""
+    def line(f):
+        subs = F.concat_ws("", F.transform(f["subfields"], lambda s: F.concat(F.lit("$$"), s["code"], s["value"])))
+        marks = F.concat(F.coalesce(f["ind1"], F.lit(" ")), F.coalesce(f["ind2"], F.lit(" ")))
+        return F.concat(F.lpad(F.col(number).cast("string"), 9, "0"), F.lit(" "), f["tag"], marks, F.lit(" L "), F.coalesce(f["value"], subs))
+
+    head = F.concat(F.lpad(F.col(number).cast("string"), 9, "0"), F.lit(" LDR   L "), F.col("leader"))
+    records.select(F.array_join(F.concat(F.array(head), F.transform("fields", line)), "\n").alias("value")).write.text(path)
+
+
+def valid_text(raw: Column) -> Column:
+    """Bytes as UTF-8 text with every bad sequence replaced."""
+    return F.make_valid_utf8(raw.cast("string"))
+
+
+def checked_text(raw: Column) -> Column:
+    """Bytes as UTF-8 text; bad ones raise."""
+    return F.validate_utf8(raw.cast("string"))
+
+
 def read_sequential(spark: SparkSession, path: str) -> DataFrame:
     """Records of sequential text: number, tag and indicators, format letter, value with ``$$`` subfields, a line each."""
     lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("at"))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from bibweave.operators import clusters as cl
 from bibweave.operators import rules as ru
@@ -156,3 +157,77 @@ def test_splits(spark):
     assert got == [(976, "vol 1"), (976, "volume 2"), (978, "v5"), (981, "a"), (981, "b")]
     held = sorted((r["id"], r["enumc_value"] or "", r["item_value"] or "") for r in split_holdings(df).collect())
     assert held == [(976, "vol 1", "i1"), (976, "volume 2", ""), (978, "v5", "i1"), (979, "", "i1"), (980, "", ""), (981, "b", "")]
+
+
+def plain_drill_down(values):
+    """The separation as it is described, without a loop: every step calls itself for the holders and for the rest."""
+    sets = []
+
+    def step(ids, tried):
+        if len(ids) < 2:
+            return False
+        best = None
+        for attr in ("oclc", "sudoc", "lccn", "issn", "title"):
+            if attr in tried:
+                continue
+            order = []
+            for i in ids:
+                order += [v for v in values[i].get(attr, ()) if v not in order]
+            for v in order:
+                held = [i for i in ids if v in values[i].get(attr, ())]
+                if len(held) == len(ids):
+                    tried.append(attr)
+                    sets.append(tuple(ids))
+                    return True
+                if len(held) > 1 and (best is None or len(held) > len(best[1])):
+                    best = attr, held
+        if best is None:
+            return False
+        tried.append(best[0])
+        if not step(best[1], tried):
+            sets.append(tuple(best[1]))
+        rest = [i for i in ids if i not in best[1]]
+        if len(rest) > 1 and not step(rest, []):
+            sets.append(tuple(rest))
+            return True
+        return False
+
+    step(sorted(values), [])
+    return sets
+
+
+def test_drill_down_matches_a_plain_version():
+    r = random.Random(4)
+    for n in range(300):
+        kinds = r.sample(["oclc", "sudoc", "lccn", "issn", "title"], r.randrange(1, 6))
+        values = {i: {k: sorted({f"v{r.randrange(1 + n % 6)}" for _ in range(r.randrange(3))}) for k in kinds} for i in range(r.randrange(2, 14))}
+        want = plain_drill_down(values)
+        assert drill_down(values, prune=False, witness=False) == want
+        shared = [s for s in want if any(set.intersection(*(set(values[i].get(k, ())) for i in s)) for k in kinds)]
+        assert drill_down(values) == sorted(s for s in dict.fromkeys(shared) if not any(set(s) < set(t) for t in shared))
+
+
+def test_drill_down_of_a_long_chain():
+    # a remainder for every pair, many more than calls could nest
+    values = {i: {"oclc": [f"v{i // 2}"]} for i in range(6000)}
+    assert drill_down(values) == [(i, i + 1) for i in range(0, 6000, 2)]
+
+
+def test_verdicts_are_those_of_all_pairs(spark):
+    r = random.Random(6)
+    some = lambda n: [f"x{r.randrange(n)}" for _ in range(r.randrange(3))]
+    rows = [(i, *(some(n) for n in (9, 8, 8, 5, 4, 3, 3, 4, 3))) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, " + ", ".join(f"{f} array<string>" for f in ru.FIELDS))
+    every = ru.with_both(df.select("id").crossJoin(df.select(F.col("id").alias("o_id"))).where("id < o_id"), df)
+    for rule, groups in ((ru.cascade, ru.DECIDING), (ru.cascade_with_review, ru.DECIDING_WITH_REVIEW)):
+        want, got = ({(x["id"], x["o_id"]): x["verdict"] for x in rule(p).where("verdict <> 'unr'").collect()} for p in (every, ru.decided_pairs(df, groups)))
+        assert got == want and len(want) > 20
+
+
+def test_shared_words(spark):
+    r = random.Random(2)
+    words = {i: {f"w{min(r.randrange(30), r.randrange(30))}" for _ in range(r.randrange(9))} for i in range(80)}
+    rows = spark.createDataFrame([(i, w) for i, own in words.items() for w in own], "id int, word string")
+    for least in (1, 2, 3):
+        want = {(i, j): len(words[i] & words[j]) for i in words for j in words if i < j and len(words[i] & words[j]) >= least}
+        assert {(x["id"], x["other_id"]): x["shared"] for x in tt.shared_words(rows, least).collect()} == want

@@ -37,7 +37,7 @@ def test_replace_first(spark):
 
 @pytest.mark.parametrize(
     "raw, text",
-    [(b"caf\xe2e", "café"), (b"\xa1\xb1", "Łł"), (b"x\x1bp2\x1bs", "x²"), (b"&#x4E00;", "一"), (b"\x1b(Nabc\x1b(Bd", "���d"), (b"", "")],
+    [(b"caf\xe2e", "café"), (b"\xa1\xb1", "Łł"), (b"x\x1bp2\x1bs", "x²"), (b"&#x4E00;", "一"), (b"\x1b(Nabc\x1b(Bd", "АБЦd"), (b"\x1b(Qabc\x1b(Bd", "���d"), (b"", "")],
 )
 def test_marc8(raw, text):
     assert to_unicode(raw) == text

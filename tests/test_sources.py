@@ -96,3 +96,33 @@ def test_streaming_ingest(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(r["a"] for r in spark.table("ingested").collect()) == ["1", "2"]
+
+
+def test_newest_file_is_fetched(spark, tmp_path):
+    (tmp_path / "there").mkdir()
+    (tmp_path / "here").mkdir()
+    for day in ("20140101", "20140801"):
+        with gzip.open(tmp_path / "there" / f"full_{day}.txt.gz", "wb") as f:
+            f.write(f"a\t{day}\n".encode())
+    links = "".join(f'<a href="file://{tmp_path}/there/full_{d}.txt.gz">x</a>' for d in ("20140801", "20140101"))
+    pages = spark.createDataFrame([(links + '<a href="file:///other.txt.gz">y</a>',)], "body string")
+    for name, day in (("", "20140801"), ("20140101", "20140101")):
+        path = dp.fetch_newest(pages, str(tmp_path / "here"), name)
+        assert open(path).read() == f"a\t{day}\n"
+    with pytest.raises(FileNotFoundError):
+        dp.fetch_newest(pages, str(tmp_path / "here"), "1999")
+
+
+def test_bad_text_is_mended_or_refused(spark):
+    raw = spark.createDataFrame([(bytearray(b"ok \xc3\xa9"),), (bytearray(b"bad \xff."),)], "raw binary")
+    assert [r[0] for r in raw.select(ms.valid_text(F.col("raw"))).collect()] == ["ok é", "bad \ufffd."]
+    with pytest.raises(Exception, match="INVALID_UTF8"):
+        raw.select(ms.checked_text(F.col("raw"))).collect()
+
+
+def test_a_rare_agency_with_one_trigger_phrase_goes(spark):
+    from bibweave.operators.agencies import agency_map
+
+    rows = [(["A 1.2"], ["White House of it"]), (["A 1.2"], ["Naval Air of it"])]
+    got = agency_map(spark.createDataFrame(rows, "sudoc array<string>, agency array<string>"), ("NASA",)).collect()
+    assert [(r["sudoc_stem"], r["agency"]) for r in got] == [("A 1", "NAVAL AIR OF IT")]
