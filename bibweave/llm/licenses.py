@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bibweave.llm.license_texts import GRANTS
 from bibweave.llm.textvec import ALNUM, alnum_words, map_batches, slices
 
 #: Label, words that name the license, and a word that each such name holds.
@@ -189,7 +190,7 @@ def rules() -> tuple[Rule, ...]:
 
     made = [rule(label, form[1:], form[0] + name, words) for form in FORMS for label, name, words in LICENSES]
     made += [rule(label, FORMS[0][1:], f"{_TAG}(?P<own>{name}{_LATER})", "spdx") for label, name in IDENTIFIERS]
-    made += [rule(label, NOTICE_FORM, text, words) for label, text, words in NOTICES]
+    made += [rule(label, NOTICE_FORM, text, words) for label, text, words in (*NOTICES, *GRANTS)]
     made += [rule(label, FAMILY_FORM, text, words) for label, text, words in FAMILIES]
     made += [rule(label, BASE_FORM, phrase, phrase.split()[0], True) for phrase, label in BASE]
     return tuple(sorted(made, key=lambda r: r.priority))
@@ -280,6 +281,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``first_word, last_word`` (their smallest and largest first word, from 0), ``base_labels``,
     ``labels`` (of those and of matches that stay; distinct, sorted, comma-joined), ``score``
     (0 without a match, else 1 - product of (1 - weight) over labels) and ``n_matches``.
-    Null texts are empty. Repeated rows and null ids are scanned like others.
+    Null texts are empty. Repeated rows and null ids are scanned like others, other columns are ignored and
+    an empty table gives no rows.
     """
     return map_batches(docs.select(F.col(id_col).cast("long"), F.col(text_col)), _scan, _SCHEMA)

@@ -345,6 +345,40 @@ def test_licenses(spark):
     assert all(0 <= r["score"] <= 1 for r in got.values()) and got[2]["score"] == 0 < got[7]["score"]
 
 
+def test_license_base_columns_match_a_plain_scan(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    odd = [(9001, None), (9002, ""), (None, "MIT license"), (9001, "the mit-LICENSE; Apache\nlicense"), (9003, "general public license " * 5000), (9004, "mit licenses é mit license")]
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()] + odd
+    assert licenses.scan_licenses(crowded(spark, rows).where("false")).count() == 0
+    got = licenses.scan_licenses(crowded(spark, rows)).collect()
+    phrases = {("mit", "license"): "mit", ("apache", "license"): "apache", ("general", "public", "license"): "gpl"}
+    want = []
+    for i, text in rows:
+        words = [w.decode() for w in re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))]
+        places = [(k, label) for k in range(len(words)) for p, label in phrases.items() if tuple(words[k : k + len(p)]) == p]
+        starts = [k for k, _ in places]
+        want.append((i or -1, len(words), len(places), min(starts, default=-1), max(starts, default=-1), ",".join(sorted({x for _, x in places}))))
+    mine = [(r["doc_id"] or -1 if r["doc_id"] != 0 else -1, r["n_words"], r["n_base"], -1 if r["first_word"] is None else r["first_word"], -1 if r["last_word"] is None else r["last_word"], r["base_labels"]) for r in got]
+    assert sorted(mine) == sorted(want) and sum(x[2] for x in want) > 5000
+    assert all(set(r["base_labels"].split(",")) <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1 for r in got if r["base_labels"])
+
+
+def test_every_license_rule_has_its_words():
+    # a text made from a rule's own pattern passes its gate and is found by it
+    from bibweave.llm.license_texts import GRANTS
+
+    assert len({p for _, p, _ in GRANTS}) == len(GRANTS) > 200
+    everything = list(range(len(licenses.rules())))
+    for label, pattern, words in GRANTS:
+        text = re.sub(r"\.\{\d+,\d+\}\?", "x y", pattern)
+        while "(" in text:
+            text = re.sub(r"\(\?:([^()|]*)(?:\|[^()]*)?\)\??", r"\1", text)
+        text = " ".join(re.sub(r"\[([^\]])[^\]]*\]", r"\1", text).replace("?", "").split())
+        assert set(words.split()) & set(text.split()), pattern
+        found = licenses.matches(text, everything)
+        assert any(r.label == label and r.pattern.pattern.find(pattern) >= 0 for _, _, r in found), (text, pattern)
+
+
 def test_license_tags():
     def labels(text):
         words = "".join(c if c.isalnum() else " " for c in text.lower()).split()
