@@ -33,7 +33,8 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v", ma
 
     Returns ``(node, component)`` with one row per node that has an edge. Null ends
     and self loops are ignored, except that a node with only a self loop maps to
-    itself; repeated edges and an empty input are fine.
+    itself; repeated edges and an empty input are fine. A caller that writes the result may
+    ``discard`` it then, which deletes the edges that it was read from.
     """
     pairs = edges.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a is not null and b is not null")
     start = pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
@@ -54,7 +55,9 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v", ma
     roots = state.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     found = state.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
     # a self loop tells nothing new of a node that has other edges
-    return found.unionByName(loops).groupBy("node").agg(F.min("component").alias("component"))
+    out = found.unionByName(loops).groupBy("node").agg(F.min("component").alias("component"))
+    out._bibweave_parts = (start, state)
+    return out
 
 
 def _is_stars(state: DataFrame) -> bool:

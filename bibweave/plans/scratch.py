@@ -2,7 +2,8 @@
 
 A written Parquet table survives the loss of any executor, is computed once (a
 ``DataFrame.checkpoint()`` computes its last stage twice) and keeps column
-pruning for its readers.
+pruning for its readers. Operators delete tables that their result does not read; a result is lazy, so those
+that it reads are deleted when the program ends.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import shutil
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
@@ -54,15 +56,40 @@ def materialize(df: DataFrame, name: str, compression: str = "snappy", rows: int
     df.write.option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._bibweave_path = path
+    at_end(spark, path)
     return out
 
 
-def discard(df: DataFrame | None) -> None:
-    """Delete the files behind a frame made by :func:`materialize`; nothing may read it later."""
-    path = getattr(df, "_bibweave_path", None)
-    if path is None:
-        return
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def at_end(spark: SparkSession, path: str) -> None:
+    """Delete a folder when the program ends, if the session still runs then."""
+    held = getattr(spark.sparkContext, "_bibweave_made", None)
+    if held is None:
+        held = spark.sparkContext._bibweave_made = set()
+        atexit.register(_delete_all, spark, held)
+    held.add(path)
+
+
+def _delete_all(spark: SparkSession, paths: set[str]) -> None:
+    if spark.sparkContext._jsc is None:  # the session was stopped
+        return
+    for path in paths:
+        try:
+            _delete(spark, path)
+        except (Py4JError, OSError):  # the cluster is gone, or the folder is
+            return
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Delete the files behind frames made by :func:`materialize`, and those they were made of; nothing may read them later."""
+    for df in frames:
+        for other in getattr(df, "_bibweave_parts", ()):
+            discard(other)
+        path = getattr(df, "_bibweave_path", None)
+        if path is not None:
+            _delete(df.sparkSession, path)
+            df.sparkSession.sparkContext._bibweave_made.discard(path)
