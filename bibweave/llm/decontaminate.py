@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bibweave.llm.rows import without
-from bibweave.plans.scratch import materialize
+from bibweave.plans.scratch import discard, materialize
 
 WINDOW = 8
 #: Least words of a window that are no placeholders; windows with fewer match by their actual words.
@@ -127,11 +127,13 @@ def contaminated(
     for more, other in zip(asked[1:], runs[1:]):
         wanted, keys = wanted.unionByName(more), keys.unionByName(other)
     wanted, keys = materialize(wanted, "windows"), materialize(keys.distinct(), "runs")
+    discard(items)
     small, few = wanted.count() <= BROADCAST_WINDOWS, keys.count() <= BROADCAST_RUNS
     # only hashes and ids of the documents' runs meet the benchmark's
     held = [_runs(size, _step(size)) for size in sizes]
     given = _templates(base, "x").select("doc_id", F.explode(F.concat(*held) if len(held) > 1 else held[0]).alias("h"))
     hits = materialize(given.join(F.broadcast(keys) if few else keys, "h", "left_semi").select("doc_id").distinct(), "hits")
+    discard(keys)
     some = _templates(base.join(F.broadcast(hits) if hits.count() <= BROADCAST_WINDOWS else hits, "doc_id", "left_semi"), "x")
     some = some.select("doc_id", "t", "n", F.split(F.lower("s"), " ").alias("w"))
     parts = [some.select("doc_id", F.explode(_windows(size)).alias("x")).select("doc_id", F.lit(size).alias("size"), "x.at", "x.h", F.col("x.slots").alias("own")) for size in sizes]

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from bibweave.llm.rows import bounded_broadcast
 from bibweave.llm.textvec import map_batches, mix, shingle_sets, slices, spaced_words
 from bibweave.plans.components import connected_components
-from bibweave.plans.scratch import materialize
+from bibweave.plans.scratch import discard, materialize
 
 BUCKETS, MANTISSA = 128, 10
 #: Permutations of the layout for short texts, and the set size at which the layouts meet.
@@ -229,24 +229,32 @@ def near_duplicates(
     # the leader of each shared band, and the members still to be compared with others
     rest = materialize(entries.join(shared, "key").where("rep <> leader"), "members")
     labels = _link(base, rest, words, threshold)
-    home = classes.select("digest", "rep")
-    if labels is not None:
-        home = home.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("rep"))
+    home = classes.select("digest", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("rep"))
     out = sig.select("doc_id", "n", F.when(F.expr("n > 0 and doc_id is not null"), F.col("digest")).alias("digest")).join(home, "digest", "left")
     component = F.coalesce("rep", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _link(base: DataFrame, rest: DataFrame, words: int, threshold: float) -> DataFrame | None:
+def _link(base: DataFrame, rest: DataFrame, words: int, threshold: float) -> DataFrame:
     """Components over confirmed links; ``rest``: members of shared bands with their first leader."""
+    made = [rest]
+
+    def table(df: DataFrame, name: str, **options) -> DataFrame:
+        made.append(materialize(df, name, **options))
+        return made[-1]
+
+    def done(labels: DataFrame) -> DataFrame:
+        discard(*(t for t in made if t is not labels))
+        return labels
+
     # each member first meets the leader that it shares most bands with
     bound = rest.count()
-    met = materialize(rest.groupBy("rep", "leader").agg(F.count("*").alias("c")), "met", rows=bound)
+    met = table(rest.groupBy("rep", "leader").agg(F.count("*").alias("c")), "met", rows=bound)
     often = met.groupBy("rep").agg(F.max(F.struct("c", (-F.col("leader")).alias("m"))).alias("x")).select("rep", (-F.col("x.m")).alias("leader"))
     pairs = often.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
     ids = rest.select(F.explode(F.array("rep", "leader")).alias("doc_id")).distinct()
-    ids = materialize(ids, "candidates", rows=bound)
-    sets = materialize(
+    ids = table(ids, "candidates", rows=bound)
+    sets = table(
         map_batches(base.join(bounded_broadcast(ids), "doc_id", "left_semi").select("doc_id", "text"), _keep_sets(words), "doc_id long, shingles array<long>"), "sets"
     )
 
@@ -257,15 +265,18 @@ def _link(base: DataFrame, rest: DataFrame, words: int, threshold: float) -> Dat
         return map_batches(both, _verify(threshold), "a long, b long")
 
     def settled(links: DataFrame) -> DataFrame:
-        return materialize(connected_components(links, "a", "b"), "labels", rows=bound)
+        found = connected_components(links, "a", "b")
+        labels = table(found, "labels", rows=bound)
+        discard(found)
+        return labels
 
     def merged(labels: DataFrame, pairs: DataFrame) -> DataFrame:
-        fresh = materialize(confirmed(pairs), "links")
+        fresh = table(confirmed(pairs), "links")
         if fresh.isEmpty():
             return labels
         return settled(fresh.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
-    labels = settled(materialize(confirmed(pairs), "links"))
+    labels = settled(table(confirmed(pairs), "links"))
     # then the leaders of its other bands, so that no band's leader is left uncompared
     left = met.join(often, ["rep", "leader"], "left_anti").join(labels.select(F.col("node").alias("rep"), F.col("component").alias("x")), "rep", "left")
     left = left.join(labels.select(F.col("node").alias("leader"), F.col("component").alias("y")), "leader", "left")
@@ -274,10 +285,10 @@ def _link(base: DataFrame, rest: DataFrame, words: int, threshold: float) -> Dat
     percent = round(100 * threshold)
     placed = rest.select("key", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    open_ids = materialize(placed.join(split, "key").select(F.col("rep").alias("doc_id")).distinct(), "open", rows=bound)
+    open_ids = table(placed.join(split, "key").select(F.col("rep").alias("doc_id")).distinct(), "open", rows=bound)
     if open_ids.isEmpty():
-        return labels
-    rest = materialize(_prefixes(sets.join(open_ids, "doc_id", "left_semi"), percent), "prefixes")
+        return done(labels)
+    rest = table(_prefixes(sets.join(open_ids, "doc_id", "left_semi"), percent), "prefixes")
     bound, leaders = max(bound, rest.count()), 8
     while True:
         size = labels.groupBy("component").agg(F.count("*").alias("size"))
@@ -286,13 +297,13 @@ def _link(base: DataFrame, rest: DataFrame, words: int, threshold: float) -> Dat
         stats = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n").alias("least")).where("lo < hi")
         # a partner has at least `least` and at least threshold * n shingles
         alive = (F.col("n") - F.col("at")) * (100 + percent) >= percent * (F.col("n") + F.greatest("least", F.ceil(F.col("n") * percent / 100)))
-        now = materialize(now.join(stats.select("key", "least"), "key").where(alive).drop("least"), "open", rows=bound)
+        now = table(now.join(stats.select("key", "least"), "key").where(alive).drop("least"), "open", rows=bound)
         if now.isEmpty():
-            return labels
+            return done(labels)
         order = Window.partitionBy("key").orderBy("size", "rep")
         lead = now.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= leaders)
         lead = lead.select("key", F.col("rep").alias("leader"), F.col("component").alias("other"), F.col("n").alias("m"), F.col("at").alias("by"))
-        lead = materialize(lead, "leaders", rows=bound)
+        lead = table(lead, "leaders", rows=bound)
         fits = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("by")) * (100 + percent) >= percent * (F.col("n") + F.col("m"))
         pairs = now.join(lead, "key").where((F.col("component") != F.col("other")) & fits)
         pairs = pairs.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()

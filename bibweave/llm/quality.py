@@ -198,7 +198,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """``doc_id`` and ``score`` (0 to 1, higher: label 1 likelier) of every row of ``docs``.
 
     The model is trained on the labelled rows that are not held out. Null and empty
-    texts are scored by their (empty) statistics. Rows that share an id are scored apart.
+    texts are scored by their (empty) statistics, without labelled rows all scores are 0.5. Rows that share an
+    id are scored apart and each counts in training; null ids are scored and never trained on. Labels that
+    contradict each other count for both classes. Other columns are ignored, an empty table gives no rows.
     """
     vectors = materialize(text_features(docs, id_col, text_col), "features")
     model = train(vectors, labels, label_col)

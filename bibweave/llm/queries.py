@@ -18,7 +18,7 @@ from bibweave.llm.minhash import near_duplicates
 from bibweave.llm.packing import pack_documents
 from bibweave.llm.quality import held_out, score_quality
 from bibweave.llm.sentences import remove_passages
-from bibweave.plans.scratch import shared_dir
+from bibweave.plans.scratch import at_end, shared_dir
 
 #: Share of a score from which a document is predicted to be of quality.
 ACCEPT = 0.3
@@ -62,6 +62,7 @@ def op6_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    at_end(spark, path)
     write_tokens(_table(spark, sf_dir, "documents"), path, tokenizer_path())
     return read_tokens(spark, path, with_ids=False)
 

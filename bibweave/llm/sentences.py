@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from bibweave.llm.rows import bounded_broadcast
 from bibweave.llm.textvec import map_batches, mix, slices, spaced_words
 from bibweave.llm.textvec import runs as hashed_runs
-from bibweave.plans.scratch import materialize
+from bibweave.plans.scratch import discard, materialize
 
 SENTENCES, WORDS, CUT = 3, 24, 15
 #: Windows of which one is hashed, in stretches without a run.
@@ -134,7 +134,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     others = near.unionByName(far).where(F.struct("doc_id", "first", "version") != F.col("kept"))
     # a text has at most one entry per word, so its list is bounded by its length
     spans = others.groupBy("doc_id", "version").agg(F.sort_array(F.collect_set(F.struct("first", "size", F.col("kept.doc_id").alias("other")))).alias("spans"))
-    return map_batches(spans, _merge, "doc_id long, version int, first_doc_id long, first_word long, n_words long")
+    out = map_batches(spans, _merge, "doc_id long, version int, first_doc_id long, first_word long, n_words long")
+    out._bibweave_parts = (runs, places)
+    return out
 
 
 def _merge(batches) -> Iterator[pa.RecordBatch]:
@@ -186,6 +188,7 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     place = F.struct("first_word", "n_words", "first_doc_id")
     cuts = found.groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(place)).alias("spans"))
     cuts = materialize(cuts.select(F.col("doc_id").alias("of"), "version", "spans"), "cuts")
+    discard(found)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     both = base.join(bounded_broadcast(cuts), (F.col("doc_id") == F.col("of")) & (F.hash("text") == F.col("version")), "inner" if only_changed else "left")
     counted = both.select(

@@ -47,6 +47,30 @@ def test_stages(spark):
     assert frame_rows(whole.select("doc_id", "start", "length", "ids_crc32")) == frame_rows(packed.select("doc_id", "start", "length", "ids_crc32"))
 
 
+ODD = [
+    (1, None, "en", "a", None), (2, "", "en", None, 0), (None, "no id " * 40, None, "a", 1), (None, None, None, None, None), (3, "hello", "en", "a", 5), (4, "# Heading", "en", "a", 9),
+    (5, "same text of a few words " * 30, "en", "b", 1), (5, "same text of a few words " * 30, "en", "b", 1), (6, "same text of a few words " * 30, "en", "b", 1), (7, "long " * 100_000, "en", "c", 500_000), (8, "Dr.Müller", "de", "c", 9),
+]
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_on_odd_rows_and_empty_tables(spark, name):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = spark.createDataFrame(ODD, schema)
+    extra = docs.select("*", *(F.lit("x").alias(c) for c in ("bad", "row", "at", "host", "salt", "n_lines", "h", "rep", "start", "length")))
+    want = {"quality": None, "lines": 11, "near_duplicate": 10, "decontamination": 11}.get(name)
+    for df in (docs, extra):
+        got = stage(spark, df, DATA).collect()
+        if name == "packing":
+            assert sorted(r["doc_id"] or 0 for r in got if r["start"] == 0) == sorted(r[0] or 0 for r in ODD)
+        else:
+            assert len(got) == want if want else len(got) >= 2
+            assert [r["doc_id"] for r in got].count(None) == 2
+            assert all(r["n_chars"] is None or r["n_chars"] == len(r["text"] or "") for r in got) if name == "lines" else True
+        assert stage(spark, df.where("false"), DATA).count() == 0
+
+
 @pytest.mark.parametrize("name", ["op1_near_duplicates", "op3_exact_duplicates", "op10_site_lines"])
 def test_query_agrees_with_its_sql(spark, name):
     assert frame_rows(entry.queries()[name](spark, DATA)) == sql_rows(DATA, entry.oracle_sql()[name])

@@ -433,6 +433,35 @@ def test_quality_odd_rows(spark):
     assert quality.score_quality(docs.where("false"), odd).count() == 0
 
 
+def plain_features(text):
+    """The statistics of a text, byte by byte."""
+    data = (text or "").encode()
+    words = re.findall(rb"[^\x20\x09-\x0d]+", data)
+    n = max(len(words), 1)
+    share = lambda x: np.log(x + 0.003) - np.log(0.003)
+    upper = lambda b: 65 <= b <= 90
+    letter = lambda b: upper(b) or 97 <= b <= 122 or b >= 128
+    digit = lambda b: 48 <= b <= 57
+    loud, mark = b"!?", b"#$%&*@^~=+<>\\/_{}[]"
+    of = lambda test, w: sum(map(test, w))
+    letters = max(of(letter, data), 1)
+    sizes = [len(w) for w in words]
+    mean = sum(sizes) / n
+    return [
+        np.log1p(len(words)), np.log1p(mean), np.log1p(max(sum(x * x for x in sizes) / n - mean**2, 0) ** 0.5), len(set(words)) / n, share(max((words.count(w) for w in set(words)), default=0) / n),
+        share(of(upper, data) / letters), share(sum(len(w) > 0 and of(letter, w) > 1 and of(upper, w) == of(letter, w) for w in words) / n), share(of(digit, data) / letters), share(of(lambda b: b >= 128, data) / letters),
+        share(data.count(b".") / n), share(data.count(b",") / n), share(of(loud.__contains__, data) / n), share(of(mark.__contains__, data) / n), share(data.count(b"|") / n),
+        share(sum(of(lambda b: b in mark or b in loud or b == 124, w) > 0 for w in words) / n), share(data.count(b"\n") / n), share(sum(of(letter, w) == 0 and of(digit, w) == 0 for w in words) / n),
+    ]
+
+
+def test_quality_features_match_plain_ones(spark):
+    texts = [r["text"] for r in spark.read.parquet(f"{DATA}/documents.parquet").limit(60).collect()]
+    texts += ["", None, " \n", "ABC DEF 12 3a | # ## #a !? . , é É ÀB x", "one", "A", "\n\nTwo two two | |", "日本 語. 1,2"]
+    got = np.concatenate([quality.features(data, offsets) for _, _, data, offsets in textvec.slices(pa.array(texts), 5000)])
+    assert quality.FEATURES[0] == "log_words" and got == pytest.approx(np.array([plain_features(t) for t in texts]), abs=1e-9)
+
+
 def test_discriminant_matches_plain_densities():
     r = np.random.default_rng(0)
     d = len(quality.FEATURES)
