@@ -1,4 +1,8 @@
-"""A corpus pipeline of five stages over ``documents``: from raw texts to packed windows."""
+"""A corpus pipeline of five stages over ``documents``: from raw texts to packed windows.
+
+All stages take nulls in any column, empty and very long texts, repeated rows, rows that share an id, empty tables and
+columns of any name. Rows without an id are never dropped; rows that share an id go or stay together.
+"""
 
 from __future__ import annotations
 
@@ -16,29 +20,29 @@ from bibweave.plans.scratch import materialize
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier scores below the acceptance go."""
+    """Documents that the classifier scores below the acceptance go; a null text is scored as an empty one, a score at the acceptance stays."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return without(docs, score_quality(docs, labels).where(F.col("score") < ACCEPT).select("doc_id"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of a source go; every document stays, with its new length."""
-    left = drop_boilerplate(docs).drop("n_lines", "n_dropped")
-    return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Boilerplate lines of a source go; every document stays, with its new length (null for a null text). Documents without a source are one source."""
+    left = drop_boilerplate(docs)
+    return left.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near duplicates (five-word shingles, 0.8) the smallest id stays."""
+    """Of every group of near duplicates (five-word shingles, 0.8) the smallest id stays, with all its rows; texts without words are alike to none."""
     return without(docs, near_duplicates(docs, words=5, threshold=0.8).where("not kept").select("doc_id"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold passages of a benchmark item go."""
+    """Documents that hold passages of a benchmark item go; null and empty texts hold none."""
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in windows of 2048 tokens."""
+    """Pieces of the documents in windows of 2048 tokens; a null or empty text is its end id alone."""
     return pack_documents(docs, tokenizer_path())
 
 
