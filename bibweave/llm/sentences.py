@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bibweave.llm.rows import bounded_broadcast
+from bibweave.llm.rows import BROADCAST_ROWS
 from bibweave.llm.textvec import map_batches, mix, slices, spaced_words
 from bibweave.llm.textvec import runs as hashed_runs
 from bibweave.plans.scratch import discard, materialize
@@ -189,8 +189,11 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cuts = found.groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(place)).alias("spans"))
     cuts = materialize(cuts.select(F.col("doc_id").alias("of"), "version", "spans"), "cuts")
     discard(found)
+    # the lists are of any length, so their entries are counted and not their rows
+    if (cuts.agg(F.sum(F.size("spans"))).first()[0] or 0) <= BROADCAST_ROWS:
+        cuts = F.broadcast(cuts)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    both = base.join(bounded_broadcast(cuts), (F.col("doc_id") == F.col("of")) & (F.hash("text") == F.col("version")), "inner" if only_changed else "left")
+    both = base.join(cuts, (F.col("doc_id") == F.col("of")) & (F.hash("text") == F.col("version")), "inner" if only_changed else "left")
     counted = both.select(
         "doc_id", F.get("spans", F.lit(0))["first_doc_id"].alias("first_doc_id"), F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_passages"),
         F.aggregate(F.coalesce("spans.n_words", F.array().cast("array<bigint>")), F.lit(0).cast("long"), lambda a, x: a + x).alias("n_words"), "text", "spans",

@@ -310,7 +310,7 @@ def test_passages_odd_rows(spark):
     assert sentences.repeated_passages(df.where("false")).count() == 0
 
 
-def test_passages_that_many_texts_share(spark):
+def test_passages_that_many_texts_share(spark, monkeypatch):
     # hot runs go another way than the others, to the same result; what is left is the texts without them
     r = random.Random(3)
     text = lambda n: " ".join(f"q{r.randrange(50_000)}" + "." * (k % 7 == 6) for k in range(n))
@@ -320,6 +320,9 @@ def test_passages_that_many_texts_share(spark):
     assert got[0] == got[1] == got[2] and len({x[0] for x in got[0]}) == 132 + 6
     changed = sentences.remove_passages(crowded(spark, texts.items()), only_changed=True).collect()
     assert {x["doc_id"] for x in changed} == {x[0] for x in got[0]}
+    with monkeypatch.context() as m:  # too many cuts for a broadcast
+        m.setattr("bibweave.llm.sentences.BROADCAST_ROWS", 0)
+        assert sorted(map(tuple, sentences.remove_passages(crowded(spark, texts.items()), only_changed=True).collect())) == sorted(map(tuple, changed))
     for x in changed:
         mine = [y for y in got[0] if y[0] == x["doc_id"]]
         assert (x["n_passages"], x["n_words"], x["first_doc_id"]) == (len(mine), sum(y[4] for y in mine), mine[0][2])
