@@ -15,6 +15,7 @@ from bibweave.llm.html_extract import extract_text
 from bibweave.llm.licenses import scan_licenses
 from bibweave.llm.lines import drop_boilerplate
 from bibweave.llm.minhash import near_duplicates
+from bibweave.llm.negatives import hard_negatives
 from bibweave.llm.packing import pack_documents
 from bibweave.llm.quality import held_out, score_quality
 from bibweave.llm.sentences import remove_passages
@@ -80,6 +81,12 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -133,6 +140,20 @@ WITH p AS (
 )
 SELECT p.doc_id, coalesce(g.n, 0) AS n_lines, coalesce(g.d, 0) AS n_dropped, CASE WHEN p.text IS NULL THEN NULL ELSE coalesce(g.rest, '') END AS text
 FROM p LEFT JOIN g ON g.r = p.r
+""",
+    "op12_hard_negatives": r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER w::INT AS rank, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) QUALIFY row_number() OVER w <= 5
 """,
 }
 
@@ -140,7 +161,7 @@ FROM p LEFT JOIN g ON g.r = p.r
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_near_duplicates, op2_license_scan, op3_exact_duplicates, op4_repeated_passages, op5_main_text, op6_packed_sequences,
-        op7_token_files, op8_contaminated, op9_quality_scores, op10_site_lines, pipeline,
+        op7_token_files, op8_contaminated, op9_quality_scores, op10_site_lines, op12_hard_negatives, pipeline,
     )
     return {f.__name__: f for f in found}
 
