@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bibweave.llm.ans import read_tokens, write_tokens
+from bibweave.llm.classlm import score_texts
 from bibweave.llm.decontaminate import contaminated
 from bibweave.llm.exact import exact_duplicates
 from bibweave.llm.html_extract import extract_text
@@ -87,6 +88,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
 
 
+def op13_class_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -161,7 +166,7 @@ WINDOW w AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_near_duplicates, op2_license_scan, op3_exact_duplicates, op4_repeated_passages, op5_main_text, op6_packed_sequences,
-        op7_token_files, op8_contaminated, op9_quality_scores, op10_site_lines, op12_hard_negatives, pipeline,
+        op7_token_files, op8_contaminated, op9_quality_scores, op10_site_lines, op12_hard_negatives, op13_class_model_scores, pipeline,
     )
     return {f.__name__: f for f in found}
 
