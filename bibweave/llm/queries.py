@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from bibweave.llm.ans import read_tokens, write_tokens
 from bibweave.llm.classlm import score_texts
+from bibweave.llm.collocations import phrases
 from bibweave.llm.decontaminate import contaminated
 from bibweave.llm.exact import exact_duplicates
 from bibweave.llm.html_extract import extract_text
@@ -82,6 +83,10 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases(_table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -145,6 +150,32 @@ WITH p AS (
 )
 SELECT p.doc_id, coalesce(g.n, 0) AS n_lines, coalesce(g.d, 0) AS n_dropped, CASE WHEN p.text IS NULL THEN NULL ELSE coalesce(g.rest, '') END AS text
 FROM p LEFT JOIN g ON g.r = p.r
+""",
+    "op11_phrases": rf"""
+WITH p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), g AS (
+  SELECT lang, s, array_to_string(ws[i:i + s - 1], ' ') AS phrase
+  FROM (SELECT lang, s, ws, unnest(range(1, len(ws) - s + 2)) AS i FROM p, (SELECT unnest([1, 2, 3, 4]) AS s) WHERE len(ws) >= s)
+), f AS (
+  SELECT lang, s, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 30
+), t AS (
+  SELECT lang, sum(len(ws))::BIGINT AS n FROM p GROUP BY lang
+), c AS (
+  SELECT lang, s, phrase, a, string_split(phrase, ' ') AS ws, unnest(range(1, s)) AS k FROM f WHERE s > 1
+), b AS (
+  SELECT c.lang, c.s, c.phrase, c.a, c.k, x.a AS l, y.a AS r, (2000000 * c.a::HUGEINT // (x.a + y.a))::BIGINT AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:c.k], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[c.k + 1:], ' ')
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.k) = 1
+), h AS (
+  SELECT lang, array_to_string(ws[i:i + z - 1], ' ') AS phrase, max(a) AS held
+  FROM (SELECT lang, s, a, ws, z, unnest(range(1, s - z + 2)) AS i FROM (SELECT lang, s, a, string_split(phrase, ' ') AS ws, unnest(range(2, s)) AS z FROM f WHERE s > 2)) GROUP BY ALL
+), k AS (
+  SELECT b.* FROM b LEFT JOIN h ON h.lang = b.lang AND h.phrase = b.phrase WHERE h.held IS NULL OR 100 * h.held < 80 * b.a
+)
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, t.n, score
+FROM k JOIN t ON t.lang = k.lang QUALIFY rank <= 2000
 """,
     "op12_hard_negatives": r"""
 WITH v AS (
@@ -166,7 +197,7 @@ WINDOW w AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_near_duplicates, op2_license_scan, op3_exact_duplicates, op4_repeated_passages, op5_main_text, op6_packed_sequences,
-        op7_token_files, op8_contaminated, op9_quality_scores, op10_site_lines, op12_hard_negatives, op13_class_model_scores, pipeline,
+        op7_token_files, op8_contaminated, op9_quality_scores, op10_site_lines, op11_phrases, op12_hard_negatives, op13_class_model_scores, pipeline,
     )
     return {f.__name__: f for f in found}
 
