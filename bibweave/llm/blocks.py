@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from bibweave.llm.textvec import mix
 
 #: Bytes of text of a block, and of the texts that a task holds back to fill blocks of several groups.
-BLOCK_BYTES, HELD_BYTES = 12 << 20, 36 << 20
+BLOCK_BYTES, HELD_BYTES = 8 << 20, 24 << 20
 
 _U = np.uint64
 _CODEC = "zstd"
