@@ -235,7 +235,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     Texts are tokenised once and counted; then ids are dealt into ranges by sampled
     splitters and sorted within them, and each range becomes a shard of blocks. Null texts are
     the end id alone. Rows with a null id stand before all others, rows that share an id (or
-    have none) side by side in the order of their ids' bytes. Other columns are ignored and an empty
+    have none) side by side in an order that a run fixes. Other columns are ignored and an empty
     table gives files without documents. To the driver go the counts of the vocabulary only.
     """
     spark, width = docs.sparkSession, _width(tokenizer)
@@ -247,7 +247,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
         counts[r["id"]] = r["n"]
     raw = scaled_frequencies(counts).astype("<u4").tobytes()
     spark.createDataFrame([(SCALE, bytearray(raw))], "scale int, frequencies binary").coalesce(1).write.parquet(f"{path}/table")
-    ranged = held.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids").withColumn("shard", F.spark_partition_id().cast("long"))
+    # rows of one id, or of none, can be many: they are dealt on by a hash and their place in the table
+    tie = F.xxhash64("ids", F.monotonically_increasing_id())
+    ranged = held.withColumn("tie", tie).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie").withColumn("shard", F.spark_partition_id().cast("long"))
     coded = map_batches(ranged, _blocks(raw, width, block_tokens), "shard long, block long, tokens long, payload binary")
     coded.write.option("compression", "none").parquet(f"{path}/blocks")
     discard(held)

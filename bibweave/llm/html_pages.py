@@ -4,6 +4,12 @@ from __future__ import annotations
 
 import random
 
+#: Classes that themes give to html, body, wrappers and articles; they name parts of the page, but hold all of it.
+THEMES = (
+    "has-sidebar", "cookie-bar", "comments-open", "nav-fixed menu-open", "page sidebar-right", "single-post footer-dark", "home archive", "with-ads", "popup-ready", "search-results header-sticky",
+    "legal", "post has-comments", "post comment-page", "widget-area", "toc related-on", "social share-bar", "newsletter story", "tags-shown content", "login-modal", "breadcrumb-top",
+)
+
 _SYLLABLES = "ba ce di fo gu la me ni ro su ta ve wi zo an el or us in".split()
 
 
@@ -43,6 +49,10 @@ class _Maker:
         self.add(f"<{tag}{attr}>")
         return tag
 
+    def theme(self, tag: str, chance: float) -> None:
+        c = self.r.choice(THEMES)
+        self.add(f'<{tag} class="{c}">' if self.r.random() < chance else f"<{tag}>")
+
     def links(self, lo: int, hi: int) -> None:
         if self.r.random() < 0.8:
             self.add("<ul>", *(f'<li><a href="/{self.word()}">{self.text(self.words(1, 3), 0)}</a></li>' for _ in range(self.r.randint(lo, hi))), "</ul>")
@@ -122,7 +132,14 @@ class _Maker:
         if style == 0:
             self.add("<main>")
             outer.append("main")
-        t = self.open(*((["article"],) if style < 3 else (["main"], "", "content") if style == 3 else (["div", "section"], "content", "post", "entry-content", "article-body", "story", "main", "main-content", "page")))
+        if style < 3:
+            self.theme(t := "article", 0.5)
+        elif style == 3:
+            t = self.open(["main"], "", "content")
+        elif self.r.random() < 0.4:
+            self.theme(t := self.r.choice(["div", "section"]), 0.7)  # nothing tells that it is the article but what it holds
+        else:
+            t = self.open(["div", "section"], "content", "post", "entry-content", "article-body", "story", "main", "main-content", "page")
         outer.append(t)
         if self.r.random() < 0.8:
             h = self.r.choice(["h1", "h1", "h2"])
@@ -152,10 +169,12 @@ class _Maker:
             self.add(f"</{t}>")
 
     def page(self) -> tuple[str, list[tuple[str, int]]]:
-        self.add(f"<!DOCTYPE html><html><head><title>{self.words(1, 6)}</title></head><body>")
+        self.add(f"<!DOCTYPE html><html><head><title>{self.words(1, 6)}</title></head>")
+        self.theme("body", 0.4)
         bare = self.r.random() < 0.12  # an article and nothing else
         wrap = self.r.random() < 0.3
-        self.add('<div class="wrapper">' * wrap)
+        if wrap:
+            self.theme("div", 0.5) if self.r.random() < 0.5 else self.add('<div class="wrapper">')
         if not bare:
             self.around("header nav notice ad form sidebar")
         self.article(self.r.choice([1, 2, 12]) if bare else 12)

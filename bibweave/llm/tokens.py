@@ -69,7 +69,7 @@ class Encoder:
         self.library = _library(path)
         self.model = self.library.model
         self.by_pieces = _by_pieces(self.library)
-        self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        self.special = [t.content.encode().lower() for t in self.library.get_added_tokens_decoder().values()]
         self._forget()
 
     def _forget(self) -> None:
@@ -176,15 +176,12 @@ class Encoder:
             return
         for _, _, data, offsets in slices(column):
             ids, bounds = self.encode(data, offsets)
-            special = None
             raw = data.tobytes() if len(data) else b""
-            if any(t in raw for t in self.special):
-                special = {i for i in range(len(offsets) - 1) if any(t in raw[offsets[i] : offsets[i + 1]] for t in self.special)}
-            elif any(t in raw.lower() for t in self.special):
-                low = raw.lower()
-                special = {i for i in range(len(offsets) - 1) if any(t in low[offsets[i] : offsets[i + 1]] for t in self.special)}
+            low = raw.lower()
+            # the library finds them in any case, so every row is judged by its lower-cased bytes
+            special = {i for i in range(len(offsets) - 1) if any(t in low[offsets[i] : offsets[i + 1]] for t in self.special)} if any(t in low for t in self.special) else ()
             for i in range(len(offsets) - 1):
-                if special and i in special:
+                if i in special:
                     text = raw[offsets[i] : offsets[i + 1]].decode()
                     yield np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
                 else:

@@ -50,6 +50,21 @@ def test_random_rows_equal_the_library():
     assert [list(x) for x in Encoder(tokenizer_path()).rows(pa.array(rows))] == want
 
 
+def test_special_tokens_in_any_case_are_judged_row_by_row():
+    r = random.Random(13)
+    library = Tokenizer.from_file(tokenizer_path())
+
+    def cased(t):
+        return "".join(c.upper() if r.random() < 0.5 else c for c in t)
+
+    pair = ["see <|endoftext|>", "a <|EndOfText|> b"]
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|endoftext", "endoftext|>", "a", "é.", " ", "word", "Dr.", "<|", "|>", ",", "\n"]
+    rows = ["".join(cased(r.choice(bits)) if r.random() < 0.6 else r.choice(bits) for _ in range(r.choice([1, 2, 3, 6]))) for _ in range(100_000)]
+    for texts in (pair, pair[::-1], rows, rows[:3000] + ["long " * 100_000, *rows[3000:6000]]):
+        want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert [list(x) for x in Encoder(tokenizer_path()).rows(pa.array(texts))] == want
+
+
 def test_other_tokenizers_are_used_whole():
     import public_tokenizers
 
@@ -98,7 +113,21 @@ def test_token_files_round_trip(spark, tmp_path):
     assert ans.read_tokens(spark, str(tmp_path / "e")).count() == 0
     ans.write_tokens(spark.createDataFrame([(3, "c"), (None, "x"), (-5, "a"), (None, "y z"), (3, "c")], "doc_id long, text string"), str(tmp_path / "n"), tokenizer_path())
     got = ans.read_tokens(spark, str(tmp_path / "n")).orderBy("start").collect()
-    assert [r["doc_id"] for r in got] == [None, None, -5, 3, 3] and [r["start"] for r in got] == [0, 2, 5, 7, 9]
+    assert [r["doc_id"] for r in got] == [None, None, -5, 3, 3] and [r["start"] for r in got][2:] == [5, 7, 9] and sorted(r["n_tokens"] for r in got) == [2, 2, 2, 2, 3]
+
+
+def test_rows_of_one_id_spread_over_shards(spark, tmp_path):
+    rows = spark.range(4000).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.when(F.col("id") % 3 == 1, 7).otherwise(F.col("id"))).alias("doc_id"), F.lit("the same words").alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be one partition
+    try:
+        ans.write_tokens(rows.repartition(8), str(tmp_path / "t"), tokenizer_path(), block_tokens=100)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    shards = spark.read.parquet(str(tmp_path / "t") + "/blocks").groupBy("shard").agg(F.sum("tokens").alias("n")).collect()
+    assert len(shards) > 2 and max(r["n"] for r in shards) < 0.5 * sum(r["n"] for r in shards)
+    got = ans.read_tokens(spark, str(tmp_path / "t")).orderBy("start").collect()
+    ids = [-1 if r["doc_id"] is None else r["doc_id"] for r in got]
+    assert ids == sorted(ids) and len(ids) == 4000 and all(r["start"] == 4 * i for i, r in enumerate(got))
 
 
 def test_spans_are_read_from_checkpoints(spark, tmp_path, monkeypatch):
@@ -254,6 +283,57 @@ def test_pages_against_their_article_element(spark, field):
         assert r["text"] == " ".join(html.unescape(re.sub(r"<[^>]*(>|$)", " ", m[1])).split())
 
 
+THEMES = (
+    "has-sidebar", "cookie-bar", "comments-open", "post has-comments", "post comment-page", "legal", "single single-post", "nav-open footer-fixed", "page-template sidebar-right", "with-sidebar ads-on",
+    "archive tag-news", "search search-results", "popup modal-ready", "newsletter-signup", "promo banner", "related-layout", "social share", "widget-area", "menu-header", "breadcrumb toc",
+)
+AROUND = (
+    '<nav class="menu"><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li></ul></nav>',
+    '<aside class="sidebar"><h3>Popular</h3><ul><li><a href="/c">Other things</a></li></ul></aside><footer>&copy; 2021 Someone. All rights reserved.</footer>',
+)
+
+
+@pytest.mark.parametrize("theme", THEMES)
+def test_theme_classes_keep_the_article(field, theme):
+    story = f"<h1>Title of the story</h1><p>{LONG}</p><h2>Part two</h2><p>{LONG}</p><ul><li>One point</li></ul>"
+    want = f"Title of the story {LONG.strip()} Part two {LONG.strip()} One point"
+    before, after = AROUND
+    for page in (
+        f"<html><body class='{theme}'>{before}<article>{story}</article>{after}</body></html>",
+        f"<html class='{theme}'><body class='{theme}'>{before}<main>{story}</main>{after}</body></html>",
+        f"<html><body>{before}<article class='{theme}'>{story}</article>{after}</body></html>",
+        f"<html><body><div id='{theme.split()[0]}'>{before}<article class='post'>{story}</article>{after}</div></body></html>",
+        f"<html><body>{before}<div class='{theme}'>{story}</div>{after}</body></html>",
+    ):
+        assert html_extract.main_text(page, field) == want
+
+
+@pytest.mark.parametrize("quote", ["'", '"'])
+def test_a_stray_quote_loses_no_text(quote):
+    story = 'He said "no" and it doesn\'t matter, they\'re "fine".'
+    for tag in ("<p title=it>", "<p class='x' title=\"a b\">", "<a href=/johns-page class=y>", "<p hidden-not data-x='1'>"):
+        for i in range(2, len(tag)):
+            page = f"<article><p>First words.</p>{tag[:i]}{quote}{tag[i:]}{story}</p><p class='z'>Second {story}</p><p class=\"z\">Last words.</p></article>"
+            text = " ".join(b.text for b in blocks(page))
+            assert text.count(story) == 2 and text.startswith("First words.") and text.endswith("Last words."), (tag[:i] + quote + tag[i:], text)
+    assert [b.text for b in blocks("<p title='a > b' x>yes</p><p title=\"<b>c</b>\">no</p>")] == ["yes", "no"]
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    def took(n):
+        pages = "<div class='nav'>" * n + "x " + "<annotation>" * n + "<li>y" * n, "<section><p class='a b'>w " * n, "<a href=\">z" * n, "</p>" * n + "<td>" * n
+        began = time.perf_counter()
+        for page in pages:
+            features(blocks(page))
+        return time.perf_counter() - began
+
+    took(500)
+    small, large = min(took(2000) for _ in range(3)), min(took(16_000) for _ in range(2))
+    assert large < 8 * 2.5 * small
+
+
 def test_pages_odd_rows(spark, field):
     df = spark.createDataFrame([(1, None, "old", 3), (1, "", "old", 4), (None, "<p>" + "Long text, and more. " * 20_000, "old", 5)], "page_id long, html string, text string, label int")
     got = html_extract.extract_text(df, field=field)
