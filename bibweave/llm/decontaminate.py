@@ -1,11 +1,14 @@
 """Benchmark decontamination by template windows, with DataFrame operations only.
 
 Texts are brought to templates: numbers, names (capitalised words) and units after a number become
-typed placeholders, all else lower-cased words. Every window of ``WINDOW`` template words of an item meets
+typed placeholders, all else lower-cased words. A window with names has a second template without them, so that
+it also meets a copy in another case. Every window of ``WINDOW`` template words of an item meets
 every such window of a document by its hash; an item shorter than a window is one window of its own
-length. The matches of one alignment count if their slots are consistent: each value of the item stands for
-one value of the document and the other way round. Where they are not, windows with equal values
-count. Windows made mostly of placeholders are hashed on their actual words, so they match where those are equal.
+length. The matches of one alignment count together if their slots are consistent (each value of the item stands for
+one value of the document and the other way round) and they hold evidence for ``LITERAL`` words: a plain word or a slot of equal
+value is one, a number is half of one, whatever its value. So a window of few plain words counts by what the whole alignment
+holds. Where an alignment falls short, its windows with equal values count. Windows without any plain word are hashed on
+their actual words, so they match where those are equal.
 
 Most documents match nothing, and a cheaper test finds them: a window of n words holds, wherever it stands,
 one run of n - step + 1 words that begins at a multiple of ``step``. Documents give only those runs, and the ones
@@ -21,7 +24,7 @@ from bibweave.llm.rows import without
 from bibweave.plans.scratch import discard, materialize
 
 WINDOW = 8
-#: Least words of a window that are no placeholders; windows with fewer match by their actual words.
+#: Evidence, in plain words, that an alignment must hold to count by its templates.
 LITERAL = 4
 #: Windows of the benchmark (some 100 bytes each) and hashes of its runs (8 bytes) that may be broadcast; with more, Spark chooses the join.
 BROADCAST_WINDOWS, BROADCAST_RUNS = 1 << 20, 1 << 22
@@ -41,21 +44,21 @@ def words_of(text) -> F.Column:
     return F.trim(F.regexp_replace(s, r"[^\p{L}\p{N}_]+", " "))
 
 
-def template_of(words) -> F.Column:
-    """Placeholders in place of capitalised words, numbers and units after one; word by word as many as there are.
+def _numbered(words) -> F.Column:
+    """Placeholders in place of numbers and of units after one; word by word as many as there are.
 
     The patterns begin with a character, and look behind it for the word's start, since that fails fastest.
     """
-    s = F.lower(F.regexp_replace(words, r"\p{Lu}(?<![^ ].)\p{Ll}[^ ]*", _NAME))
-    s = F.regexp_replace(s, r"[0-9](?<![^ ].)[0-9_]*(?= |$)", _NUMBER)
-    return F.regexp_replace(s, f"{_NUMBER} (?:{'|'.join(UNITS.split())})(?= |$)", f"{_NUMBER} {_UNIT}")
+    s = F.regexp_replace(words, r"[0-9](?<![^ ].)[0-9_]*(?= |$)", _NUMBER)
+    return F.regexp_replace(s, f"{_NUMBER} (?i:{'|'.join(UNITS.split())})(?= |$)", f"{_NUMBER} {_UNIT}")
 
 
 def _templates(df: DataFrame, text_col: str) -> DataFrame:
-    """Adds ``t`` (the templates of the words), their number ``n`` and ``s`` (the words, spaced)."""
-    df = df.withColumn("s", words_of(F.col(text_col)))
-    df = df.withColumn("t", F.split(template_of(F.col("s")), " "))
-    return df.withColumn("n", F.when(F.col("s") == "", 0).otherwise(F.size("t")))
+    """Adds the words of a text as arrays: ``t`` with typed numbers, units and names, ``u`` without the names, ``w`` as they are; ``n`` is their number."""
+    df = df.withColumn("s", words_of(F.col(text_col))).withColumn("x", _numbered(F.col("s")))
+    named = F.regexp_replace("x", r"\p{Lu}(?<![^ ].)\p{Ll}[^ ]*", _NAME)
+    df = df.withColumns({c: F.split(F.lower(x), " ") for c, x in (("t", named), ("u", F.col("x")), ("w", F.col("s")))})
+    return df.withColumn("n", F.when(F.col("s") == "", 0).otherwise(F.size("t"))).drop("s", "x")
 
 
 def _is_slot(x) -> F.Column:
@@ -63,7 +66,7 @@ def _is_slot(x) -> F.Column:
 
 
 def _need(size: int) -> int:
-    """Words of a window that must be no placeholders for it to match by its template."""
+    """Evidence that an alignment of windows of ``size`` words must hold."""
     return min(LITERAL, (size + 1) // 2)
 
 
@@ -71,31 +74,41 @@ def _step(size: int) -> int:
     return max(1, size // 2)
 
 
+def _both(i, size: int, one) -> F.Column:
+    """What ``one`` makes of ``size`` words from the ``i``-th on: of the template, and of that without names where it has some."""
+    typed, plain = F.slice("t", i, F.lit(size)), F.slice("u", i, F.lit(size))
+    return F.when(F.array_contains(typed, _NAME), F.array(one(typed), one(plain))).otherwise(F.array(one(typed)))
+
+
 def _runs(size: int, step: int) -> F.Column:
     """Hashes of the runs that every window of ``size`` words holds one of, from every ``step``-th word on."""
     run = size - _step(size) + 1
     at = F.sequence(F.lit(1), F.col("n") - run + 1, F.lit(step))
-    return F.when(F.col("n") >= run, F.transform(at, lambda i: F.xxhash64(F.lit(size), F.slice("t", i, F.lit(run))))).otherwise(F.array().cast("array<bigint>"))
+    made = F.flatten(F.transform(at, lambda i: _both(i, run, lambda t: F.xxhash64(F.lit(size), t))))
+    return F.when(F.col("n") >= run, made).otherwise(F.array().cast("array<bigint>"))
 
 
-def _windows(size: int) -> F.Column:
-    """``at, h, slots, literal`` of every window: the hash of its template, or of its words where ``literal`` is too small.
+def _windows(size: int, floor: int) -> F.Column:
+    """``at, h, slots, literal`` of every window: the hash of its template, or of its words if fewer than ``floor`` of them are plain.
 
-    ``slots`` are the values at its placeholders with their kind, and none if it is matched by its words.
+    ``slots`` are the values at its placeholders with their kind and place, and none if it is matched by its words;
+    ``literal`` has the places of its plain words.
     """
 
     def window(i):
-        t, w = F.slice("t", i + 1, F.lit(size)), F.slice("w", i + 1, F.lit(size))
-        literal = F.size(F.filter(t, lambda x: ~_is_slot(x)))
-        held = F.filter(F.arrays_zip(t.alias("k"), w.alias("v")), lambda p: _is_slot(p["k"]))
-        slots = F.transform(held, lambda p: F.concat(p["k"], p["v"]))
-        by_template = literal >= _need(size)
-        h = F.when(by_template, F.xxhash64(F.lit(size), t)).otherwise(F.xxhash64(F.lit(-size), t, w))
-        slots = F.when(by_template, slots).otherwise(F.array().cast("array<string>"))
-        return F.struct(i.alias("at"), h.alias("h"), slots.alias("slots"), literal.alias("literal"))
+        def one(t):
+            held = F.arrays_zip(t.alias("k"), F.slice("w", i + 1, F.lit(size)).alias("v"), F.sequence(i, i + size - 1).alias("j"))
+            slots = F.transform(F.filter(held, lambda p: _is_slot(p["k"])), lambda p: F.struct(p["j"].alias("j"), F.concat(p["k"], p["v"]).alias("v")))
+            literal = F.transform(F.filter(held, lambda p: ~_is_slot(p["k"])), lambda p: p["j"])
+            by_template = F.size(literal) >= floor
+            h = F.when(by_template, F.xxhash64(F.lit(size), t)).otherwise(F.xxhash64(F.lit(-size), t, F.slice("w", i + 1, F.lit(size))))
+            slots = F.when(by_template, slots).otherwise(F.array().cast("array<struct<j:int,v:string>>"))
+            return F.struct(i.alias("at"), h.alias("h"), slots.alias("slots"), literal.alias("literal"), (by_template | F.array_contains(t, _NAME)).alias("told"))
+
+        return _both(i + 1, size, one)
 
-    made = F.transform(F.sequence(F.lit(0), F.col("n") - size), window)
-    return F.when(F.col("n") >= size, made).otherwise(F.array().cast("array<struct<at:int,h:bigint,slots:array<string>,literal:int>>"))
+    made = F.flatten(F.transform(F.sequence(F.lit(0), F.col("n") - size), window))
+    return F.when(F.col("n") >= size, made).otherwise(F.array().cast("array<struct<at:int,h:bigint,slots:array<struct<j:int,v:string>>,literal:array<int>,told:boolean>>"))
 
 
 def contaminated(
@@ -103,25 +116,27 @@ def contaminated(
 ) -> DataFrame:
     """Pairs of documents and benchmark items that share consistent template windows.
 
-    Returns ``doc_id, item_id, n_windows`` (pairs of equal windows that count) and ``n_exact`` (those with
+    Returns ``doc_id, item_id, n_windows`` (pairs of equal windows that count, by their places) and ``n_exact`` (those with
     equal slot values). Items shorter than a window are matched as a whole: by template if half of
     their words are no placeholders, else by their actual words, if one is no number or unit. What an item
     matches does not depend on the other items. Null and empty texts match nothing; rows with a null id take
-    no part. Repeated rows add to the windows of their id; repeated items count once per item id. Other columns are ignored.
+    no part. Rows that share an id are one document; repeated items count once per item id. Other columns are ignored.
     """
     items = _templates(benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("x")).where("item_id is not null"), "x")
-    items = materialize(items.select("item_id", "t", "n", F.split(F.lower("s"), " ").alias("w")).where("n > 0").withColumn("size", F.least("n", F.lit(window))), "items")
+    items = materialize(items.where("n > 0").withColumn("size", F.least("n", F.lit(window))), "items")
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("x")).where("doc_id is not null and x is not null")
     if not sizes:
         return base.where("false").selectExpr("doc_id", "cast(null as bigint) as item_id", "0l as n_windows", "0l as n_exact")
+    # a short item has no alignment beyond itself
+    floors = {size: 1 if size == window else _need(size) for size in sizes}
     asked, runs = [], []
     for size in sizes:
         own = items.where(F.col("size") == size)
-        made = own.select("item_id", "size", "t", F.explode(_windows(size)).alias("x")).select("item_id", "size", "t", "x.*")
+        made = own.select("item_id", "size", F.explode(_windows(size, floors[size])).alias("x")).select("item_id", "size", "x.*")
         if size < window:
-            made = made.where((F.col("literal") >= _need(size)) | F.array_contains("t", _NAME))
-        asked.append(made.select("h", "size", "item_id", F.col("at").alias("item_at"), "slots").distinct())
+            made = made.where("told")
+        asked.append(made.select("h", "size", "item_id", F.col("at").alias("item_at"), "slots", "literal").distinct())
         runs.append(own.select(F.explode(_runs(size, 1)).alias("h")))
     wanted, keys = asked[0], runs[0]
     for more, other in zip(asked[1:], runs[1:]):
@@ -135,22 +150,27 @@ def contaminated(
     hits = materialize(given.join(F.broadcast(keys) if few else keys, "h", "left_semi").select("doc_id").distinct(), "hits")
     discard(keys)
     some = _templates(base.join(F.broadcast(hits) if hits.count() <= BROADCAST_WINDOWS else hits, "doc_id", "left_semi"), "x")
-    some = some.select("doc_id", "t", "n", F.split(F.lower("s"), " ").alias("w"))
-    parts = [some.select("doc_id", F.explode(_windows(size)).alias("x")).select("doc_id", F.lit(size).alias("size"), "x.at", "x.h", F.col("x.slots").alias("own")) for size in sizes]
+    parts = [some.select("doc_id", F.explode(_windows(size, floors[size])).alias("x")).select("doc_id", F.lit(size).alias("size"), "x.at", "x.h", F.col("x.slots.v").alias("own")) for size in sizes]
     found = parts[0]
     for more in parts[1:]:
         found = found.unionByName(more)
     both = found.join(F.broadcast(wanted) if small else wanted, ["h", "size"])
     # windows of one alignment of a text with an item share their slots
-    aligned = both.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(
-        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("slots", "own")))).alias("slots"),
-        F.count("*").alias("n"), F.count_if(F.col("slots") == F.col("own")).alias("exact"),
+    same = F.col("slots.v") == F.col("own")
+    aligned = both.groupBy("doc_id", "item_id", "size", (F.col("at") - F.col("item_at")).alias("shift")).agg(
+        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip(F.col("slots.j").alias("j"), F.col("slots.v").alias("v"), "own")))).alias("slots"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("literal")))).alias("plain"),
+        F.size(F.collect_set("at")).alias("n"), F.size(F.collect_set(F.when(same, F.col("at")))).alias("exact"),
     )
-    paired = F.size("slots")
-    consistent = (paired == F.size(F.array_distinct("slots.slots"))) & (paired == F.size(F.array_distinct("slots.own")))
-    kept = aligned.where(consistent | (F.col("exact") > 0))
-    counted = F.when(consistent, F.col("n")).otherwise(F.col("exact"))
-    return kept.groupBy("doc_id", "item_id").agg(F.sum(counted).alias("n_windows"), F.sum("exact").alias("n_exact"))
+    pairs = F.array_distinct(F.transform("slots", lambda p: F.struct(p["v"].alias("v"), p["own"].alias("own"))))
+    aligned = aligned.withColumn("pairs", pairs)
+    consistent = (F.size("pairs") == F.size(F.array_distinct("pairs.v"))) & (F.size("pairs") == F.size(F.array_distinct("pairs.own")))
+    places = lambda test: F.size(F.array_distinct(F.transform(F.filter("slots", test), lambda p: p["j"])))
+    evidence = 2 * F.col("plain") + 2 * places(lambda p: p["v"] == p["own"]) + places(lambda p: p["v"].startswith(_NUMBER))
+    need = F.least(F.lit(LITERAL), F.floor((F.col("size") + 1) / 2))
+    counts = aligned.select("doc_id", "item_id", "n", "exact", (consistent & (evidence >= 2 * need)).alias("whole")).where("whole or exact > 0")
+    counted = F.when(F.col("whole"), F.col("n")).otherwise(F.col("exact"))
+    return counts.groupBy("doc_id", "item_id").agg(F.sum(counted).cast("long").alias("n_windows"), F.sum("exact").cast("long").alias("n_exact"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **params) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -157,9 +158,10 @@ IDENTIFIERS = (
     ("psf-2.0", r"(?:psf 2 0|python 2 0(?: \d)?)"), ("qpl-1.0", "qpl 1 0"), ("rpl-1.5", "rpl 1 [15]"), ("ruby", "ruby"), ("sleepycat", "sleepycat"), ("sspl-1.0", "sspl 1 0"), ("unicode", r"unicode (?:3 0|tou|dfs \d+)"),
     ("unlicense", "unlicense"), ("upl-1.0", "upl 1 0"), ("vim", "vim"), ("w3c", r"w3c(?: \d+)?"), ("wtfpl", "wtfpl"), ("x11", "x11"), ("zlib", "zlib"), ("zpl-2.1", "zpl 2 [01]"),
 )
-#: What may follow an identifier, and the tag with the identifiers that an expression lists before one.
-_LATER = r"(?: only| or later)?(?: with (?:[^ ]+ ){1,4}?exception(?: \d)*)?"
-_TAG = rf"spdx licen[sc]e identifier (?:(?:{'|'.join(x for _, x in IDENTIFIERS)}){_LATER} (?:or|and) ){{0,9}}"
+#: What may follow an identifier, the tag before the first one, and what stands between two of an expression.
+_LATER = r"(?: only| or later)?(?: with (?:(?!(?:or|and|with) )[^ ]+ )+?exception(?: \d)*)?"
+_TAG = re.compile(r"(?<![^ ])spdx licen[sc]e identifier (?=[^ ])")
+_NEXT = re.compile(r" (?:or|and) (?=[^ ])")
 #: The places every scan counts: phrase and label.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 #: Text before a name, its priority (1 is best) and its weight in the score.
@@ -179,17 +181,18 @@ class Rule:
     pattern: re.Pattern
     words: frozenset  # one of them must occur
     base: bool = False
+    listed: tuple = ()  # first words of an identifier, which counts only in an expression behind the tag
 
 
 @cache
 def rules() -> tuple[Rule, ...]:
     """All rules, best priority first."""
 
-    def rule(label, form, pattern, words, base=False):
-        return Rule(label, *form, re.compile(rf"(?<![^ ])(?:{pattern})(?![^ ])"), frozenset(words.split()), base)
+    def rule(label, form, pattern, words, base=False, listed=()):
+        return Rule(label, *form, re.compile(rf"(?<![^ ])(?:{pattern})(?![^ ])"), frozenset(words.split()), base, listed)
 
     made = [rule(label, form[1:], form[0] + name, words) for form in FORMS for label, name, words in LICENSES]
-    made += [rule(label, FORMS[0][1:], f"{_TAG}(?P<own>{name}{_LATER})", "spdx") for label, name in IDENTIFIERS]
+    made += [rule(label, FORMS[0][1:], f"{name}{_LATER}", "spdx", listed=tuple(re.findall(r"(?:^|\|)(?:\(\?:)?([a-z0-9]+)", name))) for label, name in IDENTIFIERS]
     made += [rule(label, NOTICE_FORM, text, words) for label, text, words in (*NOTICES, *GRANTS)]
     made += [rule(label, FAMILY_FORM, text, words) for label, text, words in FAMILIES]
     made += [rule(label, BASE_FORM, phrase, phrase.split()[0], True) for phrase, label in BASE]
@@ -210,18 +213,50 @@ def _gate() -> tuple[np.ndarray, list[frozenset]]:
     return h[order], [frozenset(by_word[names[i]]) for i in order]
 
 
+@cache
+def _identifiers() -> dict[str, list[Rule]]:
+    out: dict[str, list[Rule]] = {}
+    for r in rules():
+        for word in r.listed:
+            out.setdefault(word, []).append(r)
+    return out
+
+
+def expressions(text: str) -> Iterator[tuple[int, int, Rule]]:
+    """The identifiers of every tagged expression, however many it lists; the longest that stands at a place."""
+    for tag in _TAG.finditer(text):
+        at = tag.end()
+        while True:
+            end = text.find(" ", at)
+            found = [(m.end(), r) for r in _identifiers().get(text[at : end if end >= 0 else len(text)], ()) if (m := r.pattern.match(text, at))]
+            if not found:
+                break
+            last, r = max(found, key=lambda x: x[0])
+            yield at, last, r
+            more = _NEXT.match(text, last)
+            if not more:
+                break
+            at = more.end()
+
+
 def matches(text: str, numbers: list[int]) -> list[tuple[int, int, Rule]]:
     """All matches (start, end, rule) of some rules in normalised text."""
-    own = [(rules()[i], "own" if "own" in rules()[i].pattern.groupindex else 0) for i in numbers]
-    return [(*m.span(part), rule) for rule, part in own for m in rule.pattern.finditer(text)]
+    own = [rules()[i] for i in numbers]
+    found = [(*m.span(), rule) for rule in own if not rule.listed for m in rule.pattern.finditer(text)]
+    return found + (list(expressions(text)) if any(rule.listed for rule in own) else [])
 
 
 def resolve(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
-    """Matches that do not lie within one of better or equal priority; of equal ones the longer, then the first rule's."""
+    """Matches that do not lie within one of better or equal priority; of equal ones the first rule's.
+
+    One pass from left to right, longer ones first, with the furthest end so far of every priority.
+    """
     kept: list[tuple[int, int, Rule]] = []
-    for s, e, r in sorted(found, key=lambda m: (m[2].priority, m[0] - m[1], m[0], m[2].label)):
-        if not any(a <= s and e <= b for a, b, _ in kept):
+    furthest: dict[int, int] = {}
+    for s, e, r in sorted(found, key=lambda m: (m[0], -m[1], m[2].priority, m[2].label)):
+        if not any(end >= e for p, end in furthest.items() if p <= r.priority):
             kept.append((s, e, r))
+        furthest[r.priority] = max(furthest.get(r.priority, 0), e)
     return sorted(kept, key=lambda m: (m[0], m[1]))
 
 

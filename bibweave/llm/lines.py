@@ -65,11 +65,11 @@ def drop_boilerplate(
     a null host form a host of their own. Lines are compared without white space at their
     ends; blank lines stay and a line repeated within a page counts once there. A null text
     stays null with no lines, a text may become empty, repeated rows are pages of their own. All rows and
-    other columns stay, whatever their names; columns of ``docs`` named ``n_lines`` or ``n_dropped`` are replaced.
+    other columns stay, whatever their names; columns of ``docs`` named ``n_lines`` or ``n_dropped`` (in any case) are replaced.
     """
     host = F.lower(F.regexp_extract(F.col(host_col), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1)) if url else F.col(host_col)
     found = materialize(boilerplate_lines(docs, host, text_col, ratio, least), "boilerplate")
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    kept = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
     # the caller's columns are held apart, so none can clash with one of this function
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), host.alias("at"))
     # a host has at most (lines of a page) / ratio such lines

@@ -27,8 +27,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of a source go; every document stays, with its new length (null for a null text). Documents without a source are one source."""
-    left = drop_boilerplate(docs)
-    return left.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    # the caller's columns are held apart, so none is taken for one of the operator
+    held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "source", "text")
+    left = drop_boilerplate(held)
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return left.select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

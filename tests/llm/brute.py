@@ -49,55 +49,63 @@ def boilerplate(rows, ratio, least):
 
 
 def template(text, units):
-    """(template, word) of every word, as the canonical form defines them."""
+    """For every word: its form with typed names, numbers and units, that without names, and the word itself."""
     s = re.sub(r"(?<=[0-9])[.,](?=[0-9])", "_", text or "")
     out = []
     for word in re.findall(r"\w+", s):
         low = word.lower()
-        if len(word) > 1 and word[0].isupper() and word[1].islower():
-            out.append(("<name>", low))
-        elif re.fullmatch(r"[0-9][0-9_]*", low):
-            out.append(("<number>", low))
-        elif low in units and out and out[-1][0] == "<number>":
-            out.append(("<unit>", low))
+        if re.fullmatch(r"[0-9][0-9_]*", low):
+            kind = "<number>"
+        elif low in units and out and out[-1][1] == "<number>":
+            kind = "<unit>"
         else:
-            out.append((low, low))
+            kind = low
+        named = kind == low and len(word) > 1 and word[0].isupper() and word[1].islower()
+        out.append(("<name>" if named else kind, kind, low))
     return out
 
 
 def contaminated(docs, items, units, window=8, least=4):
     """(document, item) -> (windows that count, those with equal values), by comparing all windows of both."""
-    found = {}
     marks = {"<name>", "<number>", "<unit>"}
-    asked = {}
+
+    def forms(words, floor):
+        """(hashed form, slots by place, places of plain words, whether it may be asked) of a window, with its names as slots and as words."""
+        for kind in {0, 1} if any(x[0] == "<name>" for x in words) else {0}:
+            form = tuple(x[kind] for x in words)
+            plain = [j for j, k in enumerate(form) if k not in marks]
+            if len(plain) >= floor:
+                yield form, {j: (form[j], words[j][2]) for j in range(len(words)) if j not in plain}, plain, True
+            else:
+                yield (form, tuple(x[2] for x in words)), {}, plain, "<name>" in form
+
+    sizes, at = {}, defaultdict(list)
     for i, item in items.items():
         u = template(item, units)
-        size = min(window, len(u))
-        plain = sum(x[0] not in marks for x in u)
-        if size and (size == window or plain >= min(least, (size + 1) // 2) or any(x[0] == "<name>" for x in u)):
-            asked[i] = size, [(b, u[b : b + size]) for b in range(len(u) - size + 1)]
-    at = {}
-    for i, (size, wins) in asked.items():
-        for b, win in wins:
-            at.setdefault((size, tuple(x[0] for x in win)), []).append((i, b, win))
+        size = sizes[i] = min(window, len(u))
+        for b in range(len(u) - size + 1 if size else 0):
+            for form, slots, plain, may in forms(u[b : b + size], 1 if size == window else min(least, (size + 1) // 2)):
+                if may or size == window:
+                    at[size, form].append((i, b, slots, plain))
+    found = {}
     for d, text in docs.items():
         t = template(text, units)
         shifts = defaultdict(list)
-        for size in {s for s, _ in asked.values()}:
+        for size in set(sizes.values()) - {0}:
             for a in range(len(t) - size + 1):
-                own = t[a : a + size]
-                for i, b, win in at.get((size, tuple(x[0] for x in own)), ()):
-                    by_words = sum(x[0] not in marks for x in win) < min(least, (size + 1) // 2)
-                    same = own == win
-                    if same or not by_words:
-                        shifts[i, a - b].append((same, set() if by_words else {(x[0], x[1], y[1]) for x, y in zip(win, own) if x[0] in marks}))
+                for form, own, _, _ in forms(t[a : a + size], 1 if size == window else min(least, (size + 1) // 2)):
+                    for i, b, slots, plain in at.get((size, form), ()):
+                        shifts[i, a - b].append((a, slots == own, {(b + j, *slots[j], own[j][1]) for j in slots}, {b + j for j in plain}))
         for (i, _), wins in shifts.items():
-            pairs = {p for _, w in wins for p in w}
+            held = set().union(*(w[2] for w in wins))
+            pairs = {(k, v, o) for _, k, v, o in held}
             consistent = len(pairs) == len({p[:2] for p in pairs}) == len({(p[0], p[2]) for p in pairs})
-            exact = sum(same for same, _ in wins)
-            if consistent or exact:
+            evidence = len(set().union(*(w[3] for w in wins))) + len({j for j, _, v, o in held if v == o}) + len({j for j, k, _, _ in held if k == "<number>"}) / 2
+            whole = consistent and evidence >= min(least, (sizes[i] + 1) // 2)
+            exact = len({a for a, same, _, _ in wins if same})
+            if whole or exact:
                 n, e = found.get((d, i), (0, 0))
-                found[d, i] = n + (len(wins) if consistent else exact), e + exact
+                found[d, i] = n + (len({w[0] for w in wins}) if whole else exact), e + exact
     return found
 
 

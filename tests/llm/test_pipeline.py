@@ -71,6 +71,15 @@ def test_stages_on_odd_rows_and_empty_tables(spark, name):
         assert stage(spark, df.where("false"), DATA).count() == 0
 
 
+@pytest.mark.parametrize("names", [("n_lines", "n_dropped"), ("N_LINES", "N_Dropped"), ("row", "at"), ("Rest", "dull")])
+def test_lines_keep_the_callers_columns(spark, names):
+    rows = [(i, f"menu\nown {i}", "en", "s", 9, i + 77, f"x{i}") for i in range(8)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {names[0]} long, {names[1]} string")
+    got = corpus_pipeline.lines(spark, docs, DATA)
+    assert got.columns == docs.columns
+    assert sorted(tuple(r) for r in got.collect()) == [(i, f"own {i}", "en", "s", 5, i + 77, f"x{i}") for i in range(8)]
+
+
 @pytest.mark.parametrize("name", ["op1_near_duplicates", "op3_exact_duplicates", "op10_site_lines"])
 def test_query_agrees_with_its_sql(spark, name):
     assert frame_rows(entry.queries()[name](spark, DATA)) == sql_rows(DATA, entry.oracle_sql()[name])

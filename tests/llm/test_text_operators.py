@@ -155,6 +155,38 @@ def test_lines_of_small_hosts_and_odd_columns(spark, monkeypatch):
     assert drop_boilerplate(df.where("false")).count() == 0
 
 
+def test_license_expressions_and_long_texts():
+    import time
+
+    ids = [r for r in licenses.rules() if r.listed]
+    some = "mit apache-2.0 bsd-3-clause gpl-2.0-only zlib isc x11 ruby vim mpl-2.0 wtfpl unlicense postgresql ncsa mit-0 epl-2.0 lgpl-2.1-or-later cc0-1.0 afl-3.0 python-2.0".split()
+    text = "spdx license identifier " + " or ".join(x.replace("-", " ").replace(".", " ") for x in some * 2)
+    got = list(licenses.expressions(text))
+    assert len(got) == 40 and {text[s:e] for s, e, _ in got} == {x.replace("-", " ").replace(".", " ") for x in some}
+    assert len(ids) > 70
+    for tail, last in ((" with gpl 3 0 linking source exception", "exception"), (" with words and no more", "0")):
+        (s, e, r), *_ = licenses.expressions("spdx license identifier gpl 3 0" + tail)
+        assert r.label == "gpl-3.0" and ("spdx license identifier gpl 3 0" + tail)[s:e].endswith(last)
+    began = time.perf_counter()
+    every = list(range(len(licenses.rules())))
+    found = licenses.resolve(licenses.matches("mit license " * 90_000, [i for i in every if "mit" in licenses.rules()[i].words]))
+    assert len(found) >= 90_000
+    licenses.resolve(licenses.matches("spdx license identifier " + "mit or zlib with some thing and " * 20_000, every[:5] + [i for i in every if licenses.rules()[i].listed]))
+    assert time.perf_counter() - began < 20
+
+
+def test_matches_are_resolved_as_by_comparing_all():
+    r = random.Random(8)
+    some = [x for x in licenses.rules()][::40]
+    for _ in range(300):
+        found = [(s := r.randrange(20), s + r.randrange(1, 8), r.choice(some)) for _ in range(r.randrange(14))]
+        kept = []
+        for s, e, rule in sorted(found, key=lambda m: (m[2].priority, m[0] - m[1], m[0], m[2].label)):
+            if not any(a <= s and e <= b for a, b, _ in kept):
+                kept.append((s, e, rule))
+        assert sorted((s, e, x.priority) for s, e, x in licenses.resolve(found)) == sorted((s, e, x.priority) for s, e, x in kept)
+
+
 def test_removal_by_id_keeps_columns_of_any_name(spark):
     df = spark.createDataFrame([(1, "x", 2), (2, "y", 1), (None, "z", 1)], "doc_id long, bad string, _bad long")
     left = without(df, spark.createDataFrame([(1,), (None,)], "i long"))
@@ -203,12 +235,47 @@ def test_contamination_of_the_whole_small_tables(spark):
 def test_contamination_of_items_of_placeholders(spark):
     items = {
         1: "Who Was The First President Of The United States After The Civil War In 1789?", 2: "Compute 12 + 7 * 30 - 45 + 8 * 91 - 33 + 64 / 2 = 19",
-        3: "The sum 12 34 56 78 91 23 45 67 is divided by 4", 4: "from Rome, Paris, Oslo",
+        3: "The sum 12 34 56 78 91 23 45 67 is divided by 4", 4: "from Rome, Paris, Oslo", 5: "Compute 12 plus 30 minus 45 : 12 + 7 * 30",
     }
     docs = {i: f"some words come {'first ' * i} and then: {t} and more words follow here" for i, t in items.items()}
-    docs |= {10 + i: t.translate(str.maketrans("123456789", "987654321")).replace("President", "Senator").replace("Civil", "Cold").replace("Oslo", "Bonn").replace("States", "Towns") for i, t in docs.items()}
-    got = dc.contaminated(frame(spark, docs), frame(spark, items, "item_id long, text string")).collect()
-    assert {(x["doc_id"], x["item_id"]) for x in got} == {(i, i) for i in items}
+    other = {i: t.translate(str.maketrans("123456789", "987654321")) for i, t in docs.items()}  # other numbers
+    docs |= {10 + i: t for i, t in other.items()} | {20 + i: t.lower() for i, t in other.items()} | {30 + i: t.title() for i, t in other.items()}
+    docs |= {41: "table 1 2 3 4 5 6 7 8 9 10 11 12 13 14", 42: "Anna Bell Carl Dean Erik Finn Gwen Hank Ivan", 43: "from Lima, Quito, Bonn", 44: "the sum of 98 and 76 is 3"}
+    got = {(x["doc_id"], x["item_id"]): (x["n_windows"], x["n_exact"]) for x in dc.contaminated(frame(spark, docs), frame(spark, items, "item_id long, text string")).collect()}
+    assert got == brute.contaminated(docs, items, set(dc.UNITS.split()))
+    found = {(10 * k + i, i) for k in range(4) for i in items}
+    assert got.keys() == found
+
+
+def test_recall_of_items_with_other_values(spark):
+    r = random.Random(21)
+    names, units = ["Alice", "Bob", "Carol", "Dan", "Eve", "Frank", "Grace", "Heidi", "Ivan", "Judy"], ["kg", "km", "hours", "dollars", "percent", "liters", "miles"]
+    plain = "buys sells has gives takes and then the of with for sum total price number rest more than each how many much is left".split()
+    items, copies, clean = {}, {}, {}
+    for k in range(200):
+        parts, slots = [], {}
+        for _ in range(r.randrange(12, 30)):
+            kind = r.choice(["name", "number", "number unit", "word", "word", "sign"][: 5 + k % 2])
+            parts.append((kind, r.choice(names) if kind == "name" else r.choice(plain) if kind == "word" else r.choice(["plus", "minus", "times"]) if kind == "sign" else str(r.randrange(2, 400)), r.choice(units)))
+
+        def written(new, case):
+            out = []
+            for kind, value, unit in parts:
+                word = new.get(value, value)
+                out.append(word + (" " + new.get(unit, unit) if kind == "number unit" else ""))
+            return case(" ".join(out))
+
+        values = sorted({v for kind, v, _ in parts if kind in ("number", "number unit")})
+        new = dict(zip(values, r.sample(range(400, 2000), len(values))))
+        slots = {v: str(x) for v, x in new.items()} | dict(zip(names, r.sample(["Kim", "Lea", "Max", "Nora", "Otto", "Pia", "Quin", "Rosa", "Sam", "Tom"], 10))) | dict(zip(units, r.sample(["g", "m", "days", "euros", "cents", "gallons", "yards"], 7)))
+        items[k] = written({}, str) + "."
+        case = (str, str.lower, str.title, str.upper)[k % 4]
+        # names in another case are words, so they must be the same there
+        copies[k] = "Some text first. " + written({a: b for a, b in slots.items() if k % 4 == 0 or a not in names}, case) + " and so on."
+        clean[1000 + k] = " ".join(r.choice(plain + [r.choice(names), str(r.randrange(400)), r.choice(units)] * 4) for _ in range(60))
+    got = {(x["doc_id"], x["item_id"]) for x in dc.contaminated(frame(spark, copies | clean), frame(spark, items, "item_id long, text string")).collect()}
+    assert sum((k, k) in got for k in items) >= 0.9 * len(items)
+    assert len({d for d, _ in got if d >= 1000}) <= 2
 
 
 def test_windows_of_random_texts_match_brute_force(spark):
