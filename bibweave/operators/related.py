@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import heapq
 import sys
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bibweave.plans.scratch import discard, materialize
+
 #: Attributes in the order they are tried.
 ORDER = ("oclc", "sudoc", "lccn", "issn", "title")
 
@@ -107,18 +111,102 @@ def _outermost(sets: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
     return out
 
 
+#: Rounds in which all clusters are split together, before what is left of each is split alone.
+ROUNDS = 12
+
+
+def _first_picks(rows: DataFrame) -> DataFrame:
+    """One row for every record that shares a value: its best value, and whether the value is ``picked``.
+
+    Values rank by their number of holders, then by attribute, smallest holder and the value itself. One that is the best of
+    all its holders is taken before any other value of theirs, whatever happens elsewhere, so all such values can be picked at once.
+    """
+    of_value = Window.partitionBy("cluster_id", "o", "str")
+    held = rows.withColumns({"n": F.count("*").over(of_value), "m": F.min("gd_id").over(of_value)}).where("n > 1")
+    held = held.withColumn("rank", F.struct((-F.col("n")).alias("n"), "o", "m", "str"))
+    best = held.withColumn("best", F.min("rank").over(Window.partitionBy("cluster_id", "gd_id"))).where("rank = best")
+    return best.withColumn("picked", F.count("*").over(of_value) == F.col("n")).select("cluster_id", "o", "str", "gd_id", "picked")
+
+
+def _pick_alone(table: pa.Table) -> pa.Table:
+    """The same picks for what is left of one cluster, one after another."""
+    holders: dict[tuple, list[int]] = {}
+    for o, s, gd in sorted(zip(*(table.column(c).to_pylist() for c in ("o", "str", "gd_id"))), key=lambda x: x[2]):
+        holders.setdefault((o, s), []).append(gd)
+    of: dict[int, list[tuple]] = {}
+    for v, ids in holders.items():
+        for i in ids:
+            of.setdefault(i, []).append(v)
+    size, first, gone, out = {v: len(ids) for v, ids in holders.items()}, dict.fromkeys(holders, 0), set(), []
+
+    def rank(v: tuple) -> tuple:
+        while first[v] < len(holders[v]) and holders[v][first[v]] in gone:
+            first[v] += 1
+        return -size[v], v[0], holders[v][min(first[v], len(holders[v]) - 1)], v[1]
+
+    heap = [(rank(v), v) for v in holders]
+    heapq.heapify(heap)
+    while heap:
+        was, v = heapq.heappop(heap)
+        if size[v] < 2:
+            continue
+        if (now := rank(v)) != was:  # ranks only fall
+            heapq.heappush(heap, (now, v))
+            continue
+        for i in [i for i in holders[v] if i not in gone]:
+            out.append((*v, i))
+            gone.add(i)
+            for other in of[i]:
+                size[other] -= 1
+    columns = [pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.int32(), pa.string(), pa.int64()))]
+    cluster = table.column("cluster_id")
+    return pa.table([pa.array([cluster[0].as_py()] * len(out), cluster.type), *columns], names=["cluster_id", "o", "str", "gd_id"])
+
+
+def _picked_sets(members: DataFrame, attrs: DataFrame) -> DataFrame:
+    order = F.create_map(*(F.lit(x) for k, a in enumerate(ORDER) for x in (a, k)))
+    rows = attrs.where(F.col("attr").isin(*ORDER)).select("gd_id", order[F.col("attr")].alias("o"), "str").distinct()
+    rows = materialize(members.select("cluster_id", "gd_id").distinct().join(rows, "gd_id").select("cluster_id", "gd_id", "o", "str"), "worklist")
+    found, more = [], True
+    for _ in range(ROUNDS):
+        judged = materialize(_first_picks(rows), "picks")
+        found.append(judged.where("picked").drop("picked"))
+        open_ = judged.where("not picked").select("cluster_id", "gd_id")
+        more = not open_.isEmpty()
+        if not more:
+            break
+        # a record that shares nothing any more, or is picked, drops out; the others are split anew without them
+        left = materialize(rows.join(open_, ["cluster_id", "gd_id"], "left_semi"), "worklist")
+        discard(rows)
+        rows = left
+    if more:
+        kind = rows.schema["cluster_id"].dataType.simpleString()
+        found.append(rows.groupBy("cluster_id").applyInArrow(_pick_alone, f"cluster_id {kind}, o int, str string, gd_id bigint"))
+    else:
+        discard(rows)
+    picks = found[0].withColumn("gd_id", F.col("gd_id").cast("bigint"))
+    for part in found[1:]:
+        picks = picks.unionByName(part.withColumn("gd_id", F.col("gd_id").cast("bigint")))
+    # a set has at most as many members as the gate lets through
+    return picks.groupBy("cluster_id", "o", "str").agg(F.array_sort(F.collect_list("gd_id")).alias("ids")).select("cluster_id", "ids")
+
+
 def related_sets(clusters: DataFrame, attrs: DataFrame, gate: int = 25_000, prune: bool = True, witness: bool = True) -> DataFrame:
     """``cluster_id, ids`` of the related sets of clusters with 2 to ``gate`` records.
 
-    Clusters in which one value is held by all are settled by aggregates; the others go, one at a
-    time and bounded by the gate, through :func:`drill_down`.
+    The sets that stay are those that the splitting takes by a shared value from what is left of a cluster, so they are found for
+    all clusters at once, from a worklist of records and the values they still share. In every round each value that outranks
+    all others of its holders is taken. Values that wait for each other in a row need a round each; what ``ROUNDS`` rounds
+    leave of a cluster is taken one value after another.
+
+    With ``prune`` or ``witness`` off all sets that the splitting comes upon are wanted, in the order of its steps; then
+    each cluster is split alone by :func:`drill_down`.
     """
     sizes = clusters.groupBy("cluster_id").agg(F.count_distinct("gd_id").alias("n")).where(F.col("n").between(2, gate))
     members = clusters.join(sizes, "cluster_id")
-    rows = members.join(attrs.where(F.col("attr").isin(*ORDER)).select("gd_id", "attr", "str").distinct(), "gd_id")
-    cover = rows.groupBy("cluster_id", "n", "attr", "str").agg(F.count("*").alias("c")).where("c = n").select("cluster_id").distinct()
-    whole = members.join(cover, "cluster_id", "left_semi").groupBy("cluster_id").agg(F.array_sort(F.collect_set("gd_id")).alias("ids"))
-    left = members.join(cover, "cluster_id", "left_anti").join(attrs.where(F.col("attr").isin(*ORDER)).select("gd_id", "attr", "str").distinct(), "gd_id", "left")
+    if prune and witness:
+        return _picked_sets(members, attrs)
+    rows = members.join(attrs.where(F.col("attr").isin(*ORDER)).select("gd_id", "attr", "str").distinct(), "gd_id", "left")
 
     def split(pdf: pd.DataFrame) -> pd.DataFrame:
         values: dict[int, dict[str, list[str]]] = {}
@@ -127,10 +215,10 @@ def related_sets(clusters: DataFrame, attrs: DataFrame, gate: int = 25_000, prun
             if isinstance(attr, str):
                 own.setdefault(attr, []).append(s)
         sets = drill_down(values, prune, witness)
-        return pd.DataFrame({"cluster_id": [int(pdf["cluster_id"].iloc[0])] * len(sets), "ids": [list(s) for s in sets]})
+        return pd.DataFrame({"cluster_id": pd.Series([int(pdf["cluster_id"].iloc[0])] * len(sets), dtype="int64"), "ids": pd.Series([list(s) for s in sets], dtype=object)})
 
-    kind = whole.schema["cluster_id"].dataType.simpleString()
-    return whole.unionByName(left.select("cluster_id", "gd_id", "attr", "str").groupBy("cluster_id").applyInPandas(split, f"cluster_id {kind}, ids array<bigint>"))
+    kind = members.schema["cluster_id"].dataType.simpleString()
+    return rows.select("cluster_id", "gd_id", "attr", "str").groupBy("cluster_id").applyInPandas(split, f"cluster_id {kind}, ids array<bigint>")
 
 
 def leftovers(clusters: DataFrame, sets: DataFrame) -> DataFrame:
