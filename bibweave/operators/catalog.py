@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bibweave.functions.text import fold_spaces
+from bibweave.plans.numbers import numbered
 
 
 def split_holdings(records: DataFrame, enumc: str = "enumc", item: str = "item_id") -> DataFrame:
@@ -61,8 +62,8 @@ def last_wins(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
 
 
 def file_ids(paths: DataFrame, column: str = "file_path") -> DataFrame:
-    """A dense id for every input file in order of its path."""
-    return paths.select(column).distinct().withColumn("file_id", F.row_number().over(Window.orderBy(column)).cast("bigint"))
+    """A dense id for every input file in order of its path, from 1 on; a :class:`~bibweave.operators.dictionary.Dictionary` keeps ids from load to load."""
+    return numbered(paths.select(column).distinct(), column, name="file_id", start=1)
 
 
 def rewrite_values(attrs: DataFrame, attr: str, pattern: str, to: str, where: str = "true") -> DataFrame:
