@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bibweave.plans.components import connected_components
+from bibweave.plans.scratch import materialize
 
 IDENTIFIERS = ("oclc", "sudoc", "lccn", "issn")
 CHECKSUM = ("pubdate", "sudoc", "oclc", "lccn", "issn")
@@ -55,14 +59,50 @@ def cluster_relations(records: DataFrame, clusters: DataFrame, gate: int = 25_00
     return records.select("gd_id").distinct().join(clusters, "gd_id", "left").join(sizes, "cluster_id", "left").select("gd_id", "cluster_id", kind.alias("relation"))
 
 
+#: Ids of one list; longer groups go on in further lists.
+LIST_IDS = 100_000
+
+
+def group_lists(rows: DataFrame, keys: list[str], least: int = 1, most: int = LIST_IDS) -> DataFrame:
+    """The sorted ids (``gd_id``) of every group of equal ``keys``, null equal to null: ``keys, n, part, ids``.
+
+    ``n`` is the size of the group, of ``least`` or more. A group of up to ``most`` ids is one list, ``part`` 0. A larger
+    one is dealt into ranges of ids that are sorted apart, and its lists, of at most ``most`` ids each, follow each other by ``part``. So no
+    task and no row holds a whole group, however large it is. Repeated rows count once, rows without an id do not count.
+    """
+    rows = materialize(rows.select(*keys, "gd_id").where("gd_id is not null").distinct(), "group-rows")
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    large = materialize(sizes.where(F.col("n") > most).select(*(F.col(k).alias(f"of_{k}") for k in keys), "n"), "large-groups")
+    n_large = large.count()
+    ids = F.array_sort(F.collect_list("gd_id")).alias("ids")
+    if not n_large:
+        small = rows.groupBy(*keys).agg(ids).withColumn("n", F.size("ids").cast("long")).where(F.col("n") >= least)
+        return small.select(*keys, "n", F.lit(0).alias("part"), "ids")
+    of = F.broadcast(large) if n_large <= LIST_IDS else large
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys))
+    small = rows.join(of, same, "left_anti").groupBy(*keys).agg(ids).withColumn("n", F.size("ids").cast("long")).where(F.col("n") >= least)
+    dealt = rows.join(of, same).select(*keys, "gd_id", "n").repartitionByRange(*keys, "gd_id").sortWithinPartitions(*keys, "gd_id")
+    dealt = materialize(dealt.withColumn("at", F.monotonically_increasing_id()), "large-rows")
+    # a range holds neighbours only, so what lies between two multiples of `most` is a stretch of one group or of several
+    piece = F.floor(F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) / most)
+    pieces = dealt.groupBy(*keys, "n", F.shiftright("at", 33).alias("range"), piece.alias("piece")).agg(ids, F.min("gd_id").alias("lo"))
+    part = F.row_number().over(Window.partitionBy(*keys).orderBy("lo")) - 1
+    return small.select(*keys, "n", F.lit(0).alias("part"), "ids").unionByName(pieces.select(*keys, "n", part.alias("part"), "ids"))
+
+
+def list_lines(lists: DataFrame, keys: list[str]) -> DataFrame:
+    """``line``: keys, part and ids of lists with tabs between; write them sorted by keys and part."""
+    shown = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    return lists.select(F.concat_ws("\t", *shown, F.col("part").cast("string"), F.array_join(F.col("ids").cast("array<string>"), ",")).alias("line"))
+
+
 def duplicate_sets(sets: DataFrame, attrs: DataFrame) -> DataFrame:
-    """Members of a set with the same enumeration: ``set_id, enumc, ids`` (sorted) for two or more records.
+    """Members of a set with the same enumeration: ``set_id, enumc, n, part, ids`` (:func:`group_lists`) for two or more records.
 
     Records without an enumeration share the null one; a record with several joins several sets.
     """
     enumc = attrs.where("attr = 'enumc'").select("gd_id", F.col("str").alias("enumc")).distinct()
-    each = sets.join(enumc, "gd_id", "left").groupBy("set_id", "enumc").agg(F.array_sort(F.collect_set("gd_id")).alias("ids"))
-    return each.where(F.size("ids") > 1)
+    return group_lists(sets.join(enumc, "gd_id", "left"), ["set_id", "enumc"], 2)
 
 
 def score_of(n, total, distinct) -> F.Column:
@@ -105,43 +145,52 @@ def checksums(attrs: DataFrame, records: DataFrame, kinds=CHECKSUM) -> DataFrame
 
 
 def checksum_groups(sums: DataFrame) -> DataFrame:
-    """``checksum, ids`` (sorted)."""
-    return sums.groupBy("checksum").agg(F.array_sort(F.collect_set("gd_id")).alias("ids"))
+    """``checksum, n, part, ids`` of :func:`group_lists`."""
+    return group_lists(sums, ["checksum"])
 
 
 def key_groups(wide: DataFrame, keys: list[str], least: int = 2) -> DataFrame:
-    """Records with equal keys, null equal to null: sorted ``ids`` of at least ``least``, each list once."""
-    found = wide.groupBy(*keys).agg(F.array_sort(F.collect_set("gd_id")).alias("ids")).where(F.size("ids") >= least)
-    return found.select("ids").distinct()
+    """Records with equal keys, null equal to null, as ``n, part, ids`` of at least ``least`` records.
+
+    Records that form a group under several combinations of keys form it once, unless it is longer than a list.
+    """
+    return _once(group_lists(wide, keys, least).select("n", "part", "ids"))
+
+
+def _once(lists: DataFrame) -> DataFrame:
+    """Equal rows of groups that are one list are one; lists of longer groups stay as they are."""
+    whole = F.col("n") == F.size("ids")
+    return lists.where(whole).distinct().unionByName(lists.where(~whole))
 
 
 def classify_groups(members: DataFrame, attrs: DataFrame, key: str = "set_id") -> DataFrame:
-    """Relations of groups by the enumerations of their records: ``set_id, relation, ids``.
+    """Relations of groups by the enumerations of their records: ``set_id, relation, n, part, ids`` (:func:`group_lists`).
 
     One record is solo; one enumeration for all means duplicates; as many enumerations as
     records means related; else every enumeration with several records gives ``duplicates*`` and the
     group is ``related*``, or ``unclear`` without any. A missing enumeration counts as one.
     """
     enumc = attrs.where("attr = 'enumc'").select("gd_id", F.col("str").alias("enumc")).distinct()
-    rows = members.select(key, "gd_id").distinct().join(enumc, "gd_id", "left")
-    by_enum = rows.groupBy(key, "enumc").agg(F.array_sort(F.collect_set("gd_id")).alias("ids"))
-    ids = rows.groupBy(key).agg(F.array_sort(F.collect_set("gd_id")).alias("all_ids"))
-    stats = by_enum.groupBy(key).agg(F.count("*").alias("e"), F.bool_or(F.size("ids") > 1).alias("some"))
-    both = ids.join(stats, key).withColumn("k", F.size("all_ids"))
+    rows = materialize(members.select(key, "gd_id").distinct().join(enumc, "gd_id", "left"), "enumerated")
+    by_enum = rows.groupBy(key, "enumc").agg(F.count("*").alias("c"))
+    stats = by_enum.groupBy(key).agg(F.count("*").alias("e"), F.max("c").alias("c"))
+    sizes = rows.select(key, "gd_id").distinct().groupBy(key).agg(F.count("*").alias("k"))
     relation = (
         F.when(F.col("k") == 1, "solo").when(F.col("e") == 1, "duplicates").when(F.col("e") == F.col("k"), "related")
-        .when(F.col("some"), "related*").otherwise("unclear")
+        .when(F.col("c") > 1, "related*").otherwise("unclear")
     )
-    judged = both.select(key, relation.alias("relation"), F.col("all_ids").alias("ids"))
-    starred = by_enum.join(judged.where("relation = 'related*'").select(key), key).where(F.size("ids") > 1)
-    return judged.unionByName(starred.select(key, F.lit("duplicates*").alias("relation"), "ids"))
+    judged = sizes.join(stats, key).select(key, relation.alias("relation"))
+    whole = group_lists(rows, [key]).join(judged, key).select(key, "relation", "n", "part", "ids")
+    starred = judged.where("relation = 'related*'").select(key)
+    again = group_lists(rows.join(starred, key, "left_semi"), [key, "enumc"], 2)
+    return whole.unionByName(again.select(key, F.lit("duplicates*").alias("relation"), "n", "part", "ids"))
 
 
 def final_relations(lines: DataFrame) -> DataFrame:
-    """Distinct lines as they are filed: stars dropped, a score only for duplicates, ``unclear`` kept apart."""
+    """Lines as they are filed: stars dropped, a score only for duplicates, ``unclear`` kept apart; equal short lists are one line."""
     relation = F.regexp_replace("relation", r"\*$", "")
-    out = lines.select(relation.alias("relation"), F.when(relation == "duplicates", F.col("score")).alias("score"), "ids")
-    return out.distinct()
+    out = lines.select(relation.alias("relation"), F.when(relation == "duplicates", F.col("score")).alias("score"), "n", "part", "ids")
+    return _once(out)
 
 
 def resolve_canonical(links: DataFrame, volume: str = "volume_id", value: str = "oclc") -> DataFrame:

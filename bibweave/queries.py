@@ -600,12 +600,21 @@ def _(s):
     return cl.cluster_relations(s.records, _clusters(s), gate=8)
 
 
-@query("clu2_related_sets")
+# of what is left of a cluster, the holders of the value that most records share are taken, until no value is shared
+_PEEL = f"""{_REACH},
+v AS (SELECT DISTINCT comp.cluster_id, comp.gd_id, CASE attr WHEN 'oclc' THEN 0 WHEN 'sudoc' THEN 1 WHEN 'lccn' THEN 2 WHEN 'issn' THEN 3 ELSE 4 END AS o, str FROM comp JOIN a ON a.gd_id = comp.gd_id WHERE attr IN ('oclc', 'sudoc', 'lccn', 'issn', 'title')),
+peel AS (SELECT cluster_id, 0 AS n, CAST([] AS BIGINT[]) AS ids, list(gd_id) AS rest FROM comp GROUP BY cluster_id HAVING count(*) BETWEEN 2 AND 25000
+UNION ALL SELECT cluster_id, n + 1, held, list_filter(rest, lambda x: NOT list_contains(held, x)) FROM
+ (SELECT p.cluster_id, p.n, p.rest, v.o, v.str, list_sort(list(v.gd_id)) AS held FROM (SELECT *, unnest(rest) AS g FROM peel WHERE len(rest) > 1) p JOIN v ON v.cluster_id = p.cluster_id AND v.gd_id = p.g GROUP BY ALL HAVING count(*) > 1)
+ QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY len(held) DESC, o, held[1], str) = 1)"""
+
+
+@query("clu2_related_sets", f"WITH RECURSIVE {_PEEL} SELECT cluster_id, array_to_string(ids, ',') AS ids FROM peel WHERE n > 0", a=V.CLEAN)
 def _(s):
     return rl.related_sets(_clusters(s), s.attrs).select("cluster_id", joined("ids").alias("ids"))
 
 
-@query("clu2_leftovers")
+@query("clu2_leftovers", f"WITH RECURSIVE {_PEEL} SELECT comp.cluster_id, comp.gd_id FROM comp WHERE cluster_id IN (SELECT cluster_id FROM comp GROUP BY cluster_id HAVING count(*) > 1) AND gd_id NOT IN (SELECT unnest(ids) FROM peel)", a=V.CLEAN)
 def _(s):
     c = _clusters(s)
     return rl.leftovers(c, rl.related_sets(c, s.attrs)).select("cluster_id", "gd_id")
@@ -654,7 +663,7 @@ def _(s):
 
 @query("clu7_final_files", f"WITH {_CLASSIFIED} SELECT DISTINCT replace(relation, '*', '') AS relation, CASE WHEN relation LIKE 'dup%' THEN round(len(ids) / 2.0, 6) END AS score, array_to_string(ids, ',') AS ids FROM lines", a=V.CLEAN, s=_SETS)
 def _(s):
-    lines = cl.classify_groups(s(_SETS), s.attrs).withColumn("score", F.round(F.size("ids") / F.lit(2.0), 6))
+    lines = cl.classify_groups(s(_SETS), s.attrs).withColumn("score", F.round(F.col("n") / F.lit(2.0), 6))
     return cl.final_relations(lines).select("relation", "score", joined("ids").alias("ids"))
 
 

@@ -14,17 +14,21 @@ from bibweave.operators import catalog as ct
 from bibweave.operators import clusters as cl
 from bibweave.operators import rules as ru
 from bibweave.operators import titles as tt
+from bibweave.operators.dictionary import Dictionary
 from bibweave.plans import views as V
-from bibweave.plans.scratch import materialize, shared_dir
+from bibweave.plans.scratch import at_end, materialize, shared_dir
 from bibweave.queries import _AGROWS, _BAG, _CASCADE, _FREQ, _KEEP, _REACH, _REVIEWED, _RULED, ACRONYMS, Source, _agency_sql, _clusters, _fold_sql, _ruled, query
 from bibweave.queries_marc import marc_lines, records
 from bibweave.sources import dump as dp
 from bibweave.sources import jdbc
 from bibweave.sources import marc as ms
+from bibweave.streaming.ingest import Store, lines_of
 
 
 def _folder(s: Source, name: str) -> str:
-    return f"{shared_dir(s.spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(s.spark)}/{name}-{uuid.uuid4().hex}"
+    at_end(s.spark, path)
+    return path
 
 
 def _values(read: DataFrame) -> DataFrame:
@@ -48,10 +52,11 @@ def _(s):
 def _(s):
     path = _folder(s, "collection")
     files = s.table("part").select(F.col("p_partkey").alias("id"), F.concat(F.lit("file-"), (F.col("p_size") % 3).cast("string")).alias("file_path"))
-    lines = marc_lines(s).join(files, "id").select(F.concat(F.lit('{"file_path":"'), "file_path", F.lit('","source":'), "value", F.lit("}")).alias("value"))
-    lines.write.option("compression", "gzip").text(path)
+    lines = marc_lines(s).join(files, "id").select(F.concat(F.lit('{"source":'), "value", F.lit("}")).alias("value"), "file_path")
+    ms.write_collection(lines, path)
     found = ms.read_collection(s.spark, path, "file-1")
-    return _values(found).select("id").join(files, "id").where("file_path = 'file-1'")
+    number = F.get(F.filter("fields", lambda f: f["tag"] == "001"), F.lit(0))["value"]
+    return found.select(number.cast("bigint").alias("id"), "file_path")
 
 
 @query("src6_prepared_statement", "SELECT gd_id, str FROM a WHERE attr = 'title' AND str LIKE '%1997%' UNION ALL SELECT gd_id, str FROM a WHERE attr = 'enumc' AND str LIKE 'v.1%'", a=V.CLEAN)
@@ -89,11 +94,11 @@ def _(s):
     return _values(ms.read_binary(s.spark, _binary(s)))
 
 
-@query("mrc2_forgiving_reader", f"SELECT *, CAST(NULL AS VARCHAR) AS corrupt FROM ({_READ}) UNION ALL SELECT NULL, NULL, NULL, NULL, 'corrupt'")
+@query("mrc2_forgiving_reader", f"SELECT *, CAST(NULL AS VARCHAR) AS corrupt FROM ({_READ}) UNION ALL SELECT NULL, NULL, NULL, NULL, 'corrupt' FROM range(2)")
 def _(s):
-    """A damaged record among the others is told apart, not dropped."""
+    """A damaged record and a fragment among the others are told apart, not dropped."""
     path = _binary(s)
-    s.spark.sql("select '00026     2200026   4500 no directory' as value").write.mode("append").option("lineSep", "\x1d").text(path)
+    s.spark.sql("select explode(array('00026     2200026   4500 no directory', 'ab', ' ')) as value").write.mode("append").option("lineSep", "\x1d").text(path)
     read = ms.read_binary(s.spark, path, forgiving=True)
     good = _values(read.where("corrupt is null")).withColumn("corrupt", F.lit(None).cast("string"))
     return good.unionByName(read.where("corrupt is not null").selectExpr("cast(null as bigint) as id", "cast(null as bigint) as n", "cast(null as string) as title", "cast(null as string) as date", "'corrupt' as corrupt"))
@@ -162,6 +167,47 @@ def _(s):
     ).select("id", "length", "title")
 
 
+# ---- tables that are kept ----------------------------------------------------------------------------------------
+
+
+@query("prj7_dictionary_loads", """
+SELECT str, CASE WHEN first = 0 THEN row_number() OVER (PARTITION BY first ORDER BY str) ELSE (SELECT count(DISTINCT str) FROM a WHERE attr IN ('oclc', 'title')) + row_number() OVER (PARTITION BY first ORDER BY str) END AS str_id, first::INT AS load
+FROM (SELECT str, min(CASE WHEN attr IN ('oclc', 'title') THEN 0 ELSE 1 END) AS first FROM a GROUP BY str)""", a=V.CLEAN)
+def _(s):
+    """Two loads of strings, the second given twice: numbers are dense and stay."""
+    words = Dictionary(s.spark, _folder(s, "dictionary"))
+    words.insert(s.attrs.where("attr in ('oclc', 'title')"))
+    words.insert(s.attrs, 1)
+    words.insert(s.attrs, 1)
+    return words.entries()
+
+
+@query("dml6_file_ids_kept", "SELECT file_path, CASE WHEN file_path = 'file-O' THEN 1 ELSE 1 + row_number() OVER (PARTITION BY file_path = 'file-O' ORDER BY file_path) END AS file_id FROM (SELECT DISTINCT file_path FROM r)", r=V.RECORDS)
+def _(s):
+    """Ids of files that were there before stay, new files get the next ones."""
+    files = Dictionary(s.spark, _folder(s, "files"), "file_path", "file_id")
+    files.insert(s.records.where("file_path = 'file-O'"))
+    files.insert(s.records)
+    return files.entries().drop("load")
+
+
+_CONTENT = "SELECT c_custkey AS id, c_nationkey AS nation, c_mktsegment AS segment, c_custkey % 3 AS batch FROM {customer}"
+
+
+@query("dml1_continuous_load", "SELECT nation, segment, arg_min(id, (batch, id)) AS id, CAST(min(batch) AS INT) AS load FROM c GROUP BY nation, segment", c=_CONTENT)
+def _(s):
+    """Three batches of a stream that hold late repeats of each other's contents; the second is given again."""
+    rows, source, schema = s(_CONTENT), _folder(s, "arrived"), "id long, nation long, segment string"
+    store = Store(s.spark, _folder(s, "store"), schema, ["nation", "segment"], ["id"])
+    checkpoint = _folder(s, "progress")
+    for batch in range(3):
+        arrived = rows.where(F.col("batch") == batch).select(F.to_json(F.struct("id", "nation", "segment")).alias("value"))
+        arrived.coalesce(1).write.mode("append").text(source)
+        store.follow(lines_of(s.spark, source, schema), checkpoint).awaitTermination()
+    store.insert(rows.where("batch = 1").select("id", F.col("nation").cast("long").alias("nation"), "segment"), 1)
+    return store.read().drop("hashsum")
+
+
 # ---- clusters, rules, agencies, maintenance ----------------------------------------------------------------------
 
 

@@ -51,12 +51,25 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
     return lines.where("r is not null").select("infile", "r.*")
 
 
+def write_collection(lines: DataFrame, path: str, compression: str = "gzip") -> None:
+    """JSON lines (``value``: a record under ``source``) in a folder for each ``file_path``, which readers of one file need only open."""
+    lines.select("value", "file_path").write.partitionBy("file_path").option("compression", compression).text(path)
+
+
 def read_collection(spark: SparkSession, path: str, file_path: str | None = None) -> DataFrame:
-    """Records of an exported collection: JSON lines with ``file_path`` and ``source`` (a record), of one file if it is named."""
-    lines = spark.read.text(path).select(F.get_json_object("value", "$.file_path").alias("file_path"), parse_json(F.get_json_object("value", "$.source")).alias("r"))
+    """Records of an exported collection: JSON lines with ``file_path`` and ``source`` (a record), of one file if it is named.
+
+    Of a collection kept by :func:`write_collection` only the named file's folder is read. In any other the path stands in the lines, so
+    all lines are read, but records of other files are not parsed.
+    """
+    lines = spark.read.text(path)
+    if "file_path" in lines.columns:
+        lines = spark.read.schema("value string, file_path string").text(path)
+    else:
+        lines = lines.withColumn("file_path", F.get_json_object("value", "$.file_path"))
     if file_path is not None:
         lines = lines.where(F.col("file_path") == file_path)
-    return lines.where("r is not null").select("file_path", "r.*")
+    return lines.select("file_path", parse_json(F.get_json_object("value", "$.source")).alias("r")).where("r is not null").select("file_path", "r.*")
 
 
 def to_json(leader="leader", fields="fields") -> Column:
@@ -183,7 +196,8 @@ def read_binary(spark: SparkSession, path: str, forgiving: bool = False, charset
     """Records of ISO 2709 files, with ``infile`` and ``corrupt`` (why a record was not read, else null).
 
     A file is read by one task, since only its length prefixes tell where records begin; the forgiving reader
-    splits large files at the record mark instead.
+    splits large files at the record mark instead. There, whatever stands between two marks is a record, however short;
+    only blank stretches are none.
     """
     schema = f"infile string, {RECORD}, corrupt string"
 
@@ -197,7 +211,7 @@ def read_binary(spark: SparkSession, path: str, forgiving: bool = False, charset
 
     if forgiving:
         rows = spark.read.option("lineSep", "\x1d").text(path)
-        rows = rows.select(F.col("_metadata.file_path").alias("infile"), F.col("value").cast("binary").alias("raw")).where("length(value) > 5")
+        rows = rows.select(F.col("_metadata.file_path").alias("infile"), F.col("value").cast("binary").alias("raw")).where(F.col("value").rlike(r"\S"))
         split = lambda name, raw: [one(name, bytes(raw).lstrip(b"\r\n") + RECORD_END)]
     else:
         rows = spark.read.format("binaryFile").load(path).select(F.col("path").alias("infile"), F.col("content").alias("raw"))
@@ -276,8 +290,8 @@ def read_sequential(spark: SparkSession, path: str) -> DataFrame:
     """Records of sequential text: number, tag and indicators, format letter, value with ``$$`` subfields, a line each."""
     lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("at"))
     part = lambda i, n: F.substring("value", i, n)
-    body = F.substring("value", 19, 1_000_000)
-    subs = F.transform(F.filter(F.split(body, r"\$\$"), lambda s: s != ""), lambda s: F.struct(F.substring(s, 1, 1).alias("code"), F.substring(s, 2, 1_000_000).alias("value")))
+    body = F.substr(F.col("value"), F.lit(19))
+    subs = F.transform(F.filter(F.split(body, r"\$\$"), lambda s: s != ""), lambda s: F.struct(F.substring(s, 1, 1).alias("code"), F.substr(s, F.lit(2)).alias("value")))
     plain = is_control(part(11, 3)) | (part(11, 3) == "LDR")
     field = F.struct(
         part(11, 3).alias("tag"), F.when(~plain, part(14, 1)).alias("ind1"), F.when(~plain, part(15, 1)).alias("ind2"), F.when(plain, body).alias("value"), F.when(~plain, subs).alias("subfields")

@@ -231,3 +231,61 @@ def test_shared_words(spark):
     for least in (1, 2, 3):
         want = {(i, j): len(words[i] & words[j]) for i in words for j in words if i < j and len(words[i] & words[j]) >= least}
         assert {(x["id"], x["other_id"]): x["shared"] for x in tt.shared_words(rows, least).collect()} == want
+
+
+def _frames(spark, clusters):
+    members = [(i, c) for c, values in clusters.items() for i in values]
+    rows = [(i, a, v) for values in clusters.values() for i, own in values.items() for a, vs in own.items() for v in vs]
+    return spark.createDataFrame(members, "gd_id long, cluster_id long"), spark.createDataFrame(rows, "gd_id long, attr string, str string")
+
+
+@pytest.mark.parametrize("rounds", [12, 1])
+def test_related_sets_of_many_clusters_match_drill_down(spark, monkeypatch, rounds):
+    monkeypatch.setattr("bibweave.operators.related.ROUNDS", rounds)
+    r = random.Random(14)
+    clusters = {}
+    for c in range(250):
+        kinds = r.sample(["oclc", "sudoc", "lccn", "issn", "title"], r.randrange(1, 6))
+        ids = r.sample(range(c * 100, c * 100 + 100), r.randrange(2, 16))
+        clusters[c] = {i: {k: sorted({f"v{r.randrange(1 + c % 7)}" for _ in range(r.randrange(3))}) for k in kinds} for i in ids}
+    clusters[999] = {100_000 + i: {"oclc": [f"o{i}"], "title": [f"t{(i + 1) // 2}", f"u{i // 2}"]} for i in range(200)}  # values wait for each other in a row
+    got = related_sets(*_frames(spark, clusters))
+    want = sorted((c, s) for c, values in clusters.items() for s in drill_down(values))
+    assert sorted((x["cluster_id"], tuple(x["ids"])) for x in got.collect()) == want and len(want) > 300
+    if rounds == 1:
+        faithful = related_sets(*_frames(spark, {c: clusters[c] for c in range(20)}), prune=False, witness=False)
+        assert sorted(tuple(x["ids"]) for x in faithful.collect()) == sorted(s for c in range(20) for s in drill_down(clusters[c], prune=False, witness=False))
+
+
+def test_related_sets_of_a_large_cluster(spark):
+    # 20,000 records: stars of a title each, tied by numbers
+    members = spark.range(20_000).select(F.col("id").alias("gd_id"), F.lit(0).cast("long").alias("cluster_id"))
+    title = members.select("gd_id", F.lit("title").alias("attr"), F.concat(F.lit("t"), F.floor(F.sqrt("gd_id")).cast("string")).alias("str"))
+    number = members.select("gd_id", F.lit("oclc").alias("attr"), F.concat(F.lit("o"), (F.col("gd_id") % 9973).cast("string")).alias("str"))
+    sets = related_sets(members, title.unionByName(number)).collect()
+    placed = [i for s in sets for i in s["ids"]]
+    assert len(placed) == len(set(placed)) == 20_000 - sum(1 for i in range(20_000) if i not in set(placed)) and max(len(s["ids"]) for s in sets) == 281
+    assert len(placed) > 19_000
+
+
+def test_lists_of_groups_of_any_size(spark):
+    rows = spark.range(3000).select((F.col("id") * 7 % 3001).alias("gd_id"), F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 100).cast("string"))).alias("k"))
+    want = {}
+    for r in rows.collect():
+        want.setdefault(r["k"], set()).add(r["gd_id"])
+    rows = rows.unionByName(rows.where("gd_id % 10 = 0")).unionByName(spark.createDataFrame([(None, "k2")], "gd_id long, k string"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for most in (10_000, 64):
+            got, parts = {}, {}
+            for r in sorted(cl.group_lists(rows, ["k"], 2, most).collect(), key=lambda r: r["part"]):
+                assert r["ids"] == sorted(r["ids"]) and len(r["ids"]) <= most and r["n"] == len(want[r["k"]])
+                assert r["part"] == parts.get(r["k"], -1) + 1
+                parts[r["k"]] = r["part"]
+                got.setdefault(r["k"], []).extend(r["ids"])
+            assert got == {k: sorted(v) for k, v in want.items()}
+            assert (max(parts.values()) > 10) == (most == 64)
+        lines = [r["line"] for r in cl.list_lines(cl.group_lists(rows, ["k"], 2, 64), ["k"]).orderBy("line").collect()]
+        assert lines[0].startswith("\t0\t") and any(x.startswith("hot\t3\t") for x in lines)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import gzip
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,3 +127,31 @@ def test_a_rare_agency_with_one_trigger_phrase_goes(spark):
     rows = [(["A 1.2"], ["White House of it"]), (["A 1.2"], ["Naval Air of it"])]
     got = agency_map(spark.createDataFrame(rows, "sudoc array<string>, agency array<string>"), ("NASA",)).collect()
     assert [(r["sudoc_stem"], r["agency"]) for r in got] == [("A 1", "NAVAL AIR OF IT")]
+
+
+def test_sequential_values_of_any_length(spark, tmp_path):
+    long = "x" * 2_000_000
+    (tmp_path / "s").write_text(f"000000001 LDR   L 00000nam\n000000001 001   L {long}\n000000001 24510 L $$a{long}$$bend\n")
+    (r,) = ms.read_sequential(spark, str(tmp_path / "s")).collect()
+    control, title = r["fields"]
+    assert control["value"] == long and [(x["code"], x["value"]) for x in title["subfields"]] == [("a", long), ("b", "end")]
+
+
+def test_fragments_are_kept_with_a_reason(spark, tmp_path):
+    (tmp_path / "x.dat").write_bytes(b"ab\x1d\r\n\x1d00026     2200026   4500 no directory\x1d1\x1d \n")
+    got = ms.read_binary(spark, str(tmp_path / "x.dat"), forgiving=True).collect()
+    assert len(got) == 3 and all(r["corrupt"] and r["fields"] is None for r in got)
+
+
+def test_collection_of_one_file_opens_no_other(spark, tmp_path):
+    lines = [('{"source":' + LINE + "}", f"file {i}/x") for i in range(3)]
+    ms.write_collection(spark.createDataFrame(lines, "value string, file_path string"), str(tmp_path / "c"))
+    for folder in (tmp_path / "c").glob("file_path=*"):
+        if "1" not in folder.name:
+            for f in folder.glob("*.gz"):
+                f.write_bytes(b"no gzip")  # reading it would fail
+    read = ms.read_collection(spark, str(tmp_path / "c"), "file 1/x")
+    assert "PartitionFilters: [isnotnull(file_path" in read._jdf.queryExecution().toString()
+    assert [r["file_path"] for r in read.collect()] == ["file 1/x"]
+    (tmp_path / "d").write_text("\n".join(json.dumps({"file_path": p, "source": json.loads(LINE)}) for p in ("a", "b", "b")))
+    assert ms.read_collection(spark, str(tmp_path / "d"), "b").count() == 2 and ms.read_collection(spark, str(tmp_path / "d")).count() == 3
