@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bibweave.plans.components import connected_components
+from bibweave.plans.scratch import materialize
 
 FIELDS = ("oclc", "lccn", "issn", "sudoc", "title", "agency", "publisher", "pub_date", "enum_chron")
 
@@ -22,21 +23,6 @@ def shared_value(a, b, empty_is_equal: bool = False) -> Column:
     return (any_equal | ((F.size(a) == 0) & (F.size(b) == 0))) if empty_is_equal else any_equal
 
 
-def candidate_pairs(records: DataFrame, fields=("oclc", "lccn", "issn", "sudoc", "title")) -> DataFrame:
-    """Pairs of records that share a value of a field and so may be more than unrelated; every pair once.
-
-    ``records`` has ``id`` and arrays. Columns of the second record begin with ``o_``.
-    """
-    keys = None
-    for f in fields:
-        if f in records.columns:
-            part = records.select("id", F.lit(f).alias("f"), F.explode(f).alias("v"))
-            keys = part if keys is None else keys.unionByName(part)
-    keys = keys.distinct()
-    pairs = keys.join(keys.withColumnRenamed("id", "o_id"), ["f", "v"]).where("id < o_id").select("id", "o_id").distinct()
-    return with_both(pairs, records)
-
-
 #: Fields that must all agree for a verdict other than unr, one line of each rule a group.
 DECIDING = (("oclc",), ("lccn", "enum_chron"), ("issn",), ("sudoc", "title", "enum_chron"), ("title", "agency", "pub_date", "enum_chron"))
 DECIDING_WITH_REVIEW = (("lccn", "title"), ("oclc", "title"), ("title", "publisher"))
@@ -45,7 +31,8 @@ DECIDING_WITH_REVIEW = (("lccn", "title"), ("oclc", "title"), ("title", "publish
 def decided_pairs(records: DataFrame, groups=DECIDING) -> DataFrame:
     """Pairs of records that agree on all fields of a group, every pair once; all other pairs are unrelated.
 
-    Like :func:`candidate_pairs`, but a frequent title or number alone makes no pair where the rule asks for more.
+    A frequent title or number alone makes no pair where the rule asks for more. Where only the sets that pairs form are
+    wanted, :func:`verdict_sets` finds them without the pairs.
     Records without an enumeration agree on it.
     """
     keys = None
@@ -64,6 +51,99 @@ def decided_pairs(records: DataFrame, groups=DECIDING) -> DataFrame:
     return with_both(pairs, records)
 
 
+#: What makes two records a duplicate, a line each: fields that must agree. The order of the rule plays no part in it, since
+#: an earlier number that agrees gives the same verdict where the enumeration does.
+DUPLICATES = (("oclc", "enum_chron"), ("lccn", "enum_chron"), ("issn", "enum_chron"), ("sudoc", "title", "enum_chron"), ("title", "agency", "pub_date", "enum_chron"))
+DUPLICATES_WITH_REVIEW = (("lccn", "title", "enum_chron"), ("oclc", "title", "enum_chron"), ("title", "publisher", "sudoc", "enum_chron"))
+#: What relates them: fields that must agree, and fields that must not.
+RELATED = ((("oclc",), ("enum_chron",)), (("issn",), ("enum_chron", "oclc", "lccn")))
+RELATED_WITH_REVIEW = ((("oclc", "title"), ("enum_chron", "lccn")),)
+#: Records of a key that the others are held against, one after another.
+STARS = 4
+
+
+def _values(records: DataFrame, field: str) -> Column:
+    """The values of a field; records without an enumeration agree on it."""
+    if field not in records.columns:
+        return F.array().cast("array<string>")
+    values = F.array_distinct(F.filter(F.coalesce(field, F.array().cast("array<string>")), lambda x: x.isNotNull()))
+    return F.when(F.size(values) == 0, F.array(F.lit(None).cast("string"))).otherwise(values) if field == "enum_chron" else values
+
+
+def _keyed(records: DataFrame, fields, *more) -> DataFrame:
+    """``id, key`` for every combination of a record's values of ``fields``."""
+    part = records.select("id", *(_values(records, f).alias(f"_{f}") for f in fields), *more)
+    for f in fields:
+        part = part.withColumn(f"_{f}", F.explode(f"_{f}"))
+    key = F.to_json(F.array(*(f"_{f}" for f in fields)), {"ignoreNullFields": "false"})
+    return part.select("id", F.concat(F.lit(",".join(fields)), key).alias("key"), *(F.col(m) for m in part.columns if m != "id" and m[0] != "_")).distinct()
+
+
+def _stars(keyed: DataFrame) -> DataFrame:
+    """Every record of a key tied to the smallest one."""
+    centre = keyed.groupBy("key").agg(F.min("id").alias("centre"))
+    return keyed.join(centre, "key").where("id <> centre").select("id", F.col("centre").alias("o_id"))
+
+
+def _unlike(keyed: DataFrame) -> DataFrame:
+    """Edges that join what pairs of one key without a common value (``held``) would join.
+
+    Records of a key with the same values are one class, which has no edge within. A class is held against a few classes of the
+    key that have nothing in common with each other, and tied to one that it shares nothing with; that joins all such classes. Only
+    classes that share a value with each of them are held against all others of their key, and none where one value is held by all.
+    """
+    keyed = materialize(keyed, "keyed")
+    classes = keyed.groupBy("key", "held").agg(F.min("id").alias("id"))
+    sizes = classes.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    common = classes.select("key", F.explode("held").alias("v")).groupBy("key", "v").agg(F.count("*").alias("c"))
+    barred = common.join(sizes, "key").where("c = m").select("key").distinct()
+    open_ = classes.join(sizes, "key", "left_semi").join(barred, "key", "left_anti")
+    state = materialize(open_.select("key", "held", "id", F.lit(False).alias("tied"), F.lit(True).alias("free")), "classes")
+    apart = ~F.arrays_overlap("held", "of.held")
+    found = []
+    for _ in range(STARS):
+        centre = state.where("free").groupBy("key").agg(F.min(F.struct(F.size("held").alias("n"), "held", "id")).alias("of"))
+        met = materialize(state.join(centre, "key", "left").withColumn("apart", F.col("of").isNotNull() & F.coalesce(apart, F.lit(False))), "classes")
+        found.append(met.where("apart").select("key", "held", "id", F.col("of.held").alias("o_held"), F.col("of.id").alias("o_id")))
+        state = met.select("key", "held", "id", (F.col("tied") | F.col("apart")).alias("tied"), (F.col("free") & F.col("apart")).alias("free"))
+    rest = state.where("not tied").select("key", F.struct(F.lit(0).alias("n"), "held", "id").alias("of"))
+    found.append(state.join(rest, "key").where(apart).select("key", "held", "id", F.col("of.held").alias("o_held"), F.col("of.id").alias("o_id")))
+    edges = found[0]
+    for more in found[1:]:
+        edges = edges.unionByName(more)
+    edges = materialize(edges, "class-edges")
+    ends = edges.select("key", "held").unionByName(edges.select("key", F.col("o_held").alias("held"))).distinct()
+    centres = ends.join(classes, ["key", "held"]).withColumnRenamed("id", "o_id")
+    members = keyed.join(centres, ["key", "held"]).where("id <> o_id").select("id", "o_id")
+    return edges.select("id", "o_id").unionByName(members)
+
+
+def _tagged(values: Column, field: str) -> Column:
+    """Values with their field; a missing enumeration is a value too, and equals another one."""
+    return F.transform(values, lambda x: F.when(x.isNull(), F.lit(field)).otherwise(F.concat(F.lit(f"{field}="), x)))
+
+
+def verdict_sets(records: DataFrame, duplicates=DUPLICATES, related=RELATED) -> DataFrame:
+    """``relation, set_id, member``: the sets that the pairs of a verdict form, without the pairs.
+
+    They are what :func:`cascade` (or, with the other tables, :func:`cascade_with_review`) and components over its dup and rel pairs give. A key
+    that many records hold costs a row for each of them; records without a partner are in no set.
+    """
+    parts = {"dup": [_stars(_keyed(records, fields)) for fields in duplicates if set(fields) <= {*records.columns, "enum_chron"}], "rel": []}
+    for fields, others in related:
+        if set(fields) <= set(records.columns):
+            tagged = [_tagged(_values(records, f), f) for f in others]
+            parts["rel"].append(_unlike(_keyed(records, fields, F.array_sort(F.concat(*tagged)).alias("held"))))
+    out = None
+    for relation, edges in parts.items():
+        for more in edges[1:]:
+            edges[0] = edges[0].unionByName(more)
+        if edges:
+            sets = connected_components(edges[0], "id", "o_id").select(F.lit(relation).alias("relation"), F.col("component").alias("set_id"), F.col("node").alias("member"))
+            out = sets if out is None else out.unionByName(sets)
+    return out
+
+
 def with_both(pairs: DataFrame, records: DataFrame) -> DataFrame:
     """Pairs ``id, o_id`` with the columns of both records; those of the second begin with ``o_``."""
     other = records.select(*(F.col(c).alias(f"o_{c}") for c in records.columns))
@@ -124,18 +204,32 @@ def mean_f1(found: DataFrame, answers: DataFrame) -> DataFrame:
 def evaluate(verdicts: DataFrame, answers: DataFrame) -> DataFrame:
     """``relation, found, sought, f1`` of verdicts (``id, o_id, verdict``) against answer sets (``relation, set_id, member``).
 
-    The pairs of a verdict are merged into sets. ``f1`` is the sum of the best F1 of each over the number of
-    answers. Relations without answers are left out, those without sets have 0.
+    The pairs of a verdict are merged into sets and those judged by :func:`evaluate_sets`.
     """
     parts = []
     for relation in ("unr", "rel", "dup"):
         sets = connected_components(verdicts.where(F.col("verdict") == relation), "id", "o_id")
-        found = sets.select(F.col("component").alias("set_id"), F.col("node").alias("member"))
-        mine = answers.where(F.col("relation") == relation).select("set_id", "member")
-        best = best_f1(found, mine).agg(F.count("*").alias("found"), F.coalesce(F.sum("f1"), F.lit(0.0)).alias("s"))
-        sought = mine.agg(F.count_distinct("set_id").alias("sought")).where("sought > 0")
-        parts.append(best.join(sought).select(F.lit(relation).alias("relation"), "found", "sought", (F.col("s") / F.col("sought")).alias("f1")))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+        parts.append(sets.select(F.lit(relation).alias("relation"), F.col("component").alias("set_id"), F.col("node").alias("member")))
+    return evaluate_sets(parts[0].unionByName(parts[1]).unionByName(parts[2]), answers)
+
+
+def evaluate_sets(found: DataFrame, answers: DataFrame) -> DataFrame:
+    """``relation, found, sought, f1`` of found sets against answer sets (both ``relation, set_id, member``).
+
+    ``f1`` is the sum of the best F1 of each set over the number of answers. Relations without answers are left out, those without sets have 0.
+    """
+    a = answers.select("relation", F.col("set_id").alias("answer"), "member").distinct()
+    f = found.select("relation", "set_id", "member").distinct()
+    sizes_a = a.groupBy("relation", "answer").agg(F.count("*").alias("na"))
+    sizes_f = f.groupBy("relation", "set_id").agg(F.count("*").alias("nf"))
+    shared = f.join(a, ["relation", "member"]).groupBy("relation", "set_id", "answer").agg(F.count("*").alias("k"))
+    shared = shared.join(sizes_a, ["relation", "answer"]).join(sizes_f, ["relation", "set_id"])
+    best = shared.groupBy("relation", "set_id").agg(F.max(2 * F.col("k") / (F.col("na") + F.col("nf"))).alias("f1"))
+    each = sizes_f.join(best, ["relation", "set_id"], "left").groupBy("relation").agg(F.count("*").alias("found"), F.sum(F.coalesce("f1", F.lit(0.0))).alias("s"))
+    sought = sizes_a.groupBy("relation").agg(F.count("*").alias("sought"))
+    return sought.join(each, "relation", "left").select(
+        "relation", F.coalesce("found", F.lit(0)).alias("found"), "sought", (F.coalesce("s", F.lit(0.0)) / F.col("sought")).alias("f1")
+    )
 
 
 def review_list(verdicts: DataFrame) -> DataFrame:

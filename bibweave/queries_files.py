@@ -15,6 +15,8 @@ from bibweave.operators import clusters as cl
 from bibweave.operators import rules as ru
 from bibweave.operators import titles as tt
 from bibweave.operators.dictionary import Dictionary
+from bibweave.operators.growing import Clusters
+from bibweave.operators.postings import kept_postings
 from bibweave.plans import views as V
 from bibweave.plans.scratch import at_end, materialize, shared_dir
 from bibweave.queries import _AGROWS, _BAG, _CASCADE, _FREQ, _KEEP, _REACH, _REVIEWED, _RULED, ACRONYMS, Source, _agency_sql, _clusters, _fold_sql, _ruled, query
@@ -208,6 +210,26 @@ def _(s):
     return store.read().drop("hashsum")
 
 
+@query("clu1_components_in_loads", f"WITH RECURSIVE {_REACH} SELECT gd_id, cluster_id FROM comp", a=V.CLEAN)
+def _(s):
+    """Clusters after three loads of records, the second given twice, as all records at once give them."""
+    kept = Clusters(s.spark, _folder(s, "clusters"))
+    for load, part in enumerate((0, 1, 1, 2)):
+        kept.insert(s.attrs.where(F.col("gd_id") % 3 == part), min(load, part))
+    return kept.read()
+
+
+@query("qry1_posting_lists", """SELECT gd_id FROM a WHERE (attr, str) IN (('pubdate', '1997'), ('publisher', 'GPO')) AND gd_id NOT IN (SELECT gd_id FROM a WHERE attr = 'enumc' AND str = 'v.3') GROUP BY gd_id HAVING count(DISTINCT attr) = 2""", a=V.CLEAN)
+def _(s):
+    """Records of two values that lack a third, from posting lists."""
+    return kept_postings(s.attrs, _folder(s, "postings")).find([("pubdate", "1997"), ("publisher", "GPO")], [("enumc", "v.3")])
+
+
+@query("qry4_posting_strings", "SELECT DISTINCT str FROM a WHERE attr = 'publisher' ORDER BY str", a=V.CLEAN)
+def _(s):
+    return kept_postings(s.attrs, _folder(s, "postings")).strings("publisher")
+
+
 # ---- clusters, rules, agencies, maintenance ----------------------------------------------------------------------
 
 
@@ -238,8 +260,9 @@ sh AS (SELECT f.relation, f.set_id, a.set_id AS answer, count(*) AS k FROM found
 best AS (SELECT nf.relation, nf.set_id, coalesce(max(2 * k / (nf.n + na.n)), 0) AS f1 FROM nf LEFT JOIN sh ON sh.relation = nf.relation AND sh.set_id = nf.set_id LEFT JOIN na ON na.relation = sh.relation AND na.set_id = sh.answer GROUP BY 1, 2)
 SELECT q.relation, coalesce(b.found, 0) AS found, q.sought, round(coalesce(b.s, 0) / q.sought, 6) AS f1 FROM (SELECT relation, count(*) AS sought FROM na GROUP BY 1) q LEFT JOIN (SELECT relation, count(*) AS found, sum(f1) AS s FROM best GROUP BY 1) b ON b.relation = q.relation""", s=_RULED, ans=_ANSWERED)
 def _(s):
-    verdicts = materialize(ru.cascade_with_review(ru.decided_pairs(_ruled(s), ru.DECIDING_WITH_REVIEW)).select("id", "o_id", "verdict"), "verdicts")
-    return ru.evaluate(verdicts, s(_ANSWERED)).withColumn("f1", F.round("f1", 6))
+    """The sets of duplicates and of related records against answers; no pairs are made."""
+    found = ru.verdict_sets(_ruled(s), ru.DUPLICATES_WITH_REVIEW, ru.RELATED_WITH_REVIEW)
+    return ru.evaluate_sets(found, s(_ANSWERED)).withColumn("f1", F.round("f1", 6))
 
 
 @query("rul5_review_list", f"SELECT id || ' <?> ' || o_id AS line FROM ({_REVIEWED}) WHERE verdict = 'rev'", s=_RULED)

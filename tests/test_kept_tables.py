@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from bibweave.operators.catalog import file_ids
+from bibweave.operators.clusters import identifier_clusters
 from bibweave.operators.dictionary import Dictionary
+from bibweave.operators.growing import Clusters, Components
+from bibweave.operators.lookup import find_records
+from bibweave.operators.postings import Postings, kept_postings
+from bibweave.plans.components import connected_components
 from bibweave.plans.numbers import numbered
 from bibweave.plans.stored import Loads
 from bibweave.streaming.ingest import Store, lines_of
@@ -99,3 +105,52 @@ def test_table_of_a_database(spark, tmp_path, key):
         assert jdbc.bounds_of(spark, url, "BIBS", key, **given) == (0, 99)
         sizes = [len(x) for x in read.rdd.glom().collect()]
         assert min(sizes) >= 20
+
+
+def test_components_in_loads_match_a_full_run(spark, tmp_path):
+    r = random.Random(5)
+    kept, so_far = Components(spark, str(tmp_path / "c")), []
+    for load in range(4):
+        edges = [(a, a if r.random() < 0.1 else r.randrange(120 * (load + 1))) for a in (r.randrange(120 * (load + 1)) for _ in range(45))] + [(None, 3)]
+        so_far += edges
+        df = spark.createDataFrame(edges, "u long, v long")
+        kept.insert(df, load)
+        if load == 2:
+            kept.insert(df, load)  # given twice
+        full = connected_components(spark.createDataFrame(so_far, "u long, v long"))
+        assert {tuple(x) for x in kept.read().collect()} == {tuple(x) for x in full.collect()}
+    before = kept.labels.read().count()
+    kept.insert(spark.createDataFrame([(5000, 5001)], "u long, v long"), 4)  # touches no cluster
+    assert kept.labels.read().count() == before + 2 and kept.merged.read().where("load = 4").count() == 0
+    # a load that died between its two tables is made again as a whole
+    (tmp_path / "c" / "merged" / "load=4" / "_SUCCESS").unlink()
+    (tmp_path / "c" / "labels" / "load=4" / "_SUCCESS").unlink()
+    kept.insert(spark.createDataFrame([(5000, 5001), (5000, 1)], "u long, v long"), 4)
+    full = connected_components(spark.createDataFrame([*so_far, (5000, 5001), (5000, 1)], "u long, v long"))
+    assert {tuple(x) for x in kept.read().collect()} == {tuple(x) for x in full.collect()}
+
+
+def test_clusters_in_loads_match_a_full_run(spark, tmp_path):
+    r = random.Random(6)
+    rows = [(r.randrange(300), r.choice(["oclc", "sudoc", "lccn", "issn", "title"]), f"v{r.randrange(260)}") for _ in range(420)]
+    df = spark.createDataFrame(rows, "gd_id long, attr string, str string")
+    kept = Clusters(spark, str(tmp_path / "c"))
+    for load in range(3):
+        kept.insert(df.where(F.col("gd_id") % 3 == 2 - load), load)  # the smallest member may come last
+    assert {tuple(x) for x in kept.read().collect()} == {tuple(x) for x in identifier_clusters(df, 0).collect()}
+
+
+def test_postings_answer_as_a_scan_does(spark, tmp_path):
+    r = random.Random(7)
+    rows = [(i, a, f"{a}{min(9, int(r.expovariate(0.5)))}") for i in range(400) for a in ("oclc", "title", "enumc") for _ in range(r.randrange(3))]
+    attrs = spark.createDataFrame(rows + rows[:50], "gd_id long, attr string, str string")
+    index = kept_postings(attrs, str(tmp_path / "p"))
+    ids = lambda df: sorted(x["gd_id"] for x in df.collect())
+    for clauses in ([("oclc", "oclc0")], [("oclc", "oclc0"), ("title", "title1")], [("oclc", "oclc2"), ("title", "title0"), ("enumc", "enumc0")], [("oclc", "none"), ("title", "title0")], []):
+        assert ids(index.find(clauses)) == ids(find_records(attrs, clauses))
+    gone = {i for i, a, v in rows if (a, v) == ("title", "title0")}
+    assert ids(index.find([("oclc", "oclc0")], [("title", "title0")])) == [i for i in ids(find_records(attrs, [("oclc", "oclc0")])) if i not in gone]
+    assert [x["str"] for x in index.strings("title").collect()] == sorted({v for _, a, v in rows if a == "title"})
+    assert index.size("oclc", "oclc0") == len({i for i, a, v in rows if v == "oclc0"})
+    plan = Postings(spark, str(tmp_path / "p")).holders("oclc", "oclc0")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(attr" in plan and "(bucket" in plan.split("PartitionFilters")[1].split("]")[0]

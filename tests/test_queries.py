@@ -13,7 +13,8 @@ CHOSEN = (
     "srt1_skip_most_frequent set5_separate_imprints agg2_key_groups agg15_agency_map clu1_components clu3_duplicates clu5_checksums_all clu6_relations clu9_score_bands "
     "clu10_canonical_ids sco1_cluster_scores rul3_cascade rul4_cascade_with_review sco3_best_f1 qry1_conjunctive dml1_insert_new src1_json_records prj5_attributes mrc13_dublin_core "
     "src2_sequential_records src3_records_of_a_file mrc1_strict_reader mrc2_forgiving_reader mrc3_field_parse mrc5_marc8_text mrc7_xml_reader mrc8_binary_round_trip joi4_token_self_join "
-    "joi5_bipartite_traversal joi9_pairs_of_a_set rul5_evaluation qry6_candidate_documents dml3_wipe dml4_delete_file"
+    "joi5_bipartite_traversal joi9_pairs_of_a_set rul5_evaluation qry6_candidate_documents dml3_wipe dml4_delete_file "
+    "clu2_related_sets clu2_leftovers prj7_dictionary_loads dml1_continuous_load dml6_file_ids_kept clu1_components_in_loads qry1_posting_lists"
 ).split()
 
 
