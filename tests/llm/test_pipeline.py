@@ -80,6 +80,6 @@ def test_lines_keep_the_callers_columns(spark, names):
     assert sorted(tuple(r) for r in got.collect()) == [(i, f"own {i}", "en", "s", 5, i + 77, f"x{i}") for i in range(8)]
 
 
-@pytest.mark.parametrize("name", ["op1_near_duplicates", "op3_exact_duplicates", "op10_site_lines"])
+@pytest.mark.parametrize("name", ["op1_near_duplicates", "op3_exact_duplicates", "op10_site_lines", "op11_phrases", "op12_hard_negatives"])
 def test_query_agrees_with_its_sql(spark, name):
     assert frame_rows(entry.queries()[name](spark, DATA)) == sql_rows(DATA, entry.oracle_sql()[name])
