@@ -12,6 +12,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from urllib.parse import urlsplit
 
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
@@ -66,7 +67,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def at_end(spark: SparkSession, path: str) -> None:
-    """Delete a folder when the program ends, if the session still runs then."""
+    """Delete a folder when the program ends; if the session was stopped by then, only one on a local disk."""
     held = getattr(spark.sparkContext, "_bibweave_made", None)
     if held is None:
         held = spark.sparkContext._bibweave_made = set()
@@ -75,7 +76,10 @@ def at_end(spark: SparkSession, path: str) -> None:
 
 
 def _delete_all(spark: SparkSession, paths: set[str]) -> None:
-    if spark.sparkContext._jsc is None:  # the session was stopped
+    if spark.sparkContext._jsc is None:  # the session was stopped, and with it the way to any other store
+        for path in paths:
+            if path.startswith("file:"):
+                shutil.rmtree(urlsplit(path).path, ignore_errors=True)
         return
     for path in paths:
         try:

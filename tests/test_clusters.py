@@ -299,9 +299,8 @@ def all_pairs(records):
 RULED = "id long, oclc array<string>, lccn array<string>, issn array<string>, sudoc array<string>, title array<string>, agency array<string>, publisher array<string>, pub_date array<string>, enum_chron array<string>"
 
 
-@pytest.mark.parametrize("seed", [1])
-def test_sets_of_verdicts_match_their_pairs(spark, seed):
-    r = random.Random(seed)
+def test_sets_of_verdicts_match_their_pairs(spark):
+    r = random.Random(1)
     some = lambda n, most: r.choice([None, []]) if r.random() < 0.25 else [f"v{r.randrange(n)}" for _ in range(r.randrange(1, most))]
     rows = []
     for block in range(12):  # values of blocks are kept apart, so there are many sets
@@ -328,6 +327,8 @@ def test_sets_of_verdicts_match_their_pairs(spark, seed):
             want |= {(relation, find(x), x) for x in parent}
         found = ru.verdict_sets(records, *tables)
         assert {tuple(x) for x in found.collect()} == want and {x[0] for x in want} == {"dup", "rel"}
+        if tables:
+            continue
         answers = spark.createDataFrame([("dup", i % 7, i) for i in range(0, 400, 3)] + [("rel", i % 5, i) for i in range(0, 900, 2)] + [("unr", 1, 1)], "relation string, set_id long, member long")
         judged = lambda df: sorted((x["relation"], x["found"], x["sought"], round(x["f1"], 9)) for x in df.collect() if x["relation"] != "unr")
         verdicts = spark.createDataFrame([tuple(p) for p in pairs if p["verdict"] != "unr"], "id long, o_id long, verdict string")
