@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from bibweave.functions import marc as mc
 from bibweave.functions.text import unicode_fold
 from bibweave.plans import views as V
+from bibweave.plans.spread import spread
 from bibweave.queries import Source, query
 from bibweave.sources import dump as dp
 from bibweave.sources import marc as ms
@@ -18,7 +19,7 @@ PROFILE = [("001", "record_id"), ("035a", "oclc"), ("245a", "title"), ("245b", "
 
 def marc_lines(s: Source) -> DataFrame:
     """``id, value``: a line of MARC in JSON for every part, and a banner line that is none."""
-    p = s.table("part")
+    p = spread(s.table("part"), "p_partkey")
     text = lambda c: F.col(c).cast("string")
     data = lambda tag, *subs: F.concat(F.lit(f'{{"{tag}":{{"ind1":"1","ind2":" ","subfields":['), *subs, F.lit("]}}"))
     sub = lambda code, v, last=False: F.concat(F.lit(f'{{"{code}":"'), v, F.lit('"}' if last else '"},'))

@@ -6,8 +6,9 @@ All give ``leader`` and ``fields``: structs of tag, indicators, a control value
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby, islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,17 +33,19 @@ def parse_json(line: Column) -> Column:
     """A struct ``leader, fields`` of a line of MARC in JSON; null if the line is no JSON object."""
     raw = F.from_json(line, "leader string, fields array<map<string,string>>")
 
-    def field(m):
-        tag, value = F.get(F.map_keys(m), F.lit(0)), F.get(F.map_values(m), F.lit(0))
-        data = F.from_json(value, "ind1 string, ind2 string, subfields array<map<string,string>>")
-        subs = F.transform(data["subfields"], lambda s: F.struct(F.get(F.map_keys(s), F.lit(0)).alias("code"), F.get(F.map_values(s), F.lit(0)).alias("value")))
-        plain = ~value.startswith("{")
+    def field(f):
+        subs = F.transform(f["data"]["subfields"], lambda s: F.struct(F.get(F.map_keys(s), F.lit(0)).alias("code"), F.get(F.map_values(s), F.lit(0)).alias("value")))
+        plain = ~f["value"].startswith("{")
         return F.struct(
-            F.lpad(tag, 3, "0").alias("tag"), F.when(~plain, F.coalesce(data["ind1"], F.lit(" "))).alias("ind1"), F.when(~plain, F.coalesce(data["ind2"], F.lit(" "))).alias("ind2"),
-            F.when(plain, value).alias("value"), F.when(~plain, subs).alias("subfields"),
+            F.lpad(f["tag"], 3, "0").alias("tag"), F.when(~plain, F.coalesce(f["data"]["ind1"], F.lit(" "))).alias("ind1"), F.when(~plain, F.coalesce(f["data"]["ind2"], F.lit(" "))).alias("ind2"),
+            F.when(plain, f["value"]).alias("value"), F.when(~plain, subs).alias("subfields"),
         )
 
-    return F.when(line.startswith("{"), F.struct(raw["leader"].alias("leader"), F.transform(raw["fields"], field).alias("fields")))
+    # in steps, so that a field's value is parsed once and not for each of its parts
+    named = F.transform(raw["fields"], lambda m: F.struct(F.get(F.map_keys(m), F.lit(0)).alias("tag"), F.get(F.map_values(m), F.lit(0)).alias("value")))
+    data = lambda v: F.when(v.startswith("{"), F.from_json(v, "ind1 string, ind2 string, subfields array<map<string,string>>"))
+    read = F.transform(named, lambda f: F.struct(f["tag"].alias("tag"), f["value"].alias("value"), data(f["value"]).alias("data")))
+    return F.when(line.startswith("{"), F.struct(raw["leader"].alias("leader"), F.transform(read, field).alias("fields")))
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
@@ -102,6 +105,19 @@ def to_hash(leader="leader", fields="fields") -> Column:
     return F.concat(head, _quoted(F.col(leader)), F.lit(',"fields":['), F.array_join(F.transform(fields, field), ","), F.lit("]}"))
 
 
+def _pieces(spark: SparkSession, path: str, mark: str) -> DataFrame:
+    """What stands between marks in some files, in order: ``infile, block, at, size`` (of the file) and ``value``. Large files are split."""
+    rows = spark.read.option("lineSep", mark).text(path)
+    told = [F.col(f"_metadata.{c}").alias(k) for c, k in (("file_path", "infile"), ("file_block_start", "block"), ("file_size", "size"))]
+    return rows.select(*told, F.monotonically_increasing_id().alias("at"), "value")
+
+
+def _ends(pieces: DataFrame, mark: str, **columns: Column) -> DataFrame:
+    """``infile`` with aggregates of its pieces, and ``closed``: whether a mark ends it."""
+    whole = F.sum(F.octet_length("value") + len(mark)) == F.max("size")
+    return pieces.groupBy("infile").agg(*(c.alias(k) for k, c in columns.items()), whole.alias("closed"))
+
+
 def read_xml(spark: SparkSession, path: str, row_tag: str = "record") -> DataFrame:
     """Records of MARCXML files; name-space prefixes do not matter beyond ``row_tag``. Control fields come first."""
     raw = spark.read.format("xml").option("rowTag", row_tag).option("ignoreSurroundingSpaces", "false").schema(_XML).load(path)
@@ -192,12 +208,55 @@ def split_records(data: bytes, forgiving: bool = False) -> Iterator[bytes]:
         at += size
 
 
+_READ = pa.schema([
+    ("infile", pa.string()), ("leader", pa.string()),
+    ("fields", pa.list_(pa.struct([("tag", pa.string()), ("ind1", pa.string()), ("ind2", pa.string()), ("value", pa.string()), ("subfields", pa.list_(pa.struct([("code", pa.string()), ("value", pa.string())])))]))),
+    ("corrupt", pa.string()),
+])
+#: Records that are decoded or encoded at a time.
+RECORDS_A_BATCH = 500
+
+
+def _batches(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    while some := list(islice(rows, RECORDS_A_BATCH)):
+        yield pa.RecordBatch.from_pylist(some, schema)
+
+
+def walk_records(pieces: Iterator[tuple[str, int, bytes]]) -> Iterator[tuple[str, bytes]]:
+    """``infile, record`` from the pieces between end marks (``infile, size, raw``) of whole files in order, by length prefixes as in :func:`split_records`.
+
+    No more than a record and a piece are held.
+    """
+    for name, some in groupby(pieces, key=lambda p: p[0]):
+        data, seen, held = b"", 0, None
+        for _, size, raw in some:
+            if held is not None:
+                data += held + RECORD_END
+            held, seen = raw, seen + len(raw) + 1
+            at = 0
+            while True:
+                while data[at : at + 1] in (b"\n", b"\r"):
+                    at += 1
+                if len(data) - at < 5:
+                    break
+                length = int(data[at : at + 5])
+                if length <= 0:
+                    raise ValueError("a record length of zero")
+                if len(data) - at < length:
+                    break
+                yield name, data[at : at + length]
+                at += length
+            data = data[at:]
+        for record in split_records(data + held + (RECORD_END if seen == size else b"")):
+            yield name, record
+
+
 def read_binary(spark: SparkSession, path: str, forgiving: bool = False, charset: str = "utf-8") -> DataFrame:
     """Records of ISO 2709 files, with ``infile`` and ``corrupt`` (why a record was not read, else null).
 
-    A file is read by one task, since only its length prefixes tell where records begin; the forgiving reader
-    splits large files at the record mark instead. There, whatever stands between two marks is a record, however short;
-    only blank stretches are none.
+    Files are split at the record mark. For the forgiving reader, whatever stands between two marks is a record, however short;
+    only blank stretches are none. For the strict one length prefixes tell where records begin: where each of a file
+    is that of the piece it stands in, the pieces are the records; a file with any other is walked from its beginning by one task, piece by piece.
     """
     schema = f"infile string, {RECORD}, corrupt string"
 
@@ -209,19 +268,30 @@ def read_binary(spark: SparkSession, path: str, forgiving: bool = False, charset
                 raise
             return {"infile": name, "leader": None, "fields": None, "corrupt": str(e)[:200]}
 
-    if forgiving:
-        rows = spark.read.option("lineSep", "\x1d").text(path)
-        rows = rows.select(F.col("_metadata.file_path").alias("infile"), F.col("value").cast("binary").alias("raw")).where(F.col("value").rlike(r"\S"))
-        split = lambda name, raw: [one(name, bytes(raw).lstrip(b"\r\n") + RECORD_END)]
-    else:
-        rows = spark.read.format("binaryFile").load(path).select(F.col("path").alias("infile"), F.col("content").alias("raw"))
-        split = lambda name, raw: (one(name, r) for r in split_records(bytes(raw)))
+    def told(batches):
+        for batch in batches:
+            for name, size, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                yield name, size, raw
 
-    def run(frames):
-        for pdf in frames:
-            yield pd.DataFrame([r for name, raw in zip(pdf["infile"], pdf["raw"]) for r in split(name, raw)], columns=["infile", "leader", "fields", "corrupt"])
+    def run(batches):
+        yield from _batches((one(name, raw.lstrip(b"\r\n") + RECORD_END) for name, _, raw in told(batches)), _READ)
 
-    return rows.mapInPandas(run, schema)
+    def walk(batches):
+        yield from _batches((one(name, raw) for name, raw in walk_records(told(batches))), _READ)
+
+    pieces = _pieces(spark, path, RECORD_END.decode())
+    columns = ["infile", "size", F.col("value").cast("binary").alias("raw")]
+    if forgiving:
+        return pieces.where(F.col("value").rlike(r"\S")).select(*columns).mapInArrow(run, schema)
+    inner = F.ltrim("value", F.lit("\r\n"))
+    prefix = F.substring(inner, 1, 5)
+    good = prefix.rlike("^[0-9]{5}$") & (F.octet_length(inner) + 1 == F.try_to_number(prefix, F.lit("99999")))
+    blank = F.octet_length(inner) == 0
+    files = _ends(pieces, RECORD_END.decode(), bad=F.bool_or(~blank & ~F.coalesce(good, F.lit(False))), blanks=F.count_if(blank), after=F.max_by(blank, F.struct("block", "at")))
+    odd = F.broadcast(files.where("bad or blanks > if(after and not closed, 1, 0)").select("infile"))  # names of files, which a reader's plan lists too
+    plain = pieces.where(~blank).join(odd, "infile", "left_anti").select(*columns).mapInArrow(run, schema)
+    rest = pieces.join(odd, "infile", "left_semi").repartition("infile").sortWithinPartitions("infile", "block", "at").select(*columns)
+    return plain.unionByName(rest.mapInArrow(walk, schema))
 
 
 def encode_record(leader: str, fields, allow_oversized: bool = False) -> bytes:
@@ -252,11 +322,11 @@ def encode_record(leader: str, fields, allow_oversized: bool = False) -> bytes:
 def to_binary(records: DataFrame, allow_oversized: bool = False) -> DataFrame:
     """``record``: each row in ISO 2709."""
 
-    def run(frames):
-        for pdf in frames:
-            yield pd.DataFrame({"record": [encode_record(a, b, allow_oversized) for a, b in zip(pdf["leader"], pdf["fields"])]})
+    def run(batches):
+        rows = (r for batch in batches for lo in range(0, batch.num_rows, RECORDS_A_BATCH) for r in batch.slice(lo, RECORDS_A_BATCH).to_pylist())
+        yield from _batches(({"record": encode_record(r["leader"], r["fields"], allow_oversized)} for r in rows), pa.schema([("record", pa.binary())]))
 
-    return records.select("leader", "fields").mapInPandas(run, "record binary")
+    return records.select("leader", "fields").mapInArrow(run, "record binary")
 
 
 def write_binary(records: DataFrame, path: str, allow_oversized: bool = False) -> None:

@@ -155,3 +155,44 @@ def test_collection_of_one_file_opens_no_other(spark, tmp_path):
     assert [r["file_path"] for r in read.collect()] == ["file 1/x"]
     (tmp_path / "d").write_text("\n".join(json.dumps({"file_path": p, "source": json.loads(LINE)}) for p in ("a", "b", "b")))
     assert ms.read_collection(spark, str(tmp_path / "d"), "b").count() == 2 and ms.read_collection(spark, str(tmp_path / "d")).count() == 3
+
+
+def _record(n: int, note: str = "a note") -> bytes:
+    return ms.encode_record("00000nam a2200000 a 4500", [{"tag": "001", "ind1": None, "ind2": None, "value": str(n), "subfields": None}, {"tag": "500", "ind1": "1", "ind2": " ", "value": None, "subfields": [{"code": "a", "value": note}]}])
+
+
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def _notes(df):
+    return sorted((int(r["fields"][0]["value"]), r["fields"][1]["subfields"][0]["value"]) for r in df.collect())
+
+
+@pytest.mark.parametrize("between", [b"", b"\n"])
+def test_a_strict_file_is_read_by_many_tasks(spark, tmp_path, small_splits, between):
+    (tmp_path / "x.dat").write_bytes(b"".join(_record(n) + between for n in range(300)))
+    read = ms.read_binary(spark, str(tmp_path / "x.dat"))
+    assert _notes(read) == [(n, "a note") for n in range(300)]
+    tasks = read.where("fields is not null").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 5
+
+
+def test_strict_lengths_hold_over_marks_within_records(spark, tmp_path, small_splits):
+    note = "a\x1db" + "x" * 700  # the record goes on after the mark, into another split
+    (tmp_path / "odd.dat").write_bytes(b"".join(_record(n, note if n % 3 == 0 else "plain") for n in range(60)) + b"\r\n")
+    (tmp_path / "plain.dat").write_bytes(b"".join(_record(n, "plain") for n in range(60, 120)))
+    (tmp_path / "cut.dat").write_bytes(_record(120, "plain")[:-1])  # no end mark
+    assert _notes(ms.read_binary(spark, str(tmp_path))) == [(n, note if n < 60 and n % 3 == 0 else "plain") for n in range(121)]
+
+
+@pytest.mark.parametrize("bad", [b"00000" + _record(2)[5:], b"junk\x1d", b"\x1d"])
+def test_strict_reader_raises_on_a_bad_length(spark, tmp_path, bad):
+    (tmp_path / "x.dat").write_bytes(_record(1) + bad + _record(3))
+    with pytest.raises(Exception, match="ValueError"):
+        ms.read_binary(spark, str(tmp_path / "x.dat")).collect()
