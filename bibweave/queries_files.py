@@ -33,11 +33,11 @@ def _folder(s: Source, name: str) -> str:
     return path
 
 
-def _values(read: DataFrame) -> DataFrame:
+def _values(read: DataFrame, *more) -> DataFrame:
     """``id``, number of fields, title and date of records that were read."""
     value = lambda tag, code: F.get(F.filter(F.get(F.filter("fields", lambda f: f["tag"] == tag), F.lit(0))["subfields"], lambda x: x["code"] == code), F.lit(0))["value"]
     number = F.get(F.filter("fields", lambda f: f["tag"] == "001"), F.lit(0))["value"]
-    return read.select(number.cast("bigint").alias("id"), F.size("fields").cast("bigint").alias("n"), value("245", "a").alias("title"), value("260", "c").alias("date"))
+    return read.select(number.cast("bigint").alias("id"), F.size("fields").cast("bigint").alias("n"), value("245", "a").alias("title"), value("260", "c").alias("date"), *more)
 
 
 _READ = "SELECT p_partkey AS id, CAST(7 AS BIGINT) AS n, '  The  ' || p_name || ':' AS title, 'c' || CAST(1900 + p_partkey % 100 AS VARCHAR) AS date FROM part"
@@ -163,10 +163,8 @@ SELECT p_partkey AS id, CAST(24 + 7 * 12 + 1 + length(CAST(p_partkey AS VARCHAR)
  + 2 + 2 + length('u' || p_partkey) + 2 + length('v.' || p_size) + 1 + 1 AS BIGINT) AS length, '  The  ' || p_name || ':' AS title FROM part""")
 def _(s):
     """Records written as ISO 2709 and read again: the length and the title of each."""
-    read = ms.read_binary(s.spark, _binary(s))
-    return _values(read.withColumn("length", F.substring("leader", 1, 5).cast("bigint"))).select("id", "title").join(
-        read.select(F.get(F.filter("fields", lambda f: f["tag"] == "001"), F.lit(0))["value"].cast("bigint").alias("id"), F.substring("leader", 1, 5).cast("bigint").alias("length")), "id"
-    ).select("id", "length", "title")
+    length = F.substring("leader", 1, 5).cast("bigint").alias("length")
+    return _values(ms.read_binary(s.spark, _binary(s)), length).select("id", "length", "title")
 
 
 # ---- tables that are kept ----------------------------------------------------------------------------------------
