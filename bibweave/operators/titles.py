@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bibweave.plans.blocks import block_pairs
 from bibweave.plans.components import connected_components
+from bibweave.plans.scratch import materialize
 
 
 def word_bags(attrs: DataFrame, stop_words: list[str] | None = None, kinds=("publisher", "title", "pubdate", "enumc")) -> DataFrame:
@@ -31,21 +33,35 @@ def by_rarity(bags: DataFrame) -> DataFrame:
     return each.select("gd_id", "attr", "str", F.transform("w", lambda x: x["word"]).alias("words"))
 
 
+def _word_classes(words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``cls, id`` of all records, and ``cls, words`` (in order): records with the same words are one class, named by its smallest id."""
+    sets = materialize(words.groupBy("id").agg(F.array_sort(F.collect_set("word")).alias("words")), "word-sets")
+    classes = materialize(sets.groupBy("words").agg(F.min("id").alias("cls")), "word-classes")
+    return sets.join(classes, "words").select("cls", "id"), classes.select("cls", "words")
+
+
+def _both_ways(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs ``a < b`` of classes, the same turned round, and every class with itself."""
+    return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(classes.select(F.col("cls").alias("a"), F.col("cls").alias("b")))
+
+
 def shared_words(rows: DataFrame, least: int = 3) -> DataFrame:
     """``id, other_id, shared`` of pairs ``id < other_id`` with ``least`` words in common or more; ``rows`` are ``id, word``.
 
-    Two records that share k words share one of the first n - k + 1 of each in order of rarity, so only those
-    are joined, and the pairs found are counted on all words.
+    Records with the same words are one class, and classes are compared. Two that share k words share one of the first
+    n - k + 1 of each in order of rarity, so only those are joined, and the pairs found are counted on all words. What is found of two
+    classes holds for all pairs of their records, which come in blocks.
     """
-    rows = rows.distinct()
-    often = rows.groupBy("word").agg(F.count("*").alias("freq"))
-    each = Window.partitionBy("id")
-    placed = rows.join(often, "word").select("id", "word", F.row_number().over(each.orderBy("freq", "word")).alias("at"), F.count("*").over(each).alias("n"))
-    rare = placed.where(F.col("at") <= F.col("n") - least + 1).select("id", "word")
-    pairs = rare.join(rare.withColumnRenamed("id", "other_id"), "word").where("id < other_id").select("id", "other_id").distinct()
-    lists = rows.groupBy("id").agg(F.collect_list("word").alias("x"))
-    both = pairs.join(lists, "id").join(lists.select(F.col("id").alias("other_id"), F.col("x").alias("y")), "other_id")
-    return both.select("id", "other_id", F.size(F.array_intersect("x", "y")).cast("bigint").alias("shared")).where(F.col("shared") >= least)
+    members, classes = _word_classes(rows.select("id", "word"))
+    each_word = classes.select("cls", F.explode("words").alias("word"))
+    often = each_word.groupBy("word").agg(F.count("*").alias("freq"))
+    each = Window.partitionBy("cls")
+    placed = each_word.join(often, "word").select("cls", "word", F.row_number().over(each.orderBy("freq", "word")).alias("at"), F.count("*").over(each).alias("n"))
+    rare = placed.where(F.col("at") <= F.col("n") - least + 1).select(F.col("cls").alias("a"), "word")
+    pairs = _both_ways(rare.join(rare.withColumnRenamed("a", "b"), "word").where("a < b").select("a", "b").distinct(), classes)
+    both = pairs.join(classes.select(F.col("cls").alias("a"), F.col("words").alias("x")), "a").join(classes.select(F.col("cls").alias("b"), F.col("words").alias("y")), "b")
+    links = both.select("a", "b", F.size(F.array_intersect("x", "y")).cast("bigint").alias("shared")).where(F.col("shared") >= least)
+    return block_pairs(members, links).select("id", F.col("o_id").alias("other_id"), "shared")
 
 
 def match_words(bags: DataFrame, more_than: int = 5, cutoff: float = 0.5) -> DataFrame:
@@ -57,25 +73,29 @@ def match_words(bags: DataFrame, more_than: int = 5, cutoff: float = 0.5) -> Dat
 
     Above the cutoff c, O is more than (A + c |x|) / 2, so what precedes the first shared word in order of rarity weighs
     less than (A - c |x|) / 2, and the same holds for y: only words within that bound are joined, and frequent words
-    make no pairs. Each pair found is then scored on all words.
+    make no pairs. Each pair found is then scored on all words. Records with the same words are one class; classes are
+    compared, and the pairs of their records come in blocks.
     """
     weights = word_weights(bags)
     last = bags.groupBy("gd_id", "attr").agg(F.max_by("words", "str").alias("words"))
-    words = last.select("gd_id", F.explode("words").alias("word")).distinct().join(weights, "word")
-    each = Window.partitionBy("gd_id")
+    members, classes = _word_classes(last.select(F.col("gd_id").alias("id"), F.explode("words").alias("word")))
+    words = materialize(classes.select("cls", F.explode("words").alias("word")).join(weights, "word"), "class-words")
+    each = Window.partitionBy("cls")
     before = each.orderBy("freq", "word").rowsBetween(Window.unboundedPreceding, -1)
-    placed = words.select("gd_id", "word", F.coalesce(F.sum("weight").over(before), F.lit(0.0)).alias("ahead"), F.sum("weight").over(each).alias("w"), F.count("*").over(each).alias("n"))
+    placed = words.select("cls", "word", F.coalesce(F.sum("weight").over(before), F.lit(0.0)).alias("ahead"), F.sum("weight").over(each).alias("w"), F.count("*").over(each).alias("n"))
     # a hair more than the bound, for what sums lose to rounding
-    rare = placed.where(F.col("ahead") < (F.col("w") - max(cutoff, 0.0) * F.col("n")) / 2 + 1e-9).select("gd_id", "word")
-    pairs = rare.join(rare.withColumnRenamed("gd_id", "other_id"), "word").where("gd_id < other_id").select("gd_id", "other_id").distinct()
-    lists = words.groupBy("gd_id").agg(F.array_sort(F.collect_list(F.struct("word", "weight"))).alias("x"), F.sum("weight").alias("wx"))
-    other = lists.select(F.col("gd_id").alias("other_id"), F.transform("x", lambda s: s["word"]).alias("y"), F.col("wx").alias("wy"))
-    both = pairs.join(lists, "gd_id").join(other, "other_id").withColumn("both", F.filter("x", lambda s: F.array_contains("y", s["word"])))
+    rare = placed.where(F.col("ahead") < (F.col("w") - max(cutoff, 0.0) * F.col("n")) / 2 + 1e-9).select(F.col("cls").alias("a"), "word")
+    pairs = _both_ways(rare.join(rare.withColumnRenamed("a", "b"), "word").where("a < b").select("a", "b").distinct(), classes)
+    lists = words.groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("word", "weight"))).alias("x"))
+    lists = lists.withColumn("wx", F.aggregate("x", F.lit(0.0), lambda acc, s: acc + s["weight"])).withColumnRenamed("cls", "a")
+    other = lists.select(F.col("a").alias("b"), F.transform("x", lambda s: s["word"]).alias("y"), F.col("wx").alias("wy"))
+    both = pairs.join(lists, "a").join(other, "b").withColumn("both", F.filter("x", lambda s: F.array_contains("y", s["word"])))
     k, nx, ny = F.size("both"), F.size("x"), F.size("y")
     o = F.aggregate("both", F.lit(0.0), lambda acc, s: acc + s["weight"])
     score = (3 * o - F.col("wx") - F.col("wy")) / (nx + ny - k)
-    found = both.where((k == nx) | (k > more_than)).select("gd_id", "other_id", score.alias("score"), F.transform("both", lambda s: s["word"]).alias("overlap"))
-    return found.where(F.col("score") > cutoff).select(F.col("gd_id").alias("id"), "other_id", F.round(F.round("score", 9), 3).alias("score"), "overlap")
+    found = both.where((k == nx) | (k > more_than)).select("a", "b", score.alias("score"), F.transform("both", lambda s: s["word"]).alias("overlap"))
+    links = found.where(F.col("score") > cutoff).select("a", "b", F.round(F.round("score", 9), 3).alias("score"), "overlap")
+    return block_pairs(members, links).select("id", F.col("o_id").alias("other_id"), "score", "overlap")
 
 
 def band_clusters(pairs: DataFrame, high: float = 0.75) -> DataFrame:
