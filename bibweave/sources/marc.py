@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import groupby, islice
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -119,8 +120,25 @@ def _ends(pieces: DataFrame, mark: str, **columns: Column) -> DataFrame:
 
 
 def read_xml(spark: SparkSession, path: str, row_tag: str = "record") -> DataFrame:
-    """Records of MARCXML files; name-space prefixes do not matter beyond ``row_tag``. Control fields come first."""
-    raw = spark.read.format("xml").option("rowTag", row_tag).option("ignoreSurroundingSpaces", "false").schema(_XML).load(path)
+    """Records of MARCXML files; name-space prefixes do not matter beyond ``row_tag``. Control fields come first.
+
+    Files are split at the ends of records. One in which an end can stand within a comment or CDATA, or where a
+    record is cut off, holds none or is empty, is read by one task from its beginning.
+    """
+    mark, options = f"</{row_tag}>", {"ignoreSurroundingSpaces": "false"}
+    pieces = _pieces(spark, path, mark)
+    count = lambda part: F.size(F.split("value", part))
+    starts = count(rf"<{row_tag}[\s/>]") - 1
+    open_ = (count("<!--") != count("-->")) | (count(r"<!\[CDATA\[") != count(r"\]\]>"))
+    files = _ends(pieces, mark, mixed=F.bool_or((starts > 1) | open_), cut=F.max_by(starts > 0, F.struct("block", "at")), holes=F.count_if(starts == 0))
+    # what follows the last record holds none
+    odd = [r["infile"] for r in files.where("mixed or (cut and not closed) or holes > if(cut, 0, 1)").select("infile").collect()]  # names of files
+    body = F.concat(F.regexp_extract("value", rf"(?s)<{row_tag}[\s>].*", 0), F.lit(mark))
+    some = pieces.where(~F.col("infile").isin(odd)) if odd else pieces
+    raw = some.where(starts > 0).select(F.from_xml(body, _XML, options).alias("r")).select("r.*")
+    if odd:
+        whole = spark.read.format("xml").option("rowTag", row_tag).options(**options).schema(_XML).load([unquote(x) for x in odd])
+        raw = raw.unionByName(whole)
     none = F.array().cast(f"array<{FIELD}>")
     control = F.transform("controlfield", lambda c: F.struct(c["_tag"].alias("tag"), F.lit(None).cast("string").alias("ind1"), F.lit(None).cast("string").alias("ind2"), c["_VALUE"].alias("value"), F.lit(None).cast(SUBFIELDS).alias("subfields")))
 

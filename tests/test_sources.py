@@ -196,3 +196,15 @@ def test_strict_reader_raises_on_a_bad_length(spark, tmp_path, bad):
     (tmp_path / "x.dat").write_bytes(_record(1) + bad + _record(3))
     with pytest.raises(Exception, match="ValueError"):
         ms.read_binary(spark, str(tmp_path / "x.dat")).collect()
+
+
+def test_an_xml_file_is_read_by_many_tasks(spark, tmp_path, small_splits):
+    one = '<record><leader>L</leader>\n <controlfield tag="001">{}</controlfield><datafield tag="500" ind1="1" ind2=" "><subfield code="a"> {}</subfield></datafield></record>\n'
+    head, end = '<?xml version="1.0"?><!-- <about> --><collection xmlns="x">\n', "</collection>\n"
+    notes = ["a &amp; b", "c"]
+    (tmp_path / "plain.xml").write_text(head + "".join(one.format(n, notes[n % 2]) for n in range(100)) + end)
+    (tmp_path / "odd one.xml").write_text(head + "".join(one.format(n, "<![CDATA[</record>]]>" if n == 150 else "c") for n in range(100, 200)) + end)
+    read = ms.read_xml(spark, str(tmp_path))
+    assert _notes(read) == [(n, " a & b" if n < 100 and n % 2 == 0 else " </record>" if n == 150 else " c") for n in range(200)]
+    tasks = ms.read_xml(spark, str(tmp_path / "plain.xml")).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 5
