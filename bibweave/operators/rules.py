@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bibweave.plans.blocks import block_pairs
 from bibweave.plans.components import connected_components
 from bibweave.plans.scratch import materialize
 
@@ -19,7 +20,10 @@ def same_values(a, b) -> Column:
 def shared_value(a, b, empty_is_equal: bool = False) -> Column:
     """Any value in common; for enumerations, two empty lists agree too."""
     a, b = F.coalesce(a, F.array().cast("array<string>")), F.coalesce(b, F.array().cast("array<string>"))
-    any_equal = F.coalesce(F.arrays_overlap(a, b), F.lit(False))
+    # most lists are single values, for which no set need be made
+    single = (F.size(a) == 1) & (F.size(b) == 1)
+    none = (F.size(a) == 0) | (F.size(b) == 0)
+    any_equal = F.coalesce(F.when(single, F.get(a, F.lit(0)) == F.get(b, F.lit(0))).when(none, F.lit(False)).otherwise(F.arrays_overlap(a, b)), F.lit(False))
     return (any_equal | ((F.size(a) == 0) & (F.size(b) == 0))) if empty_is_equal else any_equal
 
 
@@ -33,10 +37,11 @@ def decided_pairs(records: DataFrame, groups=DECIDING) -> DataFrame:
 
     A frequent title or number alone makes no pair where the rule asks for more. Where only the sets that pairs form are
     wanted, :func:`verdict_sets` finds them without the pairs.
-    Records without an enumeration agree on it.
+    Records without an enumeration agree on it. The pairs of a key are made in blocks, however many records hold it, and of several
+    keys that two records share the first one gives the pair, so pairs are neither collected nor compared.
     """
     keys = None
-    for group in groups:
+    for n, group in enumerate(groups):
         if set(group) <= set(records.columns):
             part = records.select("id", *group)
             for f in group:
@@ -44,11 +49,14 @@ def decided_pairs(records: DataFrame, groups=DECIDING) -> DataFrame:
                 if f == "enum_chron":
                     values = F.when(F.size(values) == 0, F.array(F.lit(None).cast("string"))).otherwise(values)
                 part = part.withColumn(f, F.explode(values))
-            part = part.select("id", F.lit(",".join(group)).alias("f"), F.to_json(F.array(*group), {"ignoreNullFields": "false"}).alias("v"))
+            part = part.select("id", F.concat(F.lit(f"{n}:"), F.to_json(F.array(*group), {"ignoreNullFields": "false"})).alias("key"))
             keys = part if keys is None else keys.unionByName(part)
-    keys = keys.distinct()
-    pairs = keys.join(keys.withColumnRenamed("id", "o_id"), ["f", "v"]).where("id < o_id").select("id", "o_id").distinct()
-    return with_both(pairs, records)
+    held = keys.groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
+    rows = records.join(held, "id").select(*records.columns, F.posexplode("keys").alias("_at", "cls"), "keys")
+    rows = rows.select("cls", *records.columns, F.slice("keys", F.lit(1), F.col("_at")).alias("_before"))
+    apart = (F.size("_before") == 0) | (F.size("o__before") == 0) | ~F.arrays_overlap("_before", "o__before")
+    pairs = block_pairs(rows).where(apart)
+    return pairs.select(*records.columns, *(f"o_{c}" for c in records.columns))
 
 
 #: What makes two records a duplicate, a line each: fields that must agree. The order of the rule plays no part in it, since

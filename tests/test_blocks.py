@@ -34,3 +34,11 @@ def test_a_group_of_equal_titles_is_dealt_in_blocks(spark, small_blocks):
     found = tt.shared_words(rows)
     assert sorted(tuple(p) for p in found.collect()) == [(i, j, 3) for i in range(40) for j in range(i + 1, 40)]
     assert found.groupBy(F.spark_partition_id().alias("p")).count().count() > 1  # one word's pairs are many tasks' work
+
+
+def test_pairs_of_one_rule_key_are_dealt_in_blocks(spark, small_blocks):
+    df = spark.createDataFrame([(i, ["o"], ["t"], [f"p{i % 2}"]) for i in range(40)], "id int, oclc array<string>, title array<string>, publisher array<string>")
+    found = ru.decided_pairs(df, (("oclc",), ("title", "publisher")))
+    assert sorted((p["id"], p["o_id"]) for p in found.collect()) == [(i, j) for i in range(40) for j in range(i + 1, 40)]
+    plan = found._jdf.queryExecution().toString()
+    assert "HashAggregate" not in plan and "_before" in plan  # pairs of both keys are told apart without gathering them
