@@ -208,3 +208,15 @@ def test_an_xml_file_is_read_by_many_tasks(spark, tmp_path, small_splits):
     assert _notes(read) == [(n, " a & b" if n < 100 and n % 2 == 0 else " </record>" if n == 150 else " c") for n in range(200)]
     tasks = ms.read_xml(spark, str(tmp_path / "plain.xml")).select(F.spark_partition_id().alias("p")).distinct().count()
     assert tasks > 5
+
+
+def test_rows_of_a_small_file_are_many_tasks(spark, monkeypatch):
+    from bibweave.plans import spread as sp
+    from bibweave.queries import Source
+    from bibweave.queries_marc import marc_lines
+    from tests.conftest import DATA
+
+    dealt = sp.spread(spark.range(1000).coalesce(1), "id", rows=100)
+    assert dealt.rdd.getNumPartitions() == 10 and dealt.distinct().count() == 1000
+    monkeypatch.setattr(sp.spread, "__kwdefaults__", {"rows": 40})
+    assert marc_lines(Source(spark, DATA)).rdd.getNumPartitions() > 4
