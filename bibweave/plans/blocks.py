@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bibweave.plans.scratch import materialize
 
 #: Members of a class that meet as many others in one block, pairs that are held against each other in a task, and the most tasks.
-MEMBERS, PAIRS_A_TASK, MOST_TASKS = 2000, 10_000_000, 10_000
+MEMBERS, PAIRS_A_TASK, MOST_TASKS = 4000, 10_000_000, 10_000
 
 
 def block_pairs(members: DataFrame, links: DataFrame | None = None) -> DataFrame:
