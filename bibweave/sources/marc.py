@@ -82,15 +82,14 @@ def to_json(leader="leader", fields="fields") -> Column:
     def field(f):
         subs = F.transform(f["subfields"], lambda s: F.create_map(s["code"], s["value"]))
         data = F.struct(f["ind1"].alias("ind1"), f["ind2"].alias("ind2"), subs.alias("subfields"))
-        value = F.when(f["value"].isNotNull(), _quoted(f["value"])).otherwise(F.to_json(data))
-        return F.concat(F.lit("{"), _quoted(f["tag"]), F.lit(":"), value, F.lit("}"))
+        named = lambda v: F.to_json(F.create_map(F.coalesce(f["tag"], F.lit("")), v))
+        return F.when(f["value"].isNotNull(), named(f["value"])).otherwise(named(data))
 
     return F.concat(F.lit('{"leader":'), _quoted(F.col(leader)), F.lit(',"fields":['), F.array_join(F.transform(fields, field), ","), F.lit("]}"))
 
 
 def _quoted(s: Column) -> Column:
-    whole = F.to_json(F.struct(F.coalesce(s, F.lit("")).alias("x")))  # {"x":"..."}
-    return F.substring(whole, F.lit(6), F.length(whole) - 6)
+    return F.regexp_replace(F.to_json(F.struct(F.coalesce(s, F.lit("")).alias("x"))), r'^\{"x":|\}$', "")  # of {"x":"..."}
 
 
 def to_hash(leader="leader", fields="fields") -> Column:
