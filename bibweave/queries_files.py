@@ -152,8 +152,8 @@ def _(s):
     path = _folder(s, "xml")
     ms.write_xml(records(s), path)
     text = s.spark.read.text(path)
-    has = lambda part: F.sum(F.size(F.regexp_extract_all("value", F.lit(part), F.lit(0)))).alias
-    counted = text.agg(has("<record>")("records"), has("<controlfield tag=")("control"), has("<datafield tag=")("data"), has("<subfield code=")("subfields"), F.max(F.regexp_extract("value", "<leader>(.*)</leader>", 1)).alias("leader"))
+    has = lambda part: F.sum(((F.length("value") - F.length(F.replace("value", F.lit(part), F.lit("")))) / len(part)).cast("bigint")).alias
+    counted = text.agg(has("<record>")("records"), has("<controlfield tag=")("control"), has("<datafield tag=")("data"), has("<subfield code=")("subfields"), F.max(F.when(F.contains("value", F.lit("<leader>")), F.regexp_extract("value", "<leader>(.*)</leader>", 1)).otherwise("")).alias("leader"))
     return counted.select("records", "control", "data", "subfields", "leader")
 
 
