@@ -17,8 +17,8 @@ from bibweave.sources.profiles import extract, to_attributes
 PROFILE = [("001", "record_id"), ("035a", "oclc"), ("245a", "title"), ("245b", "title"), ("260b", "publisher"), ("260c", "pubdate"), ("974u", "item_id"), ("974z", "enumc")]
 
 
-def marc_lines(s: Source) -> DataFrame:
-    """``id, value``: a line of MARC in JSON for every part, and a banner line that is none."""
+def marc_lines(s: Source, *keep: str) -> DataFrame:
+    """``id, value``: a line of MARC in JSON for every part, and a banner line that is none; with columns of the part."""
     p = spread(s.table("part"), "p_partkey")
     text = lambda c: F.col(c).cast("string")
     data = lambda tag, *subs: F.concat(F.lit(f'{{"{tag}":{{"ind1":"1","ind2":" ","subfields":['), *subs, F.lit("]}}"))
@@ -34,11 +34,12 @@ def marc_lines(s: Source) -> DataFrame:
         data("974", sub("u", F.concat(F.lit("u"), text("p_partkey"))), sub("z", F.concat(F.lit("v."), text("p_size")), True)),
     ]
     line = F.concat(F.lit('{"leader":"00000nam a2200000 a 4500","fields":['), F.concat_ws(",", *fields), F.lit("]}"))
-    return p.select(F.col("p_partkey").alias("id"), line.alias("value")).unionByName(s.spark.sql("select cast(-1 as bigint) as id, '# a banner' as value"))
+    banner = s.spark.sql("select cast(-1 as bigint) as id, '# a banner' as value")
+    return p.select(F.col("p_partkey").alias("id"), line.alias("value"), *keep).unionByName(banner, allowMissingColumns=True)
 
 
-def records(s: Source) -> DataFrame:
-    return marc_lines(s).select("id", ms.parse_json(F.col("value")).alias("r")).where("r is not null").select("id", "r.*")
+def records(s: Source, *keep: str) -> DataFrame:
+    return marc_lines(s, *keep).select("id", *keep, ms.parsed(F.col("value")))
 
 
 @query("src1_json_records", "SELECT p_partkey AS id, '00000nam a2200000 a 4500' AS leader, CAST(7 AS BIGINT) AS n, '001,008,035,245,260,500,974' AS tags FROM part")
@@ -50,7 +51,7 @@ def _(s):
 def _(s):
     sizes = s.table("part").select(F.col("p_partkey").alias("id"), "p_size")
     given = F.when(F.col("p_size") % 3 == 0, F.array().cast("array<string>")).when(F.col("p_size") % 3 == 1, F.array(F.concat(F.lit("n"), F.col("p_size").cast("string"))))
-    out = extract(records(s).join(sizes, "id").withColumn("oclc_resolved", given), PROFILE, fold=(), keep=("id",))
+    out = extract(records(s, "p_size").withColumn("oclc_resolved", given), PROFILE, fold=(), keep=("id",))
     return out.select("id", F.array_join(F.transform("oclc", lambda x: F.concat(x["marc_field"], F.lit(":"), x["value"])), ",").alias("oclc"))
 
 

@@ -42,17 +42,28 @@ def parse_json(line: Column) -> Column:
             F.when(plain, f["value"]).alias("value"), F.when(~plain, subs).alias("subfields"),
         )
 
-    # in steps, so that a field's value is parsed once and not for each of its parts
-    named = F.transform(raw["fields"], lambda m: F.struct(F.get(F.map_keys(m), F.lit(0)).alias("tag"), F.get(F.map_values(m), F.lit(0)).alias("value")))
+    # in steps, so that a line, and a field's value, is parsed once and not for each of its parts
     data = lambda v: F.when(v.startswith("{"), F.from_json(v, "ind1 string, ind2 string, subfields array<map<string,string>>"))
-    read = F.transform(named, lambda f: F.struct(f["tag"].alias("tag"), f["value"].alias("value"), data(f["value"]).alias("data")))
-    return F.when(line.startswith("{"), F.struct(raw["leader"].alias("leader"), F.transform(read, field).alias("fields")))
+
+    def record(r):
+        named = F.transform(r["fields"], lambda m: F.struct(F.get(F.map_keys(m), F.lit(0)).alias("tag"), F.get(F.map_values(m), F.lit(0)).alias("value")))
+        read = F.transform(named, lambda f: F.struct(f["tag"].alias("tag"), f["value"].alias("value"), data(f["value"]).alias("data")))
+        return F.struct(r["leader"].alias("leader"), F.transform(read, field).alias("fields"))
+
+    return F.when(line.startswith("{"), F.get(F.transform(F.array(raw), record), F.lit(0)))
+
+
+def parsed(line: Column) -> Column:
+    """``leader, fields`` of a line of MARC in JSON as columns to select; a line that is none gives no row.
+
+    Conditions on a generated row are not moved ahead of it, where they would parse the line once more for every time they name it.
+    """
+    return F.inline(F.array_compact(F.array(parse_json(line))))
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
     """Records of JSON lines, compressed or not, with ``infile``; other lines are left out."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("infile"), parse_json(F.col("value")).alias("r"))
-    return lines.where("r is not null").select("infile", "r.*")
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("infile"), parsed(F.col("value")))
 
 
 def write_collection(lines: DataFrame, path: str, compression: str = "gzip") -> None:
@@ -73,7 +84,7 @@ def read_collection(spark: SparkSession, path: str, file_path: str | None = None
         lines = lines.withColumn("file_path", F.get_json_object("value", "$.file_path"))
     if file_path is not None:
         lines = lines.where(F.col("file_path") == file_path)
-    return lines.select("file_path", parse_json(F.get_json_object("value", "$.source")).alias("r")).where("r is not null").select("file_path", "r.*")
+    return lines.select("file_path", parsed(F.get_json_object("value", "$.source")))
 
 
 def to_json(leader="leader", fields="fields") -> Column:
