@@ -148,8 +148,7 @@ _MORE = (
 
 @query("mrc13_dublin_core", "SELECT p_partkey AS id, '  The  ' || p_name || ':' AS title, p_brand AS creator, p_type AS subject, p_type AS publisher, 'c' || CAST(1900 + p_partkey % 100 AS VARCHAR) AS date, p_brand AS type, p_type AS format, p_name AS identifier, p_brand AS source, p_type AS language, p_name AS coverage, p_brand AS rights, 'Note.' AS description, p_type || '|' || p_brand || '|' || p_name AS relation FROM part")
 def _(s):
-    p = s.table("part").select(F.col("p_partkey").alias("id"), "p_name", "p_brand", "p_type")
     sub = lambda code, c: F.array(F.struct(F.lit(code).alias("code"), F.col(c).alias("value")))
     more = F.array(*(F.struct(F.lit(tag).alias("tag"), F.lit(" ").alias("ind1"), F.lit(" ").alias("ind2"), F.lit(None).cast("string").alias("value"), sub(code, c).alias("subfields")) for tag, code, c in _MORE))
-    dc = records(s).join(p, "id").withColumn("fields", F.concat("fields", more)).select("id", mc.dublin_core().alias("d"))
+    dc = records(s, "p_name", "p_brand", "p_type").withColumn("fields", F.concat("fields", more)).select("id", mc.dublin_core().alias("d"))
     return dc.select("id", *(F.array_join(F.col(f"d.{k}"), "|").alias(k) for k in _ELEMENTS))
