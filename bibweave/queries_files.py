@@ -53,8 +53,8 @@ def _(s):
 @query("src3_records_of_a_file", "SELECT p_partkey AS id, 'file-' || p_size % 3 AS file_path FROM part WHERE p_size % 3 = 1")
 def _(s):
     path = _folder(s, "collection")
-    files = s.table("part").select(F.col("p_partkey").alias("id"), F.concat(F.lit("file-"), (F.col("p_size") % 3).cast("string")).alias("file_path"))
-    lines = marc_lines(s).join(files, "id").select(F.concat(F.lit('{"source":'), "value", F.lit("}")).alias("value"), "file_path")
+    file_path = F.concat(F.lit("file-"), (F.col("p_size") % 3).cast("string")).alias("file_path")
+    lines = marc_lines(s, "p_size").where("p_size is not null").select(F.concat(F.lit('{"source":'), "value", F.lit("}")).alias("value"), file_path)
     ms.write_collection(lines, path)
     found = ms.read_collection(s.spark, path, "file-1")
     number = F.get(F.filter("fields", lambda f: f["tag"] == "001"), F.lit(0))["value"]

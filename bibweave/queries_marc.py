@@ -49,7 +49,6 @@ def _(s):
 
 @query("src4_normalized_override", "SELECT p_partkey AS id, CASE WHEN p_size % 3 = 0 THEN '' WHEN p_size % 3 = 1 THEN '999x:n' || p_size ELSE '035a:ocm' || p_size END AS oclc FROM part")
 def _(s):
-    sizes = s.table("part").select(F.col("p_partkey").alias("id"), "p_size")
     given = F.when(F.col("p_size") % 3 == 0, F.array().cast("array<string>")).when(F.col("p_size") % 3 == 1, F.array(F.concat(F.lit("n"), F.col("p_size").cast("string"))))
     out = extract(records(s, "p_size").withColumn("oclc_resolved", given), PROFILE, fold=(), keep=("id",))
     return out.select("id", F.array_join(F.transform("oclc", lambda x: F.concat(x["marc_field"], F.lit(":"), x["value"])), ",").alias("oclc"))
