@@ -75,7 +75,7 @@ def for_duckdb(sql: str) -> str:
     return _NAMES.sub(r"\1", sql.replace("@all", ", 'g'"))
 
 
-def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """A view bound to the tables of a folder."""
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(_NAMES.findall(sql))}
+def view(spark: SparkSession, sf_dir: str, sql: str, **given: DataFrame) -> DataFrame:
+    """A view bound to the tables of a folder, or to frames that are given for them."""
+    tables = {t: given[t] if t in given else spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(_NAMES.findall(sql))}
     return spark.sql(for_spark(sql), **tables)
