@@ -40,6 +40,17 @@ def _word_classes(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     return sets.join(classes, "words").select("cls", "id"), classes.select("cls", "words")
 
 
+#: Classes of a word that meet as many others in one block, and pairs of classes that a task compares.
+CLASSES, COMPARED = 500, 500_000
+
+
+def _meeting(rare: DataFrame) -> DataFrame:
+    """Pairs ``a < b`` of classes (``rare``: ``a, word``) with a word in common. However few rows the words are, their pairs are many tasks' work."""
+    found = block_pairs(rare.select(F.col("word").alias("cls"), F.col("a").alias("id")), size=CLASSES, pairs_a_task=COMPARED)
+    pairs = found.select(F.col("id").alias("a"), F.col("o_id").alias("b"))
+    return pairs.repartition(found._bibweave_tasks, "a", "b").distinct()
+
+
 def _both_ways(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs ``a < b`` of classes, the same turned round, and every class with itself."""
     return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(classes.select(F.col("cls").alias("a"), F.col("cls").alias("b")))
@@ -58,7 +69,7 @@ def shared_words(rows: DataFrame, least: int = 3) -> DataFrame:
     each = Window.partitionBy("cls")
     placed = each_word.join(often, "word").select("cls", "word", F.row_number().over(each.orderBy("freq", "word")).alias("at"), F.count("*").over(each).alias("n"))
     rare = placed.where(F.col("at") <= F.col("n") - least + 1).select(F.col("cls").alias("a"), "word")
-    pairs = _both_ways(rare.join(rare.withColumnRenamed("a", "b"), "word").where("a < b").select("a", "b").distinct(), classes)
+    pairs = _both_ways(_meeting(rare), classes)
     both = pairs.join(classes.select(F.col("cls").alias("a"), F.col("words").alias("x")), "a").join(classes.select(F.col("cls").alias("b"), F.col("words").alias("y")), "b")
     links = both.select("a", "b", F.size(F.array_intersect("x", "y")).cast("bigint").alias("shared")).where(F.col("shared") >= least)
     return block_pairs(members, links).select("id", F.col("o_id").alias("other_id"), "shared")
@@ -85,7 +96,7 @@ def match_words(bags: DataFrame, more_than: int = 5, cutoff: float = 0.5) -> Dat
     placed = words.select("cls", "word", F.coalesce(F.sum("weight").over(before), F.lit(0.0)).alias("ahead"), F.sum("weight").over(each).alias("w"), F.count("*").over(each).alias("n"))
     # a hair more than the bound, for what sums lose to rounding
     rare = placed.where(F.col("ahead") < (F.col("w") - max(cutoff, 0.0) * F.col("n")) / 2 + 1e-9).select(F.col("cls").alias("a"), "word")
-    pairs = _both_ways(rare.join(rare.withColumnRenamed("a", "b"), "word").where("a < b").select("a", "b").distinct(), classes)
+    pairs = _both_ways(_meeting(rare), classes)
     lists = words.groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("word", "weight"))).alias("x"))
     lists = lists.withColumn("wx", F.aggregate("x", F.lit(0.0), lambda acc, s: acc + s["weight"])).withColumnRenamed("cls", "a")
     other = lists.select(F.col("a").alias("b"), F.transform("x", lambda s: s["word"]).alias("y"), F.col("wx").alias("wy"))

@@ -11,13 +11,15 @@ from bibweave.plans.scratch import materialize
 MEMBERS, PAIRS_A_TASK, MOST_TASKS = 4000, 10_000_000, 10_000
 
 
-def block_pairs(members: DataFrame, links: DataFrame | None = None) -> DataFrame:
+def block_pairs(members: DataFrame, links: DataFrame | None = None, size: int | None = None, pairs_a_task: int | None = None) -> DataFrame:
     """Every member of a class with every greater one of a linked class: their columns, those of the greater begin with ``o_``.
 
     ``members`` are ``cls, id`` and more, ``links`` ``a, b`` (classes of the lower and the greater ``id``) and more; without links each class
     meets itself. Members are dealt into chunks by their hash and each chunk goes once to every chunk it meets. The classes are
-    ``a`` and ``b`` in the result. Nothing is left out, so there are as many rows as pairs.
+    ``a`` and ``b`` in the result. Nothing is left out, so there are as many rows as pairs. ``size`` are the members of a chunk and
+    ``pairs_a_task`` the pairs of a task, fewer where much is done with each.
     """
+    size, pairs_a_task = size or MEMBERS, pairs_a_task or PAIRS_A_TASK
     members = materialize(members, "members")
     sizes = materialize(members.groupBy("cls").agg(F.count("*").alias("size")), "sizes")
     if links is None:
@@ -27,8 +29,8 @@ def block_pairs(members: DataFrame, links: DataFrame | None = None) -> DataFrame
     met = links.join(of("a"), "a").join(of("b"), "b")
     met = met.where("a <> b or size_a > 1")
     total = met.agg(F.sum(F.col("size_a").cast("double") * F.col("size_b")).alias("n")).first()["n"] or 0
-    parts = max(1, min(MOST_TASKS, int(total / PAIRS_A_TASK) + 1))
-    chunks = lambda k: F.ceil(F.col(f"size_{k}") / MEMBERS).cast("int")
+    parts = max(1, min(MOST_TASKS, int(total / pairs_a_task) + 1))
+    chunks = lambda k: F.ceil(F.col(f"size_{k}") / size).cast("int")
     met = met.withColumns({"of_a": chunks("a"), "of_b": chunks("b")})
     own = [c for c in members.columns if c != "cls"]
     more = [c for c in links.columns if c not in ("a", "b")]
@@ -36,4 +38,6 @@ def block_pairs(members: DataFrame, links: DataFrame | None = None) -> DataFrame
     left = met.join(members.withColumnRenamed("cls", "a"), "a").select("a", "b", *more, *own, at("a").alias("i"), F.explode(F.sequence(F.lit(0), F.col("of_b") - 1)).alias("j"))
     right = met.join(members.withColumnRenamed("cls", "b"), "b").select("a", "b", *(F.col(c).alias(f"o_{c}") for c in own), at("b").alias("j"), F.explode(F.sequence(F.lit(0), F.col("of_a") - 1)).alias("i"))
     keys = ["a", "b", "i", "j"]
-    return left.repartition(parts, *keys).join(right.repartition(parts, *keys), keys).where("id < o_id").drop("i", "j")
+    out = left.repartition(parts, *keys).join(right.repartition(parts, *keys), keys).where("id < o_id").drop("i", "j")
+    out._bibweave_tasks = parts
+    return out

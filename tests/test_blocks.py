@@ -42,3 +42,11 @@ def test_pairs_of_one_rule_key_are_dealt_in_blocks(spark, small_blocks):
     assert sorted((p["id"], p["o_id"]) for p in found.collect()) == [(i, j) for i in range(40) for j in range(i + 1, 40)]
     plan = found._jdf.queryExecution().toString()
     assert "HashAggregate" not in plan and "_before" in plan  # pairs of both keys are told apart without gathering them
+
+
+def test_classes_that_share_a_word_are_compared_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(tt, "CLASSES", 3)
+    monkeypatch.setattr(tt, "COMPARED", 20)
+    found = tt._meeting(spark.createDataFrame([(i, w) for i in range(40) for w in ("x", "y")], "a long, word string"))
+    assert sorted(tuple(p) for p in found.collect()) == [(i, j) for i in range(40) for j in range(i + 1, 40)]
+    assert found.groupBy(F.spark_partition_id().alias("p")).count().count() > 4
