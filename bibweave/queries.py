@@ -849,7 +849,7 @@ def _(s):
 
 @query("dml5_rewrite_values", "SELECT DISTINCT gd_id, attr, CASE WHEN attr = 'title' AND marc_field = '245a' THEN regexp_replace(str, '[0-9]+', '#', 'g') ELSE str END AS str FROM a", a=V.CLEAN)
 def _(s):
-    return ct.rewrite_values(s.attrs, "title", "[0-9]+", "#", "marc_field = '245a'").select("gd_id", "attr", "str")
+    return ct.rewrite_values(s.dealt_attrs("gd_id"), "title", "[0-9]+", "#", "marc_field = '245a'").select("gd_id", "attr", "str")
 
 
 @query("dml6_file_ids", "SELECT file_path, row_number() OVER (ORDER BY file_path) AS file_id FROM (SELECT DISTINCT file_path FROM r)", r=V.RECORDS)

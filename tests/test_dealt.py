@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
+from bibweave.plans.spread import dealt
 from tests.conftest import DATA
 
 
@@ -22,3 +25,12 @@ def test_records_are_parsed_after_parts_are_dealt(spark, name):
 def test_records_carry_columns_of_their_part(spark):
     """They need not be joined to the parts that they were made of."""
     assert "Join" not in optimized(entry.queries()["mrc13_dublin_core"](spark, DATA))
+
+
+@pytest.mark.parametrize("name", ["agg1_value_counts", "dml5_rewrite_values"])
+def test_rows_that_a_task_holds_are_bounded(spark, monkeypatch, name):
+    """The parts of a table that is sorted or gathered are as many as its rows call for, and nothing is moved ahead of them."""
+    monkeypatch.setitem(dealt.__kwdefaults__, "rows", 1000)
+    plan = optimized(entry.queries()[name](spark, DATA))
+    assert any(int(n) >= 6 for n in re.findall(r"RepartitionByExpression \[.*?\], (\d+)", plan))
+    assert "LeftSemi" not in plan[plan.index("Repartition") :]
