@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from bibweave.plans.components import connected_components
 from bibweave.plans.scratch import materialize
+from bibweave.plans.spread import dealt
 
 IDENTIFIERS = ("oclc", "sudoc", "lccn", "issn")
 CHECKSUM = ("pubdate", "sudoc", "oclc", "lccn", "issn")
@@ -114,21 +115,29 @@ def score_of(n, total, distinct) -> F.Column:
     return s * s * s
 
 
-def score_sets(members: DataFrame, attrs: DataFrame, key: str = "set_id", whole_lists: bool = True) -> DataFrame:
+def score_sets(members: DataFrame, attrs: DataFrame, key: str = "set_id", whole_lists: bool = True, most: tuple[int, int] | None = None) -> DataFrame:
     """``score`` of every set of records (``set_id, gd_id``) by the values they share.
 
     With ``whole_lists`` the sorted list of an attribute's values is one value and a missing
     enumeration counts as one; otherwise the greatest value of each attribute but
     enumeration and date counts. Equal values of different attributes are one value.
+
+    ``most`` are bounds of the members and of the values that they hold, if known: both are then dealt in parts of bounded size
+    before they are counted. ``attrs`` should be dealt by record then.
     """
     rows = attrs.select("gd_id", "attr", "str")
+    if most:
+        members = dealt(members.select(key, "gd_id"), most[0], key, "gd_id")
     if whole_lists:
         values = rows.groupBy("gd_id", "attr").agg(F.concat_ws("\x1f", F.array_sort(F.collect_set("str"))).alias("value"))
         plain = members.select("gd_id").distinct().join(values.where("attr = 'enumc'").select("gd_id"), "gd_id", "left_anti")
         values = values.unionByName(plain.select("gd_id", F.lit("enumc").alias("attr"), F.lit("").alias("value")))
     else:
         values = rows.where(~F.col("attr").isin("enumc", "pubdate")).groupBy("gd_id", "attr").agg(F.max("str").alias("value"))
-    counts = members.join(values, "gd_id").groupBy(key, "value").agg(F.count("*").alias("v"))
+    held = members.join(values, "gd_id").select(key, "value")
+    if most:
+        held = dealt(held, most[1], key, "value")
+    counts = held.groupBy(key, "value").agg(F.count("*").alias("v"))
     sums = counts.groupBy(key).agg(F.sum("v").alias("total"), F.count("*").alias("distinct"))
     sizes = members.groupBy(key).agg(F.count_distinct("gd_id").alias("n"))
     return sizes.join(sums, key, "left").select(key, "n", score_of(F.col("n"), F.col("total"), F.col("distinct")).alias("score"))

@@ -707,12 +707,19 @@ def _(s):
 # ---- scores, rules, evaluation -----------------------------------------------------------------------------------
 
 
+def _scores(s: Source, **options) -> DataFrame:
+    members = s(_SETS)
+    n = members.count()
+    # values of eight attributes and one for a missing enumeration
+    return cl.score_sets(members, s.dealt_attrs("gd_id"), most=(n, 9 * n), **options)
+
+
 @query("sco1_cluster_scores", """
 WITH l AS (SELECT gd_id, attr, array_to_string(list_sort(list_distinct(list(str))), chr(31)) AS value FROM a GROUP BY gd_id, attr), w AS (SELECT * FROM l UNION ALL SELECT DISTINCT gd_id, 'enumc', '' FROM s WHERE gd_id NOT IN (SELECT gd_id FROM l WHERE attr = 'enumc')),
 c AS (SELECT set_id, value, count(*) AS v FROM s JOIN w ON w.gd_id = s.gd_id GROUP BY 1, 2), t AS (SELECT set_id, sum(v) AS total, count(*) AS m FROM c GROUP BY 1), n AS (SELECT set_id, count(DISTINCT gd_id) AS n FROM s GROUP BY 1)
 SELECT n.set_id, n.n, round(pow(1 - n.n / total + 1.0 / m, 3), 6) AS score FROM n JOIN t ON t.set_id = n.set_id""", a=V.CLEAN, s=_SETS)
 def _(s):
-    return cl.score_sets(s(_SETS), s.attrs).withColumn("score", F.round("score", 6))
+    return _scores(s).withColumn("score", F.round("score", 6))
 
 
 @query("agg16_checksum_scores", """
@@ -720,7 +727,7 @@ WITH w AS (SELECT gd_id, attr, max(str) AS value FROM a WHERE attr NOT IN ('enum
 t AS (SELECT set_id, sum(v) AS total, count(*) AS m FROM c GROUP BY 1), n AS (SELECT set_id, count(DISTINCT gd_id) AS n FROM s GROUP BY 1)
 SELECT n.set_id, n.n, round(pow(1 - n.n / total + 1.0 / m, 3), 6) AS score FROM n JOIN t ON t.set_id = n.set_id""", a=V.CLEAN, s=_SETS)
 def _(s):
-    return cl.score_sets(s(_SETS), s.attrs, whole_lists=False).withColumn("score", F.round("score", 6))
+    return _scores(s, whole_lists=False).withColumn("score", F.round("score", 6))
 
 
 @query("sco2_title_matches", r"""

@@ -34,3 +34,11 @@ def test_rows_that_a_task_holds_are_bounded(spark, monkeypatch, name):
     plan = optimized(entry.queries()[name](spark, DATA))
     assert any(int(n) >= 6 for n in re.findall(r"RepartitionByExpression \[.*?\], (\d+)", plan))
     assert "LeftSemi" not in plan[plan.index("Repartition") :]
+
+
+@pytest.mark.parametrize("name, keys", [("sco1_cluster_scores", ["set_id", "value"]), ("agg16_checksum_scores", ["set_id", "value"])])
+def test_tables_are_dealt_before_they_are_grouped_or_joined(spark, monkeypatch, name, keys):
+    """What a task sorts or gathers of them does not grow with the tables."""
+    monkeypatch.setitem(dealt.__kwdefaults__, "rows", 1000)
+    plan = optimized(entry.queries()[name](spark, DATA))
+    assert any(int(n) >= 3 for n in re.findall(rf"RepartitionByExpression \[{', '.join(rf'{k}#\d+L?' for k in keys)}\], (\d+)", plan))
