@@ -38,7 +38,7 @@ def test_rows_that_a_task_holds_are_bounded(spark, monkeypatch, name):
 
 @pytest.mark.parametrize("name, keys", [
     ("sco1_cluster_scores", ["set_id", "value"]), ("agg16_checksum_scores", ["set_id", "value"]), ("flt8_in_list", ["gd_id"]),
-    ("rul1_equal_lists", ["id", "o_id"]),
+    ("rul1_equal_lists", ["id", "o_id"]), ("rul2_overlapping_lists", ["l_orderkey"]), ("rul2_overlapping_lists", ["id", "o_id"]),
 ])
 def test_tables_are_dealt_before_they_are_grouped_or_joined(spark, monkeypatch, name, keys):
     """What a task sorts or gathers of them does not grow with the tables."""
