@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bibweave.plans.scratch import discard, materialize
+from bibweave.plans.spread import dealt, ranged
 from bibweave.plans.stored import BROADCAST_ROWS
 
+#: Parts of a value whose records are counted apart.
+SALTS = 64
+
 
 class Postings:
     """The values of an attribute table (``gd_id, attr, str``) in a folder, by attribute and a hash of the value.
@@ -22,13 +26,25 @@ class Postings:
         return F.pmod(F.xxhash64(value), F.lit(self.buckets)).cast("int")
 
     def write(self, attrs: DataFrame) -> None:
-        """Keep the postings and the number of records of every value. A value of many records lies in as many files as its rows call for."""
-        rows = attrs.select(F.col("gd_id").cast("long").alias("gd_id"), "attr", "str").distinct().withColumn("bucket", self._bucket(F.col("str")))
+        """Keep the postings and the number of records of every value. A value of many records lies in as many files as its rows call for.
+
+        Rows are dealt in parts of bounded size wherever they are sorted or gathered, in all as many as they call for.
+        """
+        given = materialize(attrs.select(F.col("gd_id").cast("long").alias("gd_id"), "attr", "str"), "attributes")
+        held = materialize(dealt(given, given.count(), "gd_id").distinct(), "postings")
+        discard(given)
+        n = held.count()
         # dealt within a folder by range, so a hot value is many tasks' work
-        rows = rows.repartitionByRange("attr", "bucket", "str", "gd_id").sortWithinPartitions("attr", "bucket", "str", "gd_id")
+        rows = ranged(held.withColumn("bucket", self._bucket(F.col("str"))), n, "attr", "bucket", "str", "gd_id")
         rows.write.partitionBy("attr", "bucket").parquet(f"{self.path}/rows")
-        kept = self.rows().groupBy("attr", "str").agg(F.count("*").alias("n"))
-        kept.withColumn("bucket", self._bucket(F.col("str"))).repartition("attr", "bucket").write.partitionBy("attr", "bucket").parquet(f"{self.path}/counts")
+        # by salted values first, so that a hot one is not one task's work
+        salted = dealt(held.select("attr", "str", F.pmod("gd_id", F.lit(SALTS)).alias("salt")), n, "attr", "str", "salt")
+        parts = materialize(salted.groupBy("attr", "str", "salt").agg(F.count("*").alias("n")), "counts")
+        kept = dealt(parts, parts.count(), "attr", "str").groupBy("attr", "str").agg(F.sum("n").alias("n")).withColumn("bucket", self._bucket(F.col("str")))
+        kept = materialize(kept, "counts")
+        discard(held, parts)
+        ranged(kept, kept.count(), "attr", "bucket", "str").write.partitionBy("attr", "bucket").parquet(f"{self.path}/counts")
+        discard(kept)
 
     def rows(self) -> DataFrame:
         return self.spark.read.schema("gd_id long, str string, attr string, bucket int").parquet(f"{self.path}/rows")
@@ -75,7 +91,6 @@ class Postings:
 
 def kept_postings(attrs: DataFrame, path: str) -> Postings:
     """Postings of an attribute table in a new folder."""
-    out, held = Postings(attrs.sparkSession, path), materialize(attrs, "attributes")
-    out.write(held)
-    discard(held)
+    out = Postings(attrs.sparkSession, path)
+    out.write(attrs)
     return out

@@ -24,3 +24,8 @@ def dealt(df: DataFrame, most: int, *keys: str, rows: int = ROWS_A_SORT) -> Data
     they are written, which is many times as much in memory where rows repeat each other.
     """
     return df.repartition(max(1, -(-most // rows)), *keys)
+
+
+def ranged(df: DataFrame, most: int, *keys: str, rows: int = ROWS_A_SORT) -> DataFrame:
+    """``df``, of ``most`` rows at most, sorted by ``keys`` within parts of some ``rows`` that follow each other."""
+    return df.repartitionByRange(max(1, -(-most // rows)), *keys).sortWithinPartitions(*keys)

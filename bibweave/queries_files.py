@@ -220,7 +220,7 @@ def _(s):
 @query("qry1_posting_lists", """SELECT gd_id FROM a WHERE (attr, str) IN (('pubdate', '1997'), ('publisher', 'GPO')) AND gd_id NOT IN (SELECT gd_id FROM a WHERE attr = 'enumc' AND str = 'v.3') GROUP BY gd_id HAVING count(DISTINCT attr) = 2""", a=V.CLEAN)
 def _(s):
     """Records of two values that lack a third, from posting lists."""
-    return kept_postings(s.attrs, _folder(s, "postings")).find([("pubdate", "1997"), ("publisher", "GPO")], [("enumc", "v.3")])
+    return kept_postings(s.dealt_attrs(), _folder(s, "postings")).find([("pubdate", "1997"), ("publisher", "GPO")], [("enumc", "v.3")])
 
 
 @query("qry4_posting_strings", "SELECT DISTINCT str FROM a WHERE attr = 'publisher' ORDER BY str", a=V.CLEAN)

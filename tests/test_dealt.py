@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from bibweave.plans.spread import dealt
+from bibweave.operators.postings import kept_postings
+from bibweave.plans.spread import dealt, ranged
 from tests.conftest import DATA
 
 
@@ -45,3 +47,14 @@ def test_tables_are_dealt_before_they_are_grouped_or_joined(spark, monkeypatch,
     monkeypatch.setitem(dealt.__kwdefaults__, "rows", 1000)
     plan = optimized(entry.queries()[name](spark, DATA))
     assert any(int(n) >= 3 for n in re.findall(rf"RepartitionByExpression \[{', '.join(rf'{k}#\d+L?' for k in keys)}\], (\d+)", plan))
+
+
+def test_postings_are_dealt_in_parts_of_bounded_size(spark, monkeypatch, tmp_path):
+    """The files of a table that grows are more, not larger; a value of many records is counted over several parts."""
+    monkeypatch.setitem(dealt.__kwdefaults__, "rows", 1000)
+    monkeypatch.setitem(ranged.__kwdefaults__, "rows", 1000)
+    attrs = spark.range(20_000).selectExpr("id as gd_id", "'a' as attr", "if(id % 2 = 0, 'hot', cast(id as string)) as str")
+    index = kept_postings(attrs.union(attrs), str(tmp_path / "p"))
+    assert max(r["count"] for r in index.rows().groupBy(F.input_file_name()).count().collect()) < 3000
+    assert max(r["count"] for r in index.counts().groupBy(F.input_file_name()).count().collect()) < 3000
+    assert index.size("a", "hot") == 10_000 and index.counts().count() == 10_001
