@@ -225,7 +225,7 @@ def _(s):
 
 @query("qry4_posting_strings", "SELECT DISTINCT str FROM a WHERE attr = 'publisher' ORDER BY str", a=V.CLEAN)
 def _(s):
-    return kept_postings(s.attrs, _folder(s, "postings")).strings("publisher")
+    return kept_postings(s.dealt_attrs(), _folder(s, "postings")).strings("publisher")
 
 
 # ---- clusters, rules, agencies, maintenance ----------------------------------------------------------------------
