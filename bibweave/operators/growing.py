@@ -44,25 +44,34 @@ class Components:
         if load in self.merged.numbers():  # the last that a load writes
             return
         edges = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u is not null and v is not null")
-        edges = materialize(edges.distinct(), "arrived")
+        if not any(n < load for n in self.labels.numbers()):  # nothing to tie the load to
+            parts = connected_components(edges)
+            self.labels.write(parts.select("node", F.col("component").alias("first")), load)
+            self.merged.write(parts.sparkSession.createDataFrame([], "old long, new long"), load)
+            discard(parts)
+            return
+        edges = materialize(edges, "arrived")
         nodes = materialize(edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct(), "touched")
         # labels of the load itself are those of a try that died
         held = self.labels.read().where(F.col("load") < load)
         merges = materialize(self._merges(), "merges")
         known = held.join(_few(nodes), "node", "left_semi").join(_few(merges), F.col("first") == F.col("old"), "left")
         known = materialize(known.select("node", F.coalesce("new", "first").alias("label")), "known")
-        now = materialize(nodes.join(known, "node", "left").select("node", F.coalesce("label", "node").alias("label")), "now")
-        ends = edges.join(now.select(F.col("node").alias("u"), F.col("label").alias("a")), "u").join(now.select(F.col("node").alias("v"), F.col("label").alias("b")), "v")
-        parts = connected_components(ends.select("a", "b"), "a", "b")
+        # a node that is new is its own label, which no node had before
+        now = _few(known)
+        ends = edges.join(now.select(F.col("node").alias("u"), F.col("label").alias("a")), "u", "left")
+        ends = ends.join(now.select(F.col("node").alias("v"), F.col("label").alias("b")), "v", "left")
+        parts = connected_components(ends.select(F.coalesce("a", "u").alias("a"), F.coalesce("b", "v").alias("b")), "a", "b")
         found = materialize(parts.select(F.col("node").alias("label"), F.col("component").alias("new")), "contracted")
         discard(parts)
-        fresh = nodes.join(known, "node", "left_anti").join(found, F.col("node") == F.col("label")).select("node", F.col("new").alias("first"))
+        old = known.select("label").distinct()
+        fresh = found.join(old, "label", "left_anti").select(F.col("label").alias("node"), F.col("new").alias("first"))
         # a label that was a component before this load, and all labels that had become it
-        changed = materialize(known.select("label").distinct().join(found, "label").where("label <> new"), "changed")
+        changed = materialize(old.join(found, "label").where("label <> new"), "changed")
         again = merges.select("old", F.col("new").alias("label")).join(changed, "label").select("old", "new")
         self.labels.write(fresh, load)
         self.merged.write(changed.select(F.col("label").alias("old"), "new").unionByName(again), load)
-        discard(edges, nodes, merges, known, now, found, changed)
+        discard(edges, nodes, merges, known, found, changed)
 
 
 class Clusters:
@@ -79,10 +88,20 @@ class Clusters:
 
     def insert(self, attrs: DataFrame, load: int) -> None:
         """Add records. Each value ties its records to the first one that had it, so one that comes later needs that one only."""
-        keys = attrs.where(F.col("attr").isin(*self.kinds)).select(F.col("gd_id").cast("long").alias("gd_id"), "attr", "str").distinct()
-        own = materialize(keys.groupBy("attr", "str").agg(F.min("gd_id").alias("least")), "values")
-        held = self.centres.read().where(F.col("load") < load).join(_few(own.select("attr", "str")), ["attr", "str"], "left_semi")
-        centre = materialize(own.join(held, ["attr", "str"], "left").select("attr", "str", F.coalesce("centre", "least").alias("centre"), F.col("centre").isNull().alias("fresh")), "tied")
+        made = self.centres.numbers()
+        if load in made:  # the last that a load writes
+            return
+        keys = attrs.where(F.col("attr").isin(*self.kinds)).select(F.col("gd_id").cast("long").alias("gd_id"), "attr", "str")
+        own = keys.groupBy("attr", "str").agg(F.min("gd_id").alias("least"))
+        if any(n < load for n in made):
+            own = materialize(own, "values")
+            held = self.centres.read().where(F.col("load") < load).drop("load")
+            if own.count() <= BROADCAST_ROWS:  # else both are dealt by the join anyway
+                held = held.join(F.broadcast(own.select("attr", "str")), ["attr", "str"], "left_semi")
+            tied = own.join(held, ["attr", "str"], "left").select("attr", "str", F.coalesce("centre", "least").alias("centre"), F.col("centre").isNull().alias("fresh"))
+        else:
+            tied = own.select("attr", "str", F.col("least").alias("centre"), F.lit(True).alias("fresh"))
+        centre = materialize(tied, "tied")
         self.components.insert(keys.join(centre, ["attr", "str"]), load, "gd_id", "centre")
         self.centres.write(centre.where("fresh").drop("fresh"), load)
         discard(own, centre)

@@ -1,5 +1,7 @@
-"""Connected components by alternating large-star and small-star rounds.
+"""Connected components by contraction, then by alternating large-star and small-star rounds.
 
+While it leaves at most half of the edges, every node is merged into its smallest neighbour, so later rounds see only
+nodes that others were merged into. What remains, such as long paths, is settled by stars after
 Kiveris et al., "Connected Components in MapReduce and Beyond" (SoCC 2014): every
 round replaces each neighbourhood by a star around its smallest node, so the number of
 rounds grows with the logarithm of the longest path. A hub costs one row per
@@ -28,35 +30,52 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return turned.unionByName(low.select("u", F.col("m").alias("v"))).where("u > v").distinct()
 
 
+def _hooks(edges: DataFrame) -> DataFrame:
+    """``node, parent``: the smallest of every node and its neighbours; a first end is never the smaller one."""
+    both = edges.select(F.col("u").alias("node"), "v").unionByName(edges.select(F.col("v").alias("node"), "v"))
+    return both.groupBy("node").agg(F.min("v").alias("parent"))
+
+
+def _contract(edges: DataFrame, hooks: DataFrame) -> DataFrame:
+    """Edges between the parents of their ends. A parent that is none of them afterwards is the smallest node of a whole component."""
+    a, b = (hooks.select(F.col("node").alias(end), F.col("parent").alias(to)) for end, to in (("u", "a"), ("v", "b")))
+    moved = edges.where("u > v").join(a, "u").join(b, "v").where("a <> b")
+    return moved.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+
+
 def connected_components(edges: DataFrame, left: str = "u", right: str = "v", max_rounds: int = 60) -> DataFrame:
     """Map every node of ``edges`` to the smallest node that it reaches.
 
     Returns ``(node, component)`` with one row per node that has an edge. Null ends
     and self loops are ignored, except that a node with only a self loop maps to
     itself; repeated edges and an empty input are fine. A caller that writes the result may
-    ``discard`` it then, which deletes the edges that it was read from.
+    ``discard`` it then, which deletes the tables that it was read from.
     """
     pairs = edges.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a is not null and b is not null")
-    start = pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    start = materialize(start, "edges")
-    n = start.count()
-    loops = start.where("u = v").select(F.col("u").alias("node"), F.col("v").alias("component"))
-    state = start.where("u > v")
+    state = materialize(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    n, levels, halved = state.count(), [], True
+    while n and halved:
+        hooks = materialize(_hooks(state), "hooks")
+        after = materialize(_contract(state, hooks), "edges", rows=n)
+        discard(state)
+        rest = after.count()
+        levels.append(hooks)
+        state, halved, n = after, 2 * rest <= n, rest
     for _ in range(max_rounds):
-        if _is_stars(state):
+        if not n or _is_stars(state):
             break
         # the stars of the next round are at most as many edges as there are now
         after = materialize(_small_star(_large_star(state)), "edges", rows=2 * n)
-        if state is not start:
-            discard(state)
+        discard(state)
         state = after
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    roots = state.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    found = state.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
-    # a self loop tells nothing new of a node that has other edges
-    out = found.unionByName(loops).groupBy("node").agg(F.min("component").alias("component"))
-    out._bibweave_parts = (start, state)
+    out = state.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    # the smallest node of a component is no first end, so it is not found and stays as it is
+    for hooks in reversed(levels):
+        found = hooks.join(out.select(F.col("node").alias("parent"), "component"), "parent", "left")
+        out = found.select("node", F.coalesce("component", "parent").alias("component"))
+    out._bibweave_parts = (state, *levels)
     return out
 
 

@@ -10,7 +10,9 @@ from bibweave.operators import rules as ru
 from bibweave.operators import titles as tt
 from bibweave.operators.catalog import split_enumerations, split_holdings
 from bibweave.operators.related import drill_down, leftovers, related_sets
+from bibweave.plans import components
 from bibweave.plans.components import connected_components
+from bibweave.plans.scratch import materialize
 
 ATTRS = "gd_id bigint, attr string, str string, marc_field string"
 
@@ -42,6 +44,39 @@ def test_components_of_nothing(spark):
     assert connected_components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
 
 
+def test_merged_nodes_are_not_carried_through_rounds(spark, monkeypatch):
+    """What rounds after the first work on are the nodes that others were merged into, so a round over all edges is made once."""
+    sizes = []
+
+    def counted(df, name, *more, **given):
+        out = materialize(df, name, *more, **given)
+        if name == "edges":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(components, "materialize", counted)
+    # 20 stars of 100, tied in a row by members of theirs
+    edges = [(100 * s, 100 * s + i) for s in range(20) for i in range(1, 100)] + [(100 * s + 7, 100 * s + 150) for s in range(19)]
+    got = connected_components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()
+    assert len(got) == 2000 and {r["component"] for r in got} == {0}
+    assert sizes[0] == len(edges) and all(n <= 2 * 19 for n in sizes[1:])
+
+
+@pytest.mark.parametrize("order", ["up", "down", "mixed", "zigzag"])
+def test_components_of_long_paths(spark, order):
+    """Paths hardly shrink by merging into neighbours, so they are left to the rounds of stars."""
+    ids = list(range(3, 303))
+    if order == "down":
+        ids.reverse()
+    elif order == "mixed":
+        random.Random(3).shuffle(ids)
+    elif order == "zigzag":
+        ids = [x for pair in zip(ids[:150], ids[:149:-1]) for x in pair]
+    edges = [*zip(ids, ids[1:]), (900, 900), (901, None)]
+    got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    assert got == {**dict.fromkeys(ids, 3), 900: 900}
+
+
 def test_identifier_clusters(spark):
     a = attrs(spark, [(1, "oclc", "o1"), (2, "oclc", "o1"), (2, "sudoc", "s1"), (3, "sudoc", "s1"), (4, "lccn", "l1"), (5, "title", "t")])
     got = cl.identifier_clusters(a, skip=0)

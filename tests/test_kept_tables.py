@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from bibweave.operators import growing
 from bibweave.operators.catalog import file_ids
 from bibweave.operators.clusters import identifier_clusters
 from bibweave.operators.dictionary import Dictionary
@@ -140,6 +141,15 @@ def test_clusters_in_loads_match_a_full_run(spark, tmp_path):
     assert {tuple(x) for x in kept.read().collect()} == {tuple(x) for x in identifier_clusters(df, 0).collect()}
 
 
+def test_clusters_of_a_load_given_again_are_not_made_again(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(1, "oclc", "a"), (2, "oclc", "a"), (3, "lccn", "b")], "gd_id long, attr string, str string")
+    kept = Clusters(spark, str(tmp_path / "c"))
+    kept.insert(df, 0)
+    monkeypatch.setattr(growing, "materialize", lambda *a, **k: pytest.fail("a load that is there was read again"))
+    kept.insert(df, 0)
+    assert sorted(tuple(x) for x in kept.read().collect()) == [(1, 1), (2, 1), (3, 3)]
+
+
 def test_postings_answer_as_a_scan_does(spark, tmp_path):
     r = random.Random(7)
     rows = [(i, a, f"{a}{min(9, int(r.expovariate(0.5)))}") for i in range(400) for a in ("oclc", "title", "enumc") for _ in range(r.randrange(3))]
