@@ -795,7 +795,7 @@ _REVIEWED = f"""SELECT x.id, y.id AS o_id, CASE WHEN {_EQ['lccn']} THEN CASE WHE
 
 @query("rul3_cascade", f"SELECT * FROM ({_CASCADE}) WHERE verdict <> 'unr'", s=_RULED)
 def _(s):
-    return ru.cascade(ru.decided_pairs(_ruled(s))).select("id", "o_id", "verdict").where("verdict <> 'unr'")
+    return ru.verdict_pairs(_ruled(s))
 
 
 @query("rul4_cascade_with_review", f"SELECT * FROM ({_REVIEWED}) WHERE verdict <> 'unr'", s=_RULED)
