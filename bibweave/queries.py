@@ -800,7 +800,7 @@ def _(s):
 
 @query("rul4_cascade_with_review", f"SELECT * FROM ({_REVIEWED}) WHERE verdict <> 'unr'", s=_RULED)
 def _(s):
-    return ru.cascade_with_review(ru.decided_pairs(_ruled(s), ru.DECIDING_WITH_REVIEW)).select("id", "o_id", "verdict").where("verdict <> 'unr'")
+    return ru.verdict_pairs(_ruled(s), ru.CASCADE_WITH_REVIEW)
 
 
 _FOUND = "SELECT o_custkey AS set_id, o_orderkey AS member FROM {orders}"

@@ -32,7 +32,7 @@ def test_verdicts_of_all_pairs_come_without_the_others(spark, monkeypatch, most,
             assert len(want) > 5 or "oclc" not in columns
 
 
-@pytest.mark.parametrize("name", ["rul3_cascade"])
+@pytest.mark.parametrize("name", ["rul3_cascade", "rul4_cascade_with_review"])
 def test_pairs_of_single_values_are_made_of_strings(spark, name):
     plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "arrays_overlap" not in plan and "array<string>" not in plan and "Join Inner" in plan
